@@ -246,3 +246,237 @@ def q_class_weights(spark, sf):
     tr = flows.split_table(spark, sf).where(F.col("split") == "train")
     w = fit.fit_class_weights(tr)
     return _r6_all(fit.with_class_weights(tr, w).groupBy("churn").agg(F.count(F.lit(1)).alias("n"), F.first("weight").alias("weight")))
+
+
+# ------------------------------------------------------------------ scoring
+def _valid_scores(spark, sf):
+    return flows.scored_table(spark, sf).where(F.col("split") == "valid")
+
+
+@register("split_metrics", S.chain(body=f"""
+SELECT model_name, split, tp, fp, tn, fn, n, {S.RATIOS} FROM (
+  SELECT model_name, split, {S.metrics_cols("CAST(proba >= 0.5 AS INTEGER)")} FROM scored_t GROUP BY model_name, split)"""))
+def q_split_metrics(spark, sf):
+    """Flagship: churn table -> exact split -> linear score -> metrics per model and split."""
+    sc = score.apply_threshold(flows.scored_table(spark, sf), 0.5)
+    return _r6_all(evaluate.classification_metrics(sc, "churn", "pred", ["model_name", "split"]))
+
+
+@register("linear_scores", S.chain(body="SELECT row_key, model_name, split, round(proba, 6) AS proba FROM scored_t"))
+def q_linear_scores(spark, sf):
+    return _r6_all(flows.scored_table(spark, sf).select("row_key", "model_name", "split", "proba"))
+
+
+@register("minmax_scores", S.chain("""
+dec_t AS (SELECT row_key, model_name, ln(proba / (1 - proba)) AS decision FROM scored_t),
+mm_t AS (SELECT model_name, min(decision) AS mn, max(decision) AS mx FROM dec_t GROUP BY model_name)""",
+    body="SELECT d.row_key, d.model_name, round((d.decision - m.mn) / (m.mx - m.mn + 1e-12), 6) AS proba "
+         "FROM dec_t d JOIN mm_t m USING (model_name)"))
+def q_minmax(spark, sf):
+    d = flows.scored_table(spark, sf).select("row_key", "model_name",
+                                             F.log(F.col("proba") / (1 - F.col("proba"))).alias("decision"))
+    return _r6_all(score.minmax_score(d, "decision", "proba", by=["model_name"]).select("row_key", "model_name", "proba"))
+
+
+@register("threshold_predictions", S.chain(body="""
+SELECT row_key, model_name, CAST(proba >= 0.5 AS INTEGER) AS pred, CAST(CAST(proba >= 0.5 AS INTEGER) AS DOUBLE) AS pred_score
+FROM scored_t"""))
+def q_predictions(spark, sf):
+    d = score.apply_threshold(flows.scored_table(spark, sf), 0.5)
+    return score.hard_to_float(d, "pred", "pred_score").select("row_key", "model_name", "pred", "pred_score")
+
+
+# ------------------------------------------------------------------ evaluation
+_BY = ["model_name"]
+
+
+@register("pr_curve", S.chain(S.CURVE, body="""
+SELECT model_name, round(threshold, 6) AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp FROM curve_t"""))
+def q_pr_curve(spark, sf):
+    return _r6_all(evaluate.pr_curve(_valid_scores(spark, sf), by=_BY))
+
+
+@register("roc_curve", S.chain(S.CURVE, body="""
+SELECT model_name, round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr,
+       CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp FROM curve_t"""))
+def q_roc_curve(spark, sf):
+    return _r6_all(evaluate.roc_curve(_valid_scores(spark, sf), by=_BY))
+
+
+@register("curve_summary", S.chain(S.CURVE, body="""
+SELECT model_name, round(roc_auc, 6) AS roc_auc, round(pr_ap, 6) AS pr_ap, round(best_threshold, 6) AS best_threshold,
+       round(best_f1, 6) AS best_f1, n_pos, n_neg FROM summary_t"""))
+def q_curve_summary(spark, sf):
+    c = evaluate.score_curve(_valid_scores(spark, sf), by=_BY)
+    return _r6_all(evaluate.curve_summary(c, _BY))
+
+
+@register("metrics_at_best", S.chain(S.CURVE, body=f"""
+SELECT model_name, tp, fp, tn, fn, n, {S.RATIOS}, round(roc_auc, 6) AS roc_auc, round(pr_ap, 6) AS pr_ap,
+       round(best_threshold, 6) AS best_threshold, round(best_f1, 6) AS best_f1, n_pos, n_neg
+FROM (SELECT s.model_name, {S.metrics_cols("CAST(round(s.proba, 9) >= m.best_threshold AS INTEGER)", "s.churn")}
+      FROM scored_t s JOIN summary_t m USING (model_name) WHERE s.split = 'valid' GROUP BY s.model_name)
+JOIN summary_t USING (model_name)"""))
+def q_metrics_at_best(spark, sf):
+    return _r6_all(evaluate.metrics_at_best(_valid_scores(spark, sf), by=_BY))
+
+
+def _grid_values_sql() -> str:
+    vals = ", ".join(f"({i}, CAST('{g!r}' AS DOUBLE))" for i, g in enumerate(evaluate.threshold_grid()))
+    return f"grid_t(i, g) AS (VALUES {vals})"
+
+
+SWEEP_SQL = S.CURVE + ",\n" + _grid_values_sql() + """,
+sweep_t AS (
+  SELECT s.model_name, CAST(grid_t.i AS INTEGER) AS i, grid_t.g AS threshold,
+         CAST(count(*) FILTER (WHERE s.churn = 1 AND round(s.proba, 9) >= grid_t.g) AS BIGINT) AS tp,
+         CAST(count(*) FILTER (WHERE s.churn <> 1 AND round(s.proba, 9) >= grid_t.g) AS BIGINT) AS fp,
+         CAST(count(*) FILTER (WHERE s.churn = 1) AS BIGINT) AS n_pos
+  FROM scored_t s, grid_t WHERE s.split = 'valid' GROUP BY s.model_name, grid_t.i, grid_t.g),
+sweep_m AS (
+  SELECT model_name, i, threshold, tp, fp,
+         CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+         CASE WHEN n_pos = 0 THEN 0.0 ELSE tp / n_pos END AS recall,
+         CASE WHEN 2 * tp + fp + (n_pos - tp) = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + (n_pos - tp)) END AS f1
+  FROM sweep_t)"""
+
+
+@register("threshold_sweep", S.chain(SWEEP_SQL, body="""
+SELECT model_name, i, round(threshold, 6) AS threshold, tp, fp, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1 FROM sweep_m"""))
+def q_sweep(spark, sf):
+    return _r6_all(evaluate.threshold_sweep(_valid_scores(spark, sf), by=_BY))
+
+
+@register("grid_best_threshold", S.chain(SWEEP_SQL, body="""
+SELECT model_name, round(arg_min(threshold, (-f1, threshold)), 6) AS threshold, round(max(f1), 6) AS f1
+FROM sweep_m GROUP BY model_name"""))
+def q_grid_best(spark, sf):
+    return _r6_all(evaluate.best_on_grid(evaluate.threshold_sweep(_valid_scores(spark, sf), by=_BY), _BY))
+
+
+@register("curve_points", S.chain(S.CURVE, body="""
+SELECT model_name, round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr,
+       round(precision, 6) AS precision, round(recall, 6) AS recall
+FROM (SELECT *, row_number() OVER (PARTITION BY model_name, floor((tp + fp - 1) * 20 / (n_pos + n_neg))
+                                   ORDER BY threshold) AS rn FROM curve_t) WHERE rn = 1"""))
+def q_curve_points(spark, sf):
+    c = evaluate.score_curve(_valid_scores(spark, sf), by=_BY)
+    return _r6_all(evaluate.curve_points(c, _BY, max_points=20))
+
+
+# ------------------------------------------------------------------ thresholds and shapes
+# Which key each model's threshold document uses (all four lookup keys occur).
+DOC_KEYS = {"logreg": "best_threshold", "xgb": "threshold", "rf": "best", "logreg_fe": "value"}
+
+_DOCS_SQL = S.CURVE + """,
+docs_t AS (
+  SELECT model_name, 'full' AS doc_kind,
+         printf('{"%s": %.6f}', CASE model_name WHEN 'logreg' THEN 'best_threshold' WHEN 'xgb' THEN 'threshold'
+                                 WHEN 'rf' THEN 'best' ELSE 'value' END, best_threshold) AS doc
+  FROM summary_t),
+all_docs AS (SELECT * FROM docs_t UNION ALL SELECT model_name, 'truncated', substr(doc, 1, length(doc) - 1) FROM docs_t)"""
+
+
+def _threshold_docs(spark, sf):
+    summ = evaluate.curve_summary(evaluate.score_curve(_valid_scores(spark, sf), by=_BY), _BY)
+    key = F.create_map(*[x for k, v in DOC_KEYS.items() for x in (F.lit(k), F.lit(v))])
+    docs = summ.select("model_name", F.lit("full").alias("doc_kind"),
+                       F.format_string('{"%s": %.6f}', F.element_at(key, F.col("model_name")), F.col("best_threshold")).alias("doc"))
+    trunc = docs.select("model_name", F.lit("truncated").alias("doc_kind"),
+                        F.expr("substring(doc, 1, length(doc) - 1)").alias("doc"))
+    return docs.unionByName(trunc)
+
+
+@register("resolve_threshold", S.chain(_DOCS_SQL, body="""
+SELECT model_name, doc_kind, round(coalesce(
+  CASE WHEN json_valid(doc) THEN TRY_CAST(json_extract_string(doc, '$.best_threshold') AS DOUBLE) END,
+  CASE WHEN json_valid(doc) THEN TRY_CAST(json_extract_string(doc, '$.threshold') AS DOUBLE) END,
+  CASE WHEN json_valid(doc) THEN TRY_CAST(json_extract_string(doc, '$.best') AS DOUBLE) END,
+  CASE WHEN json_valid(doc) THEN TRY_CAST(json_extract_string(doc, '$.value') AS DOUBLE) END, 0.5), 6) AS threshold
+FROM all_docs"""))
+def q_resolve_threshold(spark, sf):
+    return _r6_all(score.resolve_threshold(_threshold_docs(spark, sf)).select("model_name", "doc_kind", "threshold"))
+
+
+@register("threshold_by_family", S.chain(S.CURVE, body="""
+SELECT m.model_name, round(coalesce(
+   CASE WHEN lower(m.model_name) LIKE '%xgb%' THEN (SELECT best_threshold FROM summary_t WHERE model_name = 'xgb') END,
+   (SELECT best_threshold FROM summary_t WHERE model_name = 'logreg'), 0.5), 6) AS threshold
+FROM (SELECT DISTINCT model_name FROM scored_t) m"""))
+def q_threshold_by_family(spark, sf):
+    summ = evaluate.curve_summary(evaluate.score_curve(_valid_scores(spark, sf), by=_BY), _BY)
+    th = (summ.where(F.col("model_name").isin("xgb", "logreg"))
+          .select(F.when(F.col("model_name") == "xgb", "xgb").otherwise("general").alias("family"),
+                  F.col("best_threshold").alias("threshold")))
+    models = flows.scored_table(spark, sf).select("model_name").distinct()
+    return _r6_all(score.threshold_for_model(models, th))
+
+
+@register("array_predictions", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS pred_class,
+       round(CAST(embedding[2] AS DOUBLE), 6) AS proba
+FROM embeddings""")
+def q_array_predictions(spark, sf):
+    e = tables.load(spark, sf, "embeddings")
+    wide = score.normalize_array_predictions(e, "embedding", out_proba="_p64", out_class="pred_class")
+    two = score.normalize_array_predictions(wide.withColumn("_two", F.slice("embedding", 1, 2)), "_two",
+                                            out_proba="proba", out_class="_c2")
+    return _r6_all(two.select("vec_id", "pred_class", "proba"))
+
+
+@register("scalar_predictions", S.chain("""
+mixed_t AS (SELECT model_name, CASE WHEN model_name IN ('rf', 'logreg_fe') THEN CAST(proba >= 0.5 AS INTEGER) ELSE proba END AS v
+            FROM scored_t),
+kind_t AS (SELECT model_name, CASE WHEN min(v) >= 0 AND max(v) <= 1
+                                   AND NOT (max(CASE WHEN v <> 0 AND v <> 1 THEN 1 ELSE 0 END) = 0
+                                            AND count(DISTINCT CASE WHEN v = 0 OR v = 1 THEN v END) = 2)
+                                   THEN 'proba' ELSE 'class' END AS kind, CAST(count(*) AS BIGINT) AS n
+           FROM mixed_t GROUP BY model_name)""", body="SELECT * FROM kind_t"))
+def q_scalar_predictions(spark, sf):
+    sc = flows.scored_table(spark, sf)
+    mixed = sc.select("model_name", F.when(F.col("model_name").isin("rf", "logreg_fe"),
+                                           (F.col("proba") >= 0.5).cast("int").cast("double")).otherwise(F.col("proba")).alias("v"))
+    k = score.normalize_scalar_predictions(mixed, "v", by=["model_name"])
+    return k.groupBy("model_name", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("prediction_responses", S.chain(body="""
+SELECT model_name, row_key // 100 AS batch,
+       CAST(row_number() OVER (PARTITION BY model_name, row_key // 100 ORDER BY row_key) - 1 AS INTEGER) AS pos,
+       CAST(CAST(proba >= 0.5 AS INTEGER) AS DOUBLE) AS prediction
+FROM scored_t WHERE split = 'valid'"""))
+def q_prediction_responses(spark, sf):
+    d = score.apply_threshold(_valid_scores(spark, sf), 0.5).withColumn("batch", F.floor(F.col("row_key") / 100))
+    # API-style responses: one JSON document per batch of at most 100 keys
+    docs = (d.groupBy("model_name", "batch")
+            .agg(F.array_sort(F.collect_list(F.struct("row_key", "pred"))).alias("rows"))
+            .select("model_name", "batch",
+                    F.to_json(F.struct(F.transform("rows", lambda r: r["pred"]).alias("predictions"))).alias("doc")))
+    return score.explode_predictions(docs, "doc")
+
+
+@register("score_table", S.chain(body="""
+SELECT row_key AS customer_id, round(proba, 6) AS score_churn, CAST(proba >= 0.5 AS INTEGER) AS flag_alto_riesgo,
+       DATE '2024-01-31' AS fecha_scoring FROM scored_t WHERE model_name = 'logreg'"""))
+def q_score_table(spark, sf):
+    sc = flows.scored_table(spark, sf).where(F.col("model_name") == "logreg")
+    return _r6_all(score.score_table(sc, "row_key", 0.5, "2024-01-31"))
+
+
+_AUDIT_INPUTS = list(flows.SCORERS["logreg"][1])
+
+
+@register("audit_log", S.chain("""
+ls_t AS (SELECT s.row_key, s.proba, """ + ", ".join(f"t.{c}" for c in _AUDIT_INPUTS) + """
+         FROM scored_t s JOIN std_t t USING (row_key) WHERE s.model_name = 'logreg')""", body="""
+SELECT 'batch-scorer' AS requested_by, row_key, """ + " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in _AUDIT_INPUTS) + """ AS n_inputs,
+       round(""" + " + ".join(f"coalesce({c}, 0.0)" for c in _AUDIT_INPUTS) + """, 6) AS input_sum,
+       round(proba, 6) AS score, TIMESTAMP '2024-01-31 06:00:00' AS scored_at FROM ls_t"""))
+def q_audit_log(spark, sf):
+    st = flows.standardized_split(spark, sf)
+    b, coef = flows.SCORERS["logreg"]
+    sc = score.linear_score(st, coef, b)
+    log = score.audit_log(sc, "row_key", _AUDIT_INPUTS, "batch-scorer", "2024-01-31 06:00:00")
+    return _r6_all(log.withColumn("scored_at", F.col("scored_at").cast("timestamp_ntz")))

@@ -153,3 +153,47 @@ def chain(*extra: str, upto: str = "scored", body: str) -> str:
     for k in order[: order.index(upto) + 1]:
         ctes.append(scored_cte() if k == "scored" else pieces[k])
     return with_(*ctes, *extra, body=body)
+
+# curve points per model on the validation split (scores rounded to 9 places)
+CURVE = """
+pts_t AS (
+  SELECT model_name, round(proba, 9) AS threshold,
+         count(*) FILTER (WHERE churn = 1) AS pos, count(*) FILTER (WHERE churn <> 1) AS neg
+  FROM scored_t WHERE split = 'valid' GROUP BY model_name, round(proba, 9)),
+cum_t AS (
+  SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
+         sum(pos) OVER (PARTITION BY model_name) AS n_pos, sum(neg) OVER (PARTITION BY model_name) AS n_neg
+  FROM pts_t WINDOW w AS (PARTITION BY model_name ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+pr_t AS (
+  SELECT *, tp / (tp + fp) AS precision,
+         CASE WHEN n_pos = 0 THEN 0.0 ELSE tp / n_pos END AS recall,
+         CASE WHEN n_neg = 0 THEN 0.0 ELSE fp / n_neg END AS fpr
+  FROM cum_t),
+curve_t AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-12) AS f1, recall AS tpr FROM pr_t),
+summary_t AS (
+  SELECT model_name,
+         CASE WHEN any_value(n_pos) > 0 AND any_value(n_neg) > 0
+              THEN sum(neg * (2 * tp - pos)) / (2.0 * any_value(n_pos) * any_value(n_neg)) END AS roc_auc,
+         CASE WHEN any_value(n_pos) > 0 THEN sum(pos * precision) / any_value(n_pos) ELSE 0.0 END AS pr_ap,
+         arg_min(threshold, (-f1, threshold)) AS best_threshold,
+         max(f1) AS best_f1,
+         CAST(any_value(n_pos) AS BIGINT) AS n_pos, CAST(any_value(n_neg) AS BIGINT) AS n_neg
+  FROM curve_t GROUP BY model_name)
+"""
+
+
+def metrics_cols(pred: str, label: str = "churn") -> str:
+    """Confusion counts and the four ratios over rows with a 0/1 ``pred`` expression."""
+    return f"""
+  CAST(count(*) FILTER (WHERE {label} = 1 AND {pred} = 1) AS BIGINT) AS tp,
+  CAST(count(*) FILTER (WHERE {label} <> 1 AND {pred} = 1) AS BIGINT) AS fp,
+  CAST(count(*) FILTER (WHERE {label} <> 1 AND {pred} <> 1) AS BIGINT) AS tn,
+  CAST(count(*) FILTER (WHERE {label} = 1 AND {pred} <> 1) AS BIGINT) AS fn,
+  CAST(count(*) AS BIGINT) AS n"""
+
+
+RATIOS = """
+  round(CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END, 6) AS accuracy,
+  round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision,
+  round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall,
+  round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1"""
