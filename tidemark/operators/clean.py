@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import NUMERIC_TEXT, parse_number
-from tidemark.operators.ranking import exact_quantile
+from pyspark import StorageLevel
+
+from tidemark.operators.ranking import exact_medians
 from tidemark.session import checked_collect
 
 # Fixed value: the pattern that marks id-like columns (applied to canonical names).
@@ -143,7 +145,7 @@ def fit_medians(df: DataFrame, cols: list[str], exact: bool = True, accuracy: in
     if not cols:
         return {}
     if exact:
-        return {c: exact_quantile(df, c, 0.5) for c in cols}
+        return exact_medians(df, cols)
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).collect()[0]
     return {c: (None if row[c] is None else float(row[c])) for c in cols}
 
@@ -248,11 +250,16 @@ def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio:
     """Fit C7, C9 and C10 on ``df`` (pass the train split to avoid leakage, or all rows
     for parity with the original order of steps)."""
     excl = tuple(c for c in (target, key) if c)
-    num_text = numeric_text_columns(df, ratio, excl)
-    d = coerce_numeric(df, columns=num_text)
-    kinds = column_kinds(d, excl)
-    medians = fit_medians(d, kinds["numeric"], exact_median)
-    cats = fit_categories(d, kinds["categorical"])
+    # fitting makes several passes: keep the input between them (spills to disk if needed)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        num_text = numeric_text_columns(src, ratio, excl)
+        d = coerce_numeric(src, columns=num_text)
+        kinds = column_kinds(d, excl)
+        medians = fit_medians(d, kinds["numeric"], exact_median)
+        cats = fit_categories(d, kinds["categorical"])
+    finally:
+        src.unpersist()
     spec = EncodingSpec(target=target, key=key, numeric_text=num_text, medians=medians, categories=cats)
     spec.features = [c for c in apply_encoding(df, spec).columns if c not in (key, "churn")]
     return spec

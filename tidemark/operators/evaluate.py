@@ -90,7 +90,7 @@ def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=No
 
 def _attach_totals(cum: DataFrame, totals: DataFrame, by: list) -> DataFrame:
     if by:
-        return cum.join(bounded_broadcast(totals), by)
+        return cum.join(totals, by)   # one row per group; AQE broadcasts it when small
     row = totals.collect()[0]   # one row: the two class totals
     return cum.withColumn("n_pos", F.lit(row["n_pos"] or 0)).withColumn("n_neg", F.lit(row["n_neg"] or 0))
 

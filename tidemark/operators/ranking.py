@@ -21,11 +21,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import bounded_broadcast, checked_collect
+from tidemark.session import checked_collect
 
 HASH_BUCKETS = 4096          # contiguous ranges of the md5 order per class
-MAX_CLASSES = 10_000         # stratification keys with more values than this are refused
-MAX_GROUPS = 10_000          # group count for running totals (group x bucket offsets are broadcast)
 
 
 def seeded_hash(key_cols: list[str], seed) -> Column:
@@ -65,11 +63,10 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
     every range its starting offset.  The counts table has at most groups x n_buckets
     rows; it is aggregated, its offsets computed on that small table and broadcast
     after a size check.  The final window is partitioned by (by, range): a hot class is
-    spread over ``n_buckets`` tasks instead of one.
+    spread over ``n_buckets`` tasks instead of one.  The input is shuffled once, on
+    (by, range); the counts table (at most groups x n_buckets rows) is the only other
+    shuffle.
     """
-    n_classes = df.select(*by).distinct().limit(MAX_CLASSES + 1).count() if by else 1
-    if n_classes > MAX_CLASSES:
-        raise ValueError(f"stratified_rank: more than {MAX_CLASSES} groups in {by}")
     if order == "hash":
         d = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_rng", _hash_range(F.col("_h"), n_buckets))
         within = [F.col("_h")] + [F.col(c) for c in key]
@@ -88,7 +85,9 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
     offsets = counts.select(*by, "_rng",
                             F.coalesce(F.sum("_cnt").over(w_before), F.lit(0)).alias("_off"),
                             F.sum("_cnt").over(w_all).alias(size_col))
-    offsets = bounded_broadcast(offsets, max_rows=max(n_classes, 1) * n_buckets)
+    # No broadcast: the join and the local window both cluster on (by, range), so one
+    # shuffle of the input serves both; AQE may still turn the join into a broadcast
+    # from the exact runtime size of the offsets stage.
     local = Window.partitionBy(*by, "_rng").orderBy(*within)
     out = (d.join(offsets, [*by, "_rng"])
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
@@ -103,7 +102,8 @@ def running_totals(df: DataFrame, by: list[str], order_col: str, sums: list[str]
     input should already hold one row per distinct ``order_col`` in each group).
 
     Ranges of ``order_col`` come from approximate quantiles (only the boundaries reach
-    the driver); totals per (group, range) are small and broadcast as offsets.
+    the driver); totals per (group, range) become offsets joined back on (group, range),
+    the same clustering the local running window needs.
     """
     splits = _quantile_splits(df.select(F.col(order_col).cast("double").alias("_o")), "_o", n_buckets)
     d = _bucketize(df.withColumn("_o", F.col(order_col).cast("double")), "_o", splits, "_rng").drop("_o")
@@ -111,7 +111,6 @@ def running_totals(df: DataFrame, by: list[str], order_col: str, sums: list[str]
     w_before = Window.partitionBy(*by).orderBy(F.col("_rng").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select(*by, "_rng", *[F.coalesce(F.sum(f"_t_{s}").over(w_before), F.lit(0)).alias(f"_off_{s}")
                                          for s in sums])
-    offsets = bounded_broadcast(offsets, max_rows=MAX_GROUPS * (len(splits) - 1))
     local = (Window.partitionBy(*by, "_rng").orderBy(F.col(order_col).desc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = d.join(offsets, [*by, "_rng"]) if by else d.join(offsets, ["_rng"])
@@ -165,6 +164,31 @@ def _kth_smallest(values: DataFrame, k: int, n: int, n_buckets: int, small: int)
             raise RuntimeError("rank outside the data")
 
 
+def exact_medians(df: DataFrame, cols: list[str], small: int = 1_000_000, n_buckets: int = 256) -> dict:
+    """Exact interpolated medians of several columns (NaN counts as missing).
+
+    One job counts the values of every column.  Columns with at most ``small`` values
+    share one ``median`` aggregate (exact, holding at most ``small`` values per task);
+    larger ones use the bucket descent of ``exact_quantile``, whose memory is bounded
+    whatever the column size.
+    """
+    def v(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+    if not cols:
+        return {}
+    counts = df.agg(*[F.count(v(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
+    out = {c: None for i, c in enumerate(cols) if counts[f"n{i}"] == 0}
+    small_cols = [c for i, c in enumerate(cols) if 0 < counts[f"n{i}"] <= small]
+    if small_cols:
+        row = df.agg(*[F.median(v(c)).alias(f"m{i}") for i, c in enumerate(small_cols)]).collect()[0]
+        out.update({c: float(row[f"m{i}"]) for i, c in enumerate(small_cols)})
+    for c in cols:
+        if c not in out:
+            out[c] = exact_quantile(df, c, 0.5, n_buckets)
+    return out
+
+
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5, n_buckets: int = 256,
                    small: int = 50_000) -> float | None:
     """Exact quantile with linear interpolation (pandas ``quantile``, Spark ``percentile``).

@@ -480,3 +480,329 @@ def q_audit_log(spark, sf):
     sc = score.linear_score(st, coef, b)
     log = score.audit_log(sc, "row_key", _AUDIT_INPUTS, "batch-scorer", "2024-01-31 06:00:00")
     return _r6_all(log.withColumn("scored_at", F.col("scored_at").cast("timestamp_ntz")))
+
+
+# ------------------------------------------------------------------ run log, leaderboard, champion
+from tidemark.operators import runs as R  # noqa: E402
+
+_METRICS6 = flows.METRIC_NAMES
+
+
+def _runs_sql(*extra, body):
+    return S.chain(S.RUNS, *extra, body=body)
+
+
+_RUN_COLS = "run_id, run_name, experiment_name, model_key, registered_model, split, position, start_time, " + \
+            ", ".join(f"round({m}, 6) AS {m}" for m in _METRICS6)
+
+
+@register("run_log", _runs_sql(body=f"SELECT {_RUN_COLS} FROM runs_t"))
+def q_run_log(spark, sf):
+    path = shared_path(spark, "run_log", uuid.uuid4().hex)
+    return _r6_all(R.log_runs(flows.run_table(spark, sf), path).select(*flows.run_table(spark, sf).columns))
+
+
+def _flat_expected_sql(name_expr: str) -> str:
+    parts = [f"SELECT {name_expr}, split || '_{m}' AS key, round({m}, 6) AS value FROM runs_t" for m in _METRICS6]
+    parts.append(f"SELECT DISTINCT {name_expr}, 'params_threshold' AS key, 0.5 AS value FROM runs_t")
+    parts.append(f"SELECT DISTINCT {name_expr}, 'calibrated' AS key, 1.0 AS value FROM runs_t")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("flatten_metrics", _runs_sql(body=_flat_expected_sql("model_key")))
+def q_flatten(spark, sf):
+    docs = flows.metric_documents(flows.run_table(spark, sf))
+    return _r6_all(R.flatten_metrics(docs, "doc", keep=["model_key"]))
+
+
+@register("import_metric_files", _runs_sql(body=_flat_expected_sql(
+    "'metrics_test' || CASE model_key WHEN 'LogReg' THEN '' WHEN 'RF' THEN '_rf' WHEN 'XGB' THEN '_xgb' ELSE '_fe' END AS run_name")))
+def q_import_files(spark, sf):
+    docs = flows.metric_documents(flows.run_table(spark, sf))
+    files_df = docs.select(R.lookup(R.METRIC_FILES, F.col("model_key")).alias("file"), "doc")
+    broken = docs.where(F.col("model_key") == "LogReg").select(
+        F.lit("metrics_broken.json").alias("file"), F.expr("substring(doc, 1, length(doc) - 2)").alias("doc"))
+    empty = docs.where(F.col("model_key") == "LogReg").select(F.lit("metrics_empty.json").alias("file"), F.lit("").alias("doc"))
+    path = shared_path(spark, "metric_files", uuid.uuid4().hex)
+    files_df.unionByName(broken).unionByName(empty).write.partitionBy("file").text(path)
+    read = spark.read.option("wholetext", True).text(path).select("file", F.col("value").alias("doc"))
+    return _r6_all(R.import_metric_documents(read))
+
+
+def _doc_variants(spark, sf):
+    """Per model key, the test metrics as documents in several layouts."""
+    rt = flows.run_table(spark, sf)
+    docs = flows.metric_documents(rt)
+    test = rt.where(F.col("split") == "test")
+    flat = F.to_json(F.struct(*[F.col(m) for m in ("accuracy", "precision", "recall")],
+                              F.when(F.col("model_key") != "FE", F.col("f1")).alias("f1")))
+    nested = F.to_json(F.struct(F.struct(*[F.col(m) for m in ("accuracy", "precision", "recall", "f1")]).alias("test")))
+    aliased = F.to_json(F.struct(F.col("accuracy").alias("acc"), F.col("precision").alias("prec"),
+                                 F.col("recall").alias("rec"), F.col("f1").alias("f1_score")))
+    plain = F.to_json(F.struct(*[F.col(m) for m in ("accuracy", "precision", "recall", "f1")]))
+    t = test.select("model_key", "position",
+                    F.when(F.col("model_key").isin("LogReg", "XGB"), nested).otherwise(flat).alias("doc_mixed"),
+                    F.when(F.col("model_key") == "RF", aliased).otherwise(plain).alias("doc_alias"))
+    no_test = docs.select("model_key", F.when(F.col("model_key") == "RF",
+                                              F.to_json(F.struct(F.expr("from_json(doc, 'valid struct<f1:double>').valid").alias("valid"))))
+                          .otherwise(F.col("doc")).alias("doc_primary"))
+    return t.join(no_test, "model_key")
+
+
+@register("primary_f1", _runs_sql(body="""
+SELECT model_key, round(f1, 6) AS f1 FROM runs_t WHERE (model_key = 'RF' AND split = 'valid') OR (model_key <> 'RF' AND split = 'test')"""))
+def q_primary_f1(spark, sf):
+    return _r6_all(R.primary_f1(_doc_variants(spark, sf), "doc_primary").select("model_key", "f1"))
+
+
+@register("metrics_or_flat", _runs_sql(body="""
+SELECT model_key, round(CASE WHEN model_key = 'FE' THEN 0.0 ELSE f1 END, 6) AS f1, round(accuracy, 6) AS accuracy,
+       round(precision, 6) AS precision, round(recall, 6) AS recall FROM runs_t WHERE split = 'test'"""))
+def q_metrics_or_flat(spark, sf):
+    return _r6_all(R.metrics_or_flat(_doc_variants(spark, sf), "doc_mixed").select("model_key", "f1", "accuracy", "precision", "recall"))
+
+
+@register("metric_alias", _runs_sql(body="""
+SELECT model_key, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1 FROM runs_t WHERE split = 'test'"""))
+def q_metric_alias(spark, sf):
+    return _r6_all(R.metric_alias(_doc_variants(spark, sf), "doc_alias").select("model_key", "accuracy", "precision", "recall", "f1"))
+
+
+_FILE_SQL = "CASE model_key WHEN 'LogReg' THEN 'metrics_test.json' WHEN 'RF' THEN 'metrics_test_rf.json' WHEN 'XGB' THEN 'metrics_test_xgb.json' ELSE 'metrics_test_fe.json' END"
+_LABEL_SQL = "CASE model_key WHEN 'LogReg' THEN 'LogReg baseline' WHEN 'RF' THEN 'RandomForest' WHEN 'XGB' THEN 'XGBoost' ELSE 'LogReg FE' END"
+
+
+@register("benchmark_leaderboard", _runs_sql(body=f"""
+SELECT {_FILE_SQL} AS file, {_LABEL_SQL} AS label, round(f1, 6) AS f1,
+       CAST(row_number() OVER (ORDER BY f1 DESC, position) AS INTEGER) AS rank,
+       row_number() OVER (ORDER BY f1 DESC, position) = 1 AS is_winner
+FROM runs_t WHERE split = 'test'"""))
+def q_leaderboard(spark, sf):
+    t = flows.run_table(spark, sf).where(F.col("split") == "test")
+    t = R.label_for(t.withColumn("file", R.lookup(R.METRIC_FILES, F.col("model_key"))))
+    return _r6_all(R.leaderboard(t, "f1", "position").select("file", "label", "f1", "rank", "is_winner"))
+
+
+@register("metric_table", S.chain(S.RUNS, S.CURVE, body="""
+SELECT r.model_key, r.split, CASE r.split WHEN 'test' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END AS split_order,
+       printf('%.4f', r.accuracy) AS accuracy, printf('%.4f', r.precision) AS precision,
+       printf('%.4f', r.recall) AS recall, printf('%.4f', r.f1) AS f1,
+       coalesce(CASE WHEN r.split = 'valid' THEN printf('%.4f', s.best_threshold) END, '-') AS threshold,
+       CAST(row_number() OVER (ORDER BY CASE r.split WHEN 'test' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END, r.model_key) AS INTEGER) AS "row"
+FROM runs_t r LEFT JOIN summary_t s ON s.model_name = CASE r.model_key WHEN 'LogReg' THEN 'logreg' WHEN 'RF' THEN 'rf'
+                                                     WHEN 'XGB' THEN 'xgb' ELSE 'logreg_fe' END
+WHERE r.split IN ('test', 'valid')"""))
+def q_metric_table(spark, sf):
+    rt = flows.run_table(spark, sf).where(F.col("split").isin("test", "valid"))
+    summ = evaluate.curve_summary(evaluate.score_curve(_valid_scores(spark, sf), by=_BY), _BY)
+    th = summ.select(R.lookup(flows.MODEL_KEYS, F.col("model_name")).alias("model_key"),
+                     F.lit("valid").alias("split"), F.col("best_threshold").alias("thr"))
+    j = rt.join(th, ["model_key", "split"], "left")   # a handful of rows per side
+    t = R.metric_table(j)
+    return t.join(j.select("model_key", "split", R.fmt4(F.col("thr")).alias("threshold")),
+                  ["model_key", "split"])
+
+
+@register("champion_challenger", _runs_sql(body="""
+SELECT model_key, registered_model, round(f1, 6) AS f1,
+       CASE WHEN rn = 1 THEN 'champion' ELSE 'challenger' END AS role, 'LogReg,RF,XGB,FE' AS considered
+FROM (SELECT *, row_number() OVER (ORDER BY f1 DESC, position) AS rn FROM runs_t WHERE split = 'test') WHERE rn <= 2"""))
+def q_champion_challenger(spark, sf):
+    t = flows.run_table(spark, sf).where(F.col("split") == "test")
+    return _r6_all(R.top_two(t).select("model_key", "registered_model", "f1", "role", "considered"))
+
+
+@register("registered_names", _runs_sql(body="SELECT run_id, model_key, registered_model FROM runs_t"))
+def q_registered_names(spark, sf):
+    rt = flows.run_table(spark, sf)
+    return rt.select("run_id", "model_key", R.registered_name(F.col("model_key")).alias("registered_model"))
+
+
+_BEST_SQL = """
+best_t AS (SELECT experiment_name, arg_min(run_id, (-f1, run_id)) AS run_id, max(f1) AS f1
+           FROM runs_t WHERE f1 > 0 GROUP BY experiment_name)"""
+
+
+@register("best_run", _runs_sql(_BEST_SQL, body="SELECT experiment_name, run_id, round(f1, 6) AS f1 FROM best_t"))
+def q_best_run(spark, sf):
+    return _r6_all(R.best_run(flows.run_table(spark, sf), "f1"))
+
+
+@register("best_test_run", _runs_sql(body="""
+SELECT arg_min(run_id, (f1 IS NULL, -f1, run_id)) AS run_id, round(max(f1), 6) AS f1 FROM runs_t WHERE run_name LIKE 'metrics_test%'"""))
+def q_best_test_run(spark, sf):
+    return _r6_all(R.best_named_run(flows.run_table(spark, sf), "metrics_test", "f1"))
+
+
+_PREV_SQL = """
+prev_t AS (SELECT experiment_name, arg_min(run_id, (-accuracy, run_id)) AS run_id, arg_min(f1, (-accuracy, run_id)) AS f1
+           FROM runs_t WHERE split = 'valid' GROUP BY experiment_name)"""
+
+
+def _prev_champion(rt):
+    """The stored champion: the best validation run by accuracy (derived from the log)."""
+    return R.best_run(rt.where(F.col("split") == "valid"), "accuracy").join(rt.select("run_id", "f1"), "run_id")
+
+
+@register("retag_champion", _runs_sql(_BEST_SQL, _PREV_SQL, body="""
+SELECT r.run_id, r.run_id = b.run_id AS is_champion
+FROM runs_t r, best_t b WHERE r.run_id = b.run_id OR r.run_id = (SELECT run_id FROM prev_t)"""))
+def q_retag(spark, sf):
+    rt = flows.run_table(spark, sf)
+    prev = _prev_champion(rt).select("run_id", F.lit(True).alias("is_champion"))
+    best_id = R.best_run(rt, "f1").collect()[0]["run_id"]   # one id
+    tagged = rt.join(prev, "run_id", "left")
+    return R.retag(tagged, F.lit(best_id))
+
+
+_VERSIONS_SQL = """
+ver_t AS (SELECT registered_model, run_id, start_time,
+                 CAST(row_number() OVER (PARTITION BY registered_model ORDER BY start_time, run_id) AS VARCHAR) AS version
+          FROM runs_t)"""
+
+
+def _versions(rt):
+    """Model versions: every run registers the next version of its registered model.
+    (Versions per model are few; the window is per model.)"""
+    from pyspark.sql import Window
+    w = Window.partitionBy("registered_model").orderBy("start_time", "run_id")
+    return rt.select("registered_model", "run_id", "start_time", F.row_number().over(w).cast("string").alias("version"))
+
+
+@register("latest_versions", _runs_sql(_VERSIONS_SQL, body="""
+SELECT registered_model, max(CAST(version AS INTEGER)) AS latest_version FROM ver_t GROUP BY registered_model"""))
+def q_latest_versions(spark, sf):
+    return R.latest_version(_versions(flows.run_table(spark, sf)))
+
+
+@register("assign_alias", _runs_sql(_VERSIONS_SQL, """
+lat_t AS (SELECT registered_model, max(CAST(version AS INTEGER)) AS v FROM ver_t GROUP BY registered_model),
+champ_t AS (SELECT registered_model FROM (SELECT *, row_number() OVER (ORDER BY f1 DESC, position) AS rn
+            FROM runs_t WHERE split = 'test') WHERE rn = 1)""", body="""
+SELECT 'challenger' AS alias, 'TelcoChurn_XGB' AS registered_model, CAST((SELECT v FROM lat_t WHERE registered_model = 'TelcoChurn_XGB') AS VARCHAR) AS version
+UNION ALL
+SELECT 'champion', c.registered_model, CAST(l.v AS VARCHAR) FROM champ_t c JOIN lat_t l USING (registered_model)"""))
+def q_assign_alias(spark, sf):
+    rt = flows.run_table(spark, sf)
+    lat = R.latest_version(_versions(rt))
+    old = lat.where(F.col("registered_model").isin("TelcoChurn_RF", "TelcoChurn_XGB")).select(
+        F.when(F.col("registered_model") == "TelcoChurn_RF", "champion").otherwise("challenger").alias("alias"),
+        "registered_model", F.col("latest_version").cast("string").alias("version"))
+    champ = R.top_two(rt.where(F.col("split") == "test")).where(F.col("role") == "champion").collect()[0]
+    v = lat.where(F.col("registered_model") == champ["registered_model"]).collect()[0]["latest_version"]
+    return R.assign_alias(old, "champion", F.lit(champ["registered_model"]), F.lit(v))
+
+
+@register("champion_version", _runs_sql(_BEST_SQL, _VERSIONS_SQL, body="""
+SELECT b.run_id, r.registered_model, CAST(v.version AS INTEGER) AS version
+FROM best_t b JOIN runs_t r USING (run_id) LEFT JOIN ver_t v ON v.registered_model = r.registered_model AND v.run_id = b.run_id"""))
+def q_champion_version(spark, sf):
+    rt = flows.run_table(spark, sf)
+    best = R.best_run(rt, "f1").join(rt.select("run_id", "registered_model"), "run_id")
+    return R.version_of_run(best, _versions(rt)).select("run_id", "registered_model", "version")
+
+
+@register("champion_changed", _runs_sql(_BEST_SQL, _PREV_SQL, body="""
+SELECT b.experiment_name, b.run_id, round(b.f1, 6) AS f1, p.run_id AS prev_run_id, round(p.f1, 6) AS prev_f1,
+       p.run_id IS NULL OR b.run_id IS DISTINCT FROM p.run_id AS changed,
+       p.run_id IS NULL OR (b.run_id IS DISTINCT FROM p.run_id AND b.f1 > p.f1) AS improved,
+       CASE WHEN p.run_id IS NULL THEN 'no previous champion' WHEN b.run_id = p.run_id THEN 'same run'
+            WHEN b.f1 > p.f1 THEN 'better metric' ELSE 'different run, metric not better' END AS reason
+FROM best_t b LEFT JOIN prev_t p USING (experiment_name)"""))
+def q_champion_changed(spark, sf):
+    rt = flows.run_table(spark, sf)
+    return _r6_all(R.champion_changed(R.best_run(rt, "f1"), _prev_champion(rt)))
+
+
+# references, selections and free text derived from the version table
+_REFS_SQL = """
+refs_t AS (
+  SELECT registered_model AS n, version AS v, 1 AS form, 'models:/' || registered_model || '@champion' AS ref FROM ver_t
+  UNION ALL SELECT registered_model, version, 2, 'models:/' || registered_model || '/' || version FROM ver_t
+  UNION ALL SELECT registered_model, version, 3, registered_model || '@challenger' FROM ver_t
+  UNION ALL SELECT registered_model, version, 4, registered_model || ' v' || version FROM ver_t
+  UNION ALL SELECT registered_model, version, 5, ' ' || registered_model || ' ' FROM ver_t)"""
+
+
+def _refs(rt):
+    v = _versions(rt)
+    n, ver = F.col("registered_model"), F.col("version")
+    forms = [F.concat(F.lit("models:/"), n, F.lit("@champion")), F.concat(F.lit("models:/"), n, F.lit("/"), ver),
+             F.concat(n, F.lit("@challenger")), F.concat(n, F.lit(" v"), ver), F.concat(F.lit(" "), n, F.lit(" "))]
+    arr = F.array(*[F.struct(F.lit(i + 1).alias("form"), f.alias("ref")) for i, f in enumerate(forms)])
+    return v.select(n.alias("n"), ver.alias("v"), F.explode(arr).alias("x")).select("n", "v", "x.form", "x.ref")
+
+
+@register("parse_model_refs", _runs_sql(_VERSIONS_SQL, _REFS_SQL, body="""
+SELECT ref, CAST(form AS INTEGER) AS form, n AS name,
+       CASE WHEN form IN (2, 4) THEN CAST(v AS INTEGER) END AS version,
+       CASE form WHEN 1 THEN 'champion' WHEN 3 THEN 'challenger' END AS alias
+FROM refs_t"""))
+def q_parse_refs(spark, sf):
+    r = _refs(flows.run_table(spark, sf)).withColumn("p", R.parse_model_ref(F.col("ref")))
+    return r.select("ref", F.col("form").cast("int").alias("form"), "p.name", "p.version", "p.alias")
+
+
+_SEL_SQL = """
+sel_t AS (
+  SELECT registered_model AS n, CAST(version AS INTEGER) AS v, run_id,
+         CAST(version AS INTEGER) % 4 AS form,
+         CASE CAST(version AS INTEGER) % 4
+           WHEN 0 THEN '{"name":"' || registered_model || '","version":"' || version || '"}'
+           WHEN 1 THEN '{"Model":"' || registered_model || '","model_version":' || version || '}'
+           WHEN 2 THEN '{"registered_model":"' || registered_model || '","alias":"champion"}'
+           ELSE '{"uri":"models:/' || registered_model || '/' || version || '"}' END AS doc
+  FROM ver_t)"""
+
+
+def _selections(rt):
+    v = _versions(rt)
+    n, ver = F.col("registered_model"), F.col("version")
+    form = ver.cast("int") % 4
+    doc = (F.when(form == 0, F.concat(F.lit('{"name":"'), n, F.lit('","version":"'), ver, F.lit('"}')))
+           .when(form == 1, F.concat(F.lit('{"Model":"'), n, F.lit('","model_version":'), ver, F.lit('}')))
+           .when(form == 2, F.concat(F.lit('{"registered_model":"'), n, F.lit('","alias":"champion"}')))
+           .otherwise(F.concat(F.lit('{"uri":"models:/'), n, F.lit('/'), ver, F.lit('"}'))))
+    return v.select(n.alias("n"), ver.cast("int").alias("v"), "run_id", form.alias("form"), doc.alias("doc"))
+
+
+@register("parse_selection", _runs_sql(_VERSIONS_SQL, _SEL_SQL, body="""
+SELECT run_id, doc, n AS name, CASE WHEN form = 2 THEN NULL ELSE v END AS version,
+       CASE WHEN form = 2 THEN 'champion' END AS alias,
+       CASE WHEN form = 2 THEN 'models:/' || n || '@champion' ELSE 'models:/' || n || '/' || CAST(v AS VARCHAR) END AS model_uri
+FROM sel_t"""))
+def q_parse_selection(spark, sf):
+    s = _selections(flows.run_table(spark, sf)).withColumn("p", R.parse_selection(F.col("doc")))
+    return s.select("run_id", "doc", "p.name", "p.version", "p.alias",
+                    R.resolve_model_uri(F.col("p.name"), F.col("p.version"), F.col("p.alias")).alias("model_uri"))
+
+
+_TEXT_SQL = """
+text_t AS (
+  SELECT run_id || '-a' AS text_id, 'promoted ' || registered_model || ' as version ' || version || ' today' AS text,
+         registered_model AS n, CAST(version AS INTEGER) AS v FROM ver_t
+  UNION ALL
+  SELECT run_id || '-b', 'compare TelcoChurn_RF and ' || registered_model || ' build 20240201 step ' || version,
+         CASE WHEN registered_model = 'TelcoChurn_RF' THEN 'TelcoChurn_RF' ELSE registered_model END,
+         CAST(version AS INTEGER) FROM ver_t
+  UNION ALL
+  SELECT run_id || '-c', 'no model named here ' || version, NULL, NULL FROM ver_t)"""
+
+
+def _texts(rt):
+    v = _versions(rt)
+    n, ver = F.col("registered_model"), F.col("version")
+    a = v.select(F.concat("run_id", F.lit("-a")).alias("text_id"),
+                 F.concat(F.lit("promoted "), n, F.lit(" as version "), ver, F.lit(" today")).alias("text"))
+    b = v.select(F.concat("run_id", F.lit("-b")).alias("text_id"),
+                 F.concat(F.lit("compare TelcoChurn_RF and "), n, F.lit(" build 20240201 step "), ver).alias("text"))
+    c = v.select(F.concat("run_id", F.lit("-c")).alias("text_id"), F.concat(F.lit("no model named here "), ver).alias("text"))
+    return a.unionByName(b).unionByName(c), v.select("registered_model").distinct()
+
+
+@register("extract_model_ref", _runs_sql(_VERSIONS_SQL, _TEXT_SQL, body="""
+SELECT text_id, text, n AS name, CASE WHEN n IS NULL THEN NULL ELSE v END AS version FROM text_t"""))
+def q_extract_ref(spark, sf):
+    texts, known = _texts(flows.run_table(spark, sf))
+    return R.extract_model_ref(texts, "text", "text_id", known)

@@ -61,3 +61,47 @@ def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = standardized_split(spark, sf_dir)
     return (score.linear_score_many(st, SCORERS)
             .select("row_key", "churn", "split", "model_name", "proba"))
+
+
+# Model key of each scorer (the keys the run log and registry use).
+MODEL_KEYS = {"logreg": "LogReg", "rf": "RF", "xgb": "XGB", "logreg_fe": "FE"}
+SPLIT_INDEX = {"train": 0, "valid": 1, "test": 2}
+METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_ap"]
+
+
+def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per (scorer, split): ids, names, experiment, model key and registered
+    name, start time and six metrics computed from the scores."""
+    from tidemark.operators import evaluate, runs
+    sc = score.apply_threshold(scored_table(spark, sf_dir), 0.5)
+    by = ["model_name", "split"]
+    m = evaluate.classification_metrics(sc, "churn", "pred", by)
+    cs = evaluate.curve_summary(evaluate.score_curve(sc, "churn", "proba", by), by)
+    w = m.join(cs.select(*by, "roc_auc", "pr_ap"), by)
+    key = runs.lookup(MODEL_KEYS, F.col("model_name"))
+    pos = F.array_position(F.array(*[F.lit(k) for k in runs.METRIC_FILES]), key).cast("int") - 1
+    suffix = F.regexp_extract(runs.lookup(runs.METRIC_FILES, key), r"^metrics_test(.*)\.json$", 1)
+    hours = pos * 3 + runs.lookup(SPLIT_INDEX, F.col("split"))
+    return w.select(
+        F.md5(F.concat_ws("|", "model_name", "split")).alias("run_id"),
+        F.concat(F.lit("metrics_"), F.col("split"), suffix).alias("run_name"),
+        F.lit("telco_churn").alias("experiment_name"),
+        key.alias("model_key"),
+        runs.registered_name(key).alias("registered_model"),
+        "split", pos.alias("position"),
+        (F.lit("2024-02-01 00:00:00").cast("timestamp_ntz") + F.make_interval(hours=hours)).alias("start_time"),
+        *METRIC_NAMES)
+
+
+def metric_documents(runs_df: DataFrame) -> DataFrame:
+    """One nested JSON metrics document per model key, built from the run log:
+    metrics by split, parameters, a boolean flag, a list and a text field."""
+    metric_struct = F.struct(*[F.col(m) for m in METRIC_NAMES])
+    per = runs_df.groupBy("model_key", "position").agg(
+        *[F.max(F.when(F.col("split") == s, metric_struct)).alias(s) for s in ("train", "valid", "test")])
+    doc = F.to_json(F.struct("train", "valid", "test",
+                             F.struct(F.lit(0.5).alias("threshold"), F.col("model_key").alias("model")).alias("params"),
+                             F.lit(True).alias("calibrated"),
+                             F.array(F.lit("train"), F.lit("valid"), F.lit("test")).alias("splits"),
+                             F.lit("scored at 0.5").alias("note")))
+    return per.select("model_key", "position", doc.alias("doc"))

@@ -154,34 +154,40 @@ def chain(*extra: str, upto: str = "scored", body: str) -> str:
         ctes.append(scored_cte() if k == "scored" else pieces[k])
     return with_(*ctes, *extra, body=body)
 
-# curve points per model on the validation split (scores rounded to 9 places)
-CURVE = """
-pts_t AS (
-  SELECT model_name, round(proba, 9) AS threshold,
+def curve_ctes(by: list[str], where: str, sfx: str = "") -> str:
+    """Curve points per group (scores rounded to 9 places) and the per-group summary."""
+    g = ", ".join(by)
+    return f"""
+pts{sfx}_t AS (
+  SELECT {g}, round(proba, 9) AS threshold,
          count(*) FILTER (WHERE churn = 1) AS pos, count(*) FILTER (WHERE churn <> 1) AS neg
-  FROM scored_t WHERE split = 'valid' GROUP BY model_name, round(proba, 9)),
-cum_t AS (
+  FROM scored_t WHERE {where} GROUP BY {g}, round(proba, 9)),
+cum{sfx}_t AS (
   SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
-         sum(pos) OVER (PARTITION BY model_name) AS n_pos, sum(neg) OVER (PARTITION BY model_name) AS n_neg
-  FROM pts_t WINDOW w AS (PARTITION BY model_name ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-pr_t AS (
+         sum(pos) OVER (PARTITION BY {g}) AS n_pos, sum(neg) OVER (PARTITION BY {g}) AS n_neg
+  FROM pts{sfx}_t WINDOW w AS (PARTITION BY {g} ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+pr{sfx}_t AS (
   SELECT *, tp / (tp + fp) AS precision,
          CASE WHEN n_pos = 0 THEN 0.0 ELSE tp / n_pos END AS recall,
          CASE WHEN n_neg = 0 THEN 0.0 ELSE fp / n_neg END AS fpr
-  FROM cum_t),
-curve_t AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-12) AS f1, recall AS tpr FROM pr_t),
-summary_t AS (
-  SELECT model_name,
+  FROM cum{sfx}_t),
+curve{sfx}_t AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-12) AS f1, recall AS tpr FROM pr{sfx}_t),
+summary{sfx}_t AS (
+  SELECT {g},
          CASE WHEN any_value(n_pos) > 0 AND any_value(n_neg) > 0
               THEN sum(neg * (2 * tp - pos)) / (2.0 * any_value(n_pos) * any_value(n_neg)) END AS roc_auc,
          CASE WHEN any_value(n_pos) > 0 THEN sum(pos * precision) / any_value(n_pos) ELSE 0.0 END AS pr_ap,
          arg_min(threshold, (-f1, threshold)) AS best_threshold,
          max(f1) AS best_f1,
          CAST(any_value(n_pos) AS BIGINT) AS n_pos, CAST(any_value(n_neg) AS BIGINT) AS n_neg
-  FROM curve_t GROUP BY model_name)
+  FROM curve{sfx}_t GROUP BY {g})
 """
 
 
+# curve points per model on the validation split
+CURVE = curve_ctes(["model_name"], "split = 'valid'")
+
+
 def metrics_cols(pred: str, label: str = "churn") -> str:
     """Confusion counts and the four ratios over rows with a 0/1 ``pred`` expression."""
     return f"""
@@ -197,3 +203,25 @@ RATIOS = """
   round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END, 6) AS precision,
   round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END, 6) AS recall,
   round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1"""
+
+
+# run log: one run per (scorer, split), metrics at threshold 0.5 plus curve summaries
+RUNS = curve_ctes(["model_name", "split"], "TRUE", "2") + """,
+runm_t AS (SELECT model_name, split, """ + metrics_cols("CAST(proba >= 0.5 AS INTEGER)") + """
+           FROM scored_t GROUP BY model_name, split),
+runs_t AS (
+  SELECT md5(m.model_name || '|' || m.split) AS run_id,
+         'metrics_' || m.split || CASE m.model_name WHEN 'logreg' THEN '' WHEN 'rf' THEN '_rf' WHEN 'xgb' THEN '_xgb' ELSE '_fe' END AS run_name,
+         'telco_churn' AS experiment_name,
+         CASE m.model_name WHEN 'logreg' THEN 'LogReg' WHEN 'rf' THEN 'RF' WHEN 'xgb' THEN 'XGB' ELSE 'FE' END AS model_key,
+         CASE m.model_name WHEN 'rf' THEN 'TelcoChurn_RF' WHEN 'xgb' THEN 'TelcoChurn_XGB' ELSE 'TelcoChurn_LogReg' END AS registered_model,
+         m.split,
+         CAST(CASE m.model_name WHEN 'logreg' THEN 0 WHEN 'rf' THEN 1 WHEN 'xgb' THEN 2 ELSE 3 END AS INTEGER) AS position,
+         TIMESTAMP '2024-02-01 00:00:00' + to_hours(CAST(CASE m.model_name WHEN 'logreg' THEN 0 WHEN 'rf' THEN 1 WHEN 'xgb' THEN 2 ELSE 3 END * 3
+                                                + CASE m.split WHEN 'train' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END AS INTEGER)) AS start_time,
+         CASE WHEN m.n = 0 THEN 0.0 ELSE (m.tp + m.tn) / m.n END AS accuracy,
+         CASE WHEN m.tp + m.fp = 0 THEN 0.0 ELSE m.tp / (m.tp + m.fp) END AS precision,
+         CASE WHEN m.tp + m.fn = 0 THEN 0.0 ELSE m.tp / (m.tp + m.fn) END AS recall,
+         CASE WHEN 2 * m.tp + m.fp + m.fn = 0 THEN 0.0 ELSE 2 * m.tp / (2 * m.tp + m.fp + m.fn) END AS f1,
+         c.roc_auc, c.pr_ap
+  FROM runm_t m JOIN summary2_t c USING (model_name, split))"""
