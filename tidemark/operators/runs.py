@@ -125,8 +125,9 @@ def leaderboard(df: DataFrame, score: str = "f1", position: str = "position") ->
 
 # --- R9 -------------------------------------------------------------------------------
 def fmt4(c: Column) -> Column:
-    """Four decimals; missing as ``-`` (``format_string`` alone would print "null")."""
-    return F.when(c.isNotNull(), F.format_string("%.4f", c)).otherwise(F.lit("-"))
+    """Four decimals, ties to even like Python's formatting; missing as ``-``
+    (``format_string`` alone rounds ties up and prints "null")."""
+    return F.when(c.isNotNull(), F.format_string("%.4f", F.bround(c, 4))).otherwise(F.lit("-"))
 
 
 def metric_table(df: DataFrame, metrics=("accuracy", "precision", "recall", "f1"), split_col: str = "split",

@@ -806,3 +806,193 @@ SELECT text_id, text, n AS name, CASE WHEN n IS NULL THEN NULL ELSE v END AS ver
 def q_extract_ref(spark, sf):
     texts, known = _texts(flows.run_table(spark, sf))
     return R.extract_model_ref(texts, "text", "text_id", known)
+
+
+# ------------------------------------------------------------------ streaming and monitoring
+from tidemark.streaming import monitor as T  # noqa: E402
+from tidemark.streaming import watch as W  # noqa: E402
+
+
+def _scored_events(spark, sf):
+    """Events joined to the logreg scores of their user (user_id = customer key)."""
+    sc = score.apply_threshold(flows.scored_table(spark, sf).where(F.col("model_name") == "logreg"), 0.5)
+    ev = tables.load(spark, sf, "events").select("event_id", "user_id", "ts")
+    j = ev.join(sc.select("row_key", "churn", "proba", "pred"), ev.user_id == sc.row_key)
+    return T.event_time(j)
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+@register("windowed_metrics", S.chain(
+    S.SCORED_EVENTS, S.WINDOW_COUNTS, S.curve_ctes(["window_start"], "TRUE", "w", "sev_t"), body=f"""
+SELECT c.window_start, c.window_end, c.tp, c.fp, c.tn, c.fn, c.n, {S.RATIOS.replace('tp', 'c.tp').replace('fp', 'c.fp').replace('tn', 'c.tn').replace('fn', 'c.fn').replace(' n ', ' c.n ').replace('/ n', '/ c.n')},
+       round(s.roc_auc, 6) AS roc_auc, round(s.pr_ap, 6) AS pr_ap
+FROM wc_t c LEFT JOIN summaryw_t s USING (window_start)"""))
+def q_windowed_metrics(spark, sf):
+    return _r6_all(_ntz(T.windowed_metrics(_scored_events(spark, sf)), "window_start", "window_end"))
+
+
+@register("windowed_counts_stream", S.chain(S.SCORED_EVENTS, S.WINDOW_COUNTS,
+                                            body="SELECT window_start, window_end, tp, fp, tn, fn, n FROM wc_t"))
+def q_windowed_counts_stream(spark, sf):
+    sc = score.apply_threshold(flows.scored_table(spark, sf).where(F.col("model_name") == "logreg"), 0.5) \
+        .select("row_key", "churn", "proba", "pred")
+
+    def enrich(stream):   # stream-static join on the customer key
+        return stream.join(sc, stream.user_id == sc.row_key)
+    out = shared_path(spark, "windowed_counts", uuid.uuid4().hex)
+    res = W.windowed_counts_stream(spark, sf, "events.parquet", enrich, out)
+    return _ntz(res, "window_start", "window_end")
+
+
+def _drift_sql() -> str:
+    split_on_imp = S.SPLIT.replace("FROM prep_t", "FROM imp_t")
+    num = S.NUMERIC
+    cats = list(S.CATEGORIES)
+    rng = "rng_t AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in num) + \
+          " FROM split_t WHERE split = 'train')"
+    def stacked(which):
+        parts = []
+        for c in num:
+            b = (f"lpad(CAST(least(greatest(floor((s.{c} - r.lo_{c}) / CASE WHEN r.hi_{c} > r.lo_{c} THEN r.hi_{c} - r.lo_{c} ELSE 1.0 END * 10), 0), 9) AS BIGINT)::VARCHAR, 6, '0')")
+            parts.append(f"SELECT '{c}' AS feature, {b} AS bin FROM split_t s, rng_t r WHERE s.split = '{which}' AND s.{c} IS NOT NULL")
+        for c in cats:
+            parts.append(f"SELECT '{c}' AS feature, coalesce({c}, '<null>') AS bin FROM split_t WHERE split = '{which}'")
+        return "\n UNION ALL ".join(parts)
+    body_ctes = f"""
+{rng},
+base_t AS ({stacked('train')}),
+rec_t AS ({stacked('test')}),
+cnt_t AS (
+  SELECT feature, bin, coalesce(b.n, 0) AS n_base, coalesce(r.n, 0) AS n_recent
+  FROM (SELECT feature, bin, count(*) AS n FROM base_t GROUP BY ALL) b
+  FULL JOIN (SELECT feature, bin, count(*) AS n FROM rec_t GROUP BY ALL) r USING (feature, bin)),
+sh_t AS (
+  SELECT feature, bin, n_base / sum(n_base) OVER (PARTITION BY feature) AS pb, n_recent / sum(n_recent) OVER (PARTITION BY feature) AS pr
+  FROM cnt_t),
+cdf_t AS (
+  SELECT *, sum(pb) OVER w AS cb, sum(pr) OVER w AS cr FROM sh_t
+  WINDOW w AS (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+drift_t AS (
+  SELECT feature, sum((greatest(pr, 1e-6) - greatest(pb, 1e-6)) * ln(greatest(pr, 1e-6) / greatest(pb, 1e-6))) AS psi,
+         max(abs(cr - cb)) AS max_cdf_diff
+  FROM cdf_t GROUP BY feature)"""
+    return S.with_(S.CHURN, S.RAW, S.CLEAN, S.IMPUTED, split_on_imp, body_ctes,
+                   body="SELECT feature, round(psi, 6) AS psi, round(max_cdf_diff, 6) AS max_cdf_diff FROM drift_t")
+
+
+def _drift(spark, sf):
+    d = flows.clean_table(spark, sf)
+    kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
+    imp = clean.impute_median(d, kinds["numeric"])
+    sp = split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED)
+    return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
+                           kinds["numeric"], kinds["categorical"])
+
+
+@register("feature_drift", _drift_sql())
+def q_feature_drift(spark, sf):
+    return _r6_all(_drift(spark, sf))
+
+
+@register("class_drift", S.chain(S.SCORED_EVENTS, """
+base_rate_t AS (SELECT avg(churn) AS r FROM split_t WHERE split = 'train')""", body="""
+SELECT window_start, CAST(count(*) AS BIGINT) AS n, round(avg(churn), 6) AS label_rate,
+       round(any_value(b.r), 6) AS baseline_rate, round(avg(churn) - any_value(b.r), 6) AS diff
+FROM sev_t, base_rate_t b GROUP BY window_start"""))
+def q_class_drift(spark, sf):
+    rate = flows.split_table(spark, sf).where(F.col("split") == "train").agg(F.avg("churn")).collect()[0][0]
+    return _r6_all(_ntz(T.class_drift(_scored_events(spark, sf), rate), "window_start"))
+
+
+@register("prediction_drift", S.chain(S.SCORED_EVENTS, body="""
+SELECT h.window_start, h.bin, h.n, t.n_window, round(t.avg_pred, 6) AS avg_pred, round(t.high_risk_share, 6) AS high_risk_share,
+       round(h.n / t.n_window, 6) AS share
+FROM (SELECT window_start, CAST(least(floor(proba * 10), 9) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n FROM sev_t GROUP BY ALL) h
+JOIN (SELECT window_start, CAST(count(*) AS BIGINT) AS n_window, avg(pred) AS avg_pred, avg(CAST(proba >= 0.5 AS DOUBLE)) AS high_risk_share
+      FROM sev_t GROUP BY window_start) t USING (window_start)"""))
+def q_prediction_drift(spark, sf):
+    return _r6_all(_ntz(T.prediction_drift(_scored_events(spark, sf)), "window_start"))
+
+
+TRAINED_AT = "2023-10-01"
+
+
+@register("retrain_reasons", None)
+def q_retrain(spark, sf):
+    wm = T.windowed_metrics(_scored_events(spark, sf))
+    r = T.retrain_reasons(wm, _drift(spark, sf), TRAINED_AT, max_days=90)
+    return _r6_all(_ntz(r.withColumn("reasons", F.array_join("reasons", ",")), "window_start"))
+
+
+@register("compare_runs", _runs_sql("""
+role_t AS (SELECT *, CASE WHEN rn = 1 THEN 'champion' ELSE 'challenger' END AS role
+           FROM (SELECT *, row_number() OVER (ORDER BY f1 DESC, position) AS rn FROM runs_t WHERE split = 'test') WHERE rn <= 2),
+long_t AS (""" + "\n UNION ALL ".join(f"SELECT role, '{m}' AS metric, {m} AS value FROM role_t" for m in flows.METRIC_NAMES) + ")",
+    body="""
+SELECT metric, round(max(value) FILTER (WHERE role = 'champion'), 6) AS champion,
+       round(max(value) FILTER (WHERE role = 'challenger'), 6) AS challenger,
+       round(max(value) FILTER (WHERE role = 'champion') - max(value) FILTER (WHERE role = 'challenger'), 6) AS diff
+FROM long_t GROUP BY metric"""))
+def q_compare_runs(spark, sf):
+    top = R.top_two(flows.run_table(spark, sf).where(F.col("split") == "test"))
+    long = top.select("role", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                                                   for m in flows.METRIC_NAMES])).alias("x")).select("role", "x.*")
+    return _r6_all(T.compare_runs(long))
+
+
+def _write_run_files(spark, rt, folder):
+    """The run log as a file stream: one file per model key, in start-time order."""
+    for k in R.METRIC_FILES:
+        rt.where(F.col("model_key") == k).coalesce(1).write.mode("append").parquet(folder)
+
+
+@register("champion_watch", _runs_sql(_BEST_SQL, body="SELECT experiment_name, run_id, round(f1, 6) AS f1 FROM best_t"))
+def q_champion_watch(spark, sf):
+    base = shared_path(spark, "champion_watch", uuid.uuid4().hex)
+    _write_run_files(spark, flows.run_table(spark, sf), os.path.join(base, "runs"))
+    champ, _ = W.watch_champion(spark, os.path.join(base, "runs"), os.path.join(base, "state"))
+    return _r6_all(champ)
+
+
+@register("champion_events", None)
+def q_champion_events(spark, sf):
+    base = shared_path(spark, "champion_events", uuid.uuid4().hex)
+    _write_run_files(spark, flows.run_table(spark, sf), os.path.join(base, "runs"))
+    _, events = W.watch_champion(spark, os.path.join(base, "runs"), os.path.join(base, "state"))
+    return events
+
+
+_HIST_SQL = _runs_sql(body="""
+SELECT experiment_name, run_id, run_name, start_time, round(f1, 6) AS f1, round(prev_best, 6) AS prev_best
+FROM (SELECT *, max(f1) OVER (PARTITION BY experiment_name ORDER BY start_time, run_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best FROM runs_t)
+WHERE f1 > coalesce(prev_best, -1.0)""")
+
+
+@register("champion_history", _HIST_SQL)
+def q_champion_history(spark, sf):
+    h = W.champion_history(flows.run_table(spark, sf))
+    return _r6_all(h.select("experiment_name", "run_id", "run_name", "start_time", "f1", "prev_best"))
+
+
+@register("champion_history_stream", _HIST_SQL)
+def q_champion_history_stream(spark, sf):
+    base = shared_path(spark, "champion_history", uuid.uuid4().hex)
+    _write_run_files(spark, flows.run_table(spark, sf), os.path.join(base, "runs"))
+    return _r6_all(W.champion_history_stream(spark, os.path.join(base, "runs"), os.path.join(base, "out")))
+
+
+@register("score_stream", S.chain(body="SELECT row_key, round(proba, 6) AS proba FROM scored_t WHERE model_name = 'logreg'"))
+def q_score_stream(spark, sf):
+    st = flows.standardized_split(spark, sf).withColumn(
+        "arrived_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_interval(secs=F.col("row_key")))
+    base = shared_path(spark, "score_stream", uuid.uuid4().hex)
+    src = os.path.join(base, "in")
+    for s in ("train", "valid", "test", "valid"):   # the validation rows arrive twice
+        st.where(F.col("split") == s).coalesce(1).write.mode("append").parquet(src)
+    b, coef = flows.SCORERS["logreg"]
+    out = W.score_stream(spark, src, os.path.join(base, "out"), lambda d: score.linear_score(d, coef, b).select("row_key", "proba"))
+    return _r6_all(out)

@@ -154,14 +154,14 @@ def chain(*extra: str, upto: str = "scored", body: str) -> str:
         ctes.append(scored_cte() if k == "scored" else pieces[k])
     return with_(*ctes, *extra, body=body)
 
-def curve_ctes(by: list[str], where: str, sfx: str = "") -> str:
+def curve_ctes(by: list[str], where: str, sfx: str = "", src: str = "scored_t") -> str:
     """Curve points per group (scores rounded to 9 places) and the per-group summary."""
     g = ", ".join(by)
     return f"""
 pts{sfx}_t AS (
   SELECT {g}, round(proba, 9) AS threshold,
          count(*) FILTER (WHERE churn = 1) AS pos, count(*) FILTER (WHERE churn <> 1) AS neg
-  FROM scored_t WHERE {where} GROUP BY {g}, round(proba, 9)),
+  FROM {src} WHERE {where} GROUP BY {g}, round(proba, 9)),
 cum{sfx}_t AS (
   SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
          sum(pos) OVER (PARTITION BY {g}) AS n_pos, sum(neg) OVER (PARTITION BY {g}) AS n_neg
@@ -225,3 +225,14 @@ runs_t AS (
          CASE WHEN 2 * m.tp + m.fp + m.fn = 0 THEN 0.0 ELSE 2 * m.tp / (2 * m.tp + m.fp + m.fn) END AS f1,
          c.roc_auc, c.pr_ap
   FROM runm_t m JOIN summary2_t c USING (model_name, split))"""
+
+SCORED_EVENTS = """
+sev_t AS (
+  SELECT e.event_id, e.ts, s.row_key, s.churn, s.proba, CAST(s.proba >= 0.5 AS INTEGER) AS pred,
+         time_bucket(INTERVAL '7 days', e.ts, TIMESTAMP '1970-01-01') AS window_start
+  FROM events e JOIN scored_t s ON e.user_id = s.row_key WHERE s.model_name = 'logreg')"""
+
+WINDOW_COUNTS = """
+wc_t AS (
+  SELECT window_start, window_start + INTERVAL '7 days' AS window_end,""" + metrics_cols("pred") + """
+  FROM sev_t GROUP BY window_start)"""
