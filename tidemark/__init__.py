@@ -9,6 +9,6 @@ Public entry points live in the sub-packages:
 * ``tidemark.plans``      - the registered queries and their SQL twins
 """
 
-from tidemark.session import get_spark, checkpoint_dir, bounded_broadcast
+from tidemark.session import get_spark, checkpoint_dir, bounded_broadcast, materialize
 
-__all__ = ["get_spark", "checkpoint_dir", "bounded_broadcast"]
+__all__ = ["get_spark", "checkpoint_dir", "bounded_broadcast", "materialize"]

@@ -250,8 +250,10 @@ def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio:
     """Fit C7, C9 and C10 on ``df`` (pass the train split to avoid leakage, or all rows
     for parity with the original order of steps)."""
     excl = tuple(c for c in (target, key) if c)
-    # fitting makes several passes: keep the input between them (spills to disk if needed)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # fitting makes several passes: keep the input between them (spills to disk if
+    # needed) unless the caller already keeps it
+    owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
     try:
         num_text = numeric_text_columns(src, ratio, excl)
         d = coerce_numeric(src, columns=num_text)
@@ -259,7 +261,8 @@ def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio:
         medians = fit_medians(d, kinds["numeric"], exact_median)
         cats = fit_categories(d, kinds["categorical"])
     finally:
-        src.unpersist()
+        if owned:
+            src.unpersist()
     spec = EncodingSpec(target=target, key=key, numeric_text=num_text, medians=medians, categories=cats)
     spec.features = [c for c in apply_encoding(df, spec).columns if c not in (key, "churn")]
     return spec

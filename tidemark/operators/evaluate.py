@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import safe_div
 from tidemark.operators.ranking import running_totals
-from tidemark.session import bounded_broadcast
 
 SCORE_DECIMALS = 9
 F1_EPS = 1e-12
@@ -141,7 +140,7 @@ def metrics_at_best(df: DataFrame, label: str = "churn", score: str = "proba", b
     summ = curve_summary(score_curve(df, label, score, by), by)
     s = F.round(F.col(score).cast("double"), SCORE_DECIMALS)
     if by:
-        d = df.join(bounded_broadcast(summ.select(*by, "best_threshold")), by)
+        d = df.join(summ.select(*by, "best_threshold"), by)   # one row per group
         t = F.col("best_threshold")
     else:
         row = summ.collect()[0]

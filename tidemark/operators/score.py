@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import bounded_broadcast, checked_collect
+from tidemark.session import checked_collect
 
 DEFAULT_THRESHOLD = 0.5
 # Threshold keys in the order they are looked up in a threshold document.
@@ -31,11 +31,12 @@ def minmax_score(df: DataFrame, col: str, out: str = "proba", by: list[str] | No
     """Decision scores squashed to [0, 1] by the batch min and max (+1e-12).
 
     A global aggregate (two numbers reach the driver), or per group an equi-join on the
-    group keys with a size-checked broadcast; never an unpartitioned window.
+    group keys (AQE broadcasts the per-group table from its exact runtime size); never
+    an unpartitioned window.
     """
     if by:
         mm = df.groupBy(*by).agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-        d = df.join(bounded_broadcast(mm), by)
+        d = df.join(mm, by)
         return d.withColumn(out, (F.col(col) - F.col("_mn")) / (F.col("_mx") - F.col("_mn") + F.lit(1e-12))).drop("_mn", "_mx")
     row = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx")).collect()[0]
     if row["mn"] is None:
@@ -123,7 +124,7 @@ def normalize_scalar_predictions(df: DataFrame, col: str, by: list[str] | None =
                   F.lit("proba")).otherwise(F.lit("class"))
     stats = stats.select(*(by or []), kind.alias(out_kind))
     if by:
-        d = df.join(bounded_broadcast(stats), by)
+        d = df.join(stats, by)
     else:
         k = stats.collect()[0][out_kind]
         d = df.withColumn(out_kind, F.lit(k))

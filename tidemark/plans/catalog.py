@@ -499,7 +499,8 @@ _RUN_COLS = "run_id, run_name, experiment_name, model_key, registered_model, spl
 @register("run_log", _runs_sql(body=f"SELECT {_RUN_COLS} FROM runs_t"))
 def q_run_log(spark, sf):
     path = shared_path(spark, "run_log", uuid.uuid4().hex)
-    return _r6_all(R.log_runs(flows.run_table(spark, sf), path).select(*flows.run_table(spark, sf).columns))
+    rt = flows.run_table(spark, sf)
+    return _r6_all(R.log_runs(rt, path).select(*rt.columns))
 
 
 def _flat_expected_sql(name_expr: str) -> str:
@@ -996,3 +997,91 @@ def q_score_stream(spark, sf):
     b, coef = flows.SCORERS["logreg"]
     out = W.score_stream(spark, src, os.path.join(base, "out"), lambda d: score.linear_score(d, coef, b).select("row_key", "proba"))
     return _r6_all(out)
+
+
+# ------------------------------------------------------------------ fitted models (rows-only checks)
+def _train_valid(spark, sf):
+    st = flows.standardized_split(spark, sf)
+    feats = [c for c in st.columns if c not in ("row_key", "churn", "split")]
+    cast = st.select("row_key", "split", F.col("churn").cast("double").alias("churn"),
+                     *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
+    return cast, feats
+
+
+def _fitted_scores(spark, sf, estimator_fn, weighted=True):
+    d, feats = _train_valid(spark, sf)
+    train = d.where(F.col("split") == "train")
+    if weighted:
+        train = fit.prepare_weighted(train)
+    model = fit.fit(estimator_fn(train), train, feats)
+    sc = score.score(model, d.where(F.col("split") == "valid"))
+    return _r6_all(sc.select("row_key", F.col("churn").cast("int").alias("churn"), "proba"))
+
+
+@register("logreg_fit_scores")
+def q_logreg_fit(spark, sf):
+    """M3 + P1: balanced-weight L2 logistic regression on standardised features."""
+    d, feats = _train_valid(spark, sf)
+    train = d.where(F.col("split") == "train")
+    model, _ = fit.fit_logreg(train, feats, C=1.0, scale=False, weighted=True)   # already standardised
+    sc = score.score(model, d.where(F.col("split") == "valid"))
+    return _r6_all(sc.select("row_key", F.col("churn").cast("int").alias("churn"), "proba"))
+
+
+@register("logreg_unscaled_scores")
+def q_logreg_unscaled(spark, sf):
+    """M4: unweighted logistic regression on the unscaled prepared features."""
+    p = split.stratified_split(flows.prepared_table(spark, sf))
+    feats = [c for c in p.columns if c not in ("row_key", "churn", "split")]
+    d = p.select("row_key", "split", F.col("churn").cast("double").alias("churn"),
+                 *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
+    model, _ = fit.fit_logreg(d.where(F.col("split") == "train"), feats, C=1.0, scale=False, weighted=False)
+    sc = score.score(model, d.where(F.col("split") == "valid"))
+    return _r6_all(sc.select("row_key", F.col("churn").cast("int").alias("churn"), "proba"))
+
+
+@register("forest_scores")
+def q_forest(spark, sf):
+    """M5: weighted random forest."""
+    return _fitted_scores(spark, sf, lambda t: fit.random_forest(n_estimators=30, max_depth=6, seed=42))
+
+
+@register("boosted_scores")
+def q_boosted(spark, sf):
+    """M6: gradient-boosted trees."""
+    return _fitted_scores(spark, sf, lambda t: fit.boosted_trees(n_estimators=20, max_depth=3, learning_rate=0.1),
+                          weighted=False)
+
+
+@register("cv_grid_results")
+def q_cv_grid(spark, sf):
+    """M8 + M9 + M12: 3-fold stratified CV over a small forest grid, mean F1 per candidate."""
+    d, feats = _train_valid(spark, sf)
+    train = split.stratified_folds(d.where(F.col("split") == "train"), "churn", 3, flows.SEED)
+    train = fit.prepare_weighted(train)
+    _, res = fit.grid_search_cv(train, feats, fit.random_forest(n_estimators=10, seed=42),
+                                {"maxDepth": [3, 5], "minInstancesPerNode": [1, 5]}, fold_col="fold", parallelism=2)
+    return _r6_all(res)
+
+
+@register("holdout_grid_best")
+def q_holdout_grid(spark, sf):
+    """M10 + M11: logistic regression candidates fitted on train, F1 on valid, best kept."""
+    d, feats = _train_valid(spark, sf)
+    train = fit.prepare_weighted(d.where(F.col("split") == "train"))
+    n = train.count()
+    _, res = fit.grid_search_holdout(train, d.where(F.col("split") == "valid"), feats,
+                                     lambda C: fit.logreg(C, 100, n, True), {"C": [0.01, 0.1, 1.0, 10.0]})
+    return _r6_all(fit.best_candidate(res, "f1"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Save a fitted model to the shared folder, load it, score with the copy."""
+    d, feats = _train_valid(spark, sf)
+    train = d.where(F.col("split") == "train")
+    model, _ = fit.fit_logreg(train, feats, scale=False, weighted=True)
+    path = shared_path(spark, "models", uuid.uuid4().hex)
+    fit.save_model(model, path)
+    sc = score.score(fit.load_model(path), d.where(F.col("split") == "valid"))
+    return _r6_all(sc.select("row_key", "proba"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean, fit, score, split
+from tidemark.session import materialize
 from tidemark.sources.tables import raw_customers
 
 SEED = 42
@@ -46,7 +47,19 @@ def prepared_table(spark: SparkSession, sf_dir: str, spec: clean.EncodingSpec |
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.stratified_split(prepared_table(spark, sf_dir), "churn", TEST_SIZE, VAL_SIZE, SEED)
+    """The prepared table with its ``split`` column, materialised once: fitting and
+    evaluation read it several times (the processed-data files of the original).
+
+    The standardised raw table is kept (memory, spilling to disk) for the fitting
+    passes and the final projection, then released once the split is written."""
+    from pyspark import StorageLevel
+    raw, t = clean.standardize_raw(raw_customers(spark, sf_dir))
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prepared = clean.apply_encoding(raw, clean.fit_encoding(raw, t))
+        return materialize(split.stratified_split(prepared, "churn", TEST_SIZE, VAL_SIZE, SEED))
+    finally:
+        raw.unpersist()
 
 
 def standardized_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,12 +90,12 @@ def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["model_name", "split"]
     m = evaluate.classification_metrics(sc, "churn", "pred", by)
     cs = evaluate.curve_summary(evaluate.score_curve(sc, "churn", "proba", by), by)
-    w = m.join(cs.select(*by, "roc_auc", "pr_ap"), by)
+    w = m.join(cs.select(*by, "roc_auc", "pr_ap"), by)   # one row per (scorer, split) on each side
     key = runs.lookup(MODEL_KEYS, F.col("model_name"))
     pos = F.array_position(F.array(*[F.lit(k) for k in runs.METRIC_FILES]), key).cast("int") - 1
     suffix = F.regexp_extract(runs.lookup(runs.METRIC_FILES, key), r"^metrics_test(.*)\.json$", 1)
     hours = pos * 3 + runs.lookup(SPLIT_INDEX, F.col("split"))
-    return w.select(
+    return materialize(w.select(
         F.md5(F.concat_ws("|", "model_name", "split")).alias("run_id"),
         F.concat(F.lit("metrics_"), F.col("split"), suffix).alias("run_name"),
         F.lit("telco_churn").alias("experiment_name"),
@@ -90,7 +103,7 @@ def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.registered_name(key).alias("registered_model"),
         "split", pos.alias("position"),
         (F.lit("2024-02-01 00:00:00").cast("timestamp_ntz") + F.make_interval(hours=hours)).alias("start_time"),
-        *METRIC_NAMES)
+        *METRIC_NAMES))
 
 
 def metric_documents(runs_df: DataFrame) -> DataFrame:

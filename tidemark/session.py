@@ -69,6 +69,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base.rstrip("/"), "tidemark", *parts)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a table that several later jobs read: ``checkpoint()`` writes
+    it once to the shared checkpoint folder (it survives executor loss) and later
+    passes read that copy instead of recomputing the upstream plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 

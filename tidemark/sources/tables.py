@@ -13,7 +13,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import bounded_broadcast
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -22,8 +21,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 CUTOFF = "2000-08-01"
 HORIZON_END = "2001-08-01"   # cut-off plus one year
 
-# TPC-H fixes these two dimension tables at 25 and 5 rows; the broadcast is still checked.
-DIMENSION_MAX_ROWS = 1_000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,16 +64,17 @@ def churn_customers(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF,
     before the cut-off have null tenure and charges (they exercise imputation).
     """
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nation = bounded_broadcast(load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
-                               DIMENSION_MAX_ROWS)
-    region = bounded_broadcast(load(spark, sf_dir, "region").select("r_regionkey", "r_name"),
-                               DIMENSION_MAX_ROWS)
+    # nation and region are fixed-size dimension tables; no hint: the planner
+    # broadcasts them after checking their file-size statistics against
+    # spark.sql.autoBroadcastJoinThreshold, and keeps a shuffle join otherwise.
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
     hist = order_history(spark, sf_dir, cutoff, horizon_end)
     tenure = F.datediff(_ts(cutoff).cast("date"), F.col("first_order").cast("date"))
     total = F.round(F.col("total_raw"), 2)
     return (cust
-            .join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey, "left")
+            .join(geo, cust.c_nationkey == geo.n_nationkey, "left")
             .join(hist, cust.c_custkey == hist.o_custkey, "left")
             .select(
                 F.col("c_custkey").alias("customer_id"),
