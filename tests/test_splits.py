@@ -81,3 +81,13 @@ def test_exact_quantile_descent(spark):
     assert got == float(np.median(vals))
     got2 = ranking.exact_quantile(df.where("x < 4"), "x", 0.5, n_buckets=8, small=50)
     assert got2 == float(np.median([v for v in vals if v < 4]))
+
+
+def test_running_max_before_matches_window(spark):
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), F.col("id").alias("t"),
+                                  (F.rand(5) * 100).alias("v"))
+    got = ranking.running_max_before(df, ["g"], ["t"], "v", n_buckets=16)
+    w = Window.partitionBy("g").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    twin = df.withColumn("m", F.max("v").over(w))
+    j = got.join(twin, ["g", "t"])
+    assert j.where(~F.col("prev_best").eqNullSafe(F.col("m"))).count() == 0

@@ -206,3 +206,26 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, n_buckets: int = 256
         return a
     b = _kth_smallest(values, k1, n, n_buckets, small)
     return (k1 - pos) * a + (pos - k0) * b
+
+
+def running_max_before(df: DataFrame, by: list[str], order: list[str], value: str,
+                       n_buckets: int = 64, out: str = "prev_best") -> DataFrame:
+    """For each row, the maximum of ``value`` over the rows of its group that come
+    strictly before it in ``order`` (null for the first row).
+
+    The first order column (numeric or timestamp) is cut into contiguous ranges; the
+    maximum of every earlier range is an offset computed on the small (group, range)
+    table, and only the rest is a window - partitioned by (group, range), so a group
+    holding a third of all rows still spreads over ``n_buckets`` tasks."""
+    first = F.col(order[0])
+    dtype = df.schema[order[0]].dataType.typeName()
+    num = F.unix_micros(first.cast("timestamp")).cast("double") if dtype.startswith("timestamp") else first.cast("double")
+    splits = _quantile_splits(df.select(num.alias("_o")), "_o", n_buckets)
+    d = _bucketize(df.withColumn("_o", num), "_o", splits, "_rng").drop("_o")
+    tot = d.groupBy(*by, "_rng").agg(F.max(value).alias("_m"))
+    w_before = Window.partitionBy(*by).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select(*by, "_rng", F.max("_m").over(w_before).alias("_off"))
+    local = Window.partitionBy(*by, "_rng").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (d.join(offsets, [*by, "_rng"])
+            .withColumn(out, F.greatest(F.col("_off"), F.max(value).over(local)))
+            .drop("_rng", "_off"))

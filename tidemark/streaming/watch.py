@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators import runs as R
+from tidemark.operators.ranking import running_max_before
 from tidemark.streaming import monitor
 
 
@@ -76,11 +77,10 @@ def watch_champion(spark: SparkSession, runs_dir: str, state_dir: str, metric: s
 
 # --- T2 -------------------------------------------------------------------------------
 def champion_history(runs: DataFrame, metric: str = "f1", by=("experiment_name",), order=("start_time", "run_id")) -> DataFrame:
-    """Batch form: every run that beats the best earlier run of its experiment."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.max(metric).over(w)
-    return runs.withColumn("prev_best", prev).where(F.col(metric) > F.coalesce(F.col("prev_best"), F.lit(-1.0)))
+    """Batch form: every run that beats the best earlier run of its experiment
+    (running maximum over time ranges, see ``ranking.running_max_before``)."""
+    prev = running_max_before(runs, list(by), list(order), metric, out="prev_best")
+    return prev.where(F.col(metric) > F.coalesce(F.col("prev_best"), F.lit(-1.0)))
 
 
 def champion_history_stream(spark: SparkSession, runs_dir: str, out_dir: str, metric: str = "f1",
