@@ -41,6 +41,13 @@ def get_spark(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+def ensure_utc(spark: SparkSession) -> None:
+    """Event-time jobs cast ``timestamp_ntz`` to ``timestamp`` and cut windows from the
+    epoch; both are read in the session zone, which these jobs fix to UTC."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring the SparkContext with it.
 

@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate
+from tidemark.session import ensure_utc
 
 PSI_EPS = 1e-6
 
 
 def event_time(df: DataFrame, col: str = "ts", out: str = "event_time") -> DataFrame:
+    """``timestamp_ntz`` -> ``timestamp`` (watermarks need the latter), read as UTC."""
+    ensure_utc(df.sparkSession)
     return df.withColumn(out, F.col(col).cast("timestamp"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators import runs as R
 from tidemark.operators.ranking import running_max_before
+from tidemark.session import ensure_utc
 from tidemark.streaming import monitor
 
 
@@ -118,6 +119,7 @@ def score_stream(spark: SparkSession, in_dir: str, out_dir: str, score_fn, key:
                  time_col: str = "arrived_at", watermark: str = "1 day") -> DataFrame:
     """Score customers as their rows arrive; a key seen again within the watermark is
     dropped (bounded state, unlike a plain ``dropDuplicates``)."""
+    ensure_utc(spark)
     schema = spark.read.parquet(in_dir).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(in_dir)
     d = stream.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark)
