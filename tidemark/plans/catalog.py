@@ -17,7 +17,7 @@ from tidemark.functions.exprs import r6
 from tidemark.operators import clean, evaluate, fit, score, split
 from tidemark.plans import flows
 from tidemark.plans import sql as S
-from tidemark.session import shared_path
+from tidemark.session import materialize, shared_path
 from tidemark.sources import files, tables
 
 QUERIES: dict = {}
@@ -885,10 +885,15 @@ drift_t AS (
 
 
 def _drift(spark, sf):
-    d = flows.clean_table(spark, sf)
-    kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
-    imp = clean.impute_median(d, kinds["numeric"])
-    sp = split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED)
+    """Baseline = train rows, recent = test rows of the imputed (not encoded) table."""
+    from pyspark import StorageLevel
+    d = flows.clean_table(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
+        imp = clean.impute_median(d, kinds["numeric"])
+        sp = materialize(split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED))
+    finally:
+        d.unpersist()
     return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
                            kinds["numeric"], kinds["categorical"])
 
