@@ -91,3 +91,18 @@ def test_running_max_before_matches_window(spark):
     twin = df.withColumn("m", F.max("v").over(w))
     j = got.join(twin, ["g", "t"])
     assert j.where(~F.col("prev_best").eqNullSafe(F.col("m"))).count() == 0
+
+
+def test_exact_quantiles_many_columns(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=3001)
+    b = np.concatenate([np.full(1500, 2.0), rng.uniform(size=1000)])       # a hot value
+    c = rng.integers(0, 5, size=3001).astype(float)                         # heavy ties
+    rows = [(float(a[i]), float(b[i]) if i < len(b) else None, float(c[i])) for i in range(3001)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = ranking.exact_quantiles(df, ["a", "b", "c"], 0.5, n_buckets=8, small=40)
+    assert got["a"] == float(np.median(a))
+    assert got["b"] == float(np.median(b))
+    assert got["c"] == float(np.median(c))
+    assert ranking.exact_medians(df, ["a", "b"], small=40, n_buckets=8) == {"a": float(np.median(a)), "b": float(np.median(b))}

@@ -9,8 +9,10 @@ unpartitioned window (one task for everything).
   per-(class, range) counts form a small table whose running offsets are broadcast back,
   and each range is ranked locally by its own window partition.
 * ``running_totals``   - descending cumulative sums over a sorted column, same offset trick.
-* ``exact_quantile``   - exact interpolated quantile (pandas / Spark ``median``) by
-  repeated bucket counting; never holds more than ``small`` values in one task.
+* ``exact_quantiles``  - exact interpolated quantiles (pandas / Spark ``median``) of
+  many columns at once by repeated bucket counting; never holds more than ``small``
+  values in one task.
+* ``running_max_before`` - prefix maxima in time order, same range/offset trick.
 """
 
 from __future__ import annotations
@@ -119,93 +121,152 @@ def running_totals(df: DataFrame, by: list[str], order_col: str, sums: list[str]
     return out.drop("_rng", *[f"_off_{s}" for s in sums])
 
 
-def _kth_smallest(values: DataFrame, k: int, n: int, n_buckets: int, small: int) -> float:
-    """k-th smallest (0-based) of the single column ``v`` (no nulls) with ``n`` rows.
-
-    Each round counts rows per quantile range (only range bounds and counts reach the
-    driver), keeps the range holding rank ``k`` and repeats on it, until the range is
-    small enough to sort or holds a single value (a hot value ends the search at once).
-    """
-    lo, hi = -math.inf, math.inf
-    offset, m = 0, n
-    while True:
-        cond = F.lit(True)
-        if lo != -math.inf:
-            cond = cond & (F.col("v") >= F.lit(lo))
-        if hi != math.inf:
-            cond = cond & (F.col("v") < F.lit(hi))
-        cur = values.where(cond)
-        if m <= small:
-            row = cur.orderBy("v").offset(k - offset).limit(1).collect()
-            return float(row[0]["v"])
-        inner = [s for s in _quantile_splits(cur, "v", n_buckets)[1:-1] if lo < s < hi]
-        splits = [lo] + inner + [hi]
-        if len(splits) < 3:
-            splits = [lo, hi] if lo != -math.inf or hi != math.inf else [-math.inf, 0.0, math.inf]
-        if len(splits) < 3:   # no interior bound: the range holds a single value
-            row = cur.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).collect()[0]
-            if row["mn"] == row["mx"]:
-                return float(row["mn"])
-            splits = [lo, (row["mn"] + row["mx"]) / 2, hi]
-        b = _bucketize(cur, "v", splits, "_b")
-        stats = checked_collect(b.groupBy("_b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"),
-                                                    F.max("v").alias("mx")).orderBy("_b"),
-                                len(splits), "bucket counts")
-        before = offset
-        for r in stats:
-            if before + r["c"] > k:
-                if r["mn"] == r["mx"]:
-                    return float(r["mn"])
-                j = int(r["_b"])
-                lo, hi, offset, m = splits[j], splits[j + 1], before, r["c"]
-                break
-            before += r["c"]
-        else:
-            raise RuntimeError("rank outside the data")
-
-
 def exact_medians(df: DataFrame, cols: list[str], small: int = 1_000_000, n_buckets: int = 256) -> dict:
     """Exact interpolated medians of several columns (NaN counts as missing).
 
     One job counts the values of every column.  Columns with at most ``small`` values
     share one ``median`` aggregate (exact, holding at most ``small`` values per task);
-    larger ones use the bucket descent of ``exact_quantile``, whose memory is bounded
-    whatever the column size.
+    larger ones go through ``exact_quantiles``, whose memory is bounded whatever the
+    column size.
     """
-    def v(c):
-        x = F.col(c).cast("double")
-        return F.when(~F.isnan(x), x)
     if not cols:
         return {}
-    counts = df.agg(*[F.count(v(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
-    out = {c: None for i, c in enumerate(cols) if counts[f"n{i}"] == 0}
-    small_cols = [c for i, c in enumerate(cols) if 0 < counts[f"n{i}"] <= small]
+    counts = df.agg(*[F.count(_clean_value(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
+    n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
+    out = {c: None for c in cols if n[c] == 0}
+    small_cols = [c for c in cols if 0 < n[c] <= small]
     if small_cols:
-        row = df.agg(*[F.median(v(c)).alias(f"m{i}") for i, c in enumerate(small_cols)]).collect()[0]
+        row = df.agg(*[F.median(_clean_value(c)).alias(f"m{i}") for i, c in enumerate(small_cols)]).collect()[0]
         out.update({c: float(row[f"m{i}"]) for i, c in enumerate(small_cols)})
-    for c in cols:
-        if c not in out:
-            out[c] = exact_quantile(df, c, 0.5, n_buckets)
+    big = [c for c in cols if n[c] > small]
+    if big:
+        out.update(exact_quantiles(df, big, 0.5, n_buckets=n_buckets, small=small, counts=n))
     return out
 
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, n_buckets: int = 256,
-                   small: int = 50_000) -> float | None:
-    """Exact quantile with linear interpolation (pandas ``quantile``, Spark ``percentile``).
+def _clean_value(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
 
-    NaN counts as missing.  Returns ``None`` for an all-null column.
+def exact_quantiles(df: DataFrame, cols: list[str], q: float = 0.5, n_buckets: int = 256,
+                    small: int = 1_000_000, counts: dict | None = None) -> dict:
+    """Exact interpolated quantile of several columns at once, with bounded memory.
+
+    All columns descend together.  Each round is two jobs over the table: approximate
+    quantile bounds inside every column's current value range, then per (column,
+    range bucket) the count, minimum and maximum (at most ``n_buckets`` rows per column
+    reach the driver).  A target rank that is the first or last of its bucket, or in a
+    bucket holding a single value, is read from those statistics; otherwise the search
+    continues inside that bucket.  Once a range holds at most ``small`` values, a window
+    ranked per column (partitioned by column) picks the target rows.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = values.count()
-    if n == 0:
-        return None
-    pos = (n - 1) * q
-    k0, k1 = math.floor(pos), math.ceil(pos)
-    a = _kth_smallest(values, k0, n, n_buckets, small)
-    if k1 == k0:
-        return a
-    b = _kth_smallest(values, k1, n, n_buckets, small)
-    return (k1 - pos) * a + (pos - k0) * b
+    if counts is None:
+        row = df.agg(*[F.count(_clean_value(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
+        counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    state, result = {}, {}
+    for c in cols:
+        n = counts[c]
+        if n == 0:
+            result[c] = None
+            continue
+        pos = (n - 1) * q
+        k0, k1 = math.floor(pos), math.ceil(pos)
+        state[c] = {"lo": -math.inf, "hi": math.inf, "off": 0, "m": n, "pos": pos,
+                    "need": sorted({k0, k1}), "found": {}}
+
+    def in_range(c, st):
+        v = _clean_value(c)
+        cond = v.isNotNull()
+        if st["lo"] != -math.inf:
+            cond = cond & (v >= F.lit(st["lo"]))
+        if st["hi"] != math.inf:
+            cond = cond & (v < F.lit(st["hi"]))
+        return cond
+
+    def stacked(names):
+        items = [F.struct(F.lit(c).alias("feature"), F.when(in_range(c, state[c]), _clean_value(c)).alias("v"))
+                 for c in names]
+        return df.select(F.explode(F.array(*items)).alias("s")).select("s.feature", "s.v").where(F.col("v").isNotNull())
+
+    while True:
+        active = [c for c, st in state.items() if len(st["found"]) < len(st["need"])]
+        if not active:
+            break
+        small_cols = [c for c in active if state[c]["m"] <= small]
+        if small_cols:
+            off = F.create_map(*[x for c in small_cols for x in (F.lit(c), F.lit(state[c]["off"]))])
+            w = Window.partitionBy("feature").orderBy("v")
+            ranked = stacked(small_cols).withColumn("r", F.row_number().over(w) - 1 + F.element_at(off, F.col("feature")))
+            wanted = F.create_map(*[x for c in small_cols
+                                    for x in (F.lit(c), F.array(*[F.lit(k) for k in state[c]["need"]]))])
+            hits = ranked.where(F.array_contains(F.element_at(wanted, F.col("feature")), F.col("r")))
+            for r in checked_collect(hits, 2 * len(small_cols), "rank picks"):
+                state[r["feature"]]["found"][r["r"]] = float(r["v"])
+            continue
+        # one job: range bounds (and the range's min and max) for every active column
+        probs = [i / n_buckets for i in range(n_buckets + 1)]
+        qrow = df.agg(*[F.percentile_approx(F.when(in_range(c, state[c]), _clean_value(c)), probs, 10_000).alias(f"q{i}")
+                        for i, c in enumerate(active)]).collect()[0]
+        splits = {}
+        for i, c in enumerate(active):
+            st, qs = state[c], [float(x) for x in qrow[f"q{i}"]]
+            mn, mx = qs[0], qs[-1]
+            if mn == mx:   # the whole range is one value
+                for k in st["need"]:
+                    st["found"].setdefault(k, mn)
+                continue
+            inner = sorted({x for x in qs[1:-1] if st["lo"] < x < st["hi"]}) or [(mn + mx) / 2]
+            splits[c] = [st["lo"]] + inner + [st["hi"]]
+        if not splits:
+            continue
+        names = list(splits)
+        tmp = {c: f"_x{i}" for i, c in enumerate(names)}
+        wide = df.select(*[F.coalesce(F.when(in_range(c, state[c]), _clean_value(c)), F.lit(float("nan"))).alias(tmp[c])
+                           for c in names])
+        bucketed = Bucketizer(splitsArray=[splits[c] for c in names], inputCols=[tmp[c] for c in names],
+                              outputCols=[f"{tmp[c]}_b" for c in names], handleInvalid="keep").transform(wide)
+        items = [F.struct(F.lit(c).alias("feature"), F.col(f"{tmp[c]}_b").alias("b"), F.col(tmp[c]).alias("v"))
+                 for c in names]
+        last = F.create_map(*[x for c in names for x in (F.lit(c), F.lit(float(len(splits[c]) - 1)))])
+        stats = (bucketed.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+                 .where(F.col("b") < F.element_at(last, F.col("feature")))      # drop out-of-range (NaN) rows
+                 .groupBy("feature", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx")))
+        rows = checked_collect(stats, sum(len(splits[c]) for c in names), "bucket statistics")
+        by_col: dict = {}
+        for r in rows:
+            by_col.setdefault(r["feature"], []).append(r)
+        for c in names:
+            st = state[c]
+            start = st["off"]
+            descend = None
+            for r in sorted(by_col.get(c, []), key=lambda x: x["b"]):
+                first, last_rank = start, start + r["c"] - 1
+                for k in st["need"]:
+                    if k in st["found"] or not first <= k <= last_rank:
+                        continue
+                    if r["mn"] == r["mx"] or k == first:
+                        st["found"][k] = float(r["mn"])
+                    elif k == last_rank:
+                        st["found"][k] = float(r["mx"])
+                    else:
+                        j = int(r["b"])
+                        descend = (splits[c][j], splits[c][j + 1], first, r["c"])
+                start = last_rank + 1
+            if descend:
+                st["lo"], st["hi"], st["off"], st["m"] = descend
+    for c, st in state.items():
+        k0, k1 = math.floor(st["pos"]), math.ceil(st["pos"])
+        a, b = st["found"][k0], st["found"][k1]
+        result[c] = a if k0 == k1 else (k1 - st["pos"]) * a + (st["pos"] - k0) * b
+    return result
+
+
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, n_buckets: int = 256,
+                   small: int = 50_000) -> float | None:
+    """Exact interpolated quantile of one column (pandas ``quantile``, Spark
+    ``percentile``); ``None`` for an all-null column."""
+    return exact_quantiles(df, [col], q, n_buckets=n_buckets, small=small)[col]
 
 
 def running_max_before(df: DataFrame, by: list[str], order: list[str], value: str,
