@@ -17,7 +17,8 @@ from tidemark.sources.tables import TABLES  # noqa: E402
 SAMPLE = ["churn_features", "prepared_features", "validate_rows", "stratified_split", "stratified_folds",
           "traffic_arms", "split_metrics", "pr_curve", "curve_summary", "threshold_sweep", "resolve_threshold",
           "prediction_responses", "flatten_metrics", "benchmark_leaderboard", "parse_selection",
-          "extract_model_ref", "windowed_metrics", "feature_drift", "champion_history_stream"]
+          "extract_model_ref", "windowed_metrics", "feature_drift", "champion_history_stream",
+          "champion_watch", "score_stream", "windowed_counts_stream", "split_sink_valid", "score_table_sink"]
 
 
 @pytest.fixture(scope="module")

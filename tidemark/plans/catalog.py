@@ -1090,3 +1090,29 @@ def q_model_roundtrip(spark, sf):
     fit.save_model(model, path)
     sc = score.score(fit.load_model(path), d.where(F.col("split") == "valid"))
     return _r6_all(sc.select("row_key", "proba"))
+
+
+# ------------------------------------------------------------------ sinks with partitions
+@register("split_sink_valid", S.chain(upto="split", body=f"SELECT * EXCLUDE (split) REPLACE ({_r6_sql(S.NUMERIC)}) FROM split_t WHERE split = 'valid'"))
+def q_split_sink(spark, sf):
+    """The split table written with one folder per split; reading one split back prunes
+    the other folders (PartitionFilters on the scan)."""
+    path = shared_path(spark, "splits", uuid.uuid4().hex)
+    files.write_partitions(flows.split_table(spark, sf), path, "split")
+    return _r6_all(spark.read.parquet(path).where(F.col("split") == "valid").drop("split"))
+
+
+@register("score_table_sink", S.chain(body="""
+SELECT row_key AS customer_id, round(proba, 6) AS score_churn, CAST(proba >= 0.5 AS INTEGER) AS flag_alto_riesgo,
+       CASE model_name WHEN 'logreg' THEN DATE '2024-01-31' ELSE DATE '2024-02-29' END AS fecha_scoring
+FROM scored_t WHERE model_name IN ('logreg', 'xgb')"""))
+def q_score_sink(spark, sf):
+    """Daily score table, one partition per date.  The first date is scored twice (a
+    re-run); dynamic partition overwrite keeps one copy."""
+    sc = flows.scored_table(spark, sf)
+    path = shared_path(spark, "scores", uuid.uuid4().hex)
+    day1 = score.score_table(sc.where(F.col("model_name") == "logreg"), "row_key", 0.5, "2024-01-31")
+    day2 = score.score_table(sc.where(F.col("model_name") == "xgb"), "row_key", 0.5, "2024-02-29")
+    for part in (day1, day2, day1):
+        files.write_partitions(part, path, "fecha_scoring")
+    return _r6_all(spark.read.parquet(path))

@@ -34,6 +34,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=Non
     w.save(path)
 
 
+def write_partitions(df: DataFrame, path: str, partition_by, fmt: str = "parquet") -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite):
+    re-running a scoring date or a split rewrites that folder and leaves the others, so
+    a retried or repeated job does not duplicate rows."""
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .format(fmt).partitionBy(*cols).save(path))
+
+
 def read_json_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """Whole JSON files as rows: ``file_name, stem, doc`` (text).  Used for metric and
     threshold documents; parsing is left to ``try_parse_json`` so bad files are rows
