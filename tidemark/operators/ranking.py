@@ -47,6 +47,13 @@ def _quantile_splits(df: DataFrame, col: str, n_buckets: int, rel_err: float = 1
     return [-math.inf] + inner + [math.inf]
 
 
+def _orderable(df: DataFrame, col: str) -> Column:
+    """A double that sorts like ``col`` (timestamps as epoch microseconds)."""
+    if df.schema[col].dataType.typeName().startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
 def _bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFrame:
     if len(splits) < 3:
         return df.withColumn(out, F.lit(0.0))
@@ -59,7 +66,8 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
     """Add the exact 0-based rank of each row within its ``by`` group, and the group size.
 
     ``order="hash"``: rows are ordered by ``md5(key|seed)`` then key (a seeded shuffle).
-    ``order="key"``:  rows are ordered by the key itself (numeric single key).
+    ``order="key"``:  rows are ordered by the key columns themselves (the first one
+    numeric or a timestamp).
 
     Plan: ``range`` is a monotone function of the sort order, so (by, range) counts give
     every range its starting offset.  The counts table has at most groups x n_buckets
@@ -73,10 +81,10 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
         d = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_rng", _hash_range(F.col("_h"), n_buckets))
         within = [F.col("_h")] + [F.col(c) for c in key]
     elif order == "key":
-        if len(key) != 1:
-            raise ValueError("order='key' takes one numeric key column")
-        splits = _quantile_splits(df.select(F.col(key[0]).cast("double").alias("_k")), "_k", n_buckets)
-        d = _bucketize(df.withColumn("_k", F.col(key[0]).cast("double")), "_k", splits, "_rngd")
+        # ranges of the first key column (numeric or timestamp); later columns break ties
+        kcol = _orderable(df, key[0])
+        splits = _quantile_splits(df.select(kcol.alias("_k")), "_k", n_buckets)
+        d = _bucketize(df.withColumn("_k", kcol), "_k", splits, "_rngd")
         d = d.withColumn("_rng", F.col("_rngd").cast("int")).drop("_rngd", "_k")
         within = [F.col(c) for c in key]
     else:
@@ -278,9 +286,7 @@ def running_max_before(df: DataFrame, by: list[str], order: list[str], value: st
     maximum of every earlier range is an offset computed on the small (group, range)
     table, and only the rest is a window - partitioned by (group, range), so a group
     holding a third of all rows still spreads over ``n_buckets`` tasks."""
-    first = F.col(order[0])
-    dtype = df.schema[order[0]].dataType.typeName()
-    num = F.unix_micros(first.cast("timestamp")).cast("double") if dtype.startswith("timestamp") else first.cast("double")
+    num = _orderable(df, order[0])
     splits = _quantile_splits(df.select(num.alias("_o")), "_o", n_buckets)
     d = _bucketize(df.withColumn("_o", num), "_o", splits, "_rng").drop("_o")
     tot = d.groupBy(*by, "_rng").agg(F.max(value).alias("_m"))

@@ -664,11 +664,12 @@ ver_t AS (SELECT registered_model, run_id, start_time,
 
 
 def _versions(rt):
-    """Model versions: every run registers the next version of its registered model.
-    (Versions per model are few; the window is per model.)"""
-    from pyspark.sql import Window
-    w = Window.partitionBy("registered_model").orderBy("start_time", "run_id")
-    return rt.select("registered_model", "run_id", "start_time", F.row_number().over(w).cast("string").alias("version"))
+    """Model versions: every run registers the next version of its registered model,
+    numbered by the distributed rank in (start time, run id) order per model."""
+    from tidemark.operators.ranking import stratified_rank
+    r = stratified_rank(rt.select("registered_model", "run_id", "start_time"), ["registered_model"],
+                        ["start_time", "run_id"], order="key", n_buckets=64)
+    return r.select("registered_model", "run_id", "start_time", (F.col("_rank") + 1).cast("string").alias("version"))
 
 
 @register("latest_versions", _runs_sql(_VERSIONS_SQL, body="""
