@@ -25,6 +25,7 @@ HEADLINE = [
     "windowed_metrics",       # events x scores, 7-day windows
     "feature_drift",
     "champion_history",
+    "logreg_fit_scores",      # distributed L-BFGS fit on the train split, scored on valid
 ]
 
 
