@@ -849,21 +849,24 @@ def q_windowed_counts_stream(spark, sf):
     return _ntz(res, "window_start", "window_end")
 
 
-def _drift_sql() -> str:
-    split_on_imp = S.SPLIT.replace("FROM prep_t", "FROM imp_t")
+def _drift_ctes(split_name: str = "split_t") -> str:
+    """PSI / CDF-gap CTEs over a split table of the imputed (not encoded) columns."""
     num = S.NUMERIC
     cats = list(S.CATEGORIES)
     rng = "rng_t AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in num) + \
-          " FROM split_t WHERE split = 'train')"
+          f" FROM {split_name} WHERE split = 'train')"
+
     def stacked(which):
         parts = []
         for c in num:
-            b = (f"lpad(CAST(least(greatest(floor((s.{c} - r.lo_{c}) / CASE WHEN r.hi_{c} > r.lo_{c} THEN r.hi_{c} - r.lo_{c} ELSE 1.0 END * 10), 0), 9) AS BIGINT)::VARCHAR, 6, '0')")
-            parts.append(f"SELECT '{c}' AS feature, {b} AS bin FROM split_t s, rng_t r WHERE s.split = '{which}' AND s.{c} IS NOT NULL")
+            b = (f"lpad(CAST(least(greatest(floor((s.{c} - r.lo_{c}) / CASE WHEN r.hi_{c} > r.lo_{c} "
+                 f"THEN r.hi_{c} - r.lo_{c} ELSE 1.0 END * 10), 0), 9) AS BIGINT)::VARCHAR, 6, '0')")
+            parts.append(f"SELECT '{c}' AS feature, {b} AS bin FROM {split_name} s, rng_t r "
+                         f"WHERE s.split = '{which}' AND s.{c} IS NOT NULL")
         for c in cats:
-            parts.append(f"SELECT '{c}' AS feature, coalesce({c}, '<null>') AS bin FROM split_t WHERE split = '{which}'")
+            parts.append(f"SELECT '{c}' AS feature, coalesce({c}, '<null>') AS bin FROM {split_name} WHERE split = '{which}'")
         return "\n UNION ALL ".join(parts)
-    body_ctes = f"""
+    return f"""
 {rng},
 base_t AS ({stacked('train')}),
 rec_t AS ({stacked('test')}),
@@ -881,7 +884,11 @@ drift_t AS (
   SELECT feature, sum((greatest(pr, 1e-6) - greatest(pb, 1e-6)) * ln(greatest(pr, 1e-6) / greatest(pb, 1e-6))) AS psi,
          max(abs(cr - cb)) AS max_cdf_diff
   FROM cdf_t GROUP BY feature)"""
-    return S.with_(S.CHURN, S.RAW, S.CLEAN, S.IMPUTED, split_on_imp, body_ctes,
+
+
+def _drift_sql() -> str:
+    split_on_imp = S.SPLIT.replace("FROM prep_t", "FROM imp_t")
+    return S.with_(S.CHURN, S.RAW, S.CLEAN, S.IMPUTED, split_on_imp, _drift_ctes(),
                    body="SELECT feature, round(psi, 6) AS psi, round(max_cdf_diff, 6) AS max_cdf_diff FROM drift_t")
 
 
@@ -927,7 +934,25 @@ def q_prediction_drift(spark, sf):
 TRAINED_AT = "2023-10-01"
 
 
-@register("retrain_reasons", None)
+def _retrain_sql() -> str:
+    dsplit = S.SPLIT.replace("FROM prep_t", "FROM imp_t").replace("rank_t", "drank_t").replace("split_t", "dsplit_t")
+    wf = """
+wf_t AS (
+  SELECT window_start, window_end,
+         CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1,
+         (SELECT max(psi) FROM drift_t) AS max_psi,
+         CAST(date_diff('day', DATE '""" + TRAINED_AT + """', CAST(window_end AS DATE)) AS INTEGER) AS days
+  FROM wc_t),
+rs_t AS (
+  SELECT *, list_filter([CASE WHEN f1 < 0.55 THEN 'low_f1' END, CASE WHEN max_psi > 0.2 THEN 'feature_drift' END,
+                         CASE WHEN days > 90 THEN 'stale_model' END], lambda x: x IS NOT NULL) AS rs
+  FROM wf_t)"""
+    return S.chain(S.SCORED_EVENTS, S.WINDOW_COUNTS, dsplit, _drift_ctes("dsplit_t"), wf, body="""
+SELECT window_start, round(f1, 6) AS f1, round(max_psi, 6) AS max_psi, days AS days_since_training,
+       array_to_string(rs, ',') AS reasons, len(rs) > 0 AS retrain FROM rs_t""")
+
+
+@register("retrain_reasons", _retrain_sql())
 def q_retrain(spark, sf):
     wm = T.windowed_metrics(_scored_events(spark, sf))
     r = T.retrain_reasons(wm, _drift(spark, sf), TRAINED_AT, max_days=90)
@@ -964,7 +989,14 @@ def q_champion_watch(spark, sf):
     return _r6_all(champ)
 
 
-@register("champion_events", None)
+@register("champion_events", _runs_sql("""
+pref_t AS (
+  SELECT p.position AS batch_id, arg_min(r.run_id, (-r.f1, r.run_id)) AS run_id
+  FROM (SELECT DISTINCT position FROM runs_t) p JOIN runs_t r ON r.position <= p.position AND r.f1 > 0
+  GROUP BY p.position),
+ev_t AS (SELECT batch_id, lag(run_id) OVER (ORDER BY batch_id) AS old_run_id, run_id AS new_run_id FROM pref_t)""", body="""
+SELECT CAST(batch_id AS INTEGER) AS batch_id, 'telco_churn' AS experiment_name, old_run_id, new_run_id
+FROM ev_t WHERE old_run_id IS NULL OR old_run_id <> new_run_id"""))
 def q_champion_events(spark, sf):
     base = shared_path(spark, "champion_events", uuid.uuid4().hex)
     _write_run_files(spark, flows.run_table(spark, sf), os.path.join(base, "runs"))

@@ -73,7 +73,8 @@ def watch_champion(spark: SparkSession, runs_dir: str, state_dir: str, metric: s
             os.path.join(state_dir, "current"))
 
     _run(stream.writeStream.foreachBatch(on_batch), os.path.join(state_dir, "_checkpoint"))
-    return spark.read.parquet(latest(spark)), spark.read.parquet(events_root)
+    # events are stored one folder per batch id (batch=N); the id is already a column
+    return spark.read.parquet(latest(spark)), spark.read.parquet(events_root).drop("batch")
 
 
 # --- T2 -------------------------------------------------------------------------------
