@@ -61,6 +61,25 @@ def test_leaderboard_stable(spark):
     assert got == [("y", 1, True), ("x", 2, False), ("z", 3, False)]
 
 
+
+def test_leaderboard_matches_window_on_many_runs(spark):
+    """The distributed rank equals the single-task window on a run log with ties,
+    missing scores and more runs than range buckets."""
+    from pyspark.sql import Window
+    rows = [(f"m{i}", None if i % 97 == 0 else float((i * 7919) % 301) / 300.0, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "label string, f1 double, position int")
+    got = {r.label: r.rank for r in R.leaderboard(df).collect()}
+    w = Window.orderBy(F.col("f1").desc_nulls_last(), F.col("position"))
+    want = {r.label: r.rk for r in df.withColumn("rk", F.row_number().over(w)).collect()}
+    assert got == want
+
+
+def test_top_two_many_runs_per_model(spark):
+    rows = [("A", 0.5, 0), ("A", 0.6, 0), ("B", 0.7, 1), ("C", 0.7, 2), ("C", None, 2)]
+    df = spark.createDataFrame(rows, "model_key string, f1 double, position int")
+    got = [(r.model_key, r.f1, r.role, r.considered) for r in R.top_two(df).orderBy("role", ascending=False).collect()]
+    assert got == [("B", 0.7, "champion", "A,B,C"), ("C", 0.7, "challenger", "A,B,C")]
+
 def test_champion_changed(spark):
     best = spark.createDataFrame([("e1", "r2", 0.6), ("e2", "r5", 0.4), ("e3", "r7", 0.3)],
                                  "experiment_name string, run_id string, f1 double")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import stratified_rank
 from tidemark.session import bounded_broadcast
 
 # Metric file per model key, in candidate order.
@@ -116,11 +117,18 @@ def label_for(df: DataFrame, file_col: str = "file", out: str = "label") -> Data
 
 
 def leaderboard(df: DataFrame, score: str = "f1", position: str = "position") -> DataFrame:
-    """Rank by score descending, input position breaking ties; ``is_winner`` on rank 1.
-    The input is one row per compared model (a handful), so a global rank is cheap."""
-    w = Window.orderBy(F.col(score).desc(), F.col(position))
-    r = df.withColumn("rank", F.row_number().over(w))
-    return r.withColumn("is_winner", F.col("rank") == 1)
+    """Rank by score descending (missing scores last), input position breaking ties;
+    ``is_winner`` on rank 1.
+
+    The rank is the distributed exact rank (score ranges plus per-range offsets), so a
+    long run log is ranked by many tasks, never gathered into one."""
+    s = F.col(score).cast("double")
+    keyed = df.withColumn("_neg", F.coalesce(-s, F.lit(float("inf")))).withColumn("_nul", s.isNull().cast("int"))
+    r = stratified_rank(keyed, [], ["_neg", "_nul", position], order="key", n_buckets=256,
+                        rank_col="_rk", size_col="_n")
+    return (r.withColumn("rank", (F.col("_rk") + 1).cast("int"))
+            .withColumn("is_winner", F.col("rank") == 1)
+            .drop("_neg", "_nul", "_rk", "_n"))
 
 
 # --- R9 -------------------------------------------------------------------------------
@@ -147,11 +155,18 @@ def registered_name(key: Column) -> Column:
 
 def top_two(df: DataFrame, score: str = "f1", position: str = "position", key: str = "model_key") -> DataFrame:
     """Champion and challenger: the two best by score, candidate order breaking ties;
-    ``considered`` lists every candidate in candidate order."""
-    considered = df.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(position, key))),
-                                                 lambda s: s[key]), ",").alias("considered"))
-    top = (df.withColumn("_r", F.row_number().over(Window.orderBy(F.col(score).desc(), F.col(position))))
-           .where(F.col("_r") <= 2)
+    ``considered`` lists every candidate in candidate order.
+
+    The top two is a distributed top-k (``orderBy().limit(2)``: every task keeps its own
+    best two, the final merge sees two rows per task)."""
+    # distinct candidates first (partial aggregation per task), so the list holds one
+    # entry per model, however many runs the log has
+    cands = df.groupBy(key).agg(F.min(position).alias(position))
+    considered = cands.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(position, key))),
+                                                    lambda s: s[key]), ",").alias("considered"))
+    top = df.orderBy(F.col(score).desc_nulls_last(), F.col(position)).limit(2)
+    # rank inside the two kept rows only
+    top = (top.withColumn("_r", F.row_number().over(Window.orderBy(F.col(score).desc_nulls_last(), F.col(position))))
            .withColumn("role", F.when(F.col("_r") == 1, "champion").otherwise("challenger")).drop("_r"))
     # one short string (the candidate list) reaches the driver
     return top.withColumn("considered", F.lit(considered.collect()[0]["considered"]))
