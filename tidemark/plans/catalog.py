@@ -1031,7 +1031,7 @@ def q_score_stream(spark, sf):
     base = shared_path(spark, "score_stream", uuid.uuid4().hex)
     src = os.path.join(base, "in")
     for s in ("train", "valid", "test", "valid"):   # the validation rows arrive twice
-        st.where(F.col("split") == s).coalesce(1).write.mode("append").parquet(src)
+        st.where(F.col("split") == s).write.mode("append").parquet(src)
     b, coef = flows.SCORERS["logreg"]
     out = W.score_stream(spark, src, os.path.join(base, "out"), lambda d: score.linear_score(d, coef, b).select("row_key", "proba"))
     return _r6_all(out)

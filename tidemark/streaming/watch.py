@@ -117,12 +117,14 @@ def champion_history_stream(spark: SparkSession, runs_dir: str, out_dir: str, me
 
 # --- T3 -------------------------------------------------------------------------------
 def score_stream(spark: SparkSession, in_dir: str, out_dir: str, score_fn, key: str = "row_key",
-                 time_col: str = "arrived_at", watermark: str = "1 day") -> DataFrame:
+                 time_col: str = "arrived_at", watermark: str = "1 day",
+                 files_per_batch: int = 1000) -> DataFrame:
     """Score customers as their rows arrive; a key seen again within the watermark is
-    dropped (bounded state, unlike a plain ``dropDuplicates``)."""
+    dropped (bounded state, unlike a plain ``dropDuplicates``), whether the copies share
+    a micro-batch or not.  ``files_per_batch`` sizes each micro-batch."""
     ensure_utc(spark)
     schema = spark.read.parquet(in_dir).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(in_dir)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(in_dir)
     d = stream.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark)
     scored = score_fn(d.dropDuplicatesWithinWatermark([key]))
     _run(scored.writeStream.format("parquet").option("path", out_dir).outputMode("append"),
@@ -132,13 +134,14 @@ def score_stream(spark: SparkSession, in_dir: str, out_dir: str, score_fn, key:
 
 # --- T4 (stream) ----------------------------------------------------------------------
 def windowed_counts_stream(spark: SparkSession, events_dir: str, glob: str, enrich, out_dir: str,
-                           width: str = "7 days", watermark: str = "1 day") -> DataFrame:
+                           width: str = "7 days", watermark: str = "1 day",
+                           files_per_batch: int = 1000) -> DataFrame:
     """Event file stream -> enrich (e.g. a stream-static join with scores) -> windowed
     confusion counts.  The running result is rewritten per micro-batch (complete mode
     through ``foreachBatch``), so the folder always holds the latest counts."""
     schema = spark.read.parquet(os.path.join(events_dir, glob)).schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-              .option("maxFilesPerTrigger", 1).parquet(events_dir))
+              .option("maxFilesPerTrigger", files_per_batch).parquet(events_dir))
     counts = monitor.windowed_counts(enrich(monitor.event_time(stream)), width, watermark=watermark)
 
     def write(batch: DataFrame, batch_id: int):
