@@ -16,7 +16,8 @@ from tidemark import get_spark  # noqa: E402
 from tidemark.plans import catalog  # noqa: E402
 
 DEFAULT = ["split_metrics", "stratified_split", "pr_curve", "curve_summary", "threshold_sweep",
-           "windowed_metrics", "feature_drift", "champion_history", "extract_model_ref"]
+           "windowed_metrics", "feature_drift", "champion_history", "extract_model_ref",
+           "benchmark_leaderboard", "champion_challenger"]
 
 
 def plan_text(df) -> str:
