@@ -91,3 +91,17 @@ def test_encoding_spec_roundtrip(spark):
     out = clean.apply_encoding(df, again)
     assert out.columns == ["row_key", "x", "c_b", "churn"]
     assert [r.x for r in out.collect()] == [1.0, 2.0, 3.0]
+
+
+def test_profile_counts_feed_exact_medians(spark):
+    """Medians fitted with the counts of the profiling pass equal those of a separate
+    counting job (numeric text with blanks and junk, NaN, an all-null column)."""
+    from tidemark.operators import clean as C
+    rows = [("1.5", 2.0, None, "a"), (" 3 ", float("nan"), None, "b"), ("x", 4.0, None, None),
+            ("", 1.0, None, "a"), ("7", 9.0, None, "c"), ("2", None, None, "b")]
+    df = spark.createDataFrame(rows, "t string, v double, z double, cat string")
+    text, counts = C._profile(df)
+    assert text == ["t"]
+    d = C.coerce_numeric(df, columns=text)
+    cols = ["t", "v", "z"]
+    assert C.fit_medians(d, cols, counts=counts) == C.fit_medians(d, cols) == {"t": 2.5, "v": 3.0, "z": None}

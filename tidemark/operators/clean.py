@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import NUMERIC_TEXT, parse_number
+from tidemark.functions.exprs import NUMERIC_TEXT, nan_to_null, parse_number
 from pyspark import StorageLevel
 
 from tidemark.operators.ranking import exact_medians
@@ -107,14 +107,26 @@ def numeric_text_columns(df: DataFrame, ratio: float = 0.5, exclude=()) -> list[
 
     One aggregation job over all string columns; two counts per column reach the driver.
     """
+    return _profile(df, ratio, exclude)[0]
+
+
+def _profile(df: DataFrame, ratio: float = 0.5, exclude=()) -> tuple[list[str], dict]:
+    """One pass: the numeric-text columns, and the count of numeric values (NaN as
+    missing) of every column that is numeric once they are coerced (what the exact
+    medians need first)."""
     cands = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-    if not cands:
-        return []
+    nums = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in exclude]
+    if not cands and not nums:
+        return [], {}
     aggs = []
     for i, c in enumerate(cands):
         aggs += [F.count(parse_number(F.col(c))).alias(f"p{i}"), F.count(F.col(c)).alias(f"n{i}")]
+    aggs += [F.count(nan_to_null(F.col(c).cast("double"))).alias(f"k{j}") for j, c in enumerate(nums)]
     row = df.agg(*aggs).collect()[0]
-    return [c for i, c in enumerate(cands) if row[f"p{i}"] > 0 and row[f"p{i}"] >= row[f"n{i}"] * ratio]
+    text = [c for i, c in enumerate(cands) if row[f"p{i}"] > 0 and row[f"p{i}"] >= row[f"n{i}"] * ratio]
+    counts = {c: row[f"k{j}"] for j, c in enumerate(nums)}
+    counts.update({c: row[f"p{i}"] for i, c in enumerate(cands) if c in text})
+    return text, counts
 
 
 def coerce_numeric(df: DataFrame, ratio: float = 0.5, exclude=(), columns: list[str] | None = None) -> DataFrame:
@@ -139,13 +151,15 @@ def column_kinds(df: DataFrame, exclude=()) -> dict:
 
 
 # --- C9 -------------------------------------------------------------------------------
-def fit_medians(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000) -> dict:
+def fit_medians(df: DataFrame, cols: list[str], exact: bool = True, accuracy: int = 100_000,
+                counts: dict | None = None) -> dict:
     """Median of each column.  ``exact`` interpolates like pandas; otherwise
-    ``percentile_approx`` (one job, no interpolation)."""
+    ``percentile_approx`` (one job, no interpolation).  ``counts`` (values per column,
+    from an earlier pass) saves the exact path its counting job."""
     if not cols:
         return {}
     if exact:
-        return exact_medians(df, cols)
+        return exact_medians(df, cols, counts=counts)
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).collect()[0]
     return {c: (None if row[c] is None else float(row[c])) for c in cols}
 
@@ -255,10 +269,10 @@ def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio:
     owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
     src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
     try:
-        num_text = numeric_text_columns(src, ratio, excl)
+        num_text, counts = _profile(src, ratio, excl)
         d = coerce_numeric(src, columns=num_text)
         kinds = column_kinds(d, excl)
-        medians = fit_medians(d, kinds["numeric"], exact_median)
+        medians = fit_medians(d, kinds["numeric"], exact_median, counts=counts)
         cats = fit_categories(d, kinds["categorical"])
     finally:
         if owned:

@@ -129,18 +129,23 @@ def running_totals(df: DataFrame, by: list[str], order_col: str, sums: list[str]
     return out.drop("_rng", *[f"_off_{s}" for s in sums])
 
 
-def exact_medians(df: DataFrame, cols: list[str], small: int = 1_000_000, n_buckets: int = 256) -> dict:
+def exact_medians(df: DataFrame, cols: list[str], small: int = 1_000_000, n_buckets: int = 256,
+                  counts: dict | None = None) -> dict:
     """Exact interpolated medians of several columns (NaN counts as missing).
 
-    One job counts the values of every column.  Columns with at most ``small`` values
+    One job counts the values of every column (skipped when the caller passes
+    ``counts`` from an earlier pass).  Columns with at most ``small`` values
     share one ``median`` aggregate (exact, holding at most ``small`` values per task);
     larger ones go through ``exact_quantiles``, whose memory is bounded whatever the
     column size.
     """
     if not cols:
         return {}
-    counts = df.agg(*[F.count(_clean_value(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
-    n = {c: counts[f"n{i}"] for i, c in enumerate(cols)}
+    if counts is None or any(c not in counts for c in cols):
+        row = df.agg(*[F.count(_clean_value(c)).alias(f"n{i}") for i, c in enumerate(cols)]).collect()[0]
+        n = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    else:
+        n = {c: counts[c] for c in cols}
     out = {c: None for c in cols if n[c] == 0}
     small_cols = [c for c in cols if 0 < n[c] <= small]
     if small_cols:
