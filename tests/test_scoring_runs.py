@@ -118,3 +118,23 @@ def test_assign_alias_exclusive(spark):
     al = spark.createDataFrame([("champion", "A", "1"), ("challenger", "B", "2")], "alias string, registered_model string, version string")
     out = {(r.alias, r.registered_model, r.version) for r in R.assign_alias(al, "champion", F.lit("B"), F.lit(3)).collect()}
     assert out == {("challenger", "B", "2"), ("champion", "B", "3")}
+
+
+def test_metric_table_rows_match_window(spark):
+    """Row numbers from the distributed rank on the text order key equal the
+    single-task window: names sharing long prefixes, accents, empty text, all splits."""
+    import random
+    from pyspark.sql import Window
+    rnd = random.Random(7)
+    alphabet = ["a", "b", "Z", "é", "ß", "0", " ", "model_"]
+    names = {"", "model", "model_", "model_a", "model_ab", "model_b", "Ωmega"}
+    while len(names) < 400:
+        names.add("".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 5))))
+    rows = [(n, s, 0.5) for n in sorted(names) for s in ("test", "valid", "train")]
+    df = spark.createDataFrame(rows, "model_key string, split string, f1 double") \
+        .selectExpr("*", "f1 AS accuracy", "f1 AS precision", "f1 AS recall")
+    got = {(r.model_key, r.split): r.row for r in R.metric_table(df).collect()}
+    order = F.when(F.col("split") == "test", 0).when(F.col("split") == "valid", 1).otherwise(2)
+    w = Window.orderBy(order, F.col("model_key"))
+    want = {(r.model_key, r.split): r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == want

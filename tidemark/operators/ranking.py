@@ -60,6 +60,15 @@ def _bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFr
     return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def text_order_key(c: Column, width: int = 6) -> Column:
+    """A long that never decreases as ``c`` grows in Spark's (UTF-8 byte) string order:
+    the first ``width`` bytes read as a big-endian number, shorter texts padded with
+    zero bytes.  Texts that share the prefix share the number, so callers break ties
+    with the text itself.  ``width`` <= 6 keeps the value exact in a double."""
+    hexed = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, width)), 2 * width, "0")
+    return F.conv(hexed, 16, 10).cast("long")
+
+
 def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
                     order: str = "hash", n_buckets: int = HASH_BUCKETS,
                     rank_col: str = "_rank", size_col: str = "_class_n") -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import stratified_rank
+from tidemark.operators.ranking import stratified_rank, text_order_key
 from tidemark.session import bounded_broadcast
 
 # Metric file per model key, in candidate order.
@@ -145,7 +145,12 @@ def metric_table(df: DataFrame, metrics=("accuracy", "precision", "recall", "f1"
     order = F.when(F.col(split_col) == "test", 0).when(F.col(split_col) == "valid", 1).otherwise(2)
     cells = [fmt4(F.col(m)).alias(m) for m in metrics]
     t = df.select(F.col(model_col), F.col(split_col), order.alias("split_order"), *cells)
-    return t.withColumn("row", F.row_number().over(Window.orderBy("split_order", model_col)))
+    # row number over (split order, model): the distributed exact rank, on a numeric key
+    # that sorts like the pair (split order above a 6-byte prefix of the model name)
+    k = F.col("split_order").cast("long") * F.lit(1 << 48) + text_order_key(F.col(model_col))
+    r = stratified_rank(t.withColumn("_ord", k), [], ["_ord", model_col], order="key", n_buckets=256,
+                        rank_col="_rk", size_col="_n")
+    return r.withColumn("row", (F.col("_rk") + 1).cast("int")).drop("_ord", "_rk", "_n")
 
 
 # --- R10 / R11 ------------------------------------------------------------------------
