@@ -83,3 +83,22 @@ def test_curve_points_bounded(spark):
     df = spark.range(5000).selectExpr("cast(id % 2 as int) as churn", "rand(1) as proba")
     c = evaluate.score_curve(df, n_buckets=16)
     assert evaluate.curve_points(c, max_points=25).count() <= 26
+
+
+def test_weighted_curve_equals_row_curve(spark):
+    """A curve over (group, score, label) counts with ``weight`` equals the curve over
+    the rows themselves (ties, one-class groups, repeated rows)."""
+    import random
+    from tidemark.operators import evaluate as E
+    rnd = random.Random(3)
+    rows = [(g, round(rnd.random(), 2) if g != "c" else 0.5, rnd.randint(0, 1) if g != "b" else 1)
+            for g in ("a", "b", "c") for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, proba double, churn int")
+    agg = df.groupBy("g", "proba", "churn").count().withColumnRenamed("count", "n")
+    cols = ["g", "threshold", "pos", "neg", "tp", "fp", "n_pos", "n_neg", "precision", "recall", "f1"]
+    a = sorted(tuple(r) for r in E.score_curve(df, by=["g"]).select(*cols).collect())
+    b = sorted(tuple(r) for r in E.score_curve(agg, by=["g"], weight="n").select(*cols).collect())
+    assert a == b
+    sa = sorted(tuple(r) for r in E.curve_summary(E.score_curve(df, by=["g"]), ["g"]).collect())
+    sb = sorted(tuple(r) for r in E.curve_summary(E.score_curve(agg, by=["g"], weight="n"), ["g"]).collect())
+    assert sa == sb

@@ -65,16 +65,22 @@ def classification_metrics(df: DataFrame, label: str = "churn", pred: str = "pre
 
 # --- E6 / E7 --------------------------------------------------------------------------
 def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=None,
-                n_buckets: int = 64, decimals: int = SCORE_DECIMALS) -> DataFrame:
+                n_buckets: int = 64, decimals: int = SCORE_DECIMALS, weight: str | None = None) -> DataFrame:
     """One row per distinct score (rounded to ``decimals``) and group:
 
     ``threshold, pos, neg`` (rows at that score), ``tp, fp`` (rows scoring >= it),
     ``n_pos, n_neg`` (group totals), ``precision, recall, f1, tpr, fpr``.
+    ``weight`` names a row-count column, for input that is already aggregated.
     """
     by = _g(by)
     y = F.col(label)
+    if weight:
+        pos = F.coalesce(F.sum(F.when(y == 1, F.col(weight))), F.lit(0)).cast("long")
+        neg = F.coalesce(F.sum(F.when(y != 1, F.col(weight))), F.lit(0)).cast("long")
+    else:
+        pos, neg = F.count(F.when(y == 1, 1)), F.count(F.when(y != 1, 1))
     pts = (df.groupBy(*by, F.round(F.col(score).cast("double"), decimals).alias("threshold"))
-             .agg(F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y != 1, 1)).alias("neg")))
+             .agg(pos.alias("pos"), neg.alias("neg")))
     cum = running_totals(pts, by, "threshold", ["pos", "neg"], n_buckets=n_buckets)
     totals = pts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     cum = _attach_totals(cum, totals, by)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate
-from tidemark.session import ensure_utc
+from tidemark.session import ensure_utc, materialize
 
 PSI_EPS = 1e-6
 
@@ -50,10 +50,26 @@ def with_ratios(c: DataFrame) -> DataFrame:
 def windowed_metrics(df: DataFrame, width: str = "7 days", slide: str | None = None, label: str = "churn",
                      pred: str = "pred", score: str = "proba") -> DataFrame:
     """Accuracy, precision, recall, F1, ROC AUC and average precision per window
-    (static input: the curves are grouped by window start)."""
-    counts = with_ratios(windowed_counts(df, width, slide, label, pred))
-    keyed = df.select("*", F.explode(F.array(_window(width, slide))).alias("w")).withColumn("window_start", F.col("w.start"))
-    summ = evaluate.curve_summary(evaluate.score_curve(keyed, label, score, ["window_start"]), ["window_start"])
+    (static input: the curves are grouped by window start).
+
+    The events are read once: they are aggregated (map-side first) to counts per
+    (window, rounded score, label, prediction), and that table, far smaller than the
+    events, is materialised; the confusion counts and the curves both read it."""
+    w = df.select(F.explode(F.array(_window(width, slide))).alias("w"), label, pred, score)
+    agg = materialize(w.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                                F.round(F.col(score).cast("double"), evaluate.SCORE_DECIMALS).alias(score),
+                                label, pred)
+                      .agg(F.count(F.lit(1)).alias("_n")))
+    y, p, n = F.col(label), F.col(pred), F.col("_n")
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("long")
+    counts = with_ratios(agg.groupBy("window_start", "window_end").agg(
+        total((y == 1) & (p == 1)).alias("tp"), total((y != 1) & (p == 1)).alias("fp"),
+        total((y != 1) & (p != 1)).alias("tn"), total((y == 1) & (p != 1)).alias("fn"),
+        F.sum(n).cast("long").alias("n")))
+    summ = evaluate.curve_summary(evaluate.score_curve(agg, label, score, ["window_start"], weight="_n"),
+                                  ["window_start"])
     return counts.join(summ.select("window_start", "roc_auc", "pr_ap"), "window_start", "left")
 
 
