@@ -147,13 +147,20 @@ def prediction_drift(df: DataFrame, width: str = "7 days", slide: str | None = N
                      pred: str = "pred", n_bins: int = 10) -> DataFrame:
     """Per window: the histogram of scores (``n_bins`` bins on [0, 1]), each bin's share,
     the mean prediction and the share flagged high risk."""
+    from pyspark.sql import Window
     b = F.least(F.floor(F.col(score) * n_bins), F.lit(n_bins - 1)).cast("int")
     d = df.withColumn("w", _window(width, slide)).withColumn("bin", b)
-    hist = d.groupBy(F.col("w.start").alias("window_start"), "bin").agg(F.count(F.lit(1)).alias("n"))
-    tot = d.groupBy(F.col("w.start").alias("window_start")).agg(
-        F.count(F.lit(1)).alias("n_window"), F.avg(F.col(pred).cast("double")).alias("avg_pred"),
-        F.avg((F.col(score) >= 0.5).cast("double")).alias("high_risk_share"))
-    return hist.join(tot, "window_start").withColumn("share", F.col("n") / F.col("n_window"))
+    p, high = F.col(pred).cast("double"), (F.col(score) >= 0.5).cast("double")
+    # one pass over the events: per (window, bin) the count and the sums behind the means;
+    # the window totals are a window over that small table (at most n_bins rows each)
+    hist = d.groupBy(F.col("w.start").alias("window_start"), "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(p).alias("_sp"), F.count(p).alias("_np"),
+        F.sum(high).alias("_sh"), F.count(high).alias("_nh"))
+    per = Window.partitionBy("window_start")
+    out = hist.select("window_start", "bin", "n", F.sum("n").over(per).alias("n_window"),
+                      F.try_divide(F.sum("_sp").over(per), F.sum("_np").over(per)).alias("avg_pred"),
+                      F.try_divide(F.sum("_sh").over(per), F.sum("_nh").over(per)).alias("high_risk_share"))
+    return out.withColumn("share", F.col("n") / F.col("n_window"))
 
 
 # --- T8 -------------------------------------------------------------------------------
