@@ -138,3 +138,22 @@ def test_metric_table_rows_match_window(spark):
     w = Window.orderBy(order, F.col("model_key"))
     want = {(r.model_key, r.split): r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_extract_model_ref_substring_join_matches_broadcast(spark):
+    """Past the broadcast bound, the substring equi-join gives the same names and
+    versions as the broadcast ``contains`` join (names inside other names, repeats,
+    several names, null and empty text, non-ASCII)."""
+    import random
+    rnd = random.Random(11)
+    names = ["TelcoChurn_RF", "TelcoChurn_XGB", "TelcoChurn_LogReg", "RF", "Modèle_ß", "churn v2"] + \
+            [f"model_{i}" for i in range(40)]
+    words = names + ["build", "v7", "@3", "version 12", "run 42", "x", "99999", ""]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 5)))) for i in range(300)]
+    rows += [(300, None), (301, ""), (302, "TelcoChurn_RF TelcoChurn_RF v4")]
+    texts = spark.createDataFrame(rows, "id int, text string")
+    known = spark.createDataFrame([(n,) for n in names], ["registered_model"])
+    a = {r.id: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known).collect()}
+    b = {r.id: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known, max_broadcast=5).collect()}
+    assert a == b
+    assert sum(v[0] is not None for v in a.values()) > 50

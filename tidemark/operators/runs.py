@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import stratified_rank, text_order_key
-from tidemark.session import bounded_broadcast
+from tidemark.session import checked_collect
 
 # Metric file per model key, in candidate order.
 METRIC_FILES = {"LogReg": "metrics_test.json", "RF": "metrics_test_rf.json",
@@ -297,20 +297,44 @@ def resolve_model_uri(name: Column, version: Column, alias: Column) -> Column:
 
 
 # --- R22 ------------------------------------------------------------------------------
+def _substring_hits(t: DataFrame, text_col: str, names: DataFrame) -> DataFrame:
+    """``contains`` as an equi-join: every distinct substring of each text whose length
+    is the length of some known name, joined to the names on equality.  Exact, and a
+    plain shuffle join; the distinct name lengths (at most the longest name) are the
+    only thing collected."""
+    lengths = sorted(r["_len"] for r in checked_collect(
+        names.select(F.length("_name").alias("_len")).where(F.col("_len") > 0).distinct(), 10_000, "name lengths"))
+    txt = F.coalesce(F.col(text_col), F.lit(""))
+
+    def cuts(n: int):
+        starts = F.sequence(F.lit(1), F.length(txt) - F.lit(n - 1))
+        return F.when(F.length(txt) >= n, F.transform(starts, lambda i: F.substring(txt, i, n))) \
+                .otherwise(F.array().cast("array<string>"))
+    subs = t.select("_tid", F.explode(F.array_distinct(F.flatten(F.array(*[cuts(n) for n in lengths])))).alias("_sub")) \
+        if lengths else t.select("_tid", F.lit(None).cast("string").alias("_sub")).where(F.lit(False))
+    return subs.join(names, subs["_sub"] == names["_name"]).select("_tid", "_name", "_prio")
+
+
 def extract_model_ref(texts: DataFrame, text_col: str, id_col: str, known: DataFrame,
-                      name_col: str = "registered_model") -> DataFrame:
+                      name_col: str = "registered_model", max_broadcast: int = 10_000) -> DataFrame:
     """Find a known model name and a version in free text.
 
-    Names: a theta join of texts with the (small, size-checked, broadcast) list of
-    known names on ``contains``; one match wins, several go by the fixed priority, then
-    the last-listed known name.  Version: ``v34`` / ``@34`` / ``version 34``, else the
-    last number in 1..10000.  Rows without both give nulls."""
+    Names: a theta join of texts with the list of known names on ``contains``, with the
+    list broadcast once a count proves it holds at most ``max_broadcast`` names; a longer
+    list goes through the exact substring equi-join instead (no broadcast, no
+    text x name pairs).  One match wins, several go by the fixed priority, then the
+    last-listed known name.  Version: ``v34`` / ``@34`` / ``version 34``, else the last
+    number in 1..10000.  Rows without both give nulls."""
     names = known.select(F.col(name_col).alias("_name")).distinct()
     prio = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in NAME_PRIORITY]), F.col("_name")).cast("int"),
                       F.lit(len(NAME_PRIORITY) + 1))
-    names = bounded_broadcast(names.withColumn("_prio", prio), 10_000)
+    names = names.withColumn("_prio", prio)
     t = texts.withColumn("_tid", F.col(id_col))
-    hits = t.join(names, F.col(text_col).contains(F.col("_name")), "left")
+    if names.limit(max_broadcast + 1).count() <= max_broadcast:
+        hits = t.join(F.broadcast(names), F.col(text_col).contains(F.col("_name")), "left")
+    else:
+        found_names = _substring_hits(t, text_col, names)
+        hits = t.select("_tid").distinct().join(found_names, "_tid", "left")
     picked = (hits.groupBy("_tid").agg(
         F.count("_name").alias("_n"),
         F.min(F.struct("_prio", F.col("_name").alias("_nm"))).alias("_best"),
@@ -321,6 +345,6 @@ def extract_model_ref(texts: DataFrame, text_col: str, id_col: str, known: DataF
     explicit = F.regexp_extract(F.col(text_col), VERSION_PATTERN, 1)
     nums = F.filter(F.transform(F.regexp_extract_all(F.col(text_col), F.lit(r"(\d{1,5})"), 1),
                                 lambda x: x.cast("int")), lambda x: (x > 0) & (x <= 10000))
-    version = F.when(explicit != "", explicit.cast("int")).otherwise(F.element_at(nums, -1))
+    version = F.when(explicit != "", explicit.cast("int")).otherwise(F.try_element_at(nums, F.lit(-1)))
     ok = name.isNotNull() & version.isNotNull()
     return found.select(*texts.columns, F.when(ok, name).alias("name"), F.when(ok, version).alias("version"))
