@@ -29,52 +29,79 @@ def _run(query_builder, checkpoint: str):
 
 
 # --- T1 -------------------------------------------------------------------------------
+def _pointer(sess, state_dir: str):
+    """``(batch_id, path after that batch, path before it)`` from the ``current`` file,
+    or ``None`` before the first batch."""
+    try:
+        rows = sess.read.text(os.path.join(state_dir, "current")).collect()   # one line
+    except Exception:   # no state yet
+        return None
+    if not rows:
+        return None
+    bid, after, before = rows[0]["value"].split("\t")
+    return int(bid), after, (before or None)
+
+
+def champion_step(batch: DataFrame, batch_id: int, state_dir: str, metric: str = "f1") -> None:
+    """One micro-batch of the watcher: best run per experiment over the stored champion
+    and the new runs; a change event per experiment whose champion moved.
+
+    Idempotent by batch id.  The pointer file names the batch that wrote it and the
+    state before that batch, so a batch replayed after it already moved the pointer
+    compares with the same earlier state and rewrites the same files."""
+    sess = batch.sparkSession
+    champ_root = os.path.join(state_dir, "champion")
+    events_root = os.path.join(state_dir, "events")
+    ptr = _pointer(sess, state_dir)
+    if ptr is None:
+        prev_path = None
+    elif ptr[0] < batch_id:
+        prev_path = ptr[1]
+    else:   # this batch (or a later one) already moved the pointer: use the state before it
+        prev_path = ptr[2]
+    prev = sess.read.parquet(prev_path) if prev_path else None
+    best = R.best_run(batch, metric)
+    cand = best if prev is None else best.unionByName(prev.select(*best.columns))
+    new = R.best_run(cand, metric)
+    out = os.path.join(champ_root, f"batch={batch_id}")
+    new.write.mode("overwrite").parquet(out)
+    new = sess.read.parquet(out)
+    if prev is None:
+        ev = new.select(F.lit(batch_id).alias("batch_id"), "experiment_name",
+                        F.lit(None).cast("string").alias("old_run_id"), F.col("run_id").alias("new_run_id"))
+    else:
+        j = new.join(prev.select("experiment_name", F.col("run_id").alias("old_run_id")), "experiment_name", "left")
+        ev = j.where(~F.col("run_id").eqNullSafe(F.col("old_run_id"))).select(
+            F.lit(batch_id).alias("batch_id"), "experiment_name", "old_run_id", F.col("run_id").alias("new_run_id"))
+    ev.write.mode("overwrite").parquet(os.path.join(events_root, f"batch={batch_id}"))
+    line = f"{batch_id}\t{out}\t{prev_path or ''}"
+    sess.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(
+        os.path.join(state_dir, "current"))
+
+
+def champion_state(spark: SparkSession, state_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stored champion table and every change event (batch id is a column)."""
+    ptr = _pointer(spark, state_dir)
+    champ = spark.read.parquet(ptr[1])
+    # events are stored one folder per batch id (batch=N); the id is already a column
+    return champ, spark.read.parquet(os.path.join(state_dir, "events")).drop("batch")
+
+
 def watch_champion(spark: SparkSession, runs_dir: str, state_dir: str, metric: str = "f1",
                    files_per_batch: int = 1) -> tuple[DataFrame, DataFrame]:
     """Stream run-log files; after every micro-batch keep the best run per experiment
-    and record an event when it changes.
+    and record an event when it changes (``champion_step``).
 
     State is two tables in ``state_dir``: ``champion/`` (one row per experiment) and
-    ``events/`` (batch id, experiment, old and new run).  Each batch writes the new
-    champion table under its batch id and then repoints ``current``, so a replayed
-    batch produces the same files."""
+    ``events/`` (batch id, experiment, old and new run), plus the ``current`` pointer."""
     schema = spark.read.parquet(runs_dir).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(runs_dir)
-    champ_root = os.path.join(state_dir, "champion")
-    events_root = os.path.join(state_dir, "events")
-
-    def latest(sess):
-        try:
-            marks = sess.read.text(os.path.join(state_dir, "current"))
-            rows = marks.collect()
-            return rows[0]["value"] if rows else None
-        except Exception:   # no state yet
-            return None
 
     def on_batch(batch: DataFrame, batch_id: int):
-        sess = batch.sparkSession
-        best = R.best_run(batch, metric)
-        prev_path = latest(sess)
-        prev = sess.read.parquet(prev_path) if prev_path else None
-        cand = best if prev is None else best.unionByName(prev.select(*best.columns))
-        new = R.best_run(cand, metric)
-        out = os.path.join(champ_root, f"batch={batch_id}")
-        new.write.mode("overwrite").parquet(out)
-        new = sess.read.parquet(out)
-        if prev is None:
-            ev = new.select(F.lit(batch_id).alias("batch_id"), "experiment_name",
-                            F.lit(None).cast("string").alias("old_run_id"), F.col("run_id").alias("new_run_id"))
-        else:
-            j = new.join(prev.select("experiment_name", F.col("run_id").alias("old_run_id")), "experiment_name", "left")
-            ev = j.where(~F.col("run_id").eqNullSafe(F.col("old_run_id"))).select(
-                F.lit(batch_id).alias("batch_id"), "experiment_name", "old_run_id", F.col("run_id").alias("new_run_id"))
-        ev.write.mode("overwrite").parquet(os.path.join(events_root, f"batch={batch_id}"))
-        sess.createDataFrame([(out,)], "value string").coalesce(1).write.mode("overwrite").text(
-            os.path.join(state_dir, "current"))
+        champion_step(batch, batch_id, state_dir, metric)
 
     _run(stream.writeStream.foreachBatch(on_batch), os.path.join(state_dir, "_checkpoint"))
-    # events are stored one folder per batch id (batch=N); the id is already a column
-    return spark.read.parquet(latest(spark)), spark.read.parquet(events_root).drop("batch")
+    return champion_state(spark, state_dir)
 
 
 # --- T2 -------------------------------------------------------------------------------
