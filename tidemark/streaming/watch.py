@@ -46,20 +46,18 @@ def champion_step(batch: DataFrame, batch_id: int, state_dir: str, metric: str =
     """One micro-batch of the watcher: best run per experiment over the stored champion
     and the new runs; a change event per experiment whose champion moved.
 
-    Idempotent by batch id.  The pointer file names the batch that wrote it and the
-    state before that batch, so a batch replayed after it already moved the pointer
-    compares with the same earlier state and rewrites the same files."""
+    Idempotent by batch id.  Micro-batch ids are consecutive and batch N starts only
+    after N-1 committed, so the state before batch N is always ``champion/batch=N-1``:
+    a replayed batch compares with the same earlier state and rewrites the same files.
+    The ``current`` pointer is written last and only serves readers."""
     sess = batch.sparkSession
     champ_root = os.path.join(state_dir, "champion")
     events_root = os.path.join(state_dir, "events")
-    ptr = _pointer(sess, state_dir)
-    if ptr is None:
-        prev_path = None
-    elif ptr[0] < batch_id:
-        prev_path = ptr[1]
-    else:   # this batch (or a later one) already moved the pointer: use the state before it
-        prev_path = ptr[2]
-    prev = sess.read.parquet(prev_path) if prev_path else None
+    prev_path = os.path.join(champ_root, f"batch={batch_id - 1}") if batch_id > 0 else None
+    try:
+        prev = sess.read.parquet(prev_path) if prev_path else None
+    except Exception as e:   # a gap in the state: refuse rather than restart from nothing
+        raise RuntimeError(f"champion state of batch {batch_id - 1} is missing in {champ_root}") from e
     best = R.best_run(batch, metric)
     cand = best if prev is None else best.unionByName(prev.select(*best.columns))
     new = R.best_run(cand, metric)
