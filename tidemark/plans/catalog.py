@@ -652,9 +652,10 @@ FROM runs_t r, best_t b WHERE r.run_id = b.run_id OR r.run_id = (SELECT run_id F
 def q_retag(spark, sf):
     rt = flows.run_table(spark, sf)
     prev = _prev_champion(rt).select("run_id", F.lit(True).alias("is_champion"))
-    best_id = R.best_run(rt, "f1").collect()[0]["run_id"]   # one id
-    tagged = rt.join(prev, "run_id", "left")
-    return R.retag(tagged, F.lit(best_id))
+    # the new champion of each experiment, joined on the experiment (one row per experiment)
+    best = R.best_run(rt, "f1").select("experiment_name", F.col("run_id").alias("best_run_id"))
+    tagged = rt.join(prev, "run_id", "left").join(best, "experiment_name", "left")
+    return R.retag(tagged, "best_run_id")
 
 
 _VERSIONS_SQL = """
