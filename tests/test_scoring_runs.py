@@ -157,3 +157,15 @@ def test_extract_model_ref_substring_join_matches_broadcast(spark):
     b = {r.id: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known, max_broadcast=5).collect()}
     assert a == b
     assert sum(v[0] is not None for v in a.values()) > 50
+
+
+def test_retag_per_experiment(spark):
+    """The exclusive tag moves within each experiment: old champions lose it, each
+    experiment's best run gains it, untouched runs are not rewritten."""
+    runs = spark.createDataFrame(
+        [("e1", "a", 0.5, True), ("e1", "b", 0.7, None), ("e2", "c", 0.6, None), ("e2", "d", 0.4, True),
+         ("e2", "z", 0.1, None)],
+        "experiment_name string, run_id string, f1 double, is_champion boolean")
+    best = R.best_run(runs, "f1").select("experiment_name", F.col("run_id").alias("best_run_id"))
+    got = {(r.run_id, r.is_champion) for r in R.retag(runs.join(best, "experiment_name", "left"), "best_run_id").collect()}
+    assert got == {("a", False), ("b", True), ("c", True), ("d", False)}
