@@ -43,6 +43,16 @@ def test_key_order_rank(spark):
     assert got.join(twin, ["row_key", "churn"]).where(F.col("_rank") != F.col("r")).count() == 0
 
 
+
+def test_key_order_rank_keeps_null_keys(spark):
+    """Rows whose first key is null are ranked first (ascending, nulls first), not lost."""
+    df = spark.range(300).select(F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("k"),
+                                 F.col("id").alias("row_key"), (F.col("id") % 2).cast("int").alias("churn"))
+    got = ranking.stratified_rank(df, ["churn"], ["k", "row_key"], order="key", n_buckets=8)
+    assert got.count() == 300
+    twin = df.withColumn("r", F.row_number().over(Window.partitionBy("churn").orderBy("k", "row_key")) - 1)
+    assert got.join(twin, ["row_key", "churn"]).where(F.col("_rank") != F.col("r")).count() == 0
+
 @settings(max_examples=8, deadline=None)
 @given(n_pos=st.integers(0, 40), n_neg=st.integers(1, 60), test=st.sampled_from([0.1, 0.2, 0.25]),
        val=st.sampled_from([0.0, 0.1, 0.15]))

@@ -94,7 +94,9 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
         kcol = _orderable(df, key[0])
         splits = _quantile_splits(df.select(kcol.alias("_k")), "_k", n_buckets)
         d = _bucketize(df.withColumn("_k", kcol), "_k", splits, "_rngd")
-        d = d.withColumn("_rng", F.col("_rngd").cast("int")).drop("_rngd", "_k")
+        # a null first key has no range: it gets range -1, before every other range, as
+        # an ascending sort puts nulls first (instead of vanishing in the offsets join)
+        d = d.withColumn("_rng", F.coalesce(F.col("_rngd").cast("int"), F.lit(-1))).drop("_rngd", "_k")
         within = [F.col(c) for c in key]
     else:
         raise ValueError(f"unknown order {order!r}")
