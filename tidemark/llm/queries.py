@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.language_id import identify
 from tidemark.llm.ngram_join import ngram_components
+from tidemark.llm.sentencepiece_codec import round_trip
 from tidemark.llm.storage import read_table
 from tidemark.llm.substring_dedup import remove_repeats
 
@@ -35,6 +37,16 @@ def q_ngram_join(spark, sf):
     return ngram_components(read_table(spark, sf, "documents"))
 
 
+@register("op5_sentencepiece_codec")
+def q_sentencepiece(spark, sf):
+    return round_trip(read_table(spark, sf, "documents"))
+
+
+@register("op8_language_id")
+def q_language_id(spark, sf):
+    return identify(read_table(spark, sf, "documents"))
+
+
 @register("op9_exact_dedup", OP9_SQL)
 def q_exact_dedup(spark, sf):
     return exact_groups(read_table(spark, sf, "documents"))
