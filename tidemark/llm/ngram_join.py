@@ -12,8 +12,8 @@ when ``100 * |A & B| >= threshold * |A | B|``; the result is each text's compone
 4. The matrix now holds each group's token union.  A class meets a group only where its
    own tokens hit the union of *another* group; the overlap of what meets is bounded by
    size and by a 512-bit parity sketch (the Hamming distance of two sketches never
-   exceeds the sets' symmetric difference).  Only what still qualifies is opened and
-   verified against the exact sets.
+   exceeds the sets' symmetric difference), then by a sketch of two bits per element.
+   Only what still qualifies is opened and verified against the exact sets.
 
 No step drops a pair that could link: order and grouping decide the cost, not the result.
 """
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import tokens as tk
 from tidemark.llm.components import connected_components
 from tidemark.llm.storage import stored
+from tidemark.session import bounded_broadcast
 
 SHINGLE = 5
 THRESHOLD = 80           # percent
@@ -37,10 +38,14 @@ THRESHOLD = 80           # percent
 #: steers the order; whatever it holds, no link is lost.
 FREQUENT_ENTRIES = 1 << 18
 SKETCH_BITS = 512
+#: Ids broadcast (8 bytes each) to pick the texts to verify; beyond, a shuffle join does.
+BROADCAST_IDS = 1_000_000
 #: Rows of one token handled together; a longer list is cut into pairs of such chunks.
 CHUNK = 1024
+#: Lists up to this length are compared many at a time.
+SHORT = 24
 
-CLASS_SCHEMA = "doc_id long, n_shingles long, sig long, sketch binary"
+CLASS_SCHEMA = "doc_id long, n_shingles long, sig long, sketch binary, fine binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +96,19 @@ def parity_sketches(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def fine_sketch(values: np.ndarray) -> bytes:
+    """Parity bits of a set, about two per element (a power of two of them), which bound
+    the symmetric difference of large sets closely."""
+    bits = max(SKETCH_BITS, 1 << int(2 * len(values) - 1).bit_length())
+    odd = np.bincount((values & tk.U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _fold(x: np.ndarray, words: int) -> np.ndarray:
+    """A wide sketch as a narrower one: bit positions are equal modulo the width."""
+    return np.bitwise_xor.reduce(x.reshape(-1, words), axis=0) if len(x) > words else x
+
+
 def _batches(it: Iterator[pa.RecordBatch], k: int):
     for batch in it:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -108,7 +126,9 @@ def _profile(k: int):
             sketch = parity_sketches(values, at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids), pa.array(np.diff(at)), pa.array(tk.to_long(sig)),
-                 pa.array([r.tobytes() for r in sketch], pa.binary())], names=["doc_id", "n_shingles", "sig", "sketch"])
+                 pa.array([r.tobytes() for r in sketch], pa.binary()),
+                 pa.array([fine_sketch(values[lo:hi]) if hi > lo else b"" for lo, hi in zip(at[:-1], at[1:])], pa.binary())],
+                names=["doc_id", "n_shingles", "sig", "sketch", "fine"])
     return run
 
 
@@ -226,6 +246,24 @@ def _list_pairs(part: dict, threshold: int, hubs: bool) -> Iterator[tuple[np.nda
             yield l[best[got]], right[got]
 
 
+def _short_pairs(part: dict, first: np.ndarray, size: int, threshold: int, hubs: bool):
+    """As ``_list_pairs``, for all uncut lists of one small length at once."""
+    step = max(1, 200_000 // (size * size))
+    for lo in range(0, len(first), step):
+        at = first[lo:lo + step][:, None] + np.arange(size)
+        n, g, s = part["n"][at], part["grp"][at], part["sketch"][at]
+        ok = _qualify(n[:, :, None], n[:, None], _hamming(s[:, :, None], s[:, None]), threshold)
+        ok &= g[:, :, None] != g[:, None]
+        if hubs:
+            score = np.where(ok, ok.sum(2)[:, None] + 1, 0)
+            best = score.argmax(2)
+            i, j = np.nonzero(np.take_along_axis(score, best[:, :, None], 2)[:, :, 0])
+            yield at[i, j], at[i, best[i, j]]
+        else:
+            i, j, k = np.nonzero(ok & np.triu(np.ones((size, size), bool), 1))
+            yield at[i, j], at[i, k]
+
+
 def _candidates(threshold: int, hubs: bool):
     """Streams rows sorted by (token, cell); a list is complete once the next one begins."""
     names = ["token", "cell", "side", "rep", "n", "grp"]
@@ -238,12 +276,21 @@ def _candidates(threshold: int, hubs: bool):
     def emit(part):
         key = np.flatnonzero(np.r_[True, (part["token"][1:] != part["token"][:-1]) | (part["cell"][1:] != part["cell"][:-1]), True])
         seen = []
-        for lo, hi in zip(key[:-1], key[1:]):
-            if hi - lo < 2:
-                continue
+
+        def add(rep, a, b):
+            seen.append(np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])], 1))
+
+        first, size = key[:-1], np.diff(key)
+        whole = part["side"][first] == 0
+        for length in range(2, SHORT + 1):
+            some = first[(size == length) & whole]
+            if len(some):
+                for a, b in _short_pairs(part, some, length, threshold, hubs):
+                    add(part["rep"], a, b)
+        for lo, hi in zip(key[:-1][(size > SHORT) | ~whole], key[1:][(size > SHORT) | ~whole]):
             own = {c: v[lo:hi] for c, v in part.items()}
             for a, b in _list_pairs(own, threshold, hubs):
-                seen.append(np.stack([np.minimum(own["rep"][a], own["rep"][b]), np.maximum(own["rep"][a], own["rep"][b])], 1))
+                add(own["rep"], a, b)
         if seen:
             pairs = np.unique(np.concatenate(seen), axis=0)
             if len(pairs):
@@ -292,6 +339,29 @@ def _pairs(lists: DataFrame, groups: DataFrame | None, threshold: int, hubs: boo
             .mapInArrow(_candidates(threshold, hubs), "a long, b long").distinct())
 
 
+def _closer(threshold: int):
+    def run(it):
+        for batch in it:
+            n1, n2 = batch.column("n1").to_numpy(), batch.column("n2").to_numpy()
+            distance = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=tk.U64) for v in (x, y))
+                words = min(len(x), len(y))
+                distance[i] = np.bitwise_count(_fold(x, words) ^ _fold(y, words)).sum()
+            keep = _qualify(n1, n2, distance, threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
+
+
+def _closer_pairs(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs that still qualify by their fine sketches."""
+    fine = classes.select("sig", "n", "fine")
+    joined = (pairs.join(fine.select(F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("fine").alias("x")), "a")
+              .join(fine.select(F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("fine").alias("y")), "b")
+              .select("a", "b", "n1", "n2", "x", "y"))
+    return stored(joined.mapInArrow(_closer(threshold), "a long, b long"), "pairs")
+
+
 def _sets(k: int):
     def run(it):
         for _, values, at in _batches(it, k):
@@ -316,8 +386,12 @@ def _verify(threshold: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs whose exact sets link."""
+def _verified(pairs: DataFrame, classes: DataFrame, known: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The pairs whose exact sets link; only the sets of these pairs are built again."""
+    need = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    first = stored(classes.join(need, "sig", "left_semi").select(F.col("first_id").alias("doc_id")).distinct(), "need")
+    sets = stored(known.join(bounded_broadcast(first, BROADCAST_IDS), "doc_id", "left_semi")
+                  .mapInArrow(_sets(k), "sig long, tokens binary").dropDuplicates(["sig"]), "sets")
     joined = (pairs.join(sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x")), "a")
               .join(sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y"))
     return joined.mapInArrow(_verify(threshold), "a long, b long")
@@ -338,7 +412,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     profile = stored(given.mapInArrow(_profile(k), CLASS_SCHEMA), "profile")
     classes = stored(profile.where("n_shingles > 0 and doc_id is not null").groupBy("sig")
                      .agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"),
-                          F.min("sketch").alias("sketch")), "classes")
+                          F.min("sketch").alias("sketch"), F.min("fine").alias("fine")), "classes")
 
     frequent = spark.sparkContext.broadcast(frequent_tokens(known, k, FREQUENT_ENTRIES))
     rows = known.mapInArrow(_prefixes(k, threshold, frequent), "token long, sig long")
@@ -347,15 +421,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
               .where("s0 <> s1").select("token", "sig").distinct())
     lists = stored(shared.join(classes, "sig").select("token", F.col("sig").alias("rep"), "n", "sketch"), "lists")
 
-    # every class that qualifies with any other proposes a partner, so these are all sets
-    # that the second round opens as well
-    proposed = stored(_pairs(lists, None, threshold, True), "pairs")
-    need = proposed.select(F.col("a").alias("sig")).union(proposed.select("b")).distinct()
-    first = classes.join(need, "sig", "left_semi").select(F.col("first_id").alias("doc_id")).distinct()
-    sets = stored(known.join(first, "doc_id", "left_semi").mapInArrow(_sets(k), "sig long, tokens binary")
-                  .dropDuplicates(["sig"]), "sets")
-    groups = stored(connected_components(_verified(proposed, sets, threshold)), "groups")
-    second = _verified(_pairs(lists, groups, threshold, False), sets, threshold)
+    proposed = _closer_pairs(_pairs(lists, None, threshold, True), classes, threshold)
+    groups = stored(connected_components(_verified(proposed, classes, known, k, threshold)), "groups")
+    opened = _closer_pairs(_pairs(lists, groups, threshold, False), classes, threshold)
+    second = _verified(opened, classes, known, k, threshold)
     final = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                  .where("a <> b").union(second))
     label = classes.join(final, classes.sig == final.node, "left").select(
