@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.html_extract import extract
 from tidemark.llm.language_id import identify
+from tidemark.llm.line_dedup import remove_lines
+from tidemark.llm.lm_scoring import score_documents
+from tidemark.llm.mixing import mixture
 from tidemark.llm.ngram_join import ngram_components
 from tidemark.llm.sentencepiece_codec import round_trip
 from tidemark.llm.storage import read_table
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.topk_search import top_k
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -32,11 +38,50 @@ FROM t JOIN g USING (norm)
 """
 
 
+OP2_SQL = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, d.v), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM e q JOIN e d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 @register("op1_ngram_jaccard_join")
 def q_ngram_join(spark, sf):
     return ngram_components(read_table(spark, sf, "documents"))
 
 
+@register("op2_top_k_search", OP2_SQL)
+def q_top_k(spark, sf):
+    return top_k(read_table(spark, sf, "embeddings"))
+
+
+@register("op3_html_extraction")
+def q_html(spark, sf):
+    return extract(read_table(spark, sf, "pages"))
+
+
+@register("op4_temperature_mixing")
+def q_mixing(spark, sf):
+    return mixture(read_table(spark, sf, "documents"))
+
+
+@register("op6_line_dedup")
+def q_line_dedup(spark, sf):
+    return remove_lines(read_table(spark, sf, "documents")).drop("kept_text")
+
+
+@register("op7_ppm_scoring")
+def q_ppm(spark, sf):
+    return score_documents(read_table(spark, sf, "documents"))
+
+
 @register("op5_sentencepiece_codec")
 def q_sentencepiece(spark, sf):
     return round_trip(read_table(spark, sf, "documents"))
@@ -55,3 +100,8 @@ def q_exact_dedup(spark, sf):
 @register("op10_substring_dedup")
 def q_substring_dedup(spark, sf):
     return remove_repeats(read_table(spark, sf, "documents")).drop("kept_text")
+
+
+@register("pipeline")
+def q_pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)

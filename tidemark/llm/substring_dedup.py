@@ -17,18 +17,21 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens as tk
-from tidemark.llm.storage import stored
 
 K = 13
-M = 3
+M = 2
 #: Text bytes per bucket; packed super-k-mers are about three times their text.
-BUCKET_BYTES = 8_000_000
-BLOCK = 16_000_000
+BUCKET_BYTES = 5_000_000
+#: A bucket is sorted in this many parts, by minimiser, one after the other.
+PARTS = 4
+#: Text bytes settled together in a task; twenty times this is the task's working memory.
+BLOCK = 4_000_000
 
 
 def _minimiser_runs(first: np.ndarray, word: np.ndarray, k: int, m: int):
@@ -69,7 +72,7 @@ def _settle(key: np.ndarray, order_ids: np.ndarray, same) -> np.ndarray:
     return out
 
 
-def _same_words(word: np.ndarray, data: bytes, starts, ends, at, k: int):
+def _same_words(data: bytes, starts, ends, at, k: int):
     def same(x, y):
         px, py = at[x], at[y]
         size = ends[px + k - 1] - starts[px]
@@ -95,9 +98,9 @@ def _spans(doc: np.ndarray, pos: np.ndarray, k: int):
 
 
 def _pack(k: int, m: int, buckets: int):
-    """Rows (bucket, payload) for the buckets and (-1, spans settled here)."""
+    """Rows (bucket, payload), and spans settled here, which pass through any bucket."""
     def run(it):
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=6)
         for batch in it:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = tk.text_buffer(batch.column(1))
@@ -113,12 +116,12 @@ def _pack(k: int, m: int, buckets: int):
         raw = data.tobytes()
         key = tk.window_hashes(word, k)[at]
         doc, pos = ids[owner], at - first[owner]
-        settled = _settle(key, doc, _same_words(word, raw, starts, ends, at, k))
+        settled = _settle(key, doc, _same_words(raw, starts, ends, at, k))
         s_doc, s_from, s_to = _spans(doc[settled], pos[settled], k)
         names = ["bucket", "doc_id", "from_word", "to_word", "payload"]
         if len(s_doc):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(s_doc), -1, np.int32)), pa.array(s_doc), pa.array(s_from), pa.array(s_to),
+                [pa.array((s_doc % buckets).astype(np.int32)), pa.array(s_doc), pa.array(s_from), pa.array(s_to),
                  pa.nulls(len(s_doc), pa.binary())], names=names)
         at, low, owner, doc, pos = (v[~settled] for v in (at, low, owner, doc, pos))
         if not len(at):
@@ -126,13 +129,14 @@ def _pack(k: int, m: int, buckets: int):
         cut = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1) | (low[1:] != low[:-1])])
         count = np.diff(np.r_[cut, len(at)])
         a, b = starts[at[cut]], ends[at[cut] + count - 1 + k - 1]
-        bucket = (tk.mix(low[cut]) % tk.U64(buckets)).astype(np.int32)
+        deal = tk.mix(low[cut])
+        bucket, part = (deal % tk.U64(buckets)).astype(np.int32), (deal >> tk.U64(40)) % tk.U64(PARTS)
         order = np.argsort(bucket, kind="stable")
         edge = np.r_[np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]), len(order)]
         flat, out = np.frombuffer(raw, np.uint8), []
         for x, y in zip(edge[:-1], edge[1:]):
             own = order[x:y]
-            head = np.stack([doc[cut[own]], pos[cut[own]], b[own] - a[own]], 1).astype(np.int64)
+            head = np.stack([doc[cut[own]], pos[cut[own]], b[own] - a[own], part[own].astype(np.int64)], 1).astype(np.int64)
             text = flat[tk.ranges(a[own], b[own] - a[own])]
             out.append(pack.compress(np.int64(len(own)).tobytes() + head.T.copy().tobytes() + text.tobytes()))
         n = len(out)
@@ -150,44 +154,66 @@ def _count(k: int):
         for p in payloads:
             raw = unpack.decompress(p)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
-            heads.append(np.frombuffer(raw, np.int64, 3 * n, 8).reshape(3, n))
-            texts.append(np.frombuffer(raw, np.uint8, offset=8 + 24 * n))
-        doc, pos, size = np.concatenate(heads, axis=1)
-        data = np.concatenate(texts)
+            heads.append(np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n))
+            texts.append(np.frombuffer(raw, np.uint8, offset=8 + 32 * n))
+        head, data = np.concatenate(heads, axis=1), np.concatenate(texts)
+        del heads, texts
+        at = np.cumsum(head[2]) - head[2]
+        for part in range(PARTS):
+            own = np.flatnonzero(head[3] == part)
+            if len(own):
+                yield one(*head[:3, own], data[tk.ranges(at[own], head[2, own])])
+
+    def one(doc, pos, size, data):
         offsets = np.r_[0, np.cumsum(size)]
         starts, ends, first = tk.words(data, offsets)
         lens = np.diff(first) - k + 1
         at = tk.ranges(first[:-1], lens)
         owner = np.repeat(np.arange(len(doc)), lens)
-        word = tk.word_hashes(data, starts, ends)
+        key = tk.window_hashes(tk.word_hashes(data, starts, ends), k)[at]
         d = doc[owner]
-        flag = _settle(tk.window_hashes(word, k)[at], d, _same_words(word, data.tobytes(), starts, ends, at, k))
+        flag = _settle(key, d, _same_words(data.tobytes(), starts, ends, at, k))
         return _spans(d[flag], (pos[owner] + at - first[owner])[flag], k)
 
     def run(it):
         now, held = None, []
         for batch in it:
-            for b, p in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist()):
+            settled = batch.filter(pc.is_valid(batch.column("doc_id")))
+            if settled.num_rows:
+                yield settled.select(["doc_id", "from_word", "to_word"])
+            open_ = batch.filter(pc.is_null(batch.column("doc_id")))
+            for b, p in zip(open_.column("bucket").to_pylist(), open_.column("payload")):
                 if b != now:
                     if len(held) > 1:
-                        yield spans(held)
+                        yield from spans(held)
                     now, held = b, []
-                held.append(p)
+                held.append(p.as_buffer().to_pybytes())
         if len(held) > 1:
-            yield spans(held)
+            yield from spans(held)
 
     def spans(held):
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).astype(np.int64)) for x in solve(held)],
-                                          names=["doc_id", "from_word", "to_word"])
+        for found in solve(held):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x).astype(np.int64)) for x in found],
+                                             names=["doc_id", "from_word", "to_word"])
     return run
 
 
+def _squeeze(it):
+    """Texts go to their spans compressed."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in it:
+        texts = batch.column(1).cast(pa.binary())
+        packed = [pack.compress(t.as_buffer()) if t.is_valid and len(t.as_buffer()) else None for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+
 def _remove(it):
+    unpack = zstandard.ZstdDecompressor()
     for batch in it:
-        ids, texts, spans = batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()
+        ids, texts, spans = batch.column(0), batch.column(1), batch.column(2).to_pylist()
         total, lost, sha, kept_text = [], [], [], []
         for text, own in zip(texts.to_pylist(), spans):
-            w = (text or b"").split()
+            w = unpack.decompress(text).split() if text else []
             total.append(len(w))
             if own:
                 gone = np.zeros(len(w), dtype=bool)
@@ -210,12 +236,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     given = given.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, math.ceil(size / BUCKET_BYTES))
-    rows = stored(given.mapInArrow(_pack(k, m, buckets), "bucket int, doc_id long, from_word long, to_word long, payload binary"),
-                  "superkmers")
-    here = rows.where("bucket < 0").select("doc_id", "from_word", "to_word")
-    there = (rows.where("bucket >= 0").select("bucket", "payload").repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_count(k), "doc_id long, from_word long, to_word long"))
-    return here.union(there)
+    rows = given.mapInArrow(_pack(k, m, buckets), "bucket int, doc_id long, from_word long, to_word long, payload binary")
+    return (rows.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_count(k), "doc_id long, from_word long, to_word long"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, m: int = M) -> DataFrame:
@@ -230,5 +253,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = repeated_spans(docs, id_col, text_col, k, m)
     own = spans.groupBy("doc_id").agg(F.collect_set(F.struct("from_word", "to_word")).alias("spans"))
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return given.join(own, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    packed = given.mapInArrow(_squeeze, "doc_id long, packed binary")
+    return packed.join(own, "doc_id", "left").select("doc_id", "packed", "spans").mapInArrow(
         _remove, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
