@@ -1,13 +1,15 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame operations only.
 
-A line is its set of distinct words (A-Z lower-cased).  Under one order, rare words first,
-two sets of Jaccard similarity ``t`` or more share a word among their first
-``n - ceil(t * n) + 1``; lines meet on such a word if the length filter and the positional
-filter (how much can follow the meeting word) allow the similarity, and are then verified
-in full.  A line that matches an earlier one, in the order of (doc_id, line number), goes.
-
-Rarity comes from a table of word counts over hash buckets; every bucket's count covers
-all lines.  It fixes one order for all, which is all that exactness needs.
+A line is its set of distinct words (lower-cased), as 58-bit hashes under a rarity level.
+Under one order, rare words first, two sets of Jaccard similarity ``t`` or more share a
+word among their first ``n - ceil(t * n) + 1``; lines meet on such a word if the length
+filter, the positional filter (how much can follow the meeting word) and a 128-bit parity
+sketch (its distance never exceeds the symmetric difference) allow the similarity, and are
+then verified in full.  A line that matches an earlier one, in the order of (doc_id, line
+number), goes.
+
+Rarity is the log2 of a word's count over hash buckets; every bucket's count covers all
+lines.  It fixes one order for all, which is all that exactness needs.
 """
 
 from __future__ import annotations
@@ -16,64 +18,103 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
+from tidemark.session import bounded_broadcast
 
 THRESHOLD = 80             # percent
 RARITY_BUCKETS = 65_536
-SPACE = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+HASH_BITS = 58
+#: Ids broadcast (8 bytes each) to pick the texts to verify; beyond, a shuffle join does.
+BROADCAST_IDS = 1_000_000
+ODD_SPACE = "\t\r\x0b\x0c"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = given.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    words = F.array_distinct(F.filter(F.split(F.translate("line", UPPER, LOWER), SPACE), lambda w: w != ""))
-    return rows.select("doc_id", "line_no", "line", words.alias("words"))
+def _split_words(line):
+    """Distinct lower-cased words of a line."""
+    plain = F.when(line.rlike(r"[\t\r\x0B\f]"), F.translate(line, ODD_SPACE, "    ")).otherwise(line)
+    return F.array_remove(F.array_distinct(F.split(F.lower(plain), " ")), "")
+
+
+def _bucket(word):
+    return F.pmod(F.xxhash64(word), F.lit(RARITY_BUCKETS)).cast("int")
+
+
+def rarity_levels(docs: DataFrame):
+    """Array column: per hash bucket the log2 of its words' count in all lines."""
+    words = docs.select(F.explode(F.split(F.lower("text"), r"[ \n]")).alias("w")).where("w <> ''")
+    levels = (words.groupBy(_bucket("w").alias("b")).agg(F.floor(F.log2(F.count("*"))).cast("int").alias("level"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("b", "level"))).alias("m")).first()["m"])    # bounded by the buckets
+    levels = levels or {}
+    return F.split(F.lit(",".join(str(min(31, levels.get(b, 0))) for b in range(RARITY_BUCKETS))), ",").cast("array<bigint>")
+
+
+def _tokens(line, rarity):
+    """Sorted distinct tokens: rarity level above a word hash."""
+    def token(w):
+        low = F.xxhash64(w).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+        return F.shiftleft(F.element_at(rarity, _bucket(w) + 1), HASH_BITS).bitwiseOR(low)
+    return F.sort_array(F.transform(_split_words(line), token))
+
+
+def _sketch(tokens, half: int):
+    """64 parity bits of the tokens whose bit 6 is ``half``."""
+    def step(acc, t):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(F.shiftright(t, 6).bitwiseAND(F.lit(1)) == half, acc.bitwiseXOR(bit)).otherwise(acc)
+    return F.aggregate(tokens, F.lit(0).cast("long"), step)
 
 
 def _need(n, threshold: int):
     return F.ceil(n * threshold / 100.0)
 
 
+def _lines(docs: DataFrame, rarity) -> DataFrame:
+    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return rows.select("doc_id", "line_no", _tokens(F.col("line"), rarity).alias("tokens")).where("size(tokens) > 0")
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """``(doc_id, line_no, match_id, match_line)`` of every line to remove, with the
     earliest line it matches.  Lines without words match nothing; null texts have no lines.
     Matches are judged on the input, not on what is left."""
-    lines = _lines(docs, id_col, text_col).where("doc_id is not null and size(words) > 0")
-    keyed = lines.select("doc_id", "line_no", F.array_sort(F.transform("words", lambda w: F.xxhash64(w))).alias("tokens"))
-    at = F.struct("doc_id", "line_no")
-    keyed = keyed.withColumn("set_id", F.xxhash64("tokens"))
-    rows = stored(keyed, "lines")
-    sets = rows.groupBy("set_id").agg(F.min(at).alias("first"), F.min("tokens").alias("tokens"))
-
-    bucket = F.pmod(F.col("token"), F.lit(RARITY_BUCKETS)).cast("int")
-    counts = (sets.select(F.explode("tokens").alias("token")).groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
-              .agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("m")).first()[0])
-    rarity = F.split(F.lit(",".join(str((counts or {}).get(b, 0)) for b in range(RARITY_BUCKETS))), ",").cast("array<long>")
-    ordered = F.transform(
-        F.array_sort(F.transform("tokens", lambda t: F.struct(
-            F.element_at(rarity, F.pmod(t, F.lit(RARITY_BUCKETS)).cast("int") + 1).alias("n"), t.alias("t")))),
-        lambda s: s["t"])
-    sets = stored(sets.select("set_id", "first", ordered.alias("tokens")), "sets")
-
-    size = F.size("tokens")
-    prefix = sets.select("set_id", "first", size.alias("n"), F.posexplode(
-        F.slice("tokens", F.lit(1), (size - _need(size, threshold) + 1).cast("int"))).alias("pos", "token"))
-    many = prefix.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    prefix = stored(prefix.join(many, "token", "left_semi"), "prefixes")
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    given = given.where("doc_id is not null and text is not null")
+    rarity = rarity_levels(given)
+    at, size = F.struct("doc_id", "line_no"), F.size("tokens")
+    rows = stored(_lines(given, rarity).select(
+        F.xxhash64("tokens").alias("set_id"), "doc_id", "line_no", size.alias("n"), _sketch(F.col("tokens"), 0).alias("s0"),
+        _sketch(F.col("tokens"), 1).alias("s1"),
+        F.slice("tokens", F.lit(1), (size - _need(size, threshold) + 1).cast("int")).alias("prefix")), "lines")
+    first = rows.groupBy("set_id").agg(F.min(at).alias("first"))
+    one = F.max(F.struct("n", "s0", "s1", "prefix")).alias("row")      # the same in all rows of a set
+    sets = rows.groupBy("set_id").agg(F.min(at).alias("first"), one).select("set_id", "first", "row.*")
+
+    prefix = sets.select("set_id", "first", "n", "s0", "s1", F.posexplode("prefix").alias("pos", "token"))
+    w = Window.partitionBy("token")
+    prefix = stored(prefix.withColumn("lo", F.min("set_id").over(w)).withColumn("hi", F.max("set_id").over(w))
+                    .where("lo <> hi").drop("lo", "hi"), "prefixes")
     a, b = prefix.alias("a"), prefix.alias("b")
-    least = F.least("a.n", "b.n")
-    need = F.ceil((F.col("a.n") + F.col("b.n")) * threshold / (100.0 + threshold))
-    pairs = (a.join(b, F.col("a.token") == F.col("b.token"))
-             .where((F.col("a.first") < F.col("b.first")) & (least * 100 >= F.greatest("a.n", "b.n") * threshold)
-                    & (1 + F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) - 1 >= need))
-             .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct())
-    left = sets.select(F.col("set_id").alias("x"), F.col("first").alias("x_first"), F.col("tokens").alias("x_tokens"))
-    right = sets.select(F.col("set_id").alias("y"), F.col("tokens").alias("y_tokens"))
+    total = F.col("a.n") + F.col("b.n")
+    apart = F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))) + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1")))
+    pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.first") < F.col("b.first"))
+                    & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * threshold)
+                    & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) * (100 + threshold) >= total * threshold)
+                    & (apart * (100 + threshold) <= total * (100 - threshold)))
+             .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y"),
+                     F.col("a.first").alias("x_first"), F.col("b.first").alias("y_first")).distinct())
+    pairs = stored(pairs, "pairs")
+
+    need = stored(pairs.select(F.col("x").alias("set_id"), F.col("x_first").alias("at"))
+                  .union(pairs.select("y", "y_first")).distinct(), "need")
+    texts = given.join(bounded_broadcast(need.select("at.doc_id").distinct(), BROADCAST_IDS), "doc_id", "left_semi")
+    again = _lines(texts, rarity).withColumn("set_id", F.xxhash64("tokens"))
+    sets = stored(again.join(need.select("set_id", "at.doc_id", "at.line_no"), ["set_id", "doc_id", "line_no"], "left_semi")
+                  .select("set_id", "tokens").dropDuplicates(["set_id"]), "sets")
     both = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    near = (pairs.join(left, "x").join(right, "y")
+    near = (pairs.join(sets.select(F.col("set_id").alias("x"), F.col("tokens").alias("x_tokens")), "x")
+            .join(sets.select(F.col("set_id").alias("y"), F.col("tokens").alias("y_tokens")), "y")
             .where(both * 100 >= threshold * (F.size("x_tokens") + F.size("y_tokens") - both))
             .groupBy(F.col("y").alias("set_id")).agg(F.min("x_first").alias("near")))
-    best = sets.select("set_id", "first").join(near, "set_id", "left").select("set_id", F.least("first", "near").alias("match"))
+    best = first.join(near, "set_id", "left").select("set_id", F.least("first", "near").alias("match"))
     return (rows.select("set_id", "doc_id", "line_no").join(best, "set_id").where(F.col("match") < at)
             .select("doc_id", "line_no", F.col("match.doc_id").alias("match_id"), F.col("match.line_no").alias("match_line")))
 
