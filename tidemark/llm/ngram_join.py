@@ -111,11 +111,11 @@ def _fold(x: np.ndarray, words: int) -> np.ndarray:
 
 def _batches(it: Iterator[pa.RecordBatch], k: int):
     for batch in it:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = batch.column(0)
         data, offsets = tk.text_buffer(batch.column(1))
         for lo, hi in tk.row_blocks(offsets):
             values, at = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], k)
-            yield ids[lo:hi], values, at
+            yield ids.slice(lo, hi - lo), values, at
 
 
 def _profile(k: int):
@@ -125,7 +125,7 @@ def _profile(k: int):
             sig = set_signatures(values, at)
             sketch = parity_sketches(values, at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(np.diff(at)), pa.array(tk.to_long(sig)),
+                [ids, pa.array(np.diff(at)), pa.array(tk.to_long(sig)),
                  pa.array([r.tobytes() for r in sketch], pa.binary()),
                  pa.array([fine_sketch(values[lo:hi]) if hi > lo else b"" for lo, hi in zip(at[:-1], at[1:])], pa.binary())],
                 names=["doc_id", "n_shingles", "sig", "sketch", "fine"])
