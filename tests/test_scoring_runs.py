@@ -169,3 +169,18 @@ def test_retag_per_experiment(spark):
     best = R.best_run(runs, "f1").select("experiment_name", F.col("run_id").alias("best_run_id"))
     got = {(r.run_id, r.is_champion) for r in R.retag(runs.join(best, "experiment_name", "left"), "best_run_id").collect()}
     assert got == {("a", False), ("b", True), ("c", True), ("d", False)}
+
+
+def test_nan_null_groups_and_aliases(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators import runs, score
+    rows = spark.createDataFrame([(1, float("nan")), (2, 0.7), (3, 0.1), (4, None)], "k int, proba double")
+    got = {r["k"]: r["pred"] for r in score.apply_threshold(rows, 0.5).collect()}
+    assert got[1] == 0 and got[2] == 1 and got[3] == 0
+    grouped = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0)], "g string, v double")
+    assert score.minmax_score(grouped, "v", by=["g"]).count() == 3
+    tags = spark.createDataFrame([("r1", True), ("r2", False)], "run_id string, is_champion boolean")
+    assert [tuple(r) for r in runs.retag(tags, F.lit(None).cast("string")).collect()] == [("r1", False)]
+    aliases = spark.createDataFrame([(None, "m", "1"), ("champion", "n", "2")], "alias string, registered_model string, version string")
+    out = runs.assign_alias(aliases, "champion", F.lit("m"), F.lit(3)).collect()
+    assert sorted(str(r["alias"]) for r in out) == ["None", "champion"]

@@ -86,8 +86,10 @@ def logreg(C: float = 1.0, max_iter: int = 100, n_weight: float | None = None, w
 
 def random_forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1,
                   seed: int = 42, weighted: bool = True, label: str = "churn") -> RandomForestClassifier:
+    if max_depth is not None and max_depth > 30:
+        raise ValueError("random_forest: depths above 30 are not supported by pyspark.ml")
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n_estimators,
-                                maxDepth=30 if max_depth is None else min(max_depth, 30),
+                                maxDepth=30 if max_depth is None else max_depth,
                                 minInstancesPerNode=min_samples_leaf, seed=seed, checkpointInterval=10)
     return rf.setWeightCol("weight") if weighted else rf
 

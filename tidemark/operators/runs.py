@@ -204,7 +204,8 @@ def retag(runs: DataFrame, best_run_id: Column | str, tag_col: str = "is_champio
     """Exclusive champion tag: rows that were or become champion get the new value."""
     best = F.col(best_run_id) if isinstance(best_run_id, str) else best_run_id
     touched = runs.where(F.coalesce(F.col(tag_col), F.lit(False)) | (F.col("run_id") == best))
-    return touched.select("run_id", (F.col("run_id") == best).alias(tag_col))
+    # without a best run the old champion loses its tag
+    return touched.select("run_id", F.coalesce(F.col("run_id") == best, F.lit(False)).alias(tag_col))
 
 
 # --- R15 / R16 / R17 ------------------------------------------------------------------
@@ -215,7 +216,7 @@ def latest_version(versions: DataFrame, name_col: str = "registered_model") -> D
 
 def assign_alias(aliases: DataFrame, alias: str, name: Column, version: Column) -> DataFrame:
     """Give ``alias`` to (name, version), removing it from every other model."""
-    kept = aliases.where(F.col("alias") != F.lit(alias))
+    kept = aliases.where(~F.col("alias").eqNullSafe(F.lit(alias)))
     new = aliases.sparkSession.range(1).select(F.lit(alias).alias("alias"), name.alias("registered_model"),
                                                version.cast("string").alias("version"))
     return kept.unionByName(new)

@@ -36,7 +36,9 @@ def minmax_score(df: DataFrame, col: str, out: str = "proba", by: list[str] | No
     """
     if by:
         mm = df.groupBy(*by).agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-        d = df.join(mm, by)
+        mm = mm.withColumnsRenamed({c: f"_by_{c}" for c in by})      # null groups are groups
+        same = [df[c].eqNullSafe(mm[f"_by_{c}"]) for c in by]
+        d = df.join(mm, same).drop(*[f"_by_{c}" for c in by])
         return d.withColumn(out, (F.col(col) - F.col("_mn")) / (F.col("_mx") - F.col("_mn") + F.lit(1e-12))).drop("_mn", "_mx")
     row = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx")).collect()[0]
     if row["mn"] is None:
@@ -51,9 +53,10 @@ def hard_to_float(df: DataFrame, col: str, out: str = "proba") -> DataFrame:
 
 # --- P4 -------------------------------------------------------------------------------
 def apply_threshold(df: DataFrame, t=DEFAULT_THRESHOLD, col: str = "proba", out: str = "pred") -> DataFrame:
-    """``pred = int(proba >= t)``; ``t`` is a number or a Column (per-row thresholds)."""
+    """``pred = int(proba >= t)``; ``t`` is a number or a Column (per-row thresholds).
+    NaN reaches no threshold (Spark alone would order it above all numbers)."""
     tc = t if isinstance(t, Column) else F.lit(float(t))
-    return df.withColumn(out, (F.col(col) >= tc).cast("int"))
+    return df.withColumn(out, ((F.col(col) >= tc) & ~F.isnan(F.col(col).cast("double"))).cast("int"))
 
 
 # --- P5 -------------------------------------------------------------------------------

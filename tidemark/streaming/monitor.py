@@ -127,7 +127,7 @@ def feature_drift(base: DataFrame, recent: DataFrame, numeric: list[str], catego
         cr = r.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n_recent"))
         j = cb.join(cr, ["feature", "bin"], "full").na.fill(0, ["n_base", "n_recent"])
         # numeric bins sort as numbers
-        j = j.withColumn("bin", F.when(F.col("bin").rlike(r"^\d+$"), F.lpad("bin", 6, "0")).otherwise(F.col("bin")))
+        j = j.withColumn("bin", F.when(F.col("bin").rlike(r"^\d{1,6}$"), F.lpad("bin", 6, "0")).otherwise(F.col("bin")))
         res = _psi_from_counts(j)
         out = res if out is None else out.unionByName(res)
     return out
