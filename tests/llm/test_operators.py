@@ -258,7 +258,7 @@ def test_ppm_probabilities_sum_to_one():
         assert (10 ** trie.log10(every)).sum() == pytest.approx(1, abs=1e-9)
 
 
-def test_ppm_scores(cases, documents, empty):
+def test_ppm_scores(cases, documents):
     import zlib
     docs = pairs_of(documents)
     words = {i: WORD.findall(low(t or "")) for i, t in docs}
@@ -272,6 +272,22 @@ def test_ppm_scores(cases, documents, empty):
             held[r["doc_id"]], len(own), sum(c[w] > 0 for w in own), n)
         assert r["base_score"] == pytest.approx(want) and r["score"] < 0
     assert lm_scoring.score_documents(cases).count() == cases.count()
+
+
+def test_ppm_codes_equal_one_whole_trie(documents, monkeypatch):
+    """Grouped codes, broadcast or joined, against one trie built from every training text."""
+    import zlib
+    rows = [(i, t) for i, t in pairs_of(documents)]
+    train = pa.array([t or "" for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1])
+    trie = lm_scoring.Trie(*np.unique(lm_scoring._keys(*tk.text_buffer(train))[0], return_counts=True))
+    want = {i: trie.log10(lm_scoring._keys(*tk.text_buffer(pa.array([t or ""])))[0]).sum() for i, t in rows}
+    for hot in (lm_scoring.HOT_KEYS, 300):
+        monkeypatch.setattr(lm_scoring, "HOT_KEYS", hot)
+        got = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(documents).collect()}
+        assert got == pytest.approx(want)
+
+
+def test_ppm_empty(empty):
     assert lm_scoring.score_documents(empty).count() == 0
 
 

@@ -8,15 +8,20 @@ a context also follows its suffixes, so the symbols to exclude are exactly those
 next longer node; what they hold of the shorter node's total is one number per node, and a
 whole block of positions is coded with array operations.
 
+The trie is never held in one place.  Contexts that share their two nearest bytes share
+all longer nodes, so the distinct (context, byte) keys of the corpus are coded in groups of
+those two bytes; the nodes above (at most 256 * 256 entries) go to every group.  A text's
+score is the sum of its keys' codes.  Keys that make up at least ``1 / HOT_KEYS`` of the
+training bytes (so at most ``HOT_KEYS`` keys) are broadcast with their codes; occurrences of
+all others meet theirs in a join on the key.  No entry is ever forgotten.
+
 Beside it stands the unigram word score of the contract.  Words that make up at least
 ``1 / HOT_SHARE`` of the training tokens (so at most ``HOT_SHARE`` words) are broadcast;
-occurrences of all others meet their counts in a join on the word.
+occurrences of all others meet their counts in the same join.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,10 +31,10 @@ from tidemark.llm import tokens as tk
 from tidemark.llm.storage import stored
 
 ORDER = 4
-#: Entries (context, byte) the broadcast trie may hold; beyond, its rarest are forgotten.
-#: Counting itself covers every training text.
-TRIE_ENTRIES = 3_000_000
+#: At most so many keys and words are broadcast (16 bytes each); all others are joined.
+HOT_KEYS = 3_000_000
 HOT_SHARE = 50_000
+GROUP_BITS = 24            # a key's lower bytes: two context bytes above them name its group
 END = 255                  # never a byte of UTF-8: ends a text
 BLOCK = 3_000_000
 
@@ -68,23 +73,33 @@ def _word_keys(data, offsets):
 
 
 def _gather(it):
-    """Training counts of a block: (0, word hash, n) and (1, context and byte, n)."""
-    for rows, data, offsets in _blocks(it):
-        word, _ = _word_keys(data, offsets)
-        for kind, keys in ((0, word), (1, _keys(data, offsets)[0])):
-            k, n = np.unique(keys, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(tk.to_long(k)), pa.array(n)],
-                                             names=["kind", "key", "n"])
+    """Training counts of a block: (0, word hash, n) and (1, context and byte, n).  Texts
+    held out give their contexts with n = 0, so that every key gets a code."""
+    for batch in it:
+        held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        for learns, part in ((1, batch.filter(pa.array(~held))), (0, batch.filter(pa.array(held)))):
+            for _, data, offsets in _blocks([part]):
+                kinds = [(1, _keys(data, offsets)[0])]
+                if learns:
+                    kinds.append((0, _word_keys(data, offsets)[0]))
+                for kind, keys in kinds:
+                    k, n = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(k), kind, np.int8)), pa.array(tk.to_long(k)), pa.array(n * learns)],
+                        names=["kind", "key", "n"])
 
 
 class Trie:
-    """Arrays per order: sorted contexts with totals, and sorted (context, byte) counts."""
+    """Arrays per order: sorted contexts with totals, and sorted (context, byte) counts.
+
+    ``low``: keys and counts that orders 0 and 1 are built from, where ``keys`` are only one
+    group of the corpus's."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.int64)
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, low: tuple[np.ndarray, np.ndarray] | None = None):
+        whole = keys, counts
         self.entry, self.count, self.context, self.total, self.kinds, self.held = {}, {}, {}, {}, {}, {}
         for o in range(ORDER + 1):
+            keys, counts = low if low is not None and o < 2 else whole
             drop = tk.U64(8 * (ORDER - o))
             symbol = keys & tk.U64(255)
             short = (((keys >> tk.U64(8)) >> drop) << tk.U64(8)) | symbol
@@ -138,80 +153,86 @@ class Trie:
         out[open_] -= np.log10(np.maximum(256 - out_kinds[open_], 1))
         return out
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        keys, first = _keys(data, offsets)
-        order = np.argsort(keys)
-        k = keys[order]
-        head = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        each = np.empty(len(k))
-        each[order] = np.repeat(self.log10(k[head]), np.diff(np.r_[head, len(k)]))
-        return np.add.reduceat(each, first[:-1]) if len(first) > 1 else np.zeros(0)
+
+def _code(low):
+    """Codes of one group's keys, those with n = 0 included."""
+    def run(table: pa.Table) -> pa.Table:
+        keys = tk.from_long(table.column("key").to_numpy())
+        n = table.column("n").to_numpy()
+        trie = Trie(keys[n > 0], n[n > 0], low.value)
+        return pa.table({"key": table.column("key"), "n": table.column("n"), "code": trie.log10(keys)})
+    return run
 
 
-def bounded_entries(counts: DataFrame, entries: int = TRIE_ENTRIES) -> tuple[np.ndarray, np.ndarray]:
-    """The trie's (context, byte) keys and counts, after its size was checked: if there are
-    more than ``entries``, those below the smallest sufficient count are forgotten and
-    coded by escape from then on."""
-    levels, least = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy("n").collect(), 1
-    left = sum(r["count"] for r in levels)
-    for r in levels:
-        if left <= entries:
-            break
-        left, least = left - r["count"], r["n"] + 1
-    rows = counts.where(F.col("n") >= least).select("key", "n").toArrow()
-    return tk.from_long(rows.column("key").to_numpy()), rows.column("n").to_numpy()
+def key_codes(keys: DataFrame) -> DataFrame:
+    """``keys(key, n)``, one row per key -> ``(key, n, code)`` with the log10 probability of
+    the key's byte after its context.  A group holds at most 256 ** 3 keys."""
+    short = F.shiftleft(F.shiftright("key", 32), 32).bitwiseOR(F.col("key").bitwiseAND(F.lit(255)))
+    low = keys.where("n > 0").groupBy(short.alias("key")).agg(F.sum("n").alias("n")).toArrow()   # at most 65,536 rows
+    shared = keys.sparkSession.sparkContext.broadcast((tk.from_long(low.column("key").to_numpy()), low.column("n").to_numpy()))
+    return (keys.withColumn("suffix", F.shiftright("key", GROUP_BITS)).groupBy("suffix")
+            .applyInArrow(_code(shared), "key long, n long, code double"))
 
 
-_TRIES: dict[str, Trie] = {}
+def _lookup(have: np.ndarray, values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Value of each key (0 where absent) and whether it is there; ``have`` is sorted."""
+    if not len(have):
+        return np.zeros(len(keys)), np.zeros(len(keys), bool)
+    pos = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+    there = have[pos] == keys
+    return np.where(there, values[pos], 0.0), there
 
 
-def _trie(name: str, keys, counts) -> Trie:
-    """One trie per Python worker, built from the broadcast counts."""
-    if name not in _TRIES:
-        _TRIES.clear()
-        _TRIES[name] = Trie(keys, counts)
-    return _TRIES[name]
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    run = np.r_[0.0, np.cumsum(values)]
+    return np.diff(run[first])
 
 
-SCORED = ("row_id long, key long, times long, doc_id long, held_out boolean, n_tokens long, n_known long, "
+SCORED = ("kind byte, row_id long, key long, times long, doc_id long, held_out boolean, n_tokens long, n_known long, "
           "base double, score double")
 
 
+def _occurrences(kind: int, row: np.ndarray, owner: np.ndarray, keys: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """One row per document and distinct key, with the number of its occurrences."""
+    order = np.lexsort((keys, owner))
+    k, o = keys[order], owner[order]
+    head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (o[1:] != o[:-1])]) if len(k) else np.zeros(0, np.int64)
+    m = len(head)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(m, kind, np.int8)), pa.array(row[o[head]]), pa.array(tk.to_long(k[head])),
+         pa.array(np.diff(np.r_[head, len(k)])), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()), *[pa.nulls(m, pa.int64())] * 2,
+         *[pa.nulls(m, pa.float64())] * 2], names=names)
+
+
 def _score(shared):
-    """Document rows (``times`` 0), and a row per distinct word of a document that is not
-    broadcast."""
+    """Document rows (kind 2), and a row per distinct word (0) or key (1) of a document that
+    is not broadcast."""
     names = [c.split()[0] for c in SCORED.split(", ")]
 
     def run(it):
-        name, keys, counts, hot, hot_log, base, ends = shared.value
-        trie = _trie(name, keys, counts)
+        hot_key, hot_code, hot, hot_log, base, ends = shared.value
         for rows, data, offsets in _blocks(it):
             word, first = _word_keys(data, offsets)
+            part, known = _lookup(hot, hot_log, word)
             n = rows.num_rows
-            if len(hot):
-                pos = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
-                known = hot[pos] == word
-                part = np.r_[0, np.cumsum(np.where(known, hot_log[pos], 0.0))]
-            else:
-                known, part = np.zeros(len(word), bool), np.zeros(len(word) + 1)
-            seen = np.r_[0, np.cumsum(known)]
             row = rows.column(1).to_numpy(zero_copy_only=False)
             spread = tk.to_long(tk.mix(row.astype(np.uint64)))      # deals document rows evenly
+            keys, at = _keys(data, offsets)
+            order = np.argsort(keys)
+            k = keys[order]
+            head = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            times = np.diff(np.r_[head, len(k)])
+            code, coded = _lookup(hot_key, hot_code, k[head])
+            each = np.empty(len(k))
+            each[order] = np.repeat(code, times)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.array(spread), pa.array(np.zeros(n, np.int64)), rows.column(2), rows.column(3),
-                 pa.array((np.diff(first) + 1).astype(np.int64)), pa.array((np.diff(seen[first]) + (ends > 0)).astype(np.int64)),
-                 pa.array(np.diff(part[first]) + base), pa.array(trie.score(data, offsets))], names=names)
-            owner = np.repeat(np.arange(n), np.diff(first))[~known]
-            rare = word[~known]
-            if len(rare):
-                order = np.lexsort((rare, owner))
-                w, o = rare[order], owner[order]
-                head = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (o[1:] != o[:-1])])
-                m = len(head)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[o[head]]), pa.array(tk.to_long(w[head])), pa.array(np.diff(np.r_[head, len(w)])),
-                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()), *[pa.nulls(m, pa.int64())] * 2,
-                     *[pa.nulls(m, pa.float64())] * 2], names=names)
+                [pa.array(np.full(n, 2, np.int8)), pa.array(row), pa.array(spread), pa.array(np.zeros(n, np.int64)),
+                 rows.column(2), rows.column(3), pa.array((np.diff(first) + 1).astype(np.int64)),
+                 pa.array(np.diff(np.r_[0, np.cumsum(known)][first]) + (ends > 0)),
+                 pa.array(_sums(part, first) + base), pa.array(_sums(each, at))], names=names)
+            yield _occurrences(0, row, np.repeat(np.arange(n), np.diff(first))[~known], word[~known], names)
+            rare = order[np.repeat(~coded, times)]
+            yield _occurrences(1, row, np.searchsorted(at, rare, side="right") - 1, keys[rare], names)
     return run
 
 
@@ -232,7 +253,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).alias("doc_id"))
     given = given.withColumn("held_out", held_out())
     train = given.where("not held_out")
-    counts = stored(train.select("text").mapInArrow(_gather, "kind byte, key long, n long").groupBy("kind", "key")
+    counts = stored(given.select("text", "held_out").mapInArrow(_gather, "kind byte, key long, n long").groupBy("kind", "key")
                     .agg(F.sum("n").alias("n")), "counts")
     words = counts.where("kind = 0").select("key", "n")
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -242,18 +263,27 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot = words.where(F.col("n") * HOT_SHARE >= F.lit(big_n)).toArrow()      # at most HOT_SHARE rows
     key, n = tk.from_long(hot.column("key").to_numpy()), hot.column("n").to_numpy()
     order = np.argsort(key)
+    codes = stored(key_codes(counts.where("kind = 1").select("key", "n")), "codes")
+    coded = codes.agg(F.sum("n")).first()[0] or 0
+    often = (F.col("n") > 0) & (F.col("n") * HOT_KEYS >= F.lit(coded))       # at most HOT_KEYS rows
+    top = codes.where(often).select("key", "code").toArrow()
+    top_key = tk.from_long(top.column("key").to_numpy())
+    rank = np.argsort(top_key)
     shared = spark.sparkContext.broadcast(
-        (uuid.uuid4().hex, *bounded_entries(counts.where("kind = 1")), key[order], np.log10((n[order] + 0.5) / below),
+        (top_key[rank], top.column("code").to_numpy()[rank], key[order], np.log10((n[order] + 0.5) / below),
          float(np.log10((ends + 0.5) / below)), ends))
 
     numbered = given.select("text", F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long"), "held_out")
-    rows = numbered.mapInArrow(_score(shared), SCORED).join(words, "key", "left")
-    rare = F.col("times") > 0
-    known = F.when(rare, F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).otherwise(F.col("n_known"))
-    base = F.when(rare, F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / below)).otherwise(F.col("base"))
-    return (rows.select("row_id", "doc_id", "held_out", "n_tokens", known.alias("n_known"), base.alias("base"), "score")
+    known_keys = (words.select(F.lit(0).cast("byte").alias("kind"), "key", "n", F.lit(0.0).alias("code"))
+                  .union(codes.where(~often).select(F.lit(1).cast("byte"), "key", "n", "code")))
+    rows = numbered.mapInArrow(_score(shared), SCORED).join(known_keys, ["kind", "key"], "left")
+    word, context = F.col("kind") == 0, F.col("kind") == 1
+    known = F.when(word, F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).otherwise(F.col("n_known"))
+    base = F.when(word, F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / below)).otherwise(F.col("base"))
+    score = F.when(context, F.col("times") * F.col("code")).otherwise(F.col("score"))
+    return (rows.select("row_id", "doc_id", "held_out", "n_tokens", known.alias("n_known"), base.alias("base"), score.alias("score"))
             .groupBy("row_id").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
                                    F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-                                   F.sum("base").alias("base_score"), F.max("score").alias("score"))
+                                   F.sum("base").alias("base_score"), F.sum("score").alias("score"))
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(big_n).cast("long").alias("train_tokens"),
                     "base_score", "score"))
