@@ -159,6 +159,28 @@ def brute_lines(docs):
     return lost
 
 
+def test_line_dedup_of_near_copies(spark):
+    """A group of near copies, some of which match no first member but a later one."""
+    import random
+    rng = random.Random(5)
+    base, rows = [f"word{i}" for i in range(40)], []
+    for i in range(150):
+        line = list(base)
+        for k in rng.sample(range(40), rng.choice([0, 1, 3, 5, 8])):
+            line[k] = f"new{rng.randrange(12)}"
+        rows.append((i, "\n".join([" ".join(line), f"own line {i}", "one line for all"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]) for r in line_dedup.duplicate_lines(docs).collect()}
+    assert got == brute_lines(rows)
+
+
+def test_line_dedup_of_documents(documents):
+    rows = line_dedup.duplicate_lines(documents).collect()
+    got = {(r["doc_id"], r["line_no"]) for r in rows}
+    assert len(rows) == len(got) and got == brute_lines(pairs_of(documents))
+    assert all((r["match_id"], r["match_line"]) < (r["doc_id"], r["line_no"]) for r in rows)
+
+
 def test_line_dedup(cases):
     lost = brute_lines(pairs_of(cases))
     for r in line_dedup.remove_lines(cases).collect():

@@ -8,13 +8,17 @@ sketch (its distance never exceeds the symmetric difference) allow the similarit
 then verified in full.  A line that matches an earlier one, in the order of (doc_id, line
 number), goes.
 
+Lines meet in two rounds.  In the first, a set meets only the earliest set of each of its
+prefix words, so a group of near copies meets its first member and not itself; what that
+settles needs no other match.  In the second, the sets still open meet every earlier one.
+
 Rarity is the log2 of a word's count over hash buckets; every bucket's count covers all
 lines.  It fixes one order for all, which is all that exactness needs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
@@ -40,7 +44,7 @@ def _bucket(word):
 
 def rarity_levels(docs: DataFrame):
     """Array column: per hash bucket the log2 of its words' count in all lines."""
-    words = docs.select(F.explode(F.split(F.lower("text"), r"[ \n]")).alias("w")).where("w <> ''")
+    words = docs.select(F.explode(F.split(F.replace(F.lower("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
     levels = (words.groupBy(_bucket("w").alias("b")).agg(F.floor(F.log2(F.count("*"))).cast("int").alias("level"))
               .agg(F.map_from_entries(F.collect_list(F.struct("b", "level"))).alias("m")).first()["m"])    # bounded by the buckets
     levels = levels or {}
@@ -49,10 +53,11 @@ def rarity_levels(docs: DataFrame):
 
 def _tokens(line, rarity):
     """Sorted distinct tokens: rarity level above a word hash."""
-    def token(w):
-        low = F.xxhash64(w).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        return F.shiftleft(F.element_at(rarity, _bucket(w) + 1), HASH_BITS).bitwiseOR(low)
-    return F.sort_array(F.transform(_split_words(line), token))
+    def token(h):
+        low = h.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+        bucket = F.pmod(h, F.lit(RARITY_BUCKETS)).cast("int")
+        return F.shiftleft(F.element_at(rarity, bucket + 1), HASH_BITS).bitwiseOR(low)
+    return F.sort_array(F.transform(F.transform(_split_words(line), lambda w: F.xxhash64(w)), token))
 
 
 def _sketch(tokens, half: int):
@@ -72,37 +77,24 @@ def _lines(docs: DataFrame, rarity) -> DataFrame:
     return rows.select("doc_id", "line_no", _tokens(F.col("line"), rarity).alias("tokens")).where("size(tokens) > 0")
 
 
-def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """``(doc_id, line_no, match_id, match_line)`` of every line to remove, with the
-    earliest line it matches.  Lines without words match nothing; null texts have no lines.
-    Matches are judged on the input, not on what is left."""
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    given = given.where("doc_id is not null and text is not null")
-    rarity = rarity_levels(given)
-    at, size = F.struct("doc_id", "line_no"), F.size("tokens")
-    rows = stored(_lines(given, rarity).select(
-        F.xxhash64("tokens").alias("set_id"), "doc_id", "line_no", size.alias("n"), _sketch(F.col("tokens"), 0).alias("s0"),
-        _sketch(F.col("tokens"), 1).alias("s1"),
-        F.slice("tokens", F.lit(1), (size - _need(size, threshold) + 1).cast("int")).alias("prefix")), "lines")
-    first = rows.groupBy("set_id").agg(F.min(at).alias("first"))
-    one = F.max(F.struct("n", "s0", "s1", "prefix")).alias("row")      # the same in all rows of a set
-    sets = rows.groupBy("set_id").agg(F.min(at).alias("first"), one).select("set_id", "first", "row.*")
-
-    prefix = sets.select("set_id", "first", "n", "s0", "s1", F.posexplode("prefix").alias("pos", "token"))
-    w = Window.partitionBy("token")
-    prefix = stored(prefix.withColumn("lo", F.min("set_id").over(w)).withColumn("hi", F.max("set_id").over(w))
-                    .where("lo <> hi").drop("lo", "hi"), "prefixes")
-    a, b = prefix.alias("a"), prefix.alias("b")
+def _candidates(a: DataFrame, b: DataFrame, threshold: int, more=None) -> DataFrame:
+    """Pairs of sets, ``x`` before ``y``, that share a token of ``a`` and ``b`` (one row per
+    prefix token) and pass the length, positional and sketch filters, and ``more``."""
+    a, b, more = a.alias("a"), b.alias("b"), F.lit(True) if more is None else more
     total = F.col("a.n") + F.col("b.n")
     apart = F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))) + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1")))
-    pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.first") < F.col("b.first"))
+    pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.first") < F.col("b.first")) & more
                     & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * threshold)
                     & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) * (100 + threshold) >= total * threshold)
                     & (apart * (100 + threshold) <= total * (100 - threshold)))
              .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y"),
                      F.col("a.first").alias("x_first"), F.col("b.first").alias("y_first")).distinct())
-    pairs = stored(pairs, "pairs")
+    return stored(pairs, "pairs")
+
 
+def _verified(pairs: DataFrame, given: DataFrame, rarity, threshold: int) -> DataFrame:
+    """``(set_id, near)``: every set that is similar to an earlier one of its pairs, and the
+    earliest such line."""
     need = stored(pairs.select(F.col("x").alias("set_id"), F.col("x_first").alias("at"))
                   .union(pairs.select("y", "y_first")).distinct(), "need")
     texts = given.join(bounded_broadcast(need.select("at.doc_id").distinct(), BROADCAST_IDS), "doc_id", "left_semi")
@@ -114,6 +106,33 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .join(sets.select(F.col("set_id").alias("y"), F.col("tokens").alias("y_tokens")), "y")
             .where(both * 100 >= threshold * (F.size("x_tokens") + F.size("y_tokens") - both))
             .groupBy(F.col("y").alias("set_id")).agg(F.min("x_first").alias("near")))
+    return stored(near, "near")
+
+
+def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """``(doc_id, line_no, match_id, match_line)`` of every line to remove, with an earlier
+    line it matches.  Lines without words match nothing; null texts have no lines.
+    Matches are judged on the input, not on what is left."""
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    given = given.where("doc_id is not null and text is not null")
+    rarity = rarity_levels(given)
+    at, size = F.struct("doc_id", "line_no"), F.size("tokens")
+    rows = stored(_lines(given, rarity).select(
+        F.xxhash64("tokens").alias("set_id"), "doc_id", "line_no", size.alias("n"), _sketch(F.col("tokens"), 0).alias("s0"),
+        _sketch(F.col("tokens"), 1).alias("s1"),
+        F.slice("tokens", F.lit(1), (size - _need(size, threshold) + 1).cast("int")).alias("prefix")), "lines")
+    first = rows.groupBy("set_id").agg(F.min(at).alias("first"))
+    one = F.max(F.struct("n", "s0", "s1", "prefix")).alias("row")      # the same in all rows of a set
+    sets = stored(rows.groupBy("set_id").agg(F.min(at).alias("first"), one).select("set_id", "first", "row.*"), "sets")
+
+    def prefixes(df, *more):
+        return df.select("set_id", "first", "n", "s0", "s1", *more, F.posexplode("prefix").alias("pos", "token"))
+    leaders = (prefixes(sets).groupBy("token").agg(F.count("*").alias("sets"), F.min(F.struct("first", "set_id", "n", "s0", "s1", "pos")).alias("row"))
+               .where("sets > 1").select("token", "row.*"))
+    near = _verified(_candidates(leaders, prefixes(sets), threshold), given, rarity, threshold)
+    settled = near.select("set_id", F.lit(True).alias("settled"))
+    marked = prefixes(sets.join(settled, "set_id", "left"), F.coalesce("settled", F.lit(False)).alias("settled"))
+    near = near.union(_verified(_candidates(marked, marked, threshold, F.expr("not b.settled")), given, rarity, threshold))
     best = first.join(near, "set_id", "left").select("set_id", F.least("first", "near").alias("match"))
     return (rows.select("set_id", "doc_id", "line_no").join(best, "set_id").where(F.col("match") < at)
             .select("doc_id", "line_no", F.col("match.doc_id").alias("match_id"), F.col("match.line_no").alias("match_line")))

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by temperature, in DataFrame operations only.
 
-Source shares ``p`` become weights ``p^a / sum p^a``.  The exponent comes from a bracketed
-search whose every step is one aggregate over the source table: the largest exponent in
+Source shares ``p`` become weights ``p^a / sum p^a``.  The exponent is found by bisection;
+one aggregate over the source table serves four halvings at once: the largest exponent in
 [0, 1] at which the entropy reaches a target, or the smallest at which no source repeats
 more often than a limit.  The weights are realised as a stream of blocks of equal token
 budget: a source's documents run in permutations (one per pass over the source, ordered by
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
 
-#: Exponents tried per step and steps: 16^10 intervals, finer than doubles tell apart.
+#: A step judges the ends of 16 equal parts, all that four halvings can reach; 40 halvings.
 GRID, STEPS = 16, 10
 #: Hash ranges a source is cut into for its running token sums.
 RANGES = 1024
@@ -28,7 +28,7 @@ MAX_REPEATS = 4.0
 
 
 def _search(shares: DataFrame, fits, low_fits: bool) -> float:
-    """Bracket the exponent in [0, 1]; ``fits(row, i)`` judges exponent i of a step.
+    """Bisect the exponent in [0, 1]; ``fits(row, i)`` judges exponent i of a step.
 
     ``low_fits``: small exponents fit and the largest fitting is wanted; otherwise large
     ones fit and the smallest is wanted.
