@@ -102,3 +102,22 @@ def test_weighted_curve_equals_row_curve(spark):
     sa = sorted(tuple(r) for r in E.curve_summary(E.score_curve(df, by=["g"]), ["g"]).collect())
     sb = sorted(tuple(r) for r in E.curve_summary(E.score_curve(agg, by=["g"], weight="n"), ["g"]).collect())
     assert sa == sb
+
+
+def test_curves_use_raw_scores_and_keep_null_groups(spark):
+    """Scores 1e-10 apart stay apart; the threshold returned is a score, and applying it
+    gives the metrics reported at it; null and NaN scores count as never reached."""
+    rows = [(g, y, s) for g in ("a", None) for y, s in [(0, 1e-10), (1, 2e-10), (0, 3e-10), (1, 4e-10), (1, None), (0, float("nan"))]]
+    df = spark.createDataFrame(rows, "g string, churn int, proba double")
+    got = evaluate.curve_summary(evaluate.score_curve(df, by=["g"]), ["g"]).collect()
+    assert {r["g"] for r in got} == {"a", None}
+    for r in got:
+        assert (r["n_pos"], r["n_neg"], r["best_threshold"]) == (3, 3, 2e-10)
+        # wins of a positive over a negative, ties half: (2 + 3) + (1 + 0.5 ...)
+        order = {1: [2e-10, 4e-10, -1.0], 0: [1e-10, 3e-10, -1.0]}
+        wins = sum((p > n) + (p == n) / 2 for p in order[1] for n in order[0])
+        assert abs(r["roc_auc"] - wins / 9) < 1e-12
+    at = {r["g"]: r for r in evaluate.metrics_at_best(df, by=["g"]).collect()}
+    assert set(at) == {"a", None}
+    for r in at.values():
+        assert (r["tp"], r["fp"], r["fn"], r["tn"], r["n"]) == (2, 1, 1, 2, 6)

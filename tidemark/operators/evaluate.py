@@ -2,13 +2,17 @@
 
 Everything is grouped by optional ``by`` columns (split, model, window ...).
 
-The curves are exact: one point per distinct (rounded) score.  The plan is
+The curves are exact: one point per distinct raw score.  The plan is
 ``groupBy(by, score)`` with map-side partial aggregation - a score shared by a third
 of all rows collapses to one partial row per task - followed by descending running
 sums computed over contiguous score ranges (``ranking.running_totals``).  AUC and
 average precision are sums over the curve rows, and the best threshold is a
 ``min(struct(-f1, score))`` aggregate, so no step needs a global window or a sort on
 one task.
+
+A row whose score is null or NaN reaches no threshold: it makes no point, but counts in the
+class totals, so it is a missed positive or a rejected negative everywhere.  A null group
+is a group.
 """
 
 from __future__ import annotations
@@ -16,10 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import safe_div
-from tidemark.operators.ranking import running_totals
+from tidemark.functions.exprs import nan_to_null, safe_div
+from tidemark.operators.ranking import join_groups, running_totals
 
-SCORE_DECIMALS = 9
+# Fixed value: keeps F1 defined on the curve where precision and recall are both 0.
 F1_EPS = 1e-12
 
 
@@ -65,8 +69,8 @@ def classification_metrics(df: DataFrame, label: str = "churn", pred: str = "pre
 
 # --- E6 / E7 --------------------------------------------------------------------------
 def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=None,
-                n_buckets: int = 64, decimals: int = SCORE_DECIMALS, weight: str | None = None) -> DataFrame:
-    """One row per distinct score (rounded to ``decimals``) and group:
+                n_buckets: int = 64, weight: str | None = None) -> DataFrame:
+    """One row per distinct raw score and group:
 
     ``threshold, pos, neg`` (rows at that score), ``tp, fp`` (rows scoring >= it),
     ``n_pos, n_neg`` (group totals), ``precision, recall, f1, tpr, fpr``.
@@ -79,9 +83,9 @@ def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=No
         neg = F.coalesce(F.sum(F.when(y != 1, F.col(weight))), F.lit(0)).cast("long")
     else:
         pos, neg = F.count(F.when(y == 1, 1)), F.count(F.when(y != 1, 1))
-    pts = (df.groupBy(*by, F.round(F.col(score).cast("double"), decimals).alias("threshold"))
+    pts = (df.groupBy(*by, nan_to_null(F.col(score).cast("double")).alias("threshold"))
              .agg(pos.alias("pos"), neg.alias("neg")))
-    cum = running_totals(pts, by, "threshold", ["pos", "neg"], n_buckets=n_buckets)
+    cum = running_totals(pts.where("threshold is not null"), by, "threshold", ["pos", "neg"], n_buckets=n_buckets)
     totals = pts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     cum = _attach_totals(cum, totals, by)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
@@ -95,7 +99,7 @@ def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=No
 
 def _attach_totals(cum: DataFrame, totals: DataFrame, by: list) -> DataFrame:
     if by:
-        return cum.join(totals, by)   # one row per group; AQE broadcasts it when small
+        return join_groups(cum, totals, by)   # one row per group; AQE broadcasts it when small
     row = totals.collect()[0]   # one row: the two class totals
     return cum.withColumn("n_pos", F.lit(row["n_pos"] or 0)).withColumn("n_neg", F.lit(row["n_neg"] or 0))
 
@@ -116,7 +120,8 @@ def curve_summary(curve: DataFrame, by=None) -> DataFrame:
     precision (step sum), and the best-F1 threshold (lowest score wins a tie)."""
     by = _g(by)
     P, N = F.first("n_pos"), F.first("n_neg")
-    auc_num = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")))
+    unscored_pos, unscored_neg = P - F.sum("pos"), N - F.sum("neg")     # tied below every score
+    auc_num = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos"))) + unscored_neg * (2 * P - unscored_pos)
     return curve.groupBy(*by).agg(
         F.when((P > 0) & (N > 0), auc_num / (2.0 * P * N)).alias("roc_auc"),
         F.when(P > 0, F.sum(F.col("pos") * F.col("precision")) / P).otherwise(F.lit(0.0)).alias("pr_ap"),
@@ -144,16 +149,16 @@ def metrics_at_best(df: DataFrame, label: str = "churn", score: str = "proba", b
     average precision: the threshold-selection report."""
     by = _g(by)
     summ = curve_summary(score_curve(df, label, score, by), by)
-    s = F.round(F.col(score).cast("double"), SCORE_DECIMALS)
+    s = nan_to_null(F.col(score).cast("double"))
     if by:
-        d = df.join(summ.select(*by, "best_threshold"), by)   # one row per group
+        d = join_groups(df, summ.select(*by, "best_threshold"), by)   # one row per group
         t = F.col("best_threshold")
     else:
         row = summ.collect()[0]
         t = F.lit(row["best_threshold"])
         d = df
-    m = classification_metrics(d.withColumn("_pred", (s >= t).cast("int")), label, "_pred", by)
-    return m.join(summ, by) if by else _one_row_merge(m, summ)
+    m = classification_metrics(d.withColumn("_pred", F.coalesce(s >= t, F.lit(False)).cast("int")), label, "_pred", by)
+    return join_groups(m, summ, by) if by else _one_row_merge(m, summ)
 
 
 def _one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -173,7 +178,7 @@ def threshold_sweep(df: DataFrame, label: str = "churn", score: str = "proba", b
     single aggregation (no join, no sort); then one row per (group, threshold)."""
     by = _g(by)
     grid = grid or threshold_grid()
-    s = F.round(F.col(score).cast("double"), SCORE_DECIMALS)
+    s = nan_to_null(F.col(score).cast("double"))
     y = F.col(label)
     aggs = [F.count(F.when(y == 1, 1)).alias("n_pos")]
     for i, g in enumerate(grid):

@@ -69,6 +69,16 @@ def text_order_key(c: Column, width: int = 6) -> Column:
     return F.conv(hexed, 16, 10).cast("long")
 
 
+def join_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Inner equi-join on the group columns in which null is a value like any other.
+
+    The key is a struct of the columns: structs with equal null fields are equal, and the
+    join still shuffles and sorts on that one key."""
+    key = F.struct(*by)
+    r = right.withColumn("_g", key).drop(*by)
+    return left.withColumn("_g", key).join(r, "_g").drop("_g")
+
+
 def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
                     order: str = "hash", n_buckets: int = HASH_BUCKETS,
                     rank_col: str = "_rank", size_col: str = "_class_n") -> DataFrame:
@@ -100,19 +110,20 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
         within = [F.col(c) for c in key]
     else:
         raise ValueError(f"unknown order {order!r}")
-    counts = d.groupBy(*by, "_rng").agg(F.count(F.lit(1)).alias("_cnt"))
+    d = d.withColumn("_g", F.struct(*by, "_rng"))      # null groups join as a value
+    counts = d.groupBy("_g").agg(F.count(F.lit(1)).alias("_cnt")).select("_g", "_g.*", "_cnt")
     w_before = Window.partitionBy(*by).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*by)
-    offsets = counts.select(*by, "_rng",
+    offsets = counts.select("_g",
                             F.coalesce(F.sum("_cnt").over(w_before), F.lit(0)).alias("_off"),
                             F.sum("_cnt").over(w_all).alias(size_col))
     # No broadcast: the join and the local window both cluster on (by, range), so one
     # shuffle of the input serves both; AQE may still turn the join into a broadcast
     # from the exact runtime size of the offsets stage.
-    local = Window.partitionBy(*by, "_rng").orderBy(*within)
-    out = (d.join(offsets, [*by, "_rng"])
+    local = Window.partitionBy("_g").orderBy(*within)
+    out = (d.join(offsets, "_g")
            .withColumn(rank_col, (F.col("_off") + F.row_number().over(local) - 1).cast("long"))
-           .drop("_off", "_rng"))
+           .drop("_off", "_rng", "_g"))
     return out.drop("_h") if order == "hash" else out
 
 
@@ -128,16 +139,17 @@ def running_totals(df: DataFrame, by: list[str], order_col: str, sums: list[str]
     """
     splits = _quantile_splits(df.select(F.col(order_col).cast("double").alias("_o")), "_o", n_buckets)
     d = _bucketize(df.withColumn("_o", F.col(order_col).cast("double")), "_o", splits, "_rng").drop("_o")
-    tot = d.groupBy(*by, "_rng").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    d = d.withColumn("_g", F.struct(*by, "_rng"))
+    tot = d.groupBy("_g").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums]).select("_g", "_g.*", *[f"_t_{s}" for s in sums])
     w_before = Window.partitionBy(*by).orderBy(F.col("_rng").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select(*by, "_rng", *[F.coalesce(F.sum(f"_t_{s}").over(w_before), F.lit(0)).alias(f"_off_{s}")
+    offsets = tot.select("_g", *[F.coalesce(F.sum(f"_t_{s}").over(w_before), F.lit(0)).alias(f"_off_{s}")
                                          for s in sums])
-    local = (Window.partitionBy(*by, "_rng").orderBy(F.col(order_col).desc())
+    local = (Window.partitionBy("_g").orderBy(F.col(order_col).desc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = d.join(offsets, [*by, "_rng"]) if by else d.join(offsets, ["_rng"])
+    out = d.join(offsets, "_g")
     for s in sums:
         out = out.withColumn(f"{prefix}{s}", F.col(f"_off_{s}") + F.sum(s).over(local))
-    return out.drop("_rng", *[f"_off_{s}" for s in sums])
+    return out.drop("_rng", "_g", *[f"_off_{s}" for s in sums])
 
 
 def exact_medians(df: DataFrame, cols: list[str], small: int = 1_000_000, n_buckets: int = 256,
@@ -305,10 +317,11 @@ def running_max_before(df: DataFrame, by: list[str], order: list[str], value: st
     num = _orderable(df, order[0])
     splits = _quantile_splits(df.select(num.alias("_o")), "_o", n_buckets)
     d = _bucketize(df.withColumn("_o", num), "_o", splits, "_rng").drop("_o")
-    tot = d.groupBy(*by, "_rng").agg(F.max(value).alias("_m"))
+    d = d.withColumn("_g", F.struct(*by, "_rng"))
+    tot = d.groupBy("_g").agg(F.max(value).alias("_m")).select("_g", "_g.*", "_m")
     w_before = Window.partitionBy(*by).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select(*by, "_rng", F.max("_m").over(w_before).alias("_off"))
-    local = Window.partitionBy(*by, "_rng").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (d.join(offsets, [*by, "_rng"])
+    offsets = tot.select("_g", F.max("_m").over(w_before).alias("_off"))
+    local = Window.partitionBy("_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (d.join(offsets, "_g")
             .withColumn(out, F.greatest(F.col("_off"), F.max(value).over(local)))
-            .drop("_rng", "_off"))
+            .drop("_rng", "_off", "_g"))

@@ -70,10 +70,13 @@ def standardized_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer scored by every fixed scorer: ``row_key, churn, split, model_name, proba``."""
+    """Every customer scored by every fixed scorer: ``row_key, churn, split, model_name, proba``.
+
+    The scores are data here, rounded to 9 places so that two engines agree on ties; the
+    operators themselves compare and return scores as they are."""
     st = standardized_split(spark, sf_dir)
     return (score.linear_score_many(st, SCORERS)
-            .select("row_key", "churn", "split", "model_name", "proba"))
+            .select("row_key", "churn", "split", "model_name", F.round("proba", 9).alias("proba")))
 
 
 # Model key of each scorer (the keys the run log and registry use).

@@ -53,11 +53,11 @@ def windowed_metrics(df: DataFrame, width: str = "7 days", slide: str | None = N
     (static input: the curves are grouped by window start).
 
     The events are read once: they are aggregated (map-side first) to counts per
-    (window, rounded score, label, prediction), and that table, far smaller than the
+    (window, score, label, prediction), and that table, far smaller than the
     events, is materialised; the confusion counts and the curves both read it."""
     w = df.select(F.explode(F.array(_window(width, slide))).alias("w"), label, pred, score)
     agg = materialize(w.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                                F.round(F.col(score).cast("double"), evaluate.SCORE_DECIMALS).alias(score),
+                                F.col(score).cast("double").alias(score),
                                 label, pred)
                       .agg(F.count(F.lit(1)).alias("_n")))
     y, p, n = F.col(label), F.col(pred), F.col("_n")
