@@ -57,7 +57,7 @@ def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prepared = clean.apply_encoding(raw, clean.fit_encoding(raw, t))
-        return materialize(split.stratified_split(prepared, "churn", TEST_SIZE, VAL_SIZE, SEED))
+        return materialize(split.stratified_split(prepared, "churn", TEST_SIZE, VAL_SIZE, SEED), "split")
     finally:
         raw.unpersist()
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +80,27 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base.rstrip("/"), "tidemark", *parts)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a table that several later jobs read: ``checkpoint()`` writes
-    it once to the shared checkpoint folder (it survives executor loss) and later
-    passes read that copy instead of recomputing the upstream plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this application, unless the session has already ended."""
+    jvm = spark.sparkContext._jvm
+    if jvm is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Cut the lineage of a table that several later jobs read: it is written once as
+    Parquet below the shared checkpoint folder (it survives executor loss), and later
+    passes scan that copy with column pruning and, given ``partition_by``, partition
+    pruning.  The folder is removed when the application ends."""
+    spark = df.sparkSession
+    path = shared_path(spark, "tables", uuid.uuid4().hex)
+    w = df.write.partitionBy(partition_by) if partition_by else df.write
+    w.parquet(path)
+    atexit.register(remove_path, spark, path)
+    back = spark.read.schema(df.schema).parquet(path)
+    return back.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
