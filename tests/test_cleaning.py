@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean
+from tidemark.sources import files
 
 
 def test_canonical_names_and_collision(spark):
@@ -105,3 +106,25 @@ def test_profile_counts_feed_exact_medians(spark):
     d = C.coerce_numeric(df, columns=text)
     cols = ["t", "v", "z"]
     assert C.fit_medians(d, cols, counts=counts) == C.fit_medians(d, cols) == {"t": 2.5, "v": 3.0, "z": None}
+
+
+def test_one_hot_dotted_and_case_colliding_categories(spark):
+    df = spark.createDataFrame([(1, "St. Louis", "No"), (2, "A.B", "Yes"), (3, None, "yes")], "row_key int, `ci.ty` string, k string")
+    out = clean.one_hot(df, clean.fit_categories(df, ["ci.ty", "k"]), drop_first=False)
+    assert out.columns == ["row_key", "ci.ty_A.B", "ci.ty_St. Louis", "k_No", "k_Yes", "k_yes_2"]
+    got = {r[0]: tuple(r)[1:] for r in clean.assemble(out.withColumn("y", F.lit(1)), "y").drop("churn").collect()}
+    assert got == {1: (False, True, True, False, False), 2: (True, False, False, True, False), 3: (False, False, False, False, True)}
+
+
+def test_csv_doubled_quotes_line_breaks_and_booleans(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b,c\n"x ""q"" y",True,1\n"two\nlines",False,TRUE\nz,,2\n')
+    d = clean.restore_booleans(files.read_table(spark, str(tmp_path / "a.csv"), multi_line=True))
+    assert dict(d.dtypes) == {"a": "string", "b": "boolean", "c": "string"}
+    assert {(r.a, r.b) for r in d.collect()} == {('x "q" y', True), ("two\nlines", False), ("z", None)}
+
+
+def test_csv_sink_doubles_quotes(spark, tmp_path):
+    rows = {(1, 'say "hi", ok'), (2, "back\\slash"), (3, "plain")}
+    path = str(tmp_path / "out")
+    files.write_table(spark.createDataFrame(sorted(rows), "k int, t string"), path, fmt="csv")
+    assert {(int(r.k), r.t) for r in files.read_table(spark, path).collect()} == rows

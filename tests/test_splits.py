@@ -116,3 +116,12 @@ def test_exact_quantiles_many_columns(spark):
     assert got["b"] == float(np.median(b))
     assert got["c"] == float(np.median(c))
     assert ranking.exact_medians(df, ["a", "b"], small=40, n_buckets=8) == {"a": float(np.median(a)), "b": float(np.median(b))}
+
+
+def test_ordered_folds_on_text_keys(spark):
+    keys = [f"customer-{i:03d}" for i in range(40)] + ["é", "", None]
+    df = spark.createDataFrame([(k, i % 2) for i, k in enumerate(keys)], "row_key string, churn int")
+    got = {(r.row_key, r.churn): r.fold for r in split.stratified_folds(df, k=3, shuffle=False).collect()}
+    w = Window.partitionBy("churn").orderBy(F.col("row_key").asc_nulls_first())
+    want = {(r.row_key, r.churn): r.f for r in df.withColumn("f", (F.row_number().over(w) - 1) % 3).collect()}
+    assert got == want

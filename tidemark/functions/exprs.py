@@ -36,3 +36,8 @@ def nan_to_null(c) -> Column:
 def r6(c) -> Column:
     """Reported floats are rounded to 6 places so two engines agree on them."""
     return F.round(col_of(c).cast("double"), 6)
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")

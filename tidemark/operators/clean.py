@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import NUMERIC_TEXT, nan_to_null, parse_number
+from tidemark.functions.exprs import NUMERIC_TEXT, nan_to_null, parse_number, quoted
 from pyspark import StorageLevel
 
 from tidemark.operators.ranking import exact_medians
@@ -96,7 +96,7 @@ def drop_id_like(df: DataFrame, keep_as: str | None = "row_key") -> DataFrame:
 
 # --- C6 -------------------------------------------------------------------------------
 def trim_strings(df: DataFrame) -> DataFrame:
-    cols = [F.trim(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+    cols = [F.trim(quoted(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else quoted(f.name)
             for f in df.schema.fields]
     return df.select(*cols)
 
@@ -120,8 +120,8 @@ def _profile(df: DataFrame, ratio: float = 0.5, exclude=()) -> tuple[list[str],
         return [], {}
     aggs = []
     for i, c in enumerate(cands):
-        aggs += [F.count(parse_number(F.col(c))).alias(f"p{i}"), F.count(F.col(c)).alias(f"n{i}")]
-    aggs += [F.count(nan_to_null(F.col(c).cast("double"))).alias(f"k{j}") for j, c in enumerate(nums)]
+        aggs += [F.count(parse_number(quoted(c))).alias(f"p{i}"), F.count(quoted(c)).alias(f"n{i}")]
+    aggs += [F.count(nan_to_null(quoted(c).cast("double"))).alias(f"k{j}") for j, c in enumerate(nums)]
     row = df.agg(*aggs).collect()[0]
     text = [c for i, c in enumerate(cands) if row[f"p{i}"] > 0 and row[f"p{i}"] >= row[f"n{i}"] * ratio]
     counts = {c: row[f"k{j}"] for j, c in enumerate(nums)}
@@ -132,7 +132,20 @@ def _profile(df: DataFrame, ratio: float = 0.5, exclude=()) -> tuple[list[str],
 def coerce_numeric(df: DataFrame, ratio: float = 0.5, exclude=(), columns: list[str] | None = None) -> DataFrame:
     """Convert numeric-looking text columns to double; values that do not parse become null."""
     cols = numeric_text_columns(df, ratio, exclude) if columns is None else columns
-    return df.withColumns({c: parse_number(F.col(c)) for c in cols}) if cols else df
+    return df.withColumns({c: parse_number(quoted(c)) for c in cols}) if cols else df
+
+
+def restore_booleans(df: DataFrame, exclude=()) -> DataFrame:
+    """Text columns of true/false only (any letter case, at least one value) back to
+    boolean, as a CSV keeps them as text.  One aggregation, two counts a column."""
+    cands = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
+    if not cands:
+        return df
+    is_bool = {c: F.lower(quoted(c)).isin("true", "false") for c in cands}
+    row = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(cands)],
+                 *[F.count(F.when(is_bool[c], 1)).alias(f"b{i}") for i, c in enumerate(cands)]).collect()[0]
+    cols = [c for i, c in enumerate(cands) if row[f"n{i}"] and row[f"n{i}"] == row[f"b{i}"]]
+    return df.withColumns({c: F.lower(quoted(c)) == "true" for c in cols}) if cols else df
 
 
 # --- C8 -------------------------------------------------------------------------------
@@ -160,7 +173,7 @@ def fit_medians(df: DataFrame, cols: list[str], exact: bool = True, accuracy: in
         return {}
     if exact:
         return exact_medians(df, cols, counts=counts)
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).collect()[0]
+    row = df.agg(*[F.percentile_approx(quoted(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).collect()[0]
     return {c: (None if row[c] is None else float(row[c])) for c in cols}
 
 
@@ -168,7 +181,7 @@ def impute(df: DataFrame, medians: dict) -> DataFrame:
     """Fill nulls (and NaN) from fitted values; an all-null column stays null."""
     out = {}
     for c, m in medians.items():
-        v = F.col(c)
+        v = quoted(c)
         v = F.when(~F.isnan(v), v) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else v
         out[c] = v if m is None else F.coalesce(v.cast("double"), F.lit(float(m)))
     return df.withColumns(out) if out else df
@@ -188,7 +201,7 @@ def fit_categories(df: DataFrame, cols: list[str], max_categories: int = MAX_CAT
     """
     if not cols:
         return {}
-    pairs = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+    pairs = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), quoted(c).cast("string").alias("v"))
                                             for c in cols])).alias("p"))
              .select("p.c", "p.v").where(F.col("v").isNotNull()).distinct())
     rows = checked_collect(pairs, max_categories * len(cols), "category discovery")
@@ -208,12 +221,20 @@ def dummy_name(col: str, value: str) -> str:
 
 def one_hot(df: DataFrame, categories: dict, drop_first: bool = True) -> DataFrame:
     """Boolean dummies ``col_value``; the first sorted category is the base; null -> all false.
-    Encoded columns are removed and dummies appended after the remaining columns."""
-    keep = [F.col(c) for c in df.columns if c not in categories]
+    Encoded columns are removed and dummies appended after the remaining columns.  A dummy
+    whose name is taken, letter case aside, gets the first free suffix ``_2``, ``_3``..."""
+    rest = [c for c in df.columns if c not in categories]
+    keep = [quoted(c) for c in rest]
+    taken = {c.lower() for c in rest}
     dummies = []
     for c, vs in categories.items():
         for v in (vs[1:] if drop_first else vs):
-            dummies.append(F.coalesce(F.col(c).cast("string") == F.lit(v), F.lit(False)).alias(dummy_name(c, v)))
+            name, n = dummy_name(c, v), 1
+            while name.lower() in taken:
+                n += 1
+                name = f"{dummy_name(c, v)}_{n}"
+            taken.add(name.lower())
+            dummies.append(F.coalesce(quoted(c).cast("string") == F.lit(v), F.lit(False)).alias(name))
     return df.select(*keep, *dummies)
 
 
@@ -221,8 +242,8 @@ def one_hot(df: DataFrame, categories: dict, drop_first: bool = True) -> DataFra
 def assemble(df: DataFrame, target: str, key: str | None = "row_key", out_target: str = "churn") -> DataFrame:
     """Key first, features in order, target last (renamed ``churn``)."""
     feats = [c for c in df.columns if c not in (target, key)]
-    head = [F.col(key)] if key and key in df.columns else []
-    return df.select(*head, *[F.col(c) for c in feats], F.col(target).alias(out_target))
+    head = [quoted(key)] if key and key in df.columns else []
+    return df.select(*head, *[quoted(c) for c in feats], quoted(target).alias(out_target))
 
 
 def add_features(df: DataFrame, exprs: dict) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import quoted
 from tidemark.session import checked_collect, checkpoint_dir
 
 MAX_CLASSES = 1_000
@@ -28,8 +29,8 @@ MAX_CLASSES = 1_000
 # --- M1 -------------------------------------------------------------------------------
 def fit_standardizer(df: DataFrame, cols: list[str]) -> dict:
     """Mean and population std per column; a zero (or undefined) std scales by 1."""
-    row = df.agg(*[x for c in cols for x in (F.avg(F.col(c).cast("double")).alias(f"m_{c}"),
-                                             F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}"))]).collect()[0]
+    row = df.agg(*[x for c in cols for x in (F.avg(quoted(c).cast("double")).alias(f"m_{c}"),
+                                             F.stddev_pop(quoted(c).cast("double")).alias(f"s_{c}"))]).collect()[0]
     out = {}
     for c in cols:
         s = row[f"s_{c}"]
@@ -38,7 +39,7 @@ def fit_standardizer(df: DataFrame, cols: list[str]) -> dict:
 
 
 def standardize(df: DataFrame, stats: dict) -> DataFrame:
-    return df.withColumns({c: (F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in stats.items()})
+    return df.withColumns({c: (quoted(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in stats.items()})
 
 
 # --- M2 -------------------------------------------------------------------------------

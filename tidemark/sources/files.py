@@ -5,22 +5,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.functions.exprs import quoted
 
 # The text tokens read as missing (the pandas read_csv defaults).
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_table(spark: SparkSession, path: str, null_tokens=NULL_TOKENS) -> DataFrame:
+def read_table(spark: SparkSession, path: str, null_tokens=NULL_TOKENS, multi_line: bool = False) -> DataFrame:
     """Header CSV, every column read as text (a UTF-8 BOM is dropped by the reader),
     then every null token mapped to null in one projection.  Typing is left to
-    ``clean.coerce_numeric`` so one bad value cannot fail the scan."""
+    ``clean.coerce_numeric`` and ``clean.restore_booleans`` so one bad value cannot fail
+    the scan.  Doubled quotes inside quoted cells are read as one.  ``multi_line`` reads
+    line breaks inside quotes; a file is then one task, so it is off unless asked for."""
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("encoding", "UTF-8").csv(path))
+          .option("escape", '"').option("multiLine", multi_line).option("encoding", "UTF-8").csv(path))
     toks = list(null_tokens)
-    return df.select(*[F.when(~F.col(f"`{c}`").isin(toks), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return df.select(*[F.when(~quoted(c).isin(toks), quoted(c)).alias(c) for c in df.columns])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None, mode: str = "overwrite") -> None:
@@ -28,7 +31,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=Non
     one folder per split or scoring date (partition pruning for readers)."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        w = w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+             .option("escape", '"')
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)
