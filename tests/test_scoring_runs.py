@@ -184,3 +184,29 @@ def test_nan_null_groups_and_aliases(spark):
     aliases = spark.createDataFrame([(None, "m", "1"), ("champion", "n", "2")], "alias string, registered_model string, version string")
     out = runs.assign_alias(aliases, "champion", F.lit("m"), F.lit(3)).collect()
     assert sorted(str(r["alias"]) for r in out) == ["None", "champion"]
+
+
+def test_flatten_metrics_has_no_depth_limit(spark):
+    doc = '{"a": {"b": {"c": {"d": {"e": {"f1": 0.25}}}}}, "x": 1}'
+    df = spark.createDataFrame([("m", doc)], "k string, doc string")
+    assert {(r.key, r.value) for r in R.flatten_metrics(df, keep=["k"]).collect()} == {("a_b_c_d_e_f1", 0.25), ("x", 1.0)}
+    assert {r.key for r in R.flatten_metrics(df, keep=["k"], max_depth=2).collect()} == {"x"}
+
+
+def test_extract_model_ref_repeated_ids_version_zero_and_fallback(spark):
+    texts = spark.createDataFrame([(1, "TelcoChurn_RF v4"), (1, "TelcoChurn_XGB v9"), (None, "TelcoChurn_RF v3"),
+                                   (2, "TelcoChurn_RF v0 of 7"), (3, None)], "id int, text string")
+    known = spark.createDataFrame([("TelcoChurn_RF",), ("TelcoChurn_XGB",), ("TelcoChurn_LogReg",)], ["registered_model"])
+    versions = spark.createDataFrame([("TelcoChurn_LogReg", "9"), ("TelcoChurn_LogReg", "10"), ("A", "3")],
+                                     ["registered_model", "version"])
+    for bound in (10_000, 2):
+        got = [tuple(r) for r in R.extract_model_ref(texts, "text", "id", known, max_broadcast=bound).collect()]
+        assert sorted(got, key=str) == sorted([
+            (1, "TelcoChurn_RF v4", "TelcoChurn_RF", 4), (1, "TelcoChurn_XGB v9", "TelcoChurn_XGB", 9),
+            (None, "TelcoChurn_RF v3", "TelcoChurn_RF", 3), (2, "TelcoChurn_RF v0 of 7", None, None),
+            (3, None, None, None)], key=str)
+    last = {r.text: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known, versions=versions).collect()}
+    assert last["TelcoChurn_RF v0 of 7"] == last[None] == ("TelcoChurn_LogReg", 10)
+    assert last["TelcoChurn_RF v3"] == ("TelcoChurn_RF", 3)
+    others = versions.where("registered_model = 'A'")
+    assert R.extract_model_ref(texts.where("id = 3"), "text", "id", known, versions=others).first()[2:] == ("A", 3)

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import quoted
 from tidemark.operators.ranking import stratified_rank, text_order_key
-from tidemark.session import checked_collect
+from tidemark.session import checked_collect, materialize
 
 # Metric file per model key, in candidate order.
 METRIC_FILES = {"LogReg": "metrics_test.json", "RF": "metrics_test_rf.json",
@@ -27,6 +28,8 @@ FILE_LABELS = {"metrics_test.json": "LogReg baseline", "metrics_test_rf.json": "
                "metrics_test_xgb.json": "XGBoost", "metrics_test_fe.json": "LogReg FE"}
 # Preference among known names found in free text.
 NAME_PRIORITY = ("TelcoChurn_LogReg", "TelcoChurn_XGB", "TelcoChurn_RF")
+# Fixed value: the model taken where a text names none.
+FALLBACK_NAME = "TelcoChurn_LogReg"
 # Fixed value: version mention in free text ("v34", "@34", "version 34").
 VERSION_PATTERN = r"(?i)(?:\bv|@|version[^0-9]{0,10})(\d{1,5})"
 # First-present aliases of each metric.
@@ -49,16 +52,18 @@ def log_runs(runs: DataFrame, path: str) -> DataFrame:
 
 
 # --- R2 / R3 --------------------------------------------------------------------------
-def flatten_metrics(df: DataFrame, doc_col: str = "doc", keep=(), max_depth: int = 4, sep: str = "_") -> DataFrame:
+def flatten_metrics(df: DataFrame, doc_col: str = "doc", keep=(), max_depth: int | None = None, sep: str = "_") -> DataFrame:
     """Nested JSON metrics to ``key, value`` rows: nested keys joined with ``sep``;
     numbers and booleans (as 1.0 / 0.0) kept; strings, lists and nulls ignored; an
     empty key dropped; documents that do not parse give no rows.
 
-    One explode per nesting level, up to ``max_depth`` - a fixed-size lazy plan."""
+    One explode per nesting level, down to the deepest object of the documents: a probe
+    for one more nested object follows each level.  ``max_depth`` sets the number of
+    levels instead (deeper metrics are then left out, and nothing is probed)."""
     keep = list(keep)
     cur = df.select(*keep, F.lit("").alias("_path"), F.try_parse_json(F.col(doc_col)).alias("_v"))
     parts = []
-    for _ in range(max_depth):
+    while max_depth is None or len(parts) < max_depth:
         ex = cur.select(*keep, "_path",
                         F.explode(F.expr("try_variant_get(_v, '$', 'map<string,variant>')")).alias("_k", "_x"))
         path = F.when(F.col("_path") == "", F.col("_k")).otherwise(F.concat(F.col("_path"), F.lit(sep), F.col("_k")))
@@ -67,6 +72,8 @@ def flatten_metrics(df: DataFrame, doc_col: str = "doc", keep=(), max_depth: int
                      .select(*keep, F.col("_p").alias("key"),
                              F.expr("try_variant_get(_x, '$', 'double')").alias("value")))
         cur = ex.where(F.col("_t").startswith("OBJECT")).select(*keep, F.col("_p").alias("_path"), F.col("_x").alias("_v"))
+        if max_depth is None and cur.isEmpty():
+            break
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -173,8 +180,8 @@ def top_two(df: DataFrame, score: str = "f1", position: str = "position", key: s
     # rank inside the two kept rows only
     top = (top.withColumn("_r", F.row_number().over(Window.orderBy(F.col(score).desc_nulls_last(), F.col(position))))
            .withColumn("role", F.when(F.col("_r") == 1, "champion").otherwise("challenger")).drop("_r"))
-    # one short string (the candidate list) reaches the driver
-    return top.withColumn("considered", F.lit(considered.collect()[0]["considered"]))
+    # a scalar subquery: evaluated once, when the result is
+    return top.withColumn("considered", considered.scalar())
 
 
 # --- R12 / R13 ------------------------------------------------------------------------
@@ -214,10 +221,12 @@ def latest_version(versions: DataFrame, name_col: str = "registered_model") -> D
     return versions.groupBy(name_col).agg(F.max(F.col("version").try_cast("int")).alias("latest_version"))
 
 
-def assign_alias(aliases: DataFrame, alias: str, name: Column, version: Column) -> DataFrame:
-    """Give ``alias`` to (name, version), removing it from every other model."""
+def assign_alias(aliases: DataFrame, alias: str, name: Column, version: Column,
+                 holder: DataFrame | None = None) -> DataFrame:
+    """Give ``alias`` to (name, version), removing it from every other model.  ``name`` and
+    ``version`` are literals, or columns of ``holder``, a table of the one new holder."""
     kept = aliases.where(~F.col("alias").eqNullSafe(F.lit(alias)))
-    new = aliases.sparkSession.range(1).select(F.lit(alias).alias("alias"), name.alias("registered_model"),
+    new = (aliases.sparkSession.range(1) if holder is None else holder).select(F.lit(alias).alias("alias"), name.alias("registered_model"),
                                                version.cast("string").alias("version"))
     return kept.unionByName(new)
 
@@ -317,7 +326,8 @@ def _substring_hits(t: DataFrame, text_col: str, names: DataFrame) -> DataFrame:
 
 
 def extract_model_ref(texts: DataFrame, text_col: str, id_col: str, known: DataFrame,
-                      name_col: str = "registered_model", max_broadcast: int = 10_000) -> DataFrame:
+                      name_col: str = "registered_model", max_broadcast: int = 10_000,
+                      versions: DataFrame | None = None) -> DataFrame:
     """Find a known model name and a version in free text.
 
     Names: a theta join of texts with the list of known names on ``contains``, with the
@@ -325,27 +335,38 @@ def extract_model_ref(texts: DataFrame, text_col: str, id_col: str, known: DataF
     list goes through the exact substring equi-join instead (no broadcast, no
     text x name pairs).  One match wins, several go by the fixed priority, then the
     last-listed known name.  Version: ``v34`` / ``@34`` / ``version 34``, else the last
-    number in 1..10000.  Rows without both give nulls."""
+    number in 1..10000; an explicit 0 is no version.  Rows without both give nulls, or,
+    given ``versions`` (name, version), the fixed fallback model (else the first known
+    name) with its latest version.  Every row is judged by itself: ids may repeat or be
+    null."""
     names = known.select(F.col(name_col).alias("_name")).distinct()
     prio = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in NAME_PRIORITY]), F.col("_name")).cast("int"),
                       F.lit(len(NAME_PRIORITY) + 1))
     names = names.withColumn("_prio", prio)
-    t = texts.withColumn("_tid", F.col(id_col))
+    t = texts.select(F.struct(*[quoted(c) for c in texts.columns]).alias("_row"), F.col(text_col).alias("_text"),
+                     F.monotonically_increasing_id().alias("_tid"))
     if names.limit(max_broadcast + 1).count() <= max_broadcast:
-        hits = t.join(F.broadcast(names), F.col(text_col).contains(F.col("_name")), "left")
+        hits = t.join(F.broadcast(names), F.col("_text").contains(F.col("_name")), "left")
     else:
-        found_names = _substring_hits(t, text_col, names)
-        hits = t.select("_tid").distinct().join(found_names, "_tid", "left")
-    picked = (hits.groupBy("_tid").agg(
+        t = materialize(t)   # fixes the row numbers for both sides of the join
+        hits = t.join(_substring_hits(t, "_text", names), "_tid", "left")
+    found = (hits.groupBy("_tid").agg(
+        F.first("_row").alias("_row"), F.first("_text").alias("_text"),
         F.count("_name").alias("_n"),
         F.min(F.struct("_prio", F.col("_name").alias("_nm"))).alias("_best"),
         F.max("_name").alias("_last")))
     name = F.when(F.col("_n") == 1, F.col("_best._nm")).when(
         F.col("_best._prio") <= len(NAME_PRIORITY), F.col("_best._nm")).otherwise(F.col("_last"))
-    found = t.join(picked, "_tid")   # both sides keyed by the text id
-    explicit = F.regexp_extract(F.col(text_col), VERSION_PATTERN, 1)
-    nums = F.filter(F.transform(F.regexp_extract_all(F.col(text_col), F.lit(r"(\d{1,5})"), 1),
+    explicit = F.regexp_extract(F.col("_text"), VERSION_PATTERN, 1)
+    nums = F.filter(F.transform(F.regexp_extract_all(F.col("_text"), F.lit(r"(\d{1,5})"), 1),
                                 lambda x: x.cast("int")), lambda x: (x > 0) & (x <= 10000))
     version = F.when(explicit != "", explicit.cast("int")).otherwise(F.try_element_at(nums, F.lit(-1)))
-    ok = name.isNotNull() & version.isNotNull()
-    return found.select(*texts.columns, F.when(ok, name).alias("name"), F.when(ok, version).alias("version"))
+    ok = name.isNotNull() & (version > 0)
+    other_name, other_version = F.lit(None).cast("string"), F.lit(None).cast("int")
+    if versions is not None:
+        last = latest_version(versions, name_col).where(F.col("latest_version").isNotNull())
+        pick = last.agg(F.min(F.struct((F.col(name_col) != FALLBACK_NAME).alias("o"), F.col(name_col).alias("name"),
+                                       F.col("latest_version").alias("version"))).alias("p"))
+        other_name, other_version = pick.select("p.name").scalar(), pick.select("p.version").scalar()
+    return found.select("_row.*", F.when(ok, name).otherwise(other_name).alias("name"),
+                        F.when(ok, version).otherwise(other_version).alias("version"))

@@ -190,6 +190,16 @@ def q_csv_roundtrip(spark, sf):
     return _r6_all(d.withColumn("row_key", F.col("row_key").cast("long")))
 
 
+@register("processed_csv_roundtrip", S.chain(upto="prep", body=f"SELECT * REPLACE ({_r6_sql(S.NUMERIC)}) FROM prep_t"))
+def q_processed_csv_roundtrip(spark, sf):
+    """The prepared table as the original keeps it: CSV, read back with its booleans."""
+    path = shared_path(spark, "processed_csv", uuid.uuid4().hex)
+    files.write_table(flows.prepared_table(spark, sf), path, fmt="csv")
+    d = clean.restore_booleans(files.read_table(spark, path))
+    d = clean.coerce_numeric(d, exclude=("churn", "row_key"))
+    return _r6_all(d.withColumns({"row_key": F.col("row_key").cast("long"), "churn": F.col("churn").cast("int")}))
+
+
 # ------------------------------------------------------------------ splits / sampling
 @register("stratified_split", S.chain(upto="split", body="SELECT row_key, churn, split FROM split_t"))
 def q_split(spark, sf):
@@ -589,7 +599,7 @@ def q_leaderboard(spark, sf):
 SELECT r.model_key, r.split, CASE r.split WHEN 'test' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END AS split_order,
        printf('%.4f', r.accuracy) AS accuracy, printf('%.4f', r.precision) AS precision,
        printf('%.4f', r.recall) AS recall, printf('%.4f', r.f1) AS f1,
-       coalesce(CASE WHEN r.split = 'valid' THEN printf('%.4f', s.best_threshold) END, '-') AS threshold,
+       coalesce(printf('%.4f', s.best_threshold), '-') AS threshold,
        CAST(row_number() OVER (ORDER BY CASE r.split WHEN 'test' THEN 0 WHEN 'valid' THEN 1 ELSE 2 END, r.model_key) AS INTEGER) AS "row"
 FROM runs_t r LEFT JOIN summary_t s ON s.model_name = CASE r.model_key WHEN 'LogReg' THEN 'logreg' WHEN 'RF' THEN 'rf'
                                                      WHEN 'XGB' THEN 'xgb' ELSE 'logreg_fe' END
@@ -597,9 +607,10 @@ WHERE r.split IN ('test', 'valid')"""))
 def q_metric_table(spark, sf):
     rt = flows.run_table(spark, sf).where(F.col("split").isin("test", "valid"))
     summ = evaluate.curve_summary(evaluate.score_curve(_valid_scores(spark, sf), by=_BY), _BY)
+    # the threshold found on the valid rows stands beside both splits of its model
     th = summ.select(R.lookup(flows.MODEL_KEYS, F.col("model_name")).alias("model_key"),
-                     F.lit("valid").alias("split"), F.col("best_threshold").alias("thr"))
-    j = rt.join(th, ["model_key", "split"], "left")   # a handful of rows per side
+                     F.col("best_threshold").alias("thr"))
+    j = rt.join(th, "model_key", "left")   # a handful of rows per side
     t = R.metric_table(j)
     return t.join(j.select("model_key", "split", R.fmt4(F.col("thr")).alias("threshold")),
                   ["model_key", "split"])
@@ -692,9 +703,9 @@ def q_assign_alias(spark, sf):
     old = lat.where(F.col("registered_model").isin("TelcoChurn_RF", "TelcoChurn_XGB")).select(
         F.when(F.col("registered_model") == "TelcoChurn_RF", "champion").otherwise("challenger").alias("alias"),
         "registered_model", F.col("latest_version").cast("string").alias("version"))
-    champ = R.top_two(rt.where(F.col("split") == "test")).where(F.col("role") == "champion").collect()[0]
-    v = lat.where(F.col("registered_model") == champ["registered_model"]).collect()[0]["latest_version"]
-    return R.assign_alias(old, "champion", F.lit(champ["registered_model"]), F.lit(v))
+    champ = R.top_two(rt.where(F.col("split") == "test")).where(F.col("role") == "champion").select("registered_model")
+    return R.assign_alias(old, "champion", F.col("registered_model"), F.col("latest_version"),
+                          holder=champ.join(lat, "registered_model"))
 
 
 @register("champion_version", _runs_sql(_BEST_SQL, _VERSIONS_SQL, body="""
@@ -900,7 +911,7 @@ def _drift(spark, sf):
     try:
         kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
         imp = clean.impute_median(d, kinds["numeric"])
-        sp = materialize(split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED))
+        sp = materialize(split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED), "split")
     finally:
         d.unpersist()
     return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
