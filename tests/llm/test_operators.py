@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -368,3 +369,43 @@ def test_pipeline(spark, small_dir):
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {i for i, (_, c) in parts.items() if c == i}
     out = corpus_pipeline.run(spark, small_dir)
     assert {"doc_id", "piece_ids", "n_pieces"} <= set(out.columns) and out.count() > 0
+
+
+def test_pipeline_with_null_and_repeated_ids(spark, small_dir):
+    import corpus_pipeline
+
+    def text(n, size=40):
+        return " ".join(f"word{n}x{i}" for i in range(size))
+
+    # id 5 has a copy, a near copy and a text of its own; 7 is three rows; null ids are two texts
+    rows = [(1, text(1)), (2, text(2)), (5, text(1).replace(" ", "  ")), (5, text(2) + " tail"), (5, text(3)), (6, text(4)),
+            (6, text(5, 20)), (7, text(6)), (7, text(6)), (7, text(6)), (None, text(7)), (None, text(8, 30))]
+    rows += [(100 + i, text(100 + i, 30 + i % 5)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "a" if i is None or i < 120 else "b", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(path := f"{tempfile.mkdtemp(prefix='tidemark-test-')}/documents.parquet")
+    docs = spark.read.parquet(path)
+
+    def pairs(df):
+        return collections.Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+    once = exact_dedup.exact_dedup(docs)
+    want = collections.Counter(rows)
+    del want[rows[2]]
+    assert pairs(once) == want
+    kept = corpus_pipeline.drop_near_copies(spark, once, small_dir)
+    del want[rows[3]]
+    assert pairs(kept) == want and kept.columns == docs.columns
+
+    mixed = corpus_pipeline.mix_sources(spark, kept, small_dir)
+    assert mixed.columns == docs.columns
+
+    def emitted(df):
+        return collections.Counter((r["doc_id"], r["source"], r["n_tokens"]) for r in df.collect())
+
+    tokens = mixed.select("doc_id", "source", F.size(F.split("text", " ")).alias("n_tokens"))
+    assert emitted(tokens) == emitted(mixing.mixture(kept))
+    out = corpus_pipeline.run(spark, path.rsplit("/", 1)[0])
+    first = corpus_pipeline.identify_language(spark, docs, small_dir)
+    assert pairs(first) == collections.Counter(rows)      # one language: nothing leaves
+    assert pairs(out) == pairs(mixed)

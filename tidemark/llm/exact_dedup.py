@@ -103,8 +103,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), "text_sha256"))
 
 
+def _text_sha256(it):
+    """The hash of the normalised text (last column) in place of the text."""
+    for batch in it:
+        data, offsets = tk.text_buffer(batch.columns[-1])
+        raw = data.tobytes()
+        sha = [hashlib.sha256(normalise(raw[a:b])).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sha, pa.string())], names=batch.schema.names)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text equals that of a row with a smaller id; rows
-    with a null id stay only where no other row has their text and id."""
+    """``docs`` without the rows whose text equals that of a row with a smaller id.  Rows
+    are judged by id and text, so another text under a lost row's id stays, and rows that
+    repeat the kept id and text all stay.  Rows with a null id have no smaller one: all stay."""
     lost = exact_groups(docs, id_col, text_col).where("not kept and doc_id is not null and doc_id <> keep_id")
-    return docs.join(lost.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(*docs.columns)
+    lost = lost.select("doc_id", "text_sha256").distinct()
+    rows = docs.withColumn("_text_sha256", F.col(text_col).cast("string"))
+    rows = rows.mapInArrow(_text_sha256, rows.schema)
+    same = (rows[id_col].cast("long") == lost.doc_id) & (rows["_text_sha256"] == lost.text_sha256)
+    return rows.join(lost, same, "left_anti").select(*docs.columns)

@@ -90,9 +90,10 @@ def _key(*cols):
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
             budget: float | None = None, block_tokens: int = BLOCK_TOKENS, target_entropy: float | None = TARGET_ENTROPY,
-            max_repeats: float | None = MAX_REPEATS) -> DataFrame:
+            max_repeats: float | None = MAX_REPEATS, row_col: str | None = None) -> DataFrame:
     """``(doc_id, source, n_tokens, pass, block, position, weight, repeats)``: a row per
-    emission of a document in the mixed stream.
+    emission of a document in the mixed stream.  ``row_col`` names a column (unique per
+    row) that is carried along and decides last between rows equal in all else.
 
     Tokens are runs of bytes other than ASCII white space.  ``budget`` defaults to the
     tokens of the corpus.  A source emits whole passes and then the part of one more whose
@@ -102,9 +103,10 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     and tokens are emitted once each.  Blocks are numbered from 0; ``position`` counts from
     1 within a block.  An empty table gives no rows.
     """
+    extra = [] if row_col is None else [row_col]
     words = F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+"))
     rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                              F.coalesce(words, F.lit(0)).cast("long").alias("n_tokens")), "sources")
+                              F.coalesce(words, F.lit(0)).cast("long").alias("n_tokens"), *extra), "sources")
     per_source = rows.groupBy("source").agg(F.sum("n_tokens").alias("n"))
     total = per_source.agg(F.sum("n")).first()[0] or 0
     budget = float(total if budget is None else budget)
@@ -121,12 +123,12 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
         Window.partitionBy("source", "pass").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     sums = sums.select(F.col("source").alias("s"), F.col("pass").alias("e"), F.col("cut").alias("c"), "before")
     placed = emitted.join(sums, emitted.source.eqNullSafe(sums.s) & (F.col("pass") == F.col("e")) & (F.col("cut") == F.col("c")))
-    w = Window.partitionBy("source", "pass", "cut").orderBy("key", "doc_id", "n_tokens")
+    w = Window.partitionBy("source", "pass", "cut").orderBy("key", "doc_id", "n_tokens", *extra)
     own = F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n_tokens")
     placed = placed.withColumn("offset", F.col("pass") * F.col("n") + F.col("before") + own).where("offset < target")
     share = F.col("weight") * F.lit(float(block_tokens))
     placed = placed.withColumn("block", F.floor(F.col("offset") / share).cast("long"))
     placed = placed.withColumn("shuffle", _key("block", "key"))
-    order = Window.partitionBy("block").orderBy("shuffle", "doc_id", "source", "pass", "n_tokens")
+    order = Window.partitionBy("block").orderBy("shuffle", "doc_id", "source", "pass", "n_tokens", *extra)
     return placed.select("doc_id", "source", "n_tokens", "pass", "block", F.row_number().over(order).cast("long").alias("position"),
-                         "weight", F.round(F.col("target") / F.col("n"), 9).alias("repeats"))
+                         "weight", F.round(F.col("target") / F.col("n"), 9).alias("repeats"), *extra)

@@ -111,24 +111,25 @@ def _fold(x: np.ndarray, words: int) -> np.ndarray:
 
 def _batches(it: Iterator[pa.RecordBatch], k: int):
     for batch in it:
-        ids = batch.column(0)
+        heads = batch.drop_columns([batch.schema.names[1]]).columns
         data, offsets = tk.text_buffer(batch.column(1))
         for lo, hi in tk.row_blocks(offsets):
             values, at = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], k)
-            yield ids.slice(lo, hi - lo), values, at
+            yield [c.slice(lo, hi - lo) for c in heads], values, at
 
 
-def _profile(k: int):
-    """One row per text, and the tokens that several different sets of a block share."""
+def _profile(k: int, extra: tuple[str, ...] = ()):
+    """One row per text; ``extra`` names columns that pass through."""
     def run(it):
-        for ids, values, at in _batches(it, k):
+        for heads, values, at in _batches(it, k):
             sig = set_signatures(values, at)
             sketch = parity_sketches(values, at)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(np.diff(at)), pa.array(tk.to_long(sig)),
+                [heads[0], pa.array(np.diff(at)), pa.array(tk.to_long(sig)),
                  pa.array([r.tobytes() for r in sketch], pa.binary()),
-                 pa.array([fine_sketch(values[lo:hi]) if hi > lo else b"" for lo, hi in zip(at[:-1], at[1:])], pa.binary())],
-                names=["doc_id", "n_shingles", "sig", "sketch", "fine"])
+                 pa.array([fine_sketch(values[lo:hi]) if hi > lo else b"" for lo, hi in zip(at[:-1], at[1:])], pa.binary()),
+                 *heads[1:]],
+                names=["doc_id", "n_shingles", "sig", "sketch", "fine", *extra])
     return run
 
 
@@ -398,8 +399,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, known: DataFrame, k: int, th
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-                     threshold: int = THRESHOLD) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of every row.
+                     threshold: int = THRESHOLD, row_col: str | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of every row, and ``row_col`` (a long) where
+    one is named.
 
     Null and blank texts have an empty set and link with nothing.  Rows with equal sets
     share a class.  Repeated ids are rows of their own.  A row with a null id is kept, but
@@ -407,9 +409,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ignored.  An empty table gives no rows.  ``threshold`` is in percent, 1 to 100.
     """
     spark = docs.sparkSession
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = given.where(F.col("doc_id").isNotNull())
-    profile = stored(given.mapInArrow(_profile(k), CLASS_SCHEMA), "profile")
+    extra = () if row_col is None else (row_col,)
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
+    known = given.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    profile = stored(given.mapInArrow(_profile(k, extra), CLASS_SCHEMA + "".join(f", `{c}` long" for c in extra)), "profile")
     classes = stored(profile.where("n_shingles > 0 and doc_id is not null").groupBy("sig")
                      .agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"),
                           F.min("sketch").alias("sketch"), F.min("fine").alias("fine")), "classes")
@@ -431,6 +434,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "sig", "first_id", F.coalesce("component", "sig").alias("component"))
     smallest = label.groupBy("component").agg(F.min("first_id").alias("component_id"))
     label = label.join(smallest, "component").select("sig", "component_id")
-    return (profile.select("doc_id", "n_shingles", "sig").join(label, "sig", "left")
+    return (profile.select("doc_id", "n_shingles", "sig", *extra).join(label, "sig", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+                    .otherwise(F.col("component_id")).alias("component_id"), *extra))
