@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (exact_dedup, html_extract, language_id, line_dedup, lm_scoring, mixing, ngram_join,
                           sentencepiece_codec, substring_dedup, tokens as tk, topk_search)
 from tidemark.llm.components import connected_components
+from tidemark.llm.storage import stored
 
 WORD = re.compile("[^ \t\n\v\f\r]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
@@ -207,6 +208,39 @@ def test_top_k(spark):
     assert topk_search.top_k(table.where("false")).count() == 0
 
 
+def test_top_k_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "QUERY_ROWS", 4)
+    monkeypatch.setattr(topk_search, "DATA_ROWS", 8)
+    windows = []
+
+    def walk(plan):
+        if plan.nodeName() == "Window":
+            out = plan.output()
+            windows.append({out.apply(i).name() for i in range(out.size())})
+        for i in range(plan.children().size()):
+            walk(plan.children().apply(i))
+
+    def watched(df, name):
+        walk(df._jdf.queryExecution().optimizedPlan())
+        return stored(df, name)
+
+    monkeypatch.setattr(topk_search, "stored", watched)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 3 + i % 2)]) for i in range(300)]
+    rows += [(7, [0.5, 0.25, 0.125, 1.0])] * 40       # blocks with the same ids
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    vec = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows]
+    want = []
+    for q, x in vec:
+        if q % 20 == 0:
+            best = sorted((-int(x @ v), i) for i, v in vec if i != q and len(v) == len(x))[:20]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    found = topk_search.top_k(table)
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    walk(found._jdf.queryExecution().optimizedPlan())
+    assert windows and not any({"ids", "m"} & names for names in windows)      # vectors never meet in one task
+
+
 def test_segment_bounds_hold():
     rng = np.random.default_rng(1)
     a, b = rng.integers(-40, 40, (30, 64)).astype(float), rng.integers(-40, 40, (50, 64)).astype(float)

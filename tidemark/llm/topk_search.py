@@ -137,6 +137,20 @@ def _search(k: int):
     return run
 
 
+def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Packed blocks, each with a number of its own."""
+    packed = rows.mapInArrow(_pack(size), "dim int, ids binary, m binary")
+    return stored(packed.withColumn("block", F.monotonically_increasing_id()), name)
+
+
+def _numbers(blocks: DataFrame, together: int, name: str) -> DataFrame:
+    """``(dim, block, name)``: blocks counted from 0 within a dimension, ``together`` to a
+    number.  Two numbers a block are ordered in one task, never its ids or vectors."""
+    order = Window.partitionBy("dim").orderBy("block")
+    place = F.floor((F.row_number().over(order) - 1) / together).cast("int")
+    return stored(blocks.select("dim", "block").withColumn(name, place), name)
+
+
 def top_k(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k highest inner products of every row whose
     id is divisible by ``every`` with all rows of another id; ties to the smaller id.
@@ -147,14 +161,12 @@ def top_k(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     Fewer than k candidates give all; an empty table gives no rows.
     """
     rows = quantised(table, id_col, vec_col)
-    data = stored(rows.mapInArrow(_pack(DATA_ROWS), "dim int, ids binary, m binary"), "blocks")
-    queries = stored(rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).mapInArrow(
-        _pack(QUERY_ROWS), "dim int, ids binary, m binary"), "queries")
-    number = Window.partitionBy("dim").orderBy(F.xxhash64("ids"))
-    q = queries.withColumn("qb", F.row_number().over(number) - 1)
-    d = data.withColumn("db", F.floor((F.row_number().over(number) - 1) / DATA_BLOCKS).cast("int"))
-    sizes = (q.groupBy("dim").agg(F.max("qb").alias("nq"))
-             .join(d.groupBy("dim").agg(F.max("db").alias("nd")), "dim"))
+    data = _blocks(rows, DATA_ROWS, "blocks")
+    queries = _blocks(rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]), QUERY_ROWS, "queries")
+    at_q, at_d = _numbers(queries, 1, "qb"), _numbers(data, DATA_BLOCKS, "db")
+    q, d = queries.join(at_q, ["dim", "block"]), data.join(at_d, ["dim", "block"])
+    sizes = (at_q.groupBy("dim").agg(F.max("qb").alias("nq"))
+             .join(at_d.groupBy("dim").agg(F.max("db").alias("nd")), "dim"))
     cells_q = q.join(sizes, "dim").select("dim", "qb", F.explode(F.sequence(F.lit(0), "nd")).alias("db"), F.lit(0).alias("side"), "ids", "m")
     cells_d = d.join(sizes, "dim").select("dim", F.explode(F.sequence(F.lit(0), "nq")).alias("qb"), "db", F.lit(1).alias("side"), "ids", "m")
     found = cells_q.unionByName(cells_d).groupBy("dim", "qb", "db").applyInArrow(
