@@ -8,6 +8,7 @@ import tempfile
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidemark.llm import (exact_dedup, html_extract, language_id, line_dedup, lm_scoring, mixing, ngram_join,
@@ -144,6 +145,54 @@ def test_repeated_windows(which, request):
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == sorted(want)
 
 
+def brute_windows(pairs, k=13):
+    first = {}
+    for i, w in pairs:
+        for a in range(len(w) - k + 1):
+            first[tuple(w[a:a + k])] = min(first.get(tuple(w[a:a + k]), i), i)
+    return {i: {x for a in range(len(w) - k + 1) if first[tuple(w[a:a + k])] < i for x in range(a, a + k)} for i, w in pairs}
+
+
+def _bucket_bytes(k):
+    def run(it):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in it:
+            rows = [(b, len(unpack.decompress(p))) for b, p in zip(batch["bucket"].to_pylist(), batch["payload"].to_pylist()) if p]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int64()), pa.array([n for _, n in rows], pa.int64()),
+                                              pa.array([0] * len(rows), pa.int64())], names=["doc_id", "from_word", "to_word"])
+    return run
+
+
+def test_windows_of_one_minimiser_are_dealt_out(spark, monkeypatch):
+    """Template text: a word pair with a tiny hash stands in every window, all different."""
+    names = [f"p{i}" for i in range(20_000)]
+    data, offsets = tk.text_buffer(pa.array([" ".join(names)]))
+    starts, ends, _ = tk.words(data, offsets)
+    at = int(tk.window_hashes(tk.word_hashes(data, starts, ends), 2)[:-1].argmin())
+    rng = np.random.default_rng(7)
+    docs = []
+    for i in range(200):
+        w = [f"v{x}" for x in rng.integers(0, 3000, 500)]
+        for j in range(0, 500, 8):
+            w[j:j + 2] = names[at:at + 2]
+        if i % 10 == 9:
+            w[100:160] = docs[i - 7][1][100:160]      # repeated passages across partitions
+        docs.append((i, w))
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(7)
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 20_000, raising=False)
+    lost = {i: set() for i, _ in docs}
+    for r in substring_dedup.repeated_spans(table).collect():
+        lost[r["doc_id"]] |= set(range(r["from_word"], r["to_word"]))
+    want = brute_windows(docs)
+    assert lost == want and any(want.values())
+    monkeypatch.setattr(substring_dedup, "_count", _bucket_bytes)
+    sizes = collections.Counter()
+    for b, n, _ in substring_dedup.repeated_spans(table).collect():
+        sizes[b] += n
+    assert max(sizes.values()) < sum(sizes.values()) / 10
+
+
 def brute_lines(docs):
     lines = []
     for i, t in sorted((i, t) for i, t in {x for x in docs if x[0] is not None and x[1] is not None}):

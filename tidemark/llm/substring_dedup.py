@@ -4,6 +4,9 @@ A window is ``K`` consecutive words.  Its minimiser is the run of ``M`` words in
 the smallest hash; consecutive windows with one minimiser are a super-k-mer, and travel as
 one packed string to the minimiser's bucket, where sorting brings equal windows together.
 
+* A minimiser that many different windows share (template text) is no bucket: where the
+  counts of a first pass say so, its windows travel singly, dealt by their full hash.
+  Equal windows have one minimiser, so they still meet.
 * Windows that a smaller document of the same block holds are settled in place, so a
   passage that a third of the documents share reaches its bucket once per block.
 * Super-k-mers of one block and bucket are one compressed row.
@@ -23,12 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens as tk
+from tidemark.llm.storage import stored
 
 K = 13
 M = 2
 #: Text bytes per bucket; packed super-k-mers are about three times their text.
 BUCKET_BYTES = 5_000_000
-#: A bucket is sorted in this many parts, by minimiser, one after the other.
+#: Minimisers are counted by hash in this many cells a bucket (``MAX_CELLS`` at most); the
+#: windows of a cell above ``HOT_BYTES`` of packed super-k-mers, and ``HOT_MEAN`` times the
+#: mean cell, are dealt singly.
+CELLS, MAX_CELLS = 64, 1 << 22
+HOT_BYTES, HOT_MEAN = 5_000_000, 4
+#: Packed super-k-mers over their text, as ``BUCKET_BYTES`` counts it.
+PACKED = 3
+#: A bucket is sorted in this many parts, by the hash that deals it, one after the other.
 PARTS = 4
 #: Text bytes settled together in a task; twenty times this is the task's working memory.
 BLOCK = 4_000_000
@@ -97,17 +108,50 @@ def _spans(doc: np.ndarray, pos: np.ndarray, k: int):
     return doc[cut], pos[cut], pos[last] + k
 
 
-def _pack(k: int, m: int, buckets: int):
+def _cuts(owner: np.ndarray, at: np.ndarray, low: np.ndarray, single: np.ndarray | None = None) -> np.ndarray:
+    """Where super-k-mers start; windows flagged ``single`` are one each."""
+    cut = np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1) | (low[1:] != low[:-1])]
+    return np.flatnonzero(cut if single is None else cut | single)
+
+
+def _weigh(k: int, m: int, cells: int):
+    """Rows (cell, packed, singly): bytes of a cell's windows as super-k-mers and one by one;
+    windows that a block repeats count once."""
+    def run(it):
+        packed, singly = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+        for batch in it:
+            data, offsets = tk.text_buffer(batch.column(1))
+            for lo, hi in tk.row_blocks(offsets, BLOCK):
+                starts, ends, first = tk.words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                word = tk.word_hashes(data[offsets[lo]:offsets[hi]], starts, ends)
+                at, low, owner = _minimiser_runs(first, word, k, m)
+                if not len(at):
+                    continue
+                own = np.sort(np.unique(tk.window_hashes(word, k)[at], return_index=True)[1])
+                at, low, owner = at[own], low[own], owner[own]
+                cell = (tk.mix(low) % tk.U64(cells)).astype(np.int64)
+                np.add.at(singly, cell, ends[at + k - 1] - starts[at])
+                cut = _cuts(owner, at, low)
+                count = np.diff(np.r_[cut, len(at)])
+                np.add.at(packed, cell[cut], ends[at[cut] + count + k - 2] - starts[at[cut]])
+        used = np.flatnonzero(packed)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed[used]), pa.array(singly[used])],
+                                         names=["cell", "packed", "singly"])
+    return run
+
+
+def _pack(k: int, m: int, buckets: int, cells: int, shared):
     """Rows (bucket, payload), and spans settled here, which pass through any bucket."""
     def run(it):
-        pack = zstandard.ZstdCompressor(level=6)
+        pack, hot = zstandard.ZstdCompressor(level=6), np.zeros(cells, dtype=bool)
+        hot[shared.value] = True
         for batch in it:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = tk.text_buffer(batch.column(1))
             for lo, hi in tk.row_blocks(offsets, BLOCK):
-                yield from block(pack, ids[lo:hi], data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                yield from block(pack, hot, ids[lo:hi], data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
 
-    def block(pack, ids, data, offsets):
+    def block(pack, hot, ids, data, offsets):
         starts, ends, first = tk.words(data, offsets)
         word = tk.word_hashes(data, starts, ends)
         at, low, owner = _minimiser_runs(first, word, k, m)
@@ -123,13 +167,14 @@ def _pack(k: int, m: int, buckets: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array((s_doc % buckets).astype(np.int32)), pa.array(s_doc), pa.array(s_from), pa.array(s_to),
                  pa.nulls(len(s_doc), pa.binary())], names=names)
-        at, low, owner, doc, pos = (v[~settled] for v in (at, low, owner, doc, pos))
+        at, low, owner, doc, pos, key = (v[~settled] for v in (at, low, owner, doc, pos, key))
         if not len(at):
             return
-        cut = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1) | (low[1:] != low[:-1])])
+        single = hot[(tk.mix(low) % tk.U64(cells)).astype(np.int64)]
+        cut = _cuts(owner, at, low, single | np.r_[False, single[:-1]])
         count = np.diff(np.r_[cut, len(at)])
         a, b = starts[at[cut]], ends[at[cut] + count - 1 + k - 1]
-        deal = tk.mix(low[cut])
+        deal = tk.mix(np.where(single[cut], key[cut], low[cut]))
         bucket, part = (deal % tk.U64(buckets)).astype(np.int32), (deal >> tk.U64(40)) % tk.U64(PARTS)
         order = np.argsort(bucket, kind="stable")
         edge = np.r_[np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]), len(order)]
@@ -236,7 +281,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     given = given.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, math.ceil(size / BUCKET_BYTES))
-    rows = given.mapInArrow(_pack(k, m, buckets), "bucket int, doc_id long, from_word long, to_word long, payload binary")
+    cells = min(CELLS * buckets, MAX_CELLS)
+    counts = stored(given.mapInArrow(_weigh(k, m, cells), "cell int, packed long, singly long").groupBy("cell")
+                    .agg(F.sum("packed").alias("packed"), F.sum("singly").alias("singly")), "cells")
+    total = counts.agg(F.sum("packed")).first()[0] or 0
+    many = counts.where(F.col("packed") > max(HOT_BYTES, HOT_MEAN * total / cells)).toArrow()
+    more = sum(many.column("singly").to_pylist()) - sum(many.column("packed").to_pylist())
+    buckets = max(buckets, math.ceil((total + more) / (PACKED * BUCKET_BYTES)))
+    hot = docs.sparkSession.sparkContext.broadcast(many.column("cell").to_numpy())
+    rows = given.mapInArrow(_pack(k, m, buckets, cells, hot), "bucket int, doc_id long, from_word long, to_word long, payload binary")
     return (rows.repartition("bucket").sortWithinPartitions("bucket")
             .mapInArrow(_count(k), "doc_id long, from_word long, to_word long"))
 
