@@ -408,6 +408,15 @@ def test_language_id(documents, cases, empty):
     assert alone.where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_id_learns_from_different_texts(spark):
+    """One much-copied text neither crowds out the others nor counts more than they do."""
+    words = ["k" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(60)]
+    rows = [(f"{w} {w}", "xx") for w in words] + [(f"{words[0]} {words[0]}", "xx")] * 3000
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    keys, logs = language_id.fit(docs, train_docs=100).tables[0]
+    assert len(keys) == 60 and np.ptp(logs) == 0
+
+
 def test_mixing(spark, cases, empty):
     rows = [(i, " ".join(["w"] * (5 + i % 7)), "hot" if i < 300 else f"s{i % 3}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

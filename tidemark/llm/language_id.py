@@ -17,7 +17,7 @@ from tidemark.llm import tokens as tk
 from tidemark.session import checked_collect
 
 LONGEST = 5
-#: The model is fitted on at most about this many documents per language, dealt by a hash.
+#: The model is fitted on at most about this many different texts per language, dealt by a hash.
 TRAIN_DOCS = 3000
 #: Evidence beyond this many words no longer sharpens the score.
 SURE_WORDS = 30
@@ -110,17 +110,19 @@ class Model:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS) -> Model:
-    """Fit on the rows of ``docs`` with a language, a hash-dealt share of each language of
-    about ``train_docs`` rows.  Rows with a null text or language are left out; no rows
-    give a model without languages."""
+    """Fit on the different texts of each language in ``docs``: all of them up to
+    ``train_docs``, else a hash-dealt share of about as many.  Copies count once.  Words and
+    n-grams found once in the whole sample are not kept.  Rows with a null text or language
+    are left out; no rows give a model without languages."""
     given = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     given = given.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in checked_collect(given.groupBy("lang").count(), 10_000, "languages")}
+    different = given.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    counts = {r["lang"]: r["count"] for r in checked_collect(different.groupBy("lang").count(), 10_000, "languages")}
     langs = sorted(counts)
     if not langs:
         return Model([], {})
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, train_docs / counts[lang]))])
-    some = given.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    some = given.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).distinct()
     rows = (some.mapInArrow(_train, "kind int, key long, lang string, n long").groupBy("kind", "key", "lang")
             .agg(F.sum("n").alias("n")))
     rows = rows.join(rows.groupBy("kind", "key").agg(F.sum("n").alias("all")).where("all > 1"), ["kind", "key"]).toArrow()
