@@ -9,8 +9,9 @@ when ``100 * |A & B| >= threshold * |A | B|``; the result is each text's compone
    ``n - ceil(t * n) + 1``.  Tokens seen by one class only leave at once.
 3. Similar classes are partitioned into groups: below every token each class proposes the
    partner that most others qualify with, proposals are verified, components are groups.
-4. The matrix now holds each group's token union.  A class meets a group only where its
-   own tokens hit the union of *another* group; the overlap of what meets is bounded by
+4. The rows stay one per (token, class), now with the class's group; no union per group is
+   built.  Classes of *different* groups that share a token are compared one by one, so
+   a token of n classes costs up to n * n comparisons.  The overlap of a pair is bounded by
    size and by a 512-bit parity sketch (the Hamming distance of two sketches never
    exceeds the sets' symmetric difference), then by a sketch of two bits per element.
    Only what still qualifies is opened and verified against the exact sets.
