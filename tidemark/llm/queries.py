@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.filter_audit import SQL as OP12_SQL
+from tidemark.llm.filter_audit import filter_audit
 from tidemark.llm.html_extract import extract
 from tidemark.llm.language_id import identify
 from tidemark.llm.line_dedup import remove_lines
@@ -102,6 +104,11 @@ def q_substring_dedup(spark, sf):
     return remove_repeats(read_table(spark, sf, "documents")).drop("kept_text")
 
 
+@register("op12_filter_audit", OP12_SQL)
+def q_filter_audit(spark, sf):
+    return filter_audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 @register("pipeline")
 def q_pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
