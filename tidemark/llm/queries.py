@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidemark.llm.centroid_clustering import SQL as OP11_SQL
+from tidemark.llm.centroid_clustering import lloyd
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.filter_audit import SQL as OP12_SQL
 from tidemark.llm.filter_audit import filter_audit
@@ -18,6 +20,7 @@ from tidemark.llm.sentencepiece_codec import round_trip
 from tidemark.llm.storage import read_table
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.topk_search import top_k
+from tidemark.llm.toxicity import score_toxicity
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -104,11 +107,21 @@ def q_substring_dedup(spark, sf):
     return remove_repeats(read_table(spark, sf, "documents")).drop("kept_text")
 
 
+@register("op11_centroid_clustering", OP11_SQL)
+def q_centroids(spark, sf):
+    return lloyd(read_table(spark, sf, "embeddings"))
+
+
 @register("op12_filter_audit", OP12_SQL)
 def q_filter_audit(spark, sf):
     return filter_audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+@register("op13_toxicity")
+def q_toxicity(spark, sf):
+    return score_toxicity(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 @register("pipeline")
 def q_pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
