@@ -7,7 +7,8 @@ voters are independent given the unknown label except inside small blocks of cor
 voters, whose joint vote tables (accuracies and correlations) and class balance come from
 expectation-maximisation.  Labels known in the sample take part as one more voter, whose
 accuracy is estimated too.  Its posterior labels train a linear classifier over the mined
-words and word beginnings, and the classifier alone scores texts.
+words and word beginnings and the share of them in a text, and the classifier alone
+scores texts.
 
 Votes are counted where the texts are: a vote vector with its count is all that travels,
 and each round of the estimation is one aggregate over the distinct vectors.
@@ -36,13 +37,15 @@ TRAIN_DOCS = 10_000
 FEATURES, VOCABULARY = 4_000, 1_000
 #: Least signed root of the likelihood ratio of a classifier feature and of a voter's entry,
 #: and how many times more frequent a voter's entry is in toxic documents.
-MIN_ROOT, VOTER_ROOT, LIFT = 3.5, 4.0, 5.0
+MIN_ROOT, VOTER_ROOT, LIFT = 3.5, 4.0, 3.0
 LENGTHS = (4, 5, 6, 7, 8)       # letters of a beginning
 LEXICONS = 6
-DENSE = 0.002                   # share of a text's different words that are entries
-TRUST = 0.95                    # first accuracy of the known labels
+#: Shares of a text's words that are entries: fewer is sparse (clean), as many is dense.
+SPARSE, SOME, DENSE = 1 / 256, 1 / 128, 1 / 64
+SHARES = 10                     # the classifier sees the share in powers of two, to 2^-10
+TRUST = 0.95                    # accuracy expected of the known labels
 BLOCK, CORRELATED = 3, 0.1      # voters in a block at most, least residual correlation
-FIRST_ROUNDS, ROUNDS = 5, 10
+ROUNDS = 10
 REGULARISATION = 1e-4
 #: Characters whose words are split at once; different words remembered by a worker.
 PIECE, MEMO = 1_000_000, 200_000
@@ -52,14 +55,14 @@ GAP = re.compile(r"[\W\d_]")
 
 CLEAN, NONE, TOXIC = 0, 1, 2     # votes
 VOTERS = [*(f"lexicon {i}" for i in range(LEXICONS)), *(f"beginnings of {n}" for n in LENGTHS),
-          "two entries", "dense", "no word", "no beginning"]
+          "three entries", "dense", "no word", "no beginning"]
 GOLD = len(VOTERS)              # the known label's column
 
 
-def words_of(text: str | None) -> set[str]:
-    """The different lower-cased words (runs of letters) of a whole text."""
+def words_of(text: str | None) -> Counter:
+    """The lower-cased words (runs of letters) of a whole text, with their number."""
     text = text or ""
-    found: set[str] = set()
+    found: Counter = Counter()
     lo = 0
     while len(text) - lo > PIECE:
         gap = GAP.search(text, lo + PIECE)
@@ -79,20 +82,34 @@ def features_of(word: str) -> list[str]:
 class Lookup:
     """Entries of a dictionary found through words, remembered for words met again."""
 
-    def __init__(self, entries: dict):
+    def __init__(self, entries):
         self.entries, self.memo = entries, {}
 
-    def __call__(self, words: set[str]) -> set[str]:
+    def of(self, word: str) -> tuple[str, ...]:
+        hit = self.memo.get(word)
+        if hit is None:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            hit = self.memo[word] = tuple(f for f in features_of(word) if f in self.entries)
+        return hit
+
+    def __call__(self, words) -> tuple[set[str], list[str]]:
+        """The entries that words have, and the words that have any."""
         out: set[str] = set()
+        having = []
         for w in words:
             hit = self.memo.get(w)
             if hit is None:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                hit = self.memo[w] = tuple(f for f in features_of(w) if f in self.entries)
+                hit = self.of(w)
             if hit:
                 out.update(hit)
-        return out
+                having.append(w)
+        return out, having
+
+
+def share_of(words: Counter, having: list[str]) -> float:
+    """Share of a text's words that have an entry."""
+    return sum(words[w] for w in having) / words.total() if having else 0.0
 
 
 # ---- mining ---------------------------------------------------------------------------
@@ -139,24 +156,27 @@ def mine(train: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], dict[
 
 # ---- votes ----------------------------------------------------------------------------
 
-def votes_of(words: set[str], entries: dict[str, int], look: Lookup) -> list[int]:
-    """Every voter's vote on a text's words; the known label abstains."""
+def votes_of(words: Counter, entries: dict[str, int], look: Lookup) -> list[int]:
+    """Every voter's vote on a text's words; the known label abstains.
+
+    A list votes toxic when a word has one of its entries and words with entries are no
+    accident (``SOME``); beside it voters count and weigh all entries and note silence."""
     votes = [NONE] * (len(VOTERS) + 1)
-    hits = look(words)
-    for f in hits:
-        votes[entries[f]] = TOXIC
-    lexicon = any(votes[i] == TOXIC for i in range(LEXICONS))
-    beginning = any(votes[LEXICONS + i] == TOXIC for i in range(len(LENGTHS)))
-    names = {name: i for i, name in enumerate(VOTERS)}
-    whole = sum(not f.endswith("*") for f in hits)
-    if whole >= 2:
-        votes[names["two entries"]] = TOXIC
+    hits, having = look(words)
+    share = share_of(words, having)
+    lists = {entries[f] for f in hits}
+    if share >= SOME:
+        for voter in lists:
+            votes[voter] = TOXIC
+    three, dense, no_word, no_beginning = range(LEXICONS + len(LENGTHS), len(VOTERS))
+    if len(having) >= 3:
+        votes[three] = TOXIC
     if words:
-        votes[names["dense"]] = TOXIC if hits and len(hits) >= DENSE * len(words) else CLEAN if not hits else NONE
-    if not lexicon:
-        votes[names["no word"]] = CLEAN
-    if not beginning:
-        votes[names["no beginning"]] = CLEAN
+        votes[dense] = TOXIC if share >= DENSE else CLEAN if share < SPARSE else NONE
+    if not any(v < LEXICONS for v in lists):
+        votes[no_word] = CLEAN
+    if not any(v >= LEXICONS for v in lists):
+        votes[no_beginning] = CLEAN
     return votes
 
 
@@ -240,14 +260,15 @@ def _sums(counts: DataFrame, model: LabelModel, moments: bool = False) -> np.nda
     return np.array([r[1] for r in sorted(rows.groupBy("i").agg(F.sum("x")).collect())])
 
 
-def _updated(model: LabelModel, sums: np.ndarray) -> LabelModel:
-    """New balance and tables from expected counts, smoothed by one half a state."""
+def _updated(model: LabelModel, sums: np.ndarray, prior: np.ndarray) -> LabelModel:
+    """New balance and tables from expected counts, smoothed by one half a state; ``prior``
+    counts stand behind the known label's table."""
     known = sums[:2].sum()
     balance = float(np.clip(sums[1] / known, 1e-4, 1 - 1e-4)) if known else model.balance
     tables, at = [], 2
-    for table in model.tables:
+    for block, table in zip(model.blocks, model.tables):
         size = table.shape[1]
-        own = sums[at:at + 2 * size].reshape(2, size) + 0.5
+        own = sums[at:at + 2 * size].reshape(2, size) + (prior if block == (GOLD,) else 0.5)
         tables.append(own / own.sum(1, keepdims=True))
         at += 2 * size
     return LabelModel(balance, model.blocks, tables)
@@ -274,29 +295,24 @@ def correlated_blocks(sums: np.ndarray, width: int) -> list[tuple[int, ...]]:
 
 
 def fit_label_model(counts: DataFrame, known: DataFrame, share: float) -> LabelModel:
-    """Expectation-maximisation over ``counts`` (known label abstains) and ``known`` (it
-    votes), first with independent voters, then with blocks of correlated ones.  ``share``
-    is the first class balance."""
+    """Blocks of voters from what the known labels leave unexplained in ``known``, then
+    expectation-maximisation over ``counts`` (known label abstains) and ``known`` (it
+    votes).  ``share`` is the first class balance."""
     width = len(VOTERS) + 1
-    both = counts.unionByName(known)
     trusted = np.array([[TRUST, 0.0, 1 - TRUST], [1 - TRUST, 0.0, TRUST]]) * 0.98 + 0.02 / 3
-    flat = np.full((2, 3), 1 / 3)
-    start = LabelModel(share, [(i,) for i in range(width)], [flat] * GOLD + [trusted])
-    # the known labels give the first tables, all votes the next ones
-    model = _updated(start, _sums(known, start))
-    model.balance = share
-    for _ in range(FIRST_ROUNDS):
-        model = _updated(model, _sums(both, model))
-    sums = _sums(both, model, moments=True)
+    flat = lambda blocks: [trusted if b == (GOLD,) else np.full((2, 3 ** len(b)), 3.0 ** -len(b)) for b in blocks]
+    single = [(i,) for i in range(width)]
+    sums = _sums(known, LabelModel(0.5, single, flat(single)), moments=True)
     blocks = correlated_blocks(sums, width)
-    single = dict(zip(model.blocks, model.tables))
-    tables = []
-    for b in blocks:        # the product of the members' tables
-        digits = np.arange(3 ** len(b))[:, None] // 3 ** np.arange(len(b)) % 3
-        tables.append(np.stack([np.prod([single[(v,)][y][digits[:, i]] for i, v in enumerate(b)], axis=0) for y in range(2)]))
-    model = LabelModel(model.balance, blocks, tables)
+    # the known labels give the first tables and weigh on their own voter's
+    model = LabelModel(0.5, blocks, flat(blocks))
+    first = _sums(known, model)
+    prior = trusted * sums[2:2 + 6].sum()
+    model = _updated(model, first, prior)
+    model.balance = share
+    both = counts.unionByName(known)
     for _ in range(ROUNDS):
-        model = _updated(model, _sums(both, model))
+        model = _updated(model, _sums(both, model), prior)
     return model
 
 
@@ -311,22 +327,34 @@ class Classifier:
     label_model: LabelModel | None = None
     entries: dict[str, int] = dataclasses.field(default_factory=dict)
 
-    def score(self, words: set[str], look: Lookup) -> float:
-        odds = self.intercept + math.fsum(self.weights[f] for f in look(words))
+    def score(self, words: Counter, look: Lookup, entry: Lookup) -> float:
+        odds = self.intercept + math.fsum(self.weights.get(f, 0.0) for f in classified(words, look, entry))
         return round(1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, odds)))), 6)
 
 
+def shares() -> list[str]:
+    """Names of the classifier's features on the share of entries; no word looks so."""
+    return [f"#{k}" for k in range(1, SHARES + 1)]
+
+
+def classified(words: Counter, look: Lookup, entry: Lookup) -> list[str]:
+    """The classifier's features of a text: words and beginnings, and each power of two
+    that the share of words with an entry reaches."""
+    share = share_of(words, [w for w in words if entry.of(w)])
+    return [*look(words)[0], *(f"#{k}" for k in range(1, SHARES + 1) if share >= 2.0 ** -k)]
+
+
 def _posterior(model: LabelModel, entries: dict[str, int], features: list[str]):
     """Posterior label and classifier features of training rows."""
     def run(it):
-        look, chosen = Lookup(entries), Lookup(dict.fromkeys(features))
+        look, chosen = Lookup(entries), Lookup(set(features))
         for batch in it:
             words = [words_of(x.as_py()) for x in batch.column("text")]
             toxic = batch.column("toxic")
             votes = np.array([votes_of(w, entries, look) for w in words], np.uint8).reshape(len(words), -1)
             votes[:, GOLD] = np.where(toxic.to_numpy(zero_copy_only=False) == 1, TOXIC, CLEAN)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted(chosen(w)) for w in words], pa.list_(pa.string())), pa.array(model.posterior(votes), pa.float64()), toxic],
+                [pa.array([sorted(classified(w, chosen, look)) for w in words], pa.list_(pa.string())), pa.array(model.posterior(votes), pa.float64()), toxic],
                 names=["features", "p", "toxic"])
     return run
 
@@ -365,18 +393,15 @@ def fit(given: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Cl
     known = stored(vote_counts(train, entries), "known-votes")
     model = fit_label_model(counts, known, share)
     soft = stored(train.mapInArrow(_posterior(model, entries, features), "features array<string>, p double, toxic int"), "posterior")
-    if not features:
-        total = soft.agg(F.avg("p")).first()[0]
-        total = min(max(total, 1e-6), 1 - 1e-6)
-        return Classifier(math.log(total / (1 - total)), {}, model, entries)
     # classes were sampled by their size, so each row stands for others of its class
     stands = F.when(F.col("toxic") == 1, size[1] / have[1]).otherwise(size[0] / have[0])
     sides = [soft.select("features", F.lit(float(y)).alias("label"), (stands * (F.col("p") if y else 1 - F.col("p"))).alias("weight")) for y in (0, 1)]
-    vectors = CountVectorizerModel.from_vocabulary(features, inputCol="features", outputCol="x").setBinary(True)
+    names = features + shares()
+    vectors = CountVectorizerModel.from_vocabulary(names, inputCol="features", outputCol="x").setBinary(True)
     rows = vectors.transform(sides[0].unionByName(sides[1]).where("weight > 1e-9"))
-    line = LogisticRegression(featuresCol="x", labelCol="label", weightCol="weight", regParam=REGULARISATION, maxIter=100,
+    line = LogisticRegression(featuresCol="x", labelCol="label", weightCol="weight", regParam=REGULARISATION, maxIter=50,
                               standardization=False).fit(rows)
-    weights = {f: float(w) for f, w in zip(features, line.coefficients.toArray()) if w}
+    weights = {f: float(w) for f, w in zip(names, line.coefficients.toArray()) if w}
     return Classifier(float(line.intercept), weights, model, entries)
 
 
@@ -384,9 +409,9 @@ def _score(shared):
     """The text (last column) of every row replaced by score and prediction."""
     def run(it):
         model = shared.value
-        look = Lookup(model.weights)
+        look, entry = Lookup(model.weights), Lookup(model.entries)
         for batch in it:
-            scores = [model.score(words_of(x.as_py()), look) for x in batch.columns[-1]]
+            scores = [model.score(words_of(x.as_py()), look, entry) for x in batch.columns[-1]]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
                 names=[*batch.schema.names[:-1], "score", "predicted"])
@@ -400,5 +425,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     table gives no rows."""
     given = learnable(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     model = fit(given, labels.select(F.col("doc_id"), F.col("toxic")))
-    shared = docs.sparkSession.sparkContext.broadcast(Classifier(model.intercept, model.weights))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     return given.select("doc_id", "held_out", "text").mapInArrow(_score(shared), "doc_id long, held_out boolean, score double, predicted int")
