@@ -327,8 +327,8 @@ class Classifier:
     label_model: LabelModel | None = None
     entries: dict[str, int] = dataclasses.field(default_factory=dict)
 
-    def score(self, words: Counter, look: Lookup, entry: Lookup) -> float:
-        odds = self.intercept + math.fsum(self.weights.get(f, 0.0) for f in classified(words, look, entry))
+    def score(self, words: Counter, look: Lookup) -> float:
+        odds = self.intercept + math.fsum(self.weights.get(f, 0.0) for f in classified(words, look, self.entries))
         return round(1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, odds)))), 6)
 
 
@@ -337,24 +337,25 @@ def shares() -> list[str]:
     return [f"#{k}" for k in range(1, SHARES + 1)]
 
 
-def classified(words: Counter, look: Lookup, entry: Lookup) -> list[str]:
+def classified(words: Counter, look: Lookup, entries: dict[str, int]) -> list[str]:
     """The classifier's features of a text: words and beginnings, and each power of two
-    that the share of words with an entry reaches."""
-    share = share_of(words, [w for w in words if entry.of(w)])
-    return [*look(words)[0], *(f"#{k}" for k in range(1, SHARES + 1) if share >= 2.0 ** -k)]
+    that the share of words with an entry reaches.  ``look`` knows features and entries."""
+    hits, having = look(words)
+    share = share_of(words, [w for w in having if any(f in entries for f in look.of(w))])
+    return [*hits, *(f"#{k}" for k in range(1, SHARES + 1) if share >= 2.0 ** -k)]
 
 
 def _posterior(model: LabelModel, entries: dict[str, int], features: list[str]):
     """Posterior label and classifier features of training rows."""
     def run(it):
-        look, chosen = Lookup(entries), Lookup(set(features))
+        look, chosen = Lookup(entries), Lookup(set(features) | set(entries))
         for batch in it:
             words = [words_of(x.as_py()) for x in batch.column("text")]
             toxic = batch.column("toxic")
             votes = np.array([votes_of(w, entries, look) for w in words], np.uint8).reshape(len(words), -1)
             votes[:, GOLD] = np.where(toxic.to_numpy(zero_copy_only=False) == 1, TOXIC, CLEAN)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([sorted(classified(w, chosen, look)) for w in words], pa.list_(pa.string())), pa.array(model.posterior(votes), pa.float64()), toxic],
+                [pa.array([sorted(classified(w, chosen, entries)) for w in words], pa.list_(pa.string())), pa.array(model.posterior(votes), pa.float64()), toxic],
                 names=["features", "p", "toxic"])
     return run
 
@@ -409,9 +410,9 @@ def _score(shared):
     """The text (last column) of every row replaced by score and prediction."""
     def run(it):
         model = shared.value
-        look, entry = Lookup(model.weights), Lookup(model.entries)
+        look = Lookup(model.weights.keys() | model.entries.keys())
         for batch in it:
-            scores = [model.score(words_of(x.as_py()), look, entry) for x in batch.columns[-1]]
+            scores = [model.score(words_of(x.as_py()), look) for x in batch.columns[-1]]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
                 names=[*batch.schema.names[:-1], "score", "predicted"])
