@@ -118,7 +118,7 @@ def test_one_hot_dotted_and_case_colliding_categories(spark):
 
 def test_csv_doubled_quotes_line_breaks_and_booleans(spark, tmp_path):
     (tmp_path / "a.csv").write_text('a,b,c\n"x ""q"" y",True,1\n"two\nlines",False,TRUE\nz,,2\n')
-    d = clean.restore_booleans(files.read_table(spark, str(tmp_path / "a.csv"), multi_line=True))
+    d = clean.restore_booleans(files.read_table(spark, str(tmp_path / "a.csv")))
     assert dict(d.dtypes) == {"a": "string", "b": "boolean", "c": "string"}
     assert {(r.a, r.b) for r in d.collect()} == {('x "q" y', True), ("two\nlines", False), ("z", None)}
 
@@ -128,3 +128,85 @@ def test_csv_sink_doubles_quotes(spark, tmp_path):
     path = str(tmp_path / "out")
     files.write_table(spark.createDataFrame(sorted(rows), "k int, t string"), path, fmt="csv")
     assert {(int(r.k), r.t) for r in files.read_table(spark, path).collect()} == rows
+
+
+def test_csv_breaks_in_cells_by_several_tasks(spark, tmp_path):
+    """A file of many blocks with line breaks, quotes and blank lines in cells reads as the
+    whole-file reader does, in several tasks; cells and records cross blocks."""
+    import csv
+    import random
+    rnd = random.Random(9)
+    cells = ["plain", "two\nlines", 'say "hi"', '"', "a\n\nb", "", "comma, here", 'x"\n"y', "  pad ", "é\nß", "line\n" * 40]
+    rows = [[i, rnd.choice(cells), rnd.choice(cells)] for i in range(1500)]
+    for name in ("one.csv", "two.csv"):
+        with open(tmp_path / name, "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f, lineterminator="\n")
+            w.writerow(["k", 'the "text"', "more\ntext"])
+            w.writerows(rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(str(tmp_path / "one.csv")).rdd.getNumPartitions() > 5
+        got = files.read_table(spark, str(tmp_path))
+        assert got.columns == ["k", 'the "text"', "more\ntext"]
+        records = files.quoted_records(spark, str(tmp_path / "one.csv"))
+        assert records.select("block").distinct().count() > 5 and records.count() == 1501
+        found = sorted((int(r[0]), r[1], r[2]) for r in got.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = sorted((i, a or None, b or None) for i, a, b in rows for _ in range(2))
+    assert [tuple(map(str, r)) for r in found] == [tuple(map(str, r)) for r in want]
+    whole = spark.read.options(header=True, multiLine=True, **files.CSV_OPTIONS).csv(str(tmp_path / "one.csv"))
+    assert sorted(str(tuple(r)) for r in whole.collect()) == sorted(str((str(i), a or None, b or None)) for i, a, b in rows)
+
+
+def test_csv_windows_line_ends_and_open_quote(spark, tmp_path):
+    (tmp_path / "w.csv").write_bytes('\ufeffa,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n'.encode())
+    got = sorted((r["a"], r["b"].replace("\r", "")) for r in files.read_table(spark, str(tmp_path / "w.csv")).collect())
+    assert got == [("1", "x\ny"), ("2", "z")]
+    (tmp_path / "o.csv").write_text('a,b\n1,ok\n2,"never closed\n3,in it\n')
+    rows = files.read_table(spark, str(tmp_path / "o.csv")).collect()
+    assert len(rows) == 2 and (rows[0]["a"], rows[0]["b"]) in (("1", "ok"), ("2", rows[0]["b"]))
+
+
+def test_json_documents_by_name(spark, tmp_path):
+    docs = spark.createDataFrame([("m_a.json", '{"f1": 1}'), ("m_b.json", "bad"), ("x.json", "{}")], "file string, doc string")
+    path = str(tmp_path / "docs")
+    files.write_json_documents(docs, path)
+    files.write_json_documents(docs.where("file = 'x.json'").withColumn("doc", F.lit('{"again": 2}')), path)
+    got = {(r["file_name"], r["stem"], r["doc"].strip()) for r in files.read_json_documents(spark, path, "m_*.json").collect()}
+    assert got == {("m_a.json", "m_a", '{"f1": 1}'), ("m_b.json", "m_b", "bad")}
+    assert {r["doc"].strip() for r in files.read_json_documents(spark, path, "x.json").collect()} == {'{"again": 2}'}
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "t.json").write_text('{\n"best": 0.4}')
+    (tmp_path / "plain" / "t.txt").write_text("no")
+    got = files.read_json_documents(spark, str(tmp_path / "plain"), "*.json").collect()
+    assert [(r["file_name"], r["stem"], r["doc"]) for r in got] == [("t.json", "t", '{\n"best": 0.4}')]
+
+
+def test_canonical_names_resolve_collisions():
+    assert clean.canonical_names(["A b", "a_b", "a-b", "A_B_2"], resolve=True) == ["a_b", "a_b_3", "a_b_4", "a_b_2"]
+
+
+def test_wide_categories_as_sparse_vectors(spark):
+    """A column of 100,000 values, nulls, a value not seen in fitting: one slot per value
+    but the first, found by a join, with no limit on their number."""
+    n = 100_000
+    df = spark.range(n + 3).select(F.col("id").alias("row_key"), (F.col("id") % 2).cast("int").alias("churn"), F.lit("x").alias("one"),
+                                   F.when(F.col("id") < n, F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 6, "0"))).alias("big"),
+                                   F.when(F.col("id") % 3 > 0, F.concat(F.lit("c"), (F.col("id") % 3).cast("string"))).alias("small"))
+    spec = clean.fit_encoding(df, "churn")
+    assert spec.wide == ["big"] and set(spec.categories) == {"one", "small"}
+    spec = clean.EncodingSpec.from_json(spec.to_json())
+    rows = spark.createDataFrame([(1, 0, "x", "v000000", "c1"), (2, 1, "x", "v000001", "c2"), (3, 1, None, "v099999", None), (4, 0, "x", None, "c1"),
+                                  (5, 0, "x", "unseen", "c9")], "row_key long, churn int, one string, big string, small string")
+    out = clean.apply_encoding(rows, spec)
+    assert out.columns == ["row_key", "small_c2", "big_onehot", "churn"]
+    got = {r["row_key"]: (r["small_c2"], r["big_onehot"].size, list(r["big_onehot"].indices)) for r in out.collect()}
+    assert got == {1: (False, n - 1, []), 2: (True, n - 1, [0]), 3: (False, n - 1, [n - 2]), 4: (False, n - 1, []), 5: (False, n - 1, [])}
+
+
+def test_category_discovery_around_the_bound(spark):
+    df = spark.createDataFrame([(str(i), "a" if i % 2 else "b", None) for i in range(12)], "w string, n string, z string")
+    assert clean.fit_categories(df, ["w", "n", "z"], max_categories=12)["w"] == sorted(str(i) for i in range(12))
+    assert clean.fit_categories(df, ["w", "n", "z"], max_categories=4) == {"n": ["a", "b"], "z": []}
+    assert clean.fit_categories(df, ["w"], max_categories=11) == {}

@@ -39,7 +39,7 @@ def brute(pairs):
                 min_size=2, max_size=40))
 def test_summary_matches_brute_force(spark, pairs):
     df = _scores(spark, pairs)
-    s = evaluate.curve_summary(evaluate.score_curve(df, n_buckets=4)).collect()[0]
+    s = evaluate.curve_summary(evaluate.score_curve(df, rows_per_range=2)).collect()[0]
     auc, ap, t, f1 = brute(pairs)
     if auc is None:
         assert s.roc_auc is None
@@ -81,7 +81,7 @@ def test_minmax_all_equal(spark):
 
 def test_curve_points_bounded(spark):
     df = spark.range(5000).selectExpr("cast(id % 2 as int) as churn", "rand(1) as proba")
-    c = evaluate.score_curve(df, n_buckets=16)
+    c = evaluate.score_curve(df, rows_per_range=300)
     assert evaluate.curve_points(c, max_points=25).count() <= 26
 
 
@@ -121,3 +121,42 @@ def test_curves_use_raw_scores_and_keep_null_groups(spark):
     assert set(at) == {"a", None}
     for r in at.values():
         assert (r["tp"], r["fp"], r["fn"], r["tn"], r["n"]) == (2, 1, 1, 2, 6)
+
+
+def test_null_and_nan_scores_are_handled_one_way(spark):
+    """Every way to counts gives the same ones for null and NaN scores, null predictions
+    and null labels."""
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming import monitor
+    rows = [(1, 0.9), (1, None), (1, float("nan")), (0, 0.9), (0, None), (0, float("nan")), (1, 0.2), (0, 0.1), (None, 0.9), (None, None)]
+    df = _scores(spark, rows).withColumn("k", F.monotonically_increasing_id()).withColumn("event_time", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    want = (1, 1, 3, 3, 8)      # tp, fp, tn, fn, n at 0.5
+    pred = score.apply_threshold(df, 0.5)
+    assert {r["pred"] for r in pred.collect()} == {0, 1}
+    cols = ["tp", "fp", "tn", "fn", "n"]
+    assert tuple(evaluate.confusion(pred).select(*cols).first()) == want
+    holes = pred.withColumn("pred", F.when(F.col("pred") == 1, 1))      # null instead of 0
+    assert tuple(evaluate.confusion(holes).select(*cols).first()) == want
+    assert tuple(monitor.windowed_counts(holes).select(*cols).first()) == want
+    assert tuple(monitor.windowed_metrics(holes).select(*cols).first()) == want
+    sweep = evaluate.threshold_sweep(df, grid=[0.5, 0.05, 0.95, 0.5]).orderBy("i").collect()
+    assert [(r["tp"], r["fp"]) for r in sweep] == [(1, 1), (2, 2), (0, 0), (1, 1)]
+    flags = {r["customer_id"]: r["flag_alto_riesgo"] for r in score.score_table(df, "k", 0.5, "2024-01-01").collect()}
+    assert sum(flags.values()) == 3 and None not in flags.values()
+    drift = monitor.prediction_drift(pred).collect()
+    assert {round(r["high_risk_share"], 6) for r in drift} == {0.3} and sum(r["n"] for r in drift) == 10
+    at = evaluate.metrics_at_best(df).first()
+    assert at["tp"] + at["fp"] + at["tn"] + at["fn"] == at["n"] == 8
+
+
+def test_groups_without_a_score_keep_their_row(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.1), ("b", 1, None), ("b", 0, float("nan")), (None, 1, None)]
+    df = spark.createDataFrame(rows, "g string, churn int, proba double")
+    got = {r["g"]: r for r in evaluate.metrics_at_best(df, by=["g"]).collect()}
+    assert set(got) == {"a", "b", None}
+    assert (got["a"]["tp"], got["a"]["best_threshold"]) == (1, 0.9)
+    assert [got["b"][c] for c in ("tp", "fp", "tn", "fn", "n", "n_pos", "n_neg", "best_threshold", "roc_auc")] == [0, 0, 1, 1, 2, 1, 1, None, None]
+    assert got[None]["fn"] == got[None]["n_pos"] == 1
+    alone = evaluate.metrics_at_best(df.where("g = 'b'")).first()
+    assert (alone["n"], alone["fn"], alone["best_threshold"]) == (2, 1, None)

@@ -1,5 +1,8 @@
 """Threshold documents, prediction shapes and run-log operators on edge cases."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import runs as R
@@ -140,10 +143,10 @@ def test_metric_table_rows_match_window(spark):
     assert got == want
 
 
-def test_extract_model_ref_substring_join_matches_broadcast(spark):
-    """Past the broadcast bound, the substring equi-join gives the same names and
-    versions as the broadcast ``contains`` join (names inside other names, repeats,
-    several names, null and empty text, non-ASCII)."""
+def test_extract_model_ref_several_automata_match_one(spark, monkeypatch):
+    """Names beyond the bytes of one automaton are dealt to several: the same names and
+    versions (names inside other names, repeats, several names, null and empty text,
+    non-ASCII), and those that plain ``in`` finds."""
     import random
     rnd = random.Random(11)
     names = ["TelcoChurn_RF", "TelcoChurn_XGB", "TelcoChurn_LogReg", "RF", "Modèle_ß", "churn v2"] + \
@@ -154,8 +157,14 @@ def test_extract_model_ref_substring_join_matches_broadcast(spark):
     texts = spark.createDataFrame(rows, "id int, text string")
     known = spark.createDataFrame([(n,) for n in names], ["registered_model"])
     a = {r.id: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known).collect()}
-    b = {r.id: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known, max_broadcast=5).collect()}
+    monkeypatch.setattr(R, "AUTOMATON_BYTES", 60)
+    b = {r.id: (r.name, r.version) for r in R.extract_model_ref(texts, "text", "id", known).collect()}
     assert a == b
+    for i, text in rows:
+        inside = [n for n in names if n in (text or "")]
+        first = [n for n in R.NAME_PRIORITY if n in inside]
+        want = None if not inside else inside[0] if len(inside) == 1 else first[0] if first else max(inside, key=lambda n: n.encode())
+        assert a[i][0] in (want, None) and (a[i][0] == want or a[i][1] is None)
     assert sum(v[0] is not None for v in a.values()) > 50
 
 
@@ -193,14 +202,15 @@ def test_flatten_metrics_has_no_depth_limit(spark):
     assert {r.key for r in R.flatten_metrics(df, keep=["k"], max_depth=2).collect()} == {"x"}
 
 
-def test_extract_model_ref_repeated_ids_version_zero_and_fallback(spark):
+def test_extract_model_ref_repeated_ids_version_zero_and_fallback(spark, monkeypatch):
     texts = spark.createDataFrame([(1, "TelcoChurn_RF v4"), (1, "TelcoChurn_XGB v9"), (None, "TelcoChurn_RF v3"),
                                    (2, "TelcoChurn_RF v0 of 7"), (3, None)], "id int, text string")
     known = spark.createDataFrame([("TelcoChurn_RF",), ("TelcoChurn_XGB",), ("TelcoChurn_LogReg",)], ["registered_model"])
     versions = spark.createDataFrame([("TelcoChurn_LogReg", "9"), ("TelcoChurn_LogReg", "10"), ("A", "3")],
                                      ["registered_model", "version"])
-    for bound in (10_000, 2):
-        got = [tuple(r) for r in R.extract_model_ref(texts, "text", "id", known, max_broadcast=bound).collect()]
+    for bound in (32_000_000, 20):
+        monkeypatch.setattr(R, "AUTOMATON_BYTES", bound)
+        got = [tuple(r) for r in R.extract_model_ref(texts, "text", "id", known).collect()]
         assert sorted(got, key=str) == sorted([
             (1, "TelcoChurn_RF v4", "TelcoChurn_RF", 4), (1, "TelcoChurn_XGB v9", "TelcoChurn_XGB", 9),
             (None, "TelcoChurn_RF v3", "TelcoChurn_RF", 3), (2, "TelcoChurn_RF v0 of 7", None, None),
@@ -210,3 +220,26 @@ def test_extract_model_ref_repeated_ids_version_zero_and_fallback(spark):
     assert last["TelcoChurn_RF v3"] == ("TelcoChurn_RF", 3)
     others = versions.where("registered_model = 'A'")
     assert R.extract_model_ref(texts.where("id = 3"), "text", "id", known, versions=others).first()[2:] == ("A", 3)
+
+
+def test_selection_record(spark):
+    from tidemark.operators import runs as R
+    rows = [("LogReg", "TelcoChurn_LogReg", 0, 0.6, 0.7), ("RF", "TelcoChurn_RF", 1, 0.6, None), ("XGB", "TelcoChurn_XGB", 2, None, 0.9),
+            ("LogReg", "TelcoChurn_LogReg", 4, 0.5, 0.1)]
+    df = spark.createDataFrame(rows, "model_key string, registered_model string, position int, f1 double, accuracy double")
+    versions = spark.createDataFrame([("TelcoChurn_LogReg", "9"), ("TelcoChurn_LogReg", "10"), ("TelcoChurn_RF", "2")], ["registered_model", "version"])
+    cands = R.candidates(df, ["f1", "accuracy"])
+    assert cands.count() == 3
+    doc = R.selection_document(R.selection_roles(cands, versions), 77, "uri")
+    rec = json.loads(doc.first()["doc"])
+    assert rec["ts"] == 77 and rec["registry_uri"] == "uri"
+    assert rec["champion"] == {"key": "LogReg", "model_name": "TelcoChurn_LogReg", "version": 10, "f1": 0.6, "metrics": {"f1": 0.6, "accuracy": 0.7}}
+    assert rec["challenger"] == {"key": "RF", "model_name": "TelcoChurn_RF", "version": 2, "f1": 0.6, "metrics": {"f1": 0.6}}
+    assert [c["key"] for c in rec["considered"]] == ["LogReg", "RF"]
+    assert {(r["role"], r["key"], r["version"]) for r in R.read_selection(doc).collect()} == {("champion", "LogReg", 10), ("challenger", "RF", 2)}
+    # a challenger without a version was considered only
+    rec = json.loads(R.selection_document(R.selection_roles(cands, versions.where("version <> '2'")), 1, "u").first()["doc"])
+    assert rec["challenger"] is None and len(rec["considered"]) == 2
+    with pytest.raises(Exception, match="no registered version"):
+        R.selection_document(R.selection_roles(cands, versions.where("version = '2'")), 1, "u").collect()
+    assert R.selection_document(R.selection_roles(cands.limit(0), versions), 1, "u").count() == 0

@@ -38,7 +38,7 @@ def test_rank_matches_window_twin(spark):
 
 def test_key_order_rank(spark):
     df = spark.range(500).select((F.col("id") * 3).alias("row_key"), (F.col("id") % 2).cast("int").alias("churn"))
-    got = ranking.stratified_rank(df, ["churn"], ["row_key"], order="key", n_buckets=8)
+    got = ranking.stratified_rank(df, ["churn"], ["row_key"], order="key", rows_per_range=40)
     twin = df.withColumn("r", F.row_number().over(Window.partitionBy("churn").orderBy("row_key")) - 1)
     assert got.join(twin, ["row_key", "churn"]).where(F.col("_rank") != F.col("r")).count() == 0
 
@@ -48,7 +48,7 @@ def test_key_order_rank_keeps_null_keys(spark):
     """Rows whose first key is null are ranked first (ascending, nulls first), not lost."""
     df = spark.range(300).select(F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("k"),
                                  F.col("id").alias("row_key"), (F.col("id") % 2).cast("int").alias("churn"))
-    got = ranking.stratified_rank(df, ["churn"], ["k", "row_key"], order="key", n_buckets=8)
+    got = ranking.stratified_rank(df, ["churn"], ["k", "row_key"], order="key", rows_per_range=40)
     assert got.count() == 300
     twin = df.withColumn("r", F.row_number().over(Window.partitionBy("churn").orderBy("k", "row_key")) - 1)
     assert got.join(twin, ["row_key", "churn"]).where(F.col("_rank") != F.col("r")).count() == 0
@@ -96,7 +96,7 @@ def test_exact_quantile_descent(spark):
 def test_running_max_before_matches_window(spark):
     df = spark.range(2000).select((F.col("id") % 3).alias("g"), F.col("id").alias("t"),
                                   (F.rand(5) * 100).alias("v"))
-    got = ranking.running_max_before(df, ["g"], ["t"], "v", n_buckets=16)
+    got = ranking.running_max_before(df, ["g"], ["t"], "v", rows_per_range=100)
     w = Window.partitionBy("g").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
     twin = df.withColumn("m", F.max("v").over(w))
     j = got.join(twin, ["g", "t"])

@@ -11,17 +11,21 @@ average precision are sums over the curve rows, and the best threshold is a
 one task.
 
 A row whose score is null or NaN reaches no threshold: it makes no point, but counts in the
-class totals, so it is a missed positive or a rejected negative everywhere.  A null group
-is a group.
+class totals, so it is a missed positive or a rejected negative everywhere; so is a row
+with a null prediction.  A row with a null label is in no count.  A null group is a group,
+and a group without any score keeps its row.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import nan_to_null, safe_div
+from tidemark.operators.ranges import ROWS_PER_RANGE
 from tidemark.operators.ranking import join_groups, running_totals
+from tidemark.session import materialize
 
 # Fixed value: keeps F1 defined on the curve where precision and recall are both 0.
 F1_EPS = 1e-12
@@ -33,13 +37,14 @@ def _g(by):
 
 # --- E1 -------------------------------------------------------------------------------
 def confusion(df: DataFrame, label: str = "churn", pred: str = "pred", by=None) -> DataFrame:
-    y, p = F.col(label), F.col(pred)
+    """Counts of labelled rows; tp + fp + tn + fn = n."""
+    y, p = F.col(label), F.coalesce(F.col(pred).cast("int"), F.lit(0))
     return df.groupBy(*_g(by)).agg(
         F.count(F.when((y == 1) & (p == 1), 1)).alias("tp"),
         F.count(F.when((y != 1) & (p == 1), 1)).alias("fp"),
         F.count(F.when((y != 1) & (p != 1), 1)).alias("tn"),
         F.count(F.when((y == 1) & (p != 1), 1)).alias("fn"),
-        F.count(F.lit(1)).alias("n"))
+        F.count(y).alias("n"))
 
 
 # --- E2 - E5 --------------------------------------------------------------------------
@@ -69,12 +74,13 @@ def classification_metrics(df: DataFrame, label: str = "churn", pred: str = "pre
 
 # --- E6 / E7 --------------------------------------------------------------------------
 def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=None,
-                n_buckets: int = 64, weight: str | None = None) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE, weight: str | None = None) -> DataFrame:
     """One row per distinct raw score and group:
 
     ``threshold, pos, neg`` (rows at that score), ``tp, fp`` (rows scoring >= it),
     ``n_pos, n_neg`` (group totals), ``precision, recall, f1, tpr, fpr``.
-    ``weight`` names a row-count column, for input that is already aggregated.
+    ``weight`` names a row-count column, for input that is already aggregated.  The
+    points, far fewer than the rows, are written once and read by every later step.
     """
     by = _g(by)
     y = F.col(label)
@@ -83,9 +89,9 @@ def score_curve(df: DataFrame, label: str = "churn", score: str = "proba", by=No
         neg = F.coalesce(F.sum(F.when(y != 1, F.col(weight))), F.lit(0)).cast("long")
     else:
         pos, neg = F.count(F.when(y == 1, 1)), F.count(F.when(y != 1, 1))
-    pts = (df.groupBy(*by, nan_to_null(F.col(score).cast("double")).alias("threshold"))
-             .agg(pos.alias("pos"), neg.alias("neg")))
-    cum = running_totals(pts.where("threshold is not null"), by, "threshold", ["pos", "neg"], n_buckets=n_buckets)
+    pts = materialize(df.groupBy(*by, nan_to_null(F.col(score).cast("double")).alias("threshold"))
+                      .agg(pos.alias("pos"), neg.alias("neg")))
+    cum = running_totals(pts.where("threshold is not null"), by, "threshold", ["pos", "neg"], rows_per_range, stored=True)
     totals = pts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     cum = _attach_totals(cum, totals, by)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
@@ -146,24 +152,23 @@ def best_threshold(df, label="churn", score="proba", by=None) -> DataFrame:
 # --- E11 ------------------------------------------------------------------------------
 def metrics_at_best(df: DataFrame, label: str = "churn", score: str = "proba", by=None) -> DataFrame:
     """Accuracy, precision, recall and F1 at the best-F1 threshold, with ROC AUC and
-    average precision: the threshold-selection report."""
+    average precision: the threshold-selection report.  A group without any score has a
+    null threshold, AUC and precision, and predicts no row."""
     by = _g(by)
     summ = curve_summary(score_curve(df, label, score, by), by)
     s = nan_to_null(F.col(score).cast("double"))
     if by:
-        d = join_groups(df, summ.select(*by, "best_threshold"), by)   # one row per group
+        d = join_groups(df, summ.select(*by, "best_threshold"), by, "left")   # one row per group
         t = F.col("best_threshold")
     else:
         row = summ.collect()[0]
-        t = F.lit(row["best_threshold"])
+        t = F.lit(row["best_threshold"]).cast("double")
         d = df
     m = classification_metrics(d.withColumn("_pred", F.coalesce(s >= t, F.lit(False)).cast("int")), label, "_pred", by)
-    return join_groups(m, summ, by) if by else _one_row_merge(m, summ)
-
-
-def _one_row_merge(a: DataFrame, b: DataFrame) -> DataFrame:
-    row = b.collect()[0]   # a single summary row
-    return a.select("*", *[F.lit(row[c]).alias(c) for c in b.columns if c not in a.columns])
+    both = join_groups(m, summ, by, "left") if by else \
+        m.select("*", *[F.lit(row[c]).cast(summ.schema[c].dataType).alias(c) for c in summ.columns])
+    return both.withColumns({"n_pos": F.coalesce("n_pos", F.col("tp") + F.col("fn")),
+                             "n_neg": F.coalesce("n_neg", F.col("fp") + F.col("tn"))})
 
 
 # --- E12 ------------------------------------------------------------------------------
@@ -174,21 +179,26 @@ def threshold_grid(start: float = 0.2, stop: float = 0.8, step: float = 0.02) ->
 
 def threshold_sweep(df: DataFrame, label: str = "churn", score: str = "proba", by=None,
                     grid: list | None = None) -> DataFrame:
-    """F1 at every grid threshold in one pass: per grid value, conditional counts in a
-    single aggregation (no join, no sort); then one row per (group, threshold)."""
+    """F1 at every grid threshold in one pass: each row finds its place in the grid once,
+    one aggregation counts positives and negatives per place (at most grid + 1 rows a
+    group), and the counts above each threshold are sums over those places."""
     by = _g(by)
     grid = grid or threshold_grid()
-    s = nan_to_null(F.col(score).cast("double"))
+    points = sorted(set(grid))
+    s = F.coalesce(nan_to_null(F.col(score).cast("double")), F.lit(float("-inf")))
     y = F.col(label)
-    aggs = [F.count(F.when(y == 1, 1)).alias("n_pos")]
-    for i, g in enumerate(grid):
-        aggs += [F.count(F.when((s >= F.lit(g)) & (y == 1), 1)).alias(f"tp{i}"),
-                 F.count(F.when((s >= F.lit(g)) & (y != 1), 1)).alias(f"fp{i}")]
-    wide = df.groupBy(*by).agg(*aggs)
-    pts = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(g).alias("threshold"),
-                                       F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"))
-                              for i, g in enumerate(grid)]))
-    long = wide.select(*by, "n_pos", pts.alias("p")).select(*by, "n_pos", "p.*")
+    placed = Bucketizer(splits=[float("-inf"), *points, float("inf")], inputCol="_s", outputCol="_at").transform(
+        df.select(*by, y.alias("_y"), s.alias("_s")))       # _at: how many points the score reaches
+    counts = placed.groupBy(*by, F.col("_at").cast("int").alias("at")).agg(
+        F.count(F.when(F.col("_y") == 1, 1)).alias("pos"), F.count(F.when(F.col("_y") != 1, 1)).alias("neg"))
+    wide = counts.groupBy(*by).agg(F.collect_list(F.struct("at", "pos", "neg")).alias("c"), F.sum("pos").alias("n_pos"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(g)).alias("threshold"), F.lit(points.index(g) + 1).alias("need"))
+                               for i, g in enumerate(grid)]))
+    long = wide.select(*by, "n_pos", "c", each.alias("p")).select(*by, "n_pos", "c", "p.*")
+
+    def above(name):
+        return F.aggregate("c", F.lit(0).cast("long"), lambda t, x: t + F.when(x["at"] >= F.col("need"), x[name]).otherwise(0))
+    long = long.withColumns({"tp": above("pos"), "fp": above("neg")})
     fn = F.col("n_pos") - F.col("tp")
     return long.select(*by, "i", "threshold", "tp", "fp",
                        safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),

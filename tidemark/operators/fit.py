@@ -2,26 +2,28 @@
 
 Standardisation and class weights are one small aggregate each (numbers per column or
 per class reach the driver) applied as projections.  Learners are the distributed
-``pyspark.ml`` estimators; tuning uses ``CrossValidator`` with an explicit fold column
-(the stratified folds of ``split.stratified_folds``) or a holdout loop on the given
-validation split.
+``pyspark.ml`` estimators, and Newton steps over one aggregate each for logistic
+regression with a penalised intercept; tuning fits every candidate on every fold (the
+stratified folds of ``split.stratified_folds``) or on the training split of a holdout.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import quoted
-from tidemark.session import checked_collect, checkpoint_dir
+from tidemark.session import checked_collect, checkpoint_dir, materialize
 
 MAX_CLASSES = 1_000
 
@@ -112,6 +114,89 @@ def boosted_trees(n_estimators: int = 100, max_depth: int = 6, learning_rate: fl
                          seed=seed, checkpointInterval=10)
 
 
+# --- M4 -------------------------------------------------------------------------------
+def _newton_sums(beta: np.ndarray):
+    """Loss, gradient and Hessian of a batch's rows (features, constant, label, weight)."""
+    def run(it):
+        p = len(beta)
+        total = np.zeros(1 + p + p * p)
+        for batch in it:
+            m = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            x, y, w = m[:, :p], m[:, p], m[:, p + 1]
+            z = x @ beta
+            pr = 1.0 / (1.0 + np.exp(-np.clip(z, -700, 700)))
+            total[0] += float((w * (np.logaddexp(0.0, z) - y * z)).sum())
+            total[1:1 + p] += x.T @ (w * (pr - y))
+            total[1 + p:] += ((x * (w * pr * (1 - pr))[:, None]).T @ x).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
+    return run
+
+
+def newton_logreg(df: DataFrame, features: list[str], C: float = 1.0, label: str = "churn", weight: str | None = None,
+                  penalize_intercept: bool = True, max_iter: int = 50, tol: float = 1e-12) -> tuple[dict, float]:
+    """Logistic regression by Newton steps: coefficients per feature, and the intercept.
+
+    The objective is ``C * sum(w_i * loss_i) + |b|^2 / 2``; with ``penalize_intercept`` the
+    constant is one more penalised feature (the liblinear objective), else it is free.  It
+    is strictly convex in all penalised parameters, so the minimum is unique.  A step needs
+    one aggregate: each task adds its rows' loss, gradient and Hessian (p^2 numbers), and
+    only their sum reaches the driver.  Steps are halved until the objective falls.  Rows
+    with a null or NaN value in any used column are left out.  For up to a few hundred
+    features; wider tables go to ``fit_logreg``."""
+    cols = [quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    rows = df.select(*cols, F.lit(1.0).alias("one"), quoted(label).cast("double").alias("y"),
+                     (quoted(weight).cast("double") if weight else F.lit(1.0)).alias("w")).dropna()
+    rows = materialize(rows)
+    p = len(features) + 1
+    reg = np.ones(p)
+    if not penalize_intercept:
+        reg[-1] = 0.0
+
+    def at(beta):
+        each = rows.mapInArrow(_newton_sums(beta), "sums array<double>").select(F.posexplode("sums").alias("i", "v"))
+        total = np.array([r[1] for r in sorted(each.groupBy("i").agg(F.sum("v")).collect())])
+        if not len(total):
+            total = np.zeros(1 + p + p * p)
+        return (C * total[0] + (reg * beta * beta).sum() / 2, C * total[1:1 + p] + reg * beta,
+                C * total[1 + p:].reshape(p, p) + np.diag(reg))
+
+    beta = np.zeros(p)
+    value, grad, hess = at(beta)
+    for _ in range(max_iter):
+        scale = 1.0 / np.sqrt(np.maximum(np.diag(hess), 1e-300))    # features of any size
+        step = scale * np.linalg.lstsq(hess * np.outer(scale, scale), scale * grad, rcond=None)[0]
+        gain = float(grad @ step)
+        near = gain <= tol * max(1.0, abs(value))     # one more step squares the distance
+        size = 1.0
+        while size > 1e-8:
+            new = at(beta - size * step)
+            if near or new[0] <= value - 1e-4 * size * gain:
+                break
+            size /= 2
+        beta = beta - size * step
+        value, grad, hess = new
+        if near:
+            break
+    return {c: float(b) for c, b in zip(features, beta)}, float(beta[-1])
+
+
+def logreg_gradient(df: DataFrame, coef: dict, intercept: float, C: float = 1.0, label: str = "churn", weight: str | None = None,
+                    penalize_intercept: bool = True) -> DataFrame:
+    """``(feature, gradient)`` of the objective of ``newton_logreg`` at given parameters, by
+    one plain aggregation: a check of a fit that shares no code with it.  Where all
+    parameters are penalised the distance to the minimum is at most the gradient's length."""
+    z = F.lit(float(intercept))
+    for c, b in coef.items():
+        z = z + F.lit(float(b)) * quoted(c).cast("double")
+    w = quoted(weight).cast("double") if weight else F.lit(1.0)
+    miss = F.lit(float(C)) * w * (1 / (1 + F.exp(-z)) - quoted(label).cast("double"))
+    sums = df.agg(*[F.sum(miss * quoted(c).cast("double")).alias(f"g{i}") for i, c in enumerate(coef)], F.sum(miss).alias("g"))
+    each = [F.struct(F.lit(c).alias("feature"), (F.col(f"g{i}") + F.lit(float(b))).alias("gradient")) for i, (c, b) in enumerate(coef.items())]
+    own = F.col("g") + F.lit(float(intercept) if penalize_intercept else 0.0)
+    each.append(F.struct(F.lit("intercept").alias("feature"), own.alias("gradient")))
+    return sums.select(F.explode(F.array(*each)).alias("x")).select("x.*")
+
+
 def fit(estimator, df: DataFrame, features: list[str]) -> PipelineModel:
     """Assemble the features and fit; tree learners checkpoint into the shared folder."""
     checkpoint_dir(df.sparkSession)
@@ -120,8 +205,9 @@ def fit(estimator, df: DataFrame, features: list[str]) -> PipelineModel:
 
 def fit_logreg(df: DataFrame, features: list[str], C: float = 1.0, max_iter: int = 100,
                target: str = "churn", scale: bool = True, weighted: bool = True):
-    """M3 (scaled, weighted) or M4 (``scale=False, weighted=False``).  Returns the model
-    and the fitted standardiser (apply it to scoring input first)."""
+    """M3 (scaled and weighted; the intercept is not penalised, see ``newton_logreg`` for the
+    objective that does).  Returns the model and the fitted standardiser (apply it to
+    scoring input first)."""
     stats = fit_standardizer(df, features) if scale else {}
     d = standardize(df, stats) if scale else df
     n_weight = None
@@ -145,25 +231,39 @@ def f1_evaluator(label: str = "churn") -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-def grid_search_cv(df: DataFrame, features: list[str], estimator, grid: dict, fold_col: str = "fold",
-                   label: str = "churn", parallelism: int = 4):
-    """k-fold grid search on F1 of class 1 with user folds; refits the best on all rows.
+def grid_search_cv(df: DataFrame, features: list[str], make_estimator, grid: dict, fold_col: str = "fold",
+                   label: str = "churn", parallelism: int = 4, weighted: bool = True, scale: bool = False):
+    """k-fold grid search on F1 of class 1 with given folds; refits the best on all rows.
 
-    Returns ``(best_model, results)`` where results is a small DataFrame of
-    ``candidate, params, mean_f1``."""
-    builder = ParamGridBuilder()
-    for k, vals in grid.items():
-        builder = builder.addGrid(estimator.getParam(k), vals)
-    maps = builder.build()
-    pipe = Pipeline(stages=[assembler(features), estimator])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=f1_evaluator(label),
-                        foldCol=fold_col, parallelism=parallelism, seed=42)
+    Everything that is fitted is fitted inside a fold: class weights and scaling come from
+    the fold's training rows only.  Each (candidate, fold) is one job, ``parallelism`` at a
+    time.  Returns ``(best_model, fold_scores)``; ``fold_scores`` is a small table
+    ``candidate, params, fold, f1`` for ``fold_scores_mean`` and ``best_candidate``."""
+    candidates = param_grid(grid)
+    folds = sorted(r[0] for r in checked_collect(df.select(fold_col).distinct(), MAX_CLASSES, "folds"))
     checkpoint_dir(df.sparkSession)
-    model = cv.fit(df)
-    rows = [(i, json.dumps({p.name: v for p, v in m.items()}, sort_keys=True), float(s))
-            for i, (m, s) in enumerate(zip(maps, model.avgMetrics))]
-    res = df.sparkSession.createDataFrame(rows, "candidate int, params string, mean_f1 double")
-    return model.bestModel, res
+
+    def prepared(rows, other):
+        if scale:
+            stats = fit_standardizer(rows, features)
+            rows, other = standardize(rows, stats), standardize(other, stats)
+        return (prepare_weighted(rows, label) if weighted else rows), other
+
+    sides = {f: tuple(materialize(d) for d in prepared(df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f))) for f in folds}
+
+    def one(job):
+        (i, params), f = job
+        train, test = sides[f]
+        model = fit(make_estimator(**params), train, features)
+        return i, json.dumps(params, sort_keys=True), f, float(f1_evaluator(label).evaluate(model.transform(test)))
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(one, list(itertools.product(enumerate(candidates), folds)), chunksize=1)
+    scores = df.sparkSession.createDataFrame(rows, ["candidate", "params", "fold", "f1"]) \
+        .withColumns({"candidate": F.col("candidate").cast("int"), "fold": F.col("fold").cast("int")})
+    best = best_candidate(fold_scores_mean(scores)).first()["candidate"]
+    everything, _ = prepared(df, df.limit(0))
+    return fit(make_estimator(**candidates[best]), everything, features), scores
 
 
 def fold_scores_mean(fold_scores: DataFrame, candidate: str = "candidate", score: str = "f1") -> DataFrame:
@@ -185,11 +285,12 @@ def grid_search_holdout(train: DataFrame, valid: DataFrame, features: list[str],
 
     The loop is over candidates (a parameter list), each a distributed fit."""
     from tidemark.operators.evaluate import classification_metrics
+    from tidemark.operators.score import apply_threshold
     from tidemark.operators.score import score as score_model
     results, best = [], (-1.0, None, None)
     for i, params in enumerate(param_grid(grid)):
         model = fit(make_estimator(**params), train, features)
-        scored = score_model(model, valid).withColumn("pred", (F.col("proba") >= threshold).cast("int"))
+        scored = apply_threshold(score_model(model, valid), threshold)
         f1 = classification_metrics(scored, label, "pred").collect()[0]["f1"]
         results.append((i, json.dumps(params, sort_keys=True), float(f1)))
         if f1 > best[0]:

@@ -5,8 +5,9 @@ not scale: a window partitioned by a low-cardinality key (one task per class) an
 unpartitioned window (one task for everything).
 
 * ``stratified_rank``  - exact 0-based rank of every row inside its class, in a seeded
-  hash order (or key order).  Rows are cut into contiguous ranges of the sort key; the
-  per-(class, range) counts form a small table whose running offsets are broadcast back,
+  hash order (or key order).  Rows are cut into contiguous ranges of the sort key (for
+  key order ``ranges.with_ranges``: of class, key and tie-breakers together); the
+  per-(class, range) counts form a small table whose running offsets are joined back,
   and each range is ranked locally by its own window partition.
 * ``running_totals``   - descending cumulative sums over a sorted column, same offset trick.
 * ``exact_quantiles``  - exact interpolated quantiles (pandas / Spark ``median``) of
@@ -23,6 +24,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import ROWS_PER_RANGE, with_ranges
 from tidemark.session import checked_collect
 
 HASH_BUCKETS = 4096          # contiguous ranges of the md5 order per class
@@ -40,73 +42,38 @@ def _hash_range(h: Column, n_buckets: int) -> Column:
     return F.floor(prefix * F.lit(n_buckets) / F.lit(4294967296)).cast("int")
 
 
-def _quantile_splits(df: DataFrame, col: str, n_buckets: int, rel_err: float = 1e-3) -> list[float]:
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.approxQuantile(col, qs, rel_err) if qs else []
-    inner = sorted({float(b) for b in bounds if b is not None and not math.isnan(b) and not math.isinf(b)})
-    return [-math.inf] + inner + [math.inf]
-
-
-def _orderable(df: DataFrame, col: str) -> Column:
-    """A double that sorts like ``col`` (timestamps as epoch microseconds)."""
-    if df.schema[col].dataType.typeName().startswith("timestamp"):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    return F.col(col).cast("double")
-
-
-def _bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFrame:
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
-
-
-def text_order_key(c: Column, width: int = 6) -> Column:
-    """A long that never decreases as ``c`` grows in Spark's (UTF-8 byte) string order:
-    the first ``width`` bytes read as a big-endian number, shorter texts padded with
-    zero bytes.  Texts that share the prefix share the number, so callers break ties
-    with the text itself.  ``width`` <= 6 keeps the value exact in a double."""
-    hexed = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, width)), 2 * width, "0")
-    return F.conv(hexed, 16, 10).cast("long")
-
-
-def join_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Inner equi-join on the group columns in which null is a value like any other.
+def join_groups(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on the group columns in which null is a value like any other.
 
     The key is a struct of the columns: structs with equal null fields are equal, and the
     join still shuffles and sorts on that one key."""
     key = F.struct(*by)
     r = right.withColumn("_g", key).drop(*by)
-    return left.withColumn("_g", key).join(r, "_g").drop("_g")
+    return left.withColumn("_g", key).join(r, "_g", how).drop("_g")
 
 
 def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
-                    order: str = "hash", n_buckets: int = HASH_BUCKETS,
-                    rank_col: str = "_rank", size_col: str = "_class_n") -> DataFrame:
+                    order: str = "hash", n_buckets: int = HASH_BUCKETS, rows_per_range: int = ROWS_PER_RANGE,
+                    rank_col: str = "_rank", size_col: str = "_class_n", stored: bool = False) -> DataFrame:
     """Add the exact 0-based rank of each row within its ``by`` group, and the group size.
 
     ``order="hash"``: rows are ordered by ``md5(key|seed)`` then key (a seeded shuffle).
-    ``order="key"``:  rows are ordered by the key columns themselves (the first one
-    numeric or a timestamp).
+    ``order="key"``:  rows are ordered by the key columns themselves, of any type, nulls
+    first.
 
     Plan: ``range`` is a monotone function of the sort order, so (by, range) counts give
-    every range its starting offset.  The counts table has at most groups x n_buckets
-    rows; it is aggregated, its offsets computed on that small table and broadcast
-    after a size check.  The final window is partitioned by (by, range): a hot class is
-    spread over ``n_buckets`` tasks instead of one.  The input is shuffled once, on
-    (by, range); the counts table (at most groups x n_buckets rows) is the only other
-    shuffle.
+    every range its starting offset.  The final window is partitioned by (by, range): a
+    hot class is spread over ``n_buckets`` hash ranges, or in key order over ranges of
+    about ``rows_per_range`` rows, instead of one task.  The input is shuffled once, on
+    (by, range); the counts table (a row per range, and one more per group that shares a
+    range) is the only other shuffle.  ``stored`` says that key order may read ``df``
+    several times; otherwise it is written once.
     """
     if order == "hash":
         d = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_rng", _hash_range(F.col("_h"), n_buckets))
         within = [F.col("_h")] + [F.col(c) for c in key]
     elif order == "key":
-        # ranges of the first key column (numeric or timestamp); later columns break ties
-        kcol = _orderable(df, key[0])
-        splits = _quantile_splits(df.select(kcol.alias("_k")), "_k", n_buckets)
-        d = _bucketize(df.withColumn("_k", kcol), "_k", splits, "_rngd")
-        # a null first key has no range: it gets range -1, before every other range, as
-        # an ascending sort puts nulls first (instead of vanishing in the offsets join)
-        d = d.withColumn("_rng", F.coalesce(F.col("_rngd").cast("int"), F.lit(-1))).drop("_rngd", "_k")
+        d = with_ranges(df, [*by, *key], rows_per_range, stored=stored)
         within = [F.col(c) for c in key]
     else:
         raise ValueError(f"unknown order {order!r}")
@@ -128,17 +95,16 @@ def stratified_rank(df: DataFrame, by: list[str], key: list[str], seed=None,
 
 
 def running_totals(df: DataFrame, by: list[str], order_col: str, sums: list[str],
-                   n_buckets: int = 64, prefix: str = "cum_") -> DataFrame:
+                   rows_per_range: int = ROWS_PER_RANGE, prefix: str = "cum_", stored: bool = False) -> DataFrame:
     """For each row, the sums of ``sums`` over all rows of its group with
     ``order_col >= `` its own value (descending cumulative sums, ties excluded: the
     input should already hold one row per distinct ``order_col`` in each group).
 
-    Ranges of ``order_col`` come from approximate quantiles (only the boundaries reach
-    the driver); totals per (group, range) become offsets joined back on (group, range),
-    the same clustering the local running window needs.
+    Rows are cut into ranges of (group, ``order_col``); totals per (group, range) become
+    offsets joined back on (group, range), the same clustering the local running window
+    needs.  ``stored``: ``df`` may be read several times.
     """
-    splits = _quantile_splits(df.select(F.col(order_col).cast("double").alias("_o")), "_o", n_buckets)
-    d = _bucketize(df.withColumn("_o", F.col(order_col).cast("double")), "_o", splits, "_rng").drop("_o")
+    d = with_ranges(df, [*by, order_col], rows_per_range, stored=stored)
     d = d.withColumn("_g", F.struct(*by, "_rng"))
     tot = d.groupBy("_g").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums]).select("_g", "_g.*", *[f"_t_{s}" for s in sums])
     w_before = Window.partitionBy(*by).orderBy(F.col("_rng").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -306,17 +272,15 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, n_buckets: int = 256
 
 
 def running_max_before(df: DataFrame, by: list[str], order: list[str], value: str,
-                       n_buckets: int = 64, out: str = "prev_best") -> DataFrame:
+                       rows_per_range: int = ROWS_PER_RANGE, out: str = "prev_best", stored: bool = False) -> DataFrame:
     """For each row, the maximum of ``value`` over the rows of its group that come
     strictly before it in ``order`` (null for the first row).
 
-    The first order column (numeric or timestamp) is cut into contiguous ranges; the
-    maximum of every earlier range is an offset computed on the small (group, range)
-    table, and only the rest is a window - partitioned by (group, range), so a group
-    holding a third of all rows still spreads over ``n_buckets`` tasks."""
-    num = _orderable(df, order[0])
-    splits = _quantile_splits(df.select(num.alias("_o")), "_o", n_buckets)
-    d = _bucketize(df.withColumn("_o", num), "_o", splits, "_rng").drop("_o")
+    Rows are cut into ranges of (group, order columns); the maximum of every earlier range
+    of the group is an offset computed on the small (group, range) table, and only the rest
+    is a window - partitioned by (group, range), so a group holding a third of all rows
+    still spreads over many tasks.  ``stored``: ``df`` may be read several times."""
+    d = with_ranges(df, [*by, *order], rows_per_range, stored=stored)
     d = d.withColumn("_g", F.struct(*by, "_rng"))
     tot = d.groupBy("_g").agg(F.max(value).alias("_m")).select("_g", "_g.*", "_m")
     w_before = Window.partitionBy(*by).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,12 +10,14 @@ deterministic.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import quoted
-from tidemark.operators.ranking import stratified_rank, text_order_key
-from tidemark.session import checked_collect, materialize
+from tidemark.operators.ranges import ROWS_PER_RANGE
+from tidemark.operators.ranking import stratified_rank
+from tidemark.session import materialize
 
 # Metric file per model key, in candidate order.
 METRIC_FILES = {"LogReg": "metrics_test.json", "RF": "metrics_test_rf.json",
@@ -32,6 +34,11 @@ NAME_PRIORITY = ("TelcoChurn_LogReg", "TelcoChurn_XGB", "TelcoChurn_RF")
 FALLBACK_NAME = "TelcoChurn_LogReg"
 # Fixed value: version mention in free text ("v34", "@34", "version 34").
 VERSION_PATTERN = r"(?i)(?:\bv|@|version[^0-9]{0,10})(\d{1,5})"
+# A number in free text, and the forms of a model reference.
+NUMBER_PATTERN = r"(\d{1,5})"
+URI_PATTERN, URI_VERSION = r"(?i)^models:/(.*)$", r"^[^/]*/(.*)$"
+URI_ALIAS, TEXT_ALIAS = r"^[^@]*@(.*)$", r"^[^@]*@(.*)$"
+NAME_VERSION_FORM, NAME_VERSION = r"(?i)^.+?\s+v\d+$", r"(?i)^(.+?)\s+v(\d+)$"
 # First-present aliases of each metric.
 METRIC_ALIASES = {"accuracy": ("accuracy", "acc"), "precision": ("precision", "prec"),
                   "recall": ("recall", "rec"), "f1": ("f1", "f1_score")}
@@ -123,15 +130,16 @@ def label_for(df: DataFrame, file_col: str = "file", out: str = "label") -> Data
     return df.withColumn(out, F.coalesce(lookup(FILE_LABELS, F.col(file_col)), F.col(file_col)))
 
 
-def leaderboard(df: DataFrame, score: str = "f1", position: str = "position") -> DataFrame:
+def leaderboard(df: DataFrame, score: str = "f1", position: str = "position", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Rank by score descending (missing scores last), input position breaking ties;
     ``is_winner`` on rank 1.
 
-    The rank is the distributed exact rank (score ranges plus per-range offsets), so a
-    long run log is ranked by many tasks, never gathered into one."""
+    The rank is the distributed exact rank (ranges of score and position together, plus
+    per-range offsets), so a long run log is ranked by many tasks, never gathered into
+    one, even where most runs share a score."""
     s = F.col(score).cast("double")
     keyed = df.withColumn("_neg", F.coalesce(-s, F.lit(float("inf")))).withColumn("_nul", s.isNull().cast("int"))
-    r = stratified_rank(keyed, [], ["_neg", "_nul", position], order="key", n_buckets=256,
+    r = stratified_rank(keyed, [], ["_neg", "_nul", position], order="key", rows_per_range=rows_per_range,
                         rank_col="_rk", size_col="_n")
     return (r.withColumn("rank", (F.col("_rk") + 1).cast("int"))
             .withColumn("is_winner", F.col("rank") == 1)
@@ -146,18 +154,16 @@ def fmt4(c: Column) -> Column:
 
 
 def metric_table(df: DataFrame, metrics=("accuracy", "precision", "recall", "f1"), split_col: str = "split",
-                 model_col: str = "model_key") -> DataFrame:
-    """Display table: test rows before valid rows, then by model; numbers to 4 places,
-    missing values as ``-``."""
+                 model_col: str = "model_key", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Display table: test rows before valid rows, then by model (rows of one model by
+    their printed numbers); numbers to 4 places, missing values as ``-``."""
     order = F.when(F.col(split_col) == "test", 0).when(F.col(split_col) == "valid", 1).otherwise(2)
     cells = [fmt4(F.col(m)).alias(m) for m in metrics]
     t = df.select(F.col(model_col), F.col(split_col), order.alias("split_order"), *cells)
-    # row number over (split order, model): the distributed exact rank, on a numeric key
-    # that sorts like the pair (split order above a 6-byte prefix of the model name)
-    k = F.col("split_order").cast("long") * F.lit(1 << 48) + text_order_key(F.col(model_col))
-    r = stratified_rank(t.withColumn("_ord", k), [], ["_ord", model_col], order="key", n_buckets=256,
+    # row number over (split order, model, numbers): the distributed exact rank
+    r = stratified_rank(t, [], ["split_order", model_col, *metrics], order="key", rows_per_range=rows_per_range,
                         rank_col="_rk", size_col="_n")
-    return r.withColumn("row", (F.col("_rk") + 1).cast("int")).drop("_ord", "_rk", "_n")
+    return r.withColumn("row", (F.col("_rk") + 1).cast("int")).drop("_rk", "_n")
 
 
 # --- R10 / R11 ------------------------------------------------------------------------
@@ -184,6 +190,61 @@ def top_two(df: DataFrame, score: str = "f1", position: str = "position", key: s
     return top.withColumn("considered", considered.scalar())
 
 
+def candidates(df: DataFrame, metrics: list[str], score: str = "f1", position: str = "position", key: str = "model_key") -> DataFrame:
+    """One row per candidate model, best run first in case of several: key, registered
+    name, score and all metrics as a map (null metrics left out).  A table, however many
+    candidates the log has."""
+    pairs = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(m).alias("k"), F.col(m).cast("double").alias("v")) for m in metrics]),
+                                        lambda x: x["v"].isNotNull()))
+    best = F.min(F.struct(F.coalesce(-F.col(score).cast("double"), F.lit(float("inf"))).alias("o"), F.col(position).alias("position"),
+                          F.col("registered_model").alias("model_name"), F.col(score).cast("double").alias("score"),
+                          F.to_json(pairs).alias("metrics")))
+    one = df.groupBy(F.col(key).alias("key")).agg(best.alias("b"))
+    return one.select("key", "b.position", "b.model_name", F.col("b.score").alias("f1"), F.from_json("b.metrics", "map<string,double>").alias("metrics"))
+
+
+def selection_roles(cands: DataFrame, versions: DataFrame) -> DataFrame:
+    """The two best candidates with role and latest registered version.  A champion without
+    a version is an error; a challenger without one is no challenger (``role`` null), but
+    was considered."""
+    top = cands.orderBy(F.col("f1").desc_nulls_last(), "position").limit(2)
+    rank = F.row_number().over(Window.orderBy(F.col("f1").desc_nulls_last(), "position"))      # of two rows
+    last = latest_version(versions).select(F.col("registered_model").alias("model_name"), F.col("latest_version").alias("version"))
+    both = top.withColumn("place", rank).join(last, "model_name", "left")
+    role = F.when(F.col("place") == 1, F.when(F.col("version").isNotNull(), F.lit("champion")).otherwise(
+        F.raise_error(F.concat(F.lit("no registered version of "), F.col("model_name"))).cast("string"))) \
+        .when(F.col("version").isNotNull(), F.lit("challenger"))
+    return both.select("place", role.alias("role"), "key", "model_name", "version", "f1", "metrics")
+
+
+def selection_document(roles: DataFrame, selected_at: int, registry_uri: str) -> DataFrame:
+    """The selection record as one JSON document (column ``doc``): time, registry, champion
+    and challenger with key, model, version, F1 and metrics, and those considered."""
+    own = F.struct("key", "model_name", "version", "f1", "metrics")
+    both = roles.agg(F.array_sort(F.collect_list(F.struct("place", "role", own.alias("x"))),      # at most two rows
+                                  lambda a, b: a["place"] - b["place"]).alias("all"))
+    of = lambda role: F.get(F.filter("all", lambda r: r["role"] == role), F.lit(0))["x"]
+    considered = F.transform("all", lambda r: F.struct(r["x"]["key"].alias("key"), r["x"]["f1"].alias("f1"), r["x"]["metrics"].alias("metrics")))
+    return both.where(F.size("all") > 0).select(F.to_json(F.struct(
+        F.lit(selected_at).cast("long").alias("ts"), F.lit(registry_uri).alias("registry_uri"), of("champion").alias("champion"),
+        of("challenger").alias("challenger"), considered.alias("considered")), {"ignoreNullFields": "false"}).alias("doc"))
+
+
+# Fixed value: the layout of a selection record.
+SELECTION_SCHEMA = ("ts long, registry_uri string, "
+                    "champion struct<key:string,model_name:string,version:int,f1:double,metrics:map<string,double>>, "
+                    "challenger struct<key:string,model_name:string,version:int,f1:double,metrics:map<string,double>>, "
+                    "considered array<struct<key:string,f1:double,metrics:map<string,double>>>")
+
+
+def read_selection(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """A stored selection record as rows: ``ts, role, key, model_name, version, f1, metrics``."""
+    d = docs.select(F.from_json(F.col(doc_col), SELECTION_SCHEMA).alias("d")).select("d.*")
+    roles = F.filter(F.array(*[F.struct(F.lit(r).alias("role"), F.col(r).alias("x")) for r in ("champion", "challenger")]),
+                     lambda e: e["x"].isNotNull())
+    return d.select("ts", F.explode(roles).alias("e")).select("ts", "e.role", "e.x.*")
+
+
 # --- R12 / R13 ------------------------------------------------------------------------
 def best_run(runs: DataFrame, metric: str = "f1", by=("experiment_name",), min_value: float = 0.0) -> DataFrame:
     """Per experiment, the run with the highest metric above ``min_value``; run id
@@ -260,21 +321,21 @@ def parse_model_ref(ref: Column) -> Column:
     -> struct(name, version, alias)."""
     s = F.trim(ref)
     is_uri = F.lower(s).startswith("models:/")
-    spec = F.regexp_extract(s, r"(?i)^models:/(.*)$", 1)
+    spec = F.regexp_extract(s, URI_PATTERN, 1)
     uri_alias = F.instr(spec, "@") > 0
     uri_ver = F.instr(spec, "/") > 0
     at = (F.instr(s, "@") > 0) & ~F.lower(s).contains(" v")
-    nv = s.rlike(r"(?i)^.+?\s+v\d+$")
+    nv = s.rlike(NAME_VERSION_FORM)
     name = (F.when(is_uri & uri_alias, F.trim(F.substring_index(spec, "@", 1)))
             .when(is_uri & uri_ver, F.trim(F.substring_index(spec, "/", 1)))
             .when(is_uri, F.trim(spec))
             .when(at, F.trim(F.substring_index(s, "@", 1)))
-            .when(nv, F.trim(F.regexp_extract(s, r"(?i)^(.+?)\s+v(\d+)$", 1)))
+            .when(nv, F.trim(F.regexp_extract(s, NAME_VERSION, 1)))
             .otherwise(s))
-    ver_text = F.when(is_uri & ~uri_alias & uri_ver, F.regexp_extract(spec, r"^[^/]*/(.*)$", 1)) \
-        .when(~is_uri & ~at & nv, F.regexp_extract(s, r"(?i)^(.+?)\s+v(\d+)$", 2))
-    alias = (F.when(is_uri & uri_alias, F.trim(F.regexp_extract(spec, r"^[^@]*@(.*)$", 1)))
-             .when(~is_uri & at, F.trim(F.regexp_extract(s, r"^[^@]*@(.*)$", 1))))
+    ver_text = F.when(is_uri & ~uri_alias & uri_ver, F.regexp_extract(spec, URI_VERSION, 1)) \
+        .when(~is_uri & ~at & nv, F.regexp_extract(s, NAME_VERSION, 2))
+    alias = (F.when(is_uri & uri_alias, F.trim(F.regexp_extract(spec, URI_ALIAS, 1)))
+             .when(~is_uri & at, F.trim(F.regexp_extract(s, TEXT_ALIAS, 1))))
     return F.struct(name.alias("name"), F.trim(ver_text).try_cast("int").alias("version"), alias.alias("alias"))
 
 
@@ -307,58 +368,83 @@ def resolve_model_uri(name: Column, version: Column, alias: Column) -> Column:
 
 
 # --- R22 ------------------------------------------------------------------------------
-def _substring_hits(t: DataFrame, text_col: str, names: DataFrame) -> DataFrame:
-    """``contains`` as an equi-join: every distinct substring of each text whose length
-    is the length of some known name, joined to the names on equality.  Exact, and a
-    plain shuffle join; the distinct name lengths (at most the longest name) are the
-    only thing collected."""
-    lengths = sorted(r["_len"] for r in checked_collect(
-        names.select(F.length("_name").alias("_len")).where(F.col("_len") > 0).distinct(), 10_000, "name lengths"))
-    txt = F.coalesce(F.col(text_col), F.lit(""))
-
-    def cuts(n: int):
-        starts = F.sequence(F.lit(1), F.length(txt) - F.lit(n - 1))
-        return F.when(F.length(txt) >= n, F.transform(starts, lambda i: F.substring(txt, i, n))) \
-                .otherwise(F.array().cast("array<string>"))
-    subs = t.select("_tid", F.explode(F.array_distinct(F.flatten(F.array(*[cuts(n) for n in lengths])))).alias("_sub")) \
-        if lengths else t.select("_tid", F.lit(None).cast("string").alias("_sub")).where(F.lit(False))
-    return subs.join(names, subs["_sub"] == names["_name"]).select("_tid", "_name", "_prio")
+#: Bytes of known names in one automaton; more names make more automata (and passes).
+AUTOMATON_BYTES = 32_000_000
+
+
+def _found_names(shared):
+    """For every text the known names in it: how many, the best by priority, the last."""
+    def run(it):
+        automaton = shared.value
+        for batch in it:
+            out = [], [], []
+            for text in batch.column("_text").to_pylist():
+                names = {name for _, name in automaton.iter(text)} if text else ()
+                out[0].append(len(names))
+                out[1].append(min(((_priority(n), n) for n in names), default=(None, None))[1])
+                out[2].append(max(names, key=lambda n: n.encode(), default=None))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in batch.schema.names if c != "_text"], pa.array(out[0], pa.int64()),
+                                              pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
+                                             names=[*[c for c in batch.schema.names if c != "_text"], "_n", "_best", "_last"])
+    return run
+
+
+def _priority(name: str) -> int:
+    return NAME_PRIORITY.index(name) if name in NAME_PRIORITY else len(NAME_PRIORITY)
+
+
+def _name_matches(t: DataFrame, names: DataFrame) -> DataFrame:
+    """``_tid`` with ``_n, _best, _last`` of the known names that occur in ``_text``.
+
+    An Aho-Corasick automaton over the names is built once and broadcast; a scan of a text
+    finds all names in it, overlapping ones too, in time linear in the text.  Names beyond
+    ``AUTOMATON_BYTES`` are dealt by hash to several automata, each a scan of the texts
+    whose matches are merged; so no broadcast exceeds the bound."""
+    import ahocorasick
+    spark = t.sparkSession
+    size = names.agg(F.sum(F.octet_length("_name"))).first()[0] or 0
+    parts = max(1, -(-size // AUTOMATON_BYTES))
+    dealt = materialize(names.select("_name", F.pmod(F.xxhash64("_name"), F.lit(parts)).alias("_part")))
+    found = None
+    for i in range(parts):
+        automaton = ahocorasick.Automaton()
+        for r in dealt.where((F.col("_part") == i) & (F.col("_name") != "")).select("_name").toLocalIterator():
+            automaton.add_word(r["_name"], r["_name"])
+        if not len(automaton):
+            continue
+        automaton.make_automaton()
+        hits = t.select("_tid", "_text").mapInArrow(_found_names(spark.sparkContext.broadcast(automaton)),
+                                                    "_tid long, _n long, _best string, _last string").where("_n > 0")
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        return t.select("_tid", F.lit(0).cast("long").alias("_n"), F.lit(None).cast("string").alias("_best"),
+                        F.lit(None).cast("string").alias("_last")).limit(0)
+    if parts == 1:
+        return found
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in NAME_PRIORITY]), F.col("_best")).cast("int"), F.lit(0))
+    rank = F.when(rank == 0, len(NAME_PRIORITY) + 1).otherwise(rank)
+    return found.groupBy("_tid").agg(F.sum("_n").alias("_n"), F.min(F.struct(rank.alias("p"), F.col("_best").alias("b")))["b"].alias("_best"),
+                                     F.max("_last").alias("_last"))
 
 
 def extract_model_ref(texts: DataFrame, text_col: str, id_col: str, known: DataFrame,
-                      name_col: str = "registered_model", max_broadcast: int = 10_000,
-                      versions: DataFrame | None = None) -> DataFrame:
+                      name_col: str = "registered_model", versions: DataFrame | None = None) -> DataFrame:
     """Find a known model name and a version in free text.
 
-    Names: a theta join of texts with the list of known names on ``contains``, with the
-    list broadcast once a count proves it holds at most ``max_broadcast`` names; a longer
-    list goes through the exact substring equi-join instead (no broadcast, no
-    text x name pairs).  One match wins, several go by the fixed priority, then the
+    Names: every known name that occurs anywhere in a text, overlapping ones included (see
+    ``_name_matches``).  One match wins, several go by the fixed priority, then the
     last-listed known name.  Version: ``v34`` / ``@34`` / ``version 34``, else the last
     number in 1..10000; an explicit 0 is no version.  Rows without both give nulls, or,
     given ``versions`` (name, version), the fixed fallback model (else the first known
     name) with its latest version.  Every row is judged by itself: ids may repeat or be
     null."""
-    names = known.select(F.col(name_col).alias("_name")).distinct()
-    prio = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in NAME_PRIORITY]), F.col("_name")).cast("int"),
-                      F.lit(len(NAME_PRIORITY) + 1))
-    names = names.withColumn("_prio", prio)
-    t = texts.select(F.struct(*[quoted(c) for c in texts.columns]).alias("_row"), F.col(text_col).alias("_text"),
-                     F.monotonically_increasing_id().alias("_tid"))
-    if names.limit(max_broadcast + 1).count() <= max_broadcast:
-        hits = t.join(F.broadcast(names), F.col("_text").contains(F.col("_name")), "left")
-    else:
-        t = materialize(t)   # fixes the row numbers for both sides of the join
-        hits = t.join(_substring_hits(t, "_text", names), "_tid", "left")
-    found = (hits.groupBy("_tid").agg(
-        F.first("_row").alias("_row"), F.first("_text").alias("_text"),
-        F.count("_name").alias("_n"),
-        F.min(F.struct("_prio", F.col("_name").alias("_nm"))).alias("_best"),
-        F.max("_name").alias("_last")))
-    name = F.when(F.col("_n") == 1, F.col("_best._nm")).when(
-        F.col("_best._prio") <= len(NAME_PRIORITY), F.col("_best._nm")).otherwise(F.col("_last"))
+    names = known.select(F.col(name_col).alias("_name")).where("_name is not null").distinct()
+    t = materialize(texts.select(F.struct(*[quoted(c) for c in texts.columns]).alias("_row"), F.col(text_col).cast("string").alias("_text"),
+                                 F.monotonically_increasing_id().alias("_tid")))     # fixes the row numbers
+    found = t.join(_name_matches(t, names), "_tid", "left")
+    name = F.when(F.col("_n") == 1, F.col("_best")).when(F.col("_best").isin(*NAME_PRIORITY), F.col("_best")).otherwise(F.col("_last"))
     explicit = F.regexp_extract(F.col("_text"), VERSION_PATTERN, 1)
-    nums = F.filter(F.transform(F.regexp_extract_all(F.col("_text"), F.lit(r"(\d{1,5})"), 1),
+    nums = F.filter(F.transform(F.regexp_extract_all(F.col("_text"), F.lit(NUMBER_PATTERN), 1),
                                 lambda x: x.cast("int")), lambda x: (x > 0) & (x <= 10000))
     version = F.when(explicit != "", explicit.cast("int")).otherwise(F.try_element_at(nums, F.lit(-1)))
     ok = name.isNotNull() & (version > 0)

@@ -54,9 +54,14 @@ def hard_to_float(df: DataFrame, col: str, out: str = "proba") -> DataFrame:
 # --- P4 -------------------------------------------------------------------------------
 def apply_threshold(df: DataFrame, t=DEFAULT_THRESHOLD, col: str = "proba", out: str = "pred") -> DataFrame:
     """``pred = int(proba >= t)``; ``t`` is a number or a Column (per-row thresholds).
-    NaN reaches no threshold (Spark alone would order it above all numbers)."""
-    tc = t if isinstance(t, Column) else F.lit(float(t))
-    return df.withColumn(out, ((F.col(col) >= tc) & ~F.isnan(F.col(col).cast("double"))).cast("int"))
+    A null or NaN score reaches no threshold (Spark alone would order NaN above all
+    numbers), and no score reaches a null threshold."""
+    return df.withColumn(out, reaches(F.col(col), t if isinstance(t, Column) else F.lit(float(t))).cast("int"))
+
+
+def reaches(score: Column, t) -> Column:
+    """Whether a score reaches a threshold: never null, false for a null or NaN score."""
+    return F.coalesce((score >= t) & ~F.isnan(score.cast("double")), F.lit(False))
 
 
 # --- P5 -------------------------------------------------------------------------------
@@ -144,11 +149,13 @@ def explode_predictions(df: DataFrame, json_col: str, out: str = "prediction", p
 
 
 # --- P9 -------------------------------------------------------------------------------
+# The column names of the score table.
 def score_table(df: DataFrame, key: str, t: float, scoring_date: str, proba: str = "proba") -> DataFrame:
     """``customer_id, score_churn, flag_alto_riesgo, fecha_scoring``; append with
-    ``partitionBy("fecha_scoring")`` for one partition per date."""
+    ``partitionBy("fecha_scoring")`` for one partition per date.  A null or NaN score is
+    not flagged."""
     return df.select(F.col(key).alias("customer_id"), F.col(proba).alias("score_churn"),
-                     (F.col(proba) >= F.lit(float(t))).cast("int").alias("flag_alto_riesgo"),
+                     reaches(F.col(proba), F.lit(float(t))).cast("int").alias("flag_alto_riesgo"),
                      F.lit(scoring_date).cast("date").alias("fecha_scoring"))
 
 

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.operators.ranking import HASH_BUCKETS, seeded_hash, stratified_rank, text_order_key
+from tidemark.operators.ranges import ROWS_PER_RANGE
+from tidemark.operators.ranking import HASH_BUCKETS, seeded_hash, stratified_rank
 
 
 def _count_for(size_col: str, frac: float):
@@ -51,7 +51,8 @@ def union_parts(*parts: DataFrame) -> DataFrame:
 
 
 def stratified_folds(df: DataFrame, target: str = "churn", k: int = 3, seed: int = 42, key: str = "row_key",
-                     shuffle: bool = True, fold_col: str = "fold", n_buckets: int = HASH_BUCKETS) -> DataFrame:
+                     shuffle: bool = True, fold_col: str = "fold", n_buckets: int = HASH_BUCKETS,
+                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``fold = rank within class % k``.
 
     ``shuffle=True`` ranks in seeded hash order; ``shuffle=False`` ranks by the key, so
@@ -59,12 +60,8 @@ def stratified_folds(df: DataFrame, target: str = "churn", k: int = 3, seed: int
     """
     if shuffle:
         r = stratified_rank(df, [target], [key], seed, order="hash", n_buckets=n_buckets)
-    elif isinstance(df.schema[key].dataType, T.StringType):
-        # ranges are cut on a number that sorts like the text; the text itself breaks its ties
-        r = stratified_rank(df.withColumn("_text_order", text_order_key(F.col(key))), [target], ["_text_order", key],
-                            order="key", n_buckets=min(n_buckets, 1024)).drop("_text_order")
     else:
-        r = stratified_rank(df, [target], [key], order="key", n_buckets=min(n_buckets, 1024))
+        r = stratified_rank(df, [target], [key], order="key", rows_per_range=rows_per_range)
     return r.withColumn(fold_col, (F.col("_rank") % k).cast("int")).drop("_rank", "_class_n")
 
 

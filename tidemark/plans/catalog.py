@@ -1,7 +1,7 @@
 """Registered queries: one per operator of the inventory, each ``(spark, sf_dir) ->
 DataFrame`` over the driver tables, and the DuckDB SQL twin where one exists.
 
-Reported floats are rounded to 6 places in both engines; scores are rounded to 9
+Reported floats are rounded once, to 6 places, in both engines; scores are rounded to 9
 places before grouping into curve points.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import r6
-from tidemark.operators import clean, evaluate, fit, score, split
+from tidemark.operators import clean, evaluate, fit, score, split, trees
 from tidemark.plans import flows
 from tidemark.plans import sql as S
 from tidemark.session import materialize, shared_path
@@ -110,6 +110,24 @@ def q_one_hot(spark, sf):
     return _r6_all(clean.one_hot(d, clean.fit_categories(d, kinds["categorical"])))
 
 
+@register("wide_one_hot", """
+WITH v AS (SELECT ref, row_number() OVER (ORDER BY ref) - 1 AS rank, count(*) OVER () AS n
+           FROM (SELECT DISTINCT 'ORD-' || CAST(l_orderkey AS VARCHAR) AS ref FROM lineitem WHERE l_orderkey % 97 <> 0))
+SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag = 'N' AS l_returnflag_N, l.l_returnflag = 'R' AS l_returnflag_R,
+       CASE WHEN v.rank >= 1 THEN '(' || (SELECT max(n) - 1 FROM v) || ',[' || (v.rank - 1) || '],[1.0])'
+            ELSE '(' || (SELECT max(n) - 1 FROM v) || ',[],[])' END AS order_ref
+FROM lineitem l LEFT JOIN v ON l.l_orderkey % 97 <> 0 AND v.ref = 'ORD-' || CAST(l.l_orderkey AS VARCHAR)""")
+def q_wide_one_hot(spark, sf):
+    """C10 on lineitem: a text column with a value per order (far more than dummies can
+    hold, some null) as a sparse vector, beside the dummies of a narrow column."""
+    ref = F.when(F.col("l_orderkey") % 97 != 0, F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")))
+    d = tables.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", ref.alias("order_ref"))
+    spec = clean.fit_encoding(d, "l_linenumber", "l_orderkey")
+    e = clean.one_hot_sparse(clean.one_hot(d, spec.categories), spark.read.parquet(spec.dictionary))
+    return e.select("l_orderkey", "l_linenumber", "l_returnflag_N", "l_returnflag_R",
+                    F.col(clean.vector_name("order_ref")).cast("string").alias("order_ref"))
+
+
 @register("prepared_features", S.chain(upto="prep", body=f"SELECT * REPLACE ({_r6_sql(S.NUMERIC)}) FROM prep_t"))
 def q_prepared(spark, sf):
     return _r6_all(flows.prepared_table(spark, sf))
@@ -200,6 +218,20 @@ def q_processed_csv_roundtrip(spark, sf):
     return _r6_all(d.withColumns({"row_key": F.col("row_key").cast("long"), "churn": F.col("churn").cast("int")}))
 
 
+@register("csv_quoted_breaks", """
+SELECT doc_id, CASE WHEN text IN ('', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA',
+                                  'NULL', 'NaN', 'None', 'n/a', 'nan', 'null') THEN NULL ELSE text END AS text,
+       lang, CAST(length(text) AS BIGINT) AS n FROM documents""")
+def q_csv_quoted_breaks(spark, sf):
+    """Documents - line breaks, quotes and commas inside cells - written as CSV and read
+    back by several tasks a file."""
+    path = shared_path(spark, "csv_breaks", uuid.uuid4().hex)
+    d = tables.load(spark, sf, "documents").select("doc_id", "text", "lang", F.length("text").cast("long").alias("n"))
+    files.write_table(d, path, fmt="csv")
+    back = files.read_table(spark, path)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", F.col("n").cast("long").alias("n"))
+
+
 # ------------------------------------------------------------------ splits / sampling
 @register("stratified_split", S.chain(upto="split", body="SELECT row_key, churn, split FROM split_t"))
 def q_split(spark, sf):
@@ -260,7 +292,7 @@ def q_class_weights(spark, sf):
 
 # ------------------------------------------------------------------ scoring
 def _valid_scores(spark, sf):
-    return flows.scored_table(spark, sf).where(F.col("split") == "valid")
+    return flows.tied(flows.scored_table(spark, sf).where(F.col("split") == "valid"))
 
 
 @register("split_metrics", S.chain(body=f"""
@@ -535,9 +567,9 @@ def q_import_files(spark, sf):
         F.lit("metrics_broken.json").alias("file"), F.expr("substring(doc, 1, length(doc) - 2)").alias("doc"))
     empty = docs.where(F.col("model_key") == "LogReg").select(F.lit("metrics_empty.json").alias("file"), F.lit("").alias("doc"))
     path = shared_path(spark, "metric_files", uuid.uuid4().hex)
-    files_df.unionByName(broken).unionByName(empty).write.partitionBy("file").text(path)
-    read = spark.read.option("wholetext", True).text(path).select("file", F.col("value").alias("doc"))
-    return _r6_all(R.import_metric_documents(read))
+    files.write_json_documents(files_df.unionByName(broken).unionByName(empty), path)
+    read = files.read_json_documents(spark, path, "metrics_*.json")
+    return _r6_all(R.import_metric_documents(read, "file_name"))
 
 
 def _doc_variants(spark, sf):
@@ -618,13 +650,34 @@ def q_metric_table(spark, sf):
 
 @register("champion_challenger", _runs_sql(body="""
 SELECT model_key, registered_model, round(f1, 6) AS f1,
-       CASE WHEN rn = 1 THEN 'champion' ELSE 'challenger' END AS role, 'LogReg,RF,XGB,FE' AS considered
+       CASE WHEN rn = 1 THEN 'champion' ELSE 'challenger' END AS role,
+       (SELECT string_agg(model_key, ',' ORDER BY position) FROM runs_t WHERE split = 'test') AS considered
 FROM (SELECT *, row_number() OVER (ORDER BY f1 DESC, position) AS rn FROM runs_t WHERE split = 'test') WHERE rn <= 2"""))
 def q_champion_challenger(spark, sf):
     t = flows.run_table(spark, sf).where(F.col("split") == "test")
     return _r6_all(R.top_two(t).select("model_key", "registered_model", "f1", "role", "considered"))
 
 
+SELECTED_AT = 1_706_745_600      # epoch seconds
+
+
+@register("selection_record", _runs_sql("""
+ver_t AS (SELECT registered_model, count(*) AS latest FROM runs_t GROUP BY registered_model),
+sel_t AS (SELECT r.*, row_number() OVER (ORDER BY f1 DESC, position) AS rn FROM runs_t r WHERE split = 'test')""", body=f"""
+SELECT CAST({SELECTED_AT} AS BIGINT) AS ts, CASE WHEN rn = 1 THEN 'champion' ELSE 'challenger' END AS role, model_key AS key,
+       registered_model AS model_name, CAST(latest AS INTEGER) AS version, round(f1, 6) AS f1, unnest(['accuracy', 'precision', 'recall', 'f1', 'roc_auc', 'pr_ap']) AS metric,
+       unnest([round(accuracy, 6), round(precision, 6), round(recall, 6), round(f1, 6), round(roc_auc, 6), round(pr_ap, 6)]) AS value
+FROM sel_t JOIN ver_t USING (registered_model) WHERE rn <= 2"""))
+def q_selection_record(spark, sf):
+    """R10 + C14: the selection record written as a JSON document and read back."""
+    rt = flows.run_table(spark, sf)
+    roles = R.selection_roles(R.candidates(rt.where(F.col("split") == "test"), _METRICS6), _versions(rt))
+    path = shared_path(spark, "selection", uuid.uuid4().hex)
+    files.write_json_documents(R.selection_document(roles, SELECTED_AT, "registry").withColumn("file", F.lit("selection.json")), path)
+    rows = R.read_selection(files.read_json_documents(spark, path, "selection.json"))
+    return _r6_all(rows.select("ts", "role", "key", "model_name", "version", "f1", F.explode("metrics").alias("metric", "value")))
+
+
 @register("registered_names", _runs_sql(body="SELECT run_id, model_key, registered_model FROM runs_t"))
 def q_registered_names(spark, sf):
     rt = flows.run_table(spark, sf)
@@ -680,7 +733,7 @@ def _versions(rt):
     numbered by the distributed rank in (start time, run id) order per model."""
     from tidemark.operators.ranking import stratified_rank
     r = stratified_rank(rt.select("registered_model", "run_id", "start_time"), ["registered_model"],
-                        ["start_time", "run_id"], order="key", n_buckets=64)
+                        ["start_time", "run_id"], order="key", stored=True)
     return r.select("registered_model", "run_id", "start_time", (F.col("_rank") + 1).cast("string").alias("version"))
 
 
@@ -822,6 +875,39 @@ def q_extract_ref(spark, sf):
     return R.extract_model_ref(texts, "text", "text_id", known)
 
 
+_MENTION_SQL = r"""
+name_t AS (SELECT registered_model AS n, row_number() OVER (ORDER BY registered_model) - 1 AS i, count(*) OVER () AS k,
+                  (SELECT max(CAST(version AS INTEGER)) FROM ver_t v WHERE v.registered_model = m.registered_model) AS latest
+           FROM (SELECT DISTINCT registered_model FROM ver_t) m),
+say_t AS (SELECT conv_id, turn, role, CASE conv_id % 4
+            WHEN 0 THEN coalesce(text, '') || ' please promote ' || n || ' as version ' || CAST(turn + 1 AS VARCHAR)
+            WHEN 1 THEN n || ' and TelcoChurn_RF differ: ' || coalesce(text, '')
+            ELSE text END AS text
+          FROM conversations JOIN name_t ON conv_id % k = i),
+hit_t AS (SELECT *, list_filter(['TelcoChurn_LogReg', 'TelcoChurn_XGB', 'TelcoChurn_RF'], lambda x: contains(coalesce(text, ''), x)) AS hits,
+                 regexp_extract(coalesce(text, ''), '(?i)(?:\bv|@|version[^0-9]{0,10})(\d{1,5})', 1) AS said,
+                 list_filter(list_transform(regexp_extract_all(coalesce(text, ''), '(\d{1,5})', 1), lambda x: CAST(x AS INTEGER)),
+                             lambda x: x > 0 AND x <= 10000) AS nums FROM say_t),
+ref_t AS (SELECT *, hits[1] AS nm, CASE WHEN said <> '' THEN CAST(said AS INTEGER) ELSE nums[len(nums)] END AS ver FROM hit_t)"""
+
+
+@register("mentioned_models", _runs_sql(_VERSIONS_SQL, _MENTION_SQL, body="""
+SELECT conv_id, turn, role, CASE WHEN nm IS NOT NULL AND ver > 0 THEN nm ELSE 'TelcoChurn_LogReg' END AS name,
+       CAST(CASE WHEN nm IS NOT NULL AND ver > 0 THEN ver ELSE (SELECT latest FROM name_t WHERE n = 'TelcoChurn_LogReg') END AS INTEGER) AS version
+FROM ref_t"""))
+def q_mentioned_models(spark, sf):
+    """R22 over all conversations, a quarter naming one model and a quarter two; the rest
+    take the fallback."""
+    versions = materialize(_versions(flows.run_table(spark, sf)))
+    names = sorted(r[0] for r in versions.select("registered_model").distinct().limit(1_000).collect())     # the registry's few names
+    n = F.get(F.array(*[F.lit(x) for x in names]), (F.col("conv_id") % len(names)).cast("int"))
+    text, form = F.coalesce("text", F.lit("")), F.col("conv_id") % 4
+    said = F.when(form == 0, F.concat(text, F.lit(" please promote "), n, F.lit(" as version "), (F.col("turn") + 1).cast("string"))) \
+        .when(form == 1, F.concat(n, F.lit(" and TelcoChurn_RF differ: "), text)).otherwise(F.col("text"))
+    talk = tables.load(spark, sf, "conversations").select("conv_id", "turn", "role", said.alias("text"))
+    return R.extract_model_ref(talk, "text", "conv_id", versions.select("registered_model"), versions=versions).drop("text")
+
+
 # ------------------------------------------------------------------ streaming and monitoring
 from tidemark.streaming import monitor as T  # noqa: E402
 from tidemark.streaming import watch as W  # noqa: E402
@@ -845,7 +931,7 @@ SELECT c.window_start, c.window_end, c.tp, c.fp, c.tn, c.fn, c.n, {S.RATIOS.repl
        round(s.roc_auc, 6) AS roc_auc, round(s.pr_ap, 6) AS pr_ap
 FROM wc_t c LEFT JOIN summaryw_t s USING (window_start)"""))
 def q_windowed_metrics(spark, sf):
-    return _r6_all(_ntz(T.windowed_metrics(_scored_events(spark, sf)), "window_start", "window_end"))
+    return _r6_all(_ntz(T.windowed_metrics(flows.tied(_scored_events(spark, sf))), "window_start", "window_end"))
 
 
 @register("windowed_counts_stream", S.chain(S.SCORED_EVENTS, S.WINDOW_COUNTS,
@@ -861,6 +947,28 @@ def q_windowed_counts_stream(spark, sf):
     return _ntz(res, "window_start", "window_end")
 
 
+#: The stream's watermark: windows that end at most this long before the last event stay open.
+STREAM_DELAY_DAYS = 1
+
+
+@register("windowed_metrics_stream", S.chain(
+    S.SCORED_EVENTS, S.WINDOW_COUNTS, S.curve_ctes(["window_start"], "TRUE", "w", "sev_t"), body=f"""
+SELECT c.window_start, c.window_end, c.tp, c.fp, c.tn, c.fn, c.n, {S.RATIOS.replace('tp', 'c.tp').replace('fp', 'c.fp').replace('tn', 'c.tn').replace('fn', 'c.fn').replace(' n ', ' c.n ').replace('/ n', '/ c.n')},
+       round(s.roc_auc, 6) AS roc_auc, round(s.pr_ap, 6) AS pr_ap
+FROM wc_t c LEFT JOIN summaryw_t s USING (window_start)
+WHERE c.window_end <= (SELECT max(ts) FROM sev_t) - INTERVAL '{STREAM_DELAY_DAYS} days'"""))
+def q_windowed_metrics_stream(spark, sf):
+    """T4 on a stream: the windows closed by the watermark, AUC and AP included."""
+    sc = materialize(flows.tied(score.apply_threshold(flows.scored_table(spark, sf).where(F.col("model_name") == "logreg"), 0.5))
+                     .select("row_key", "churn", "proba", "pred"))
+
+    def enrich(stream):   # stream-static join on the customer key
+        return stream.join(sc, stream.user_id == sc.row_key)
+    out = shared_path(spark, "windowed_metrics", uuid.uuid4().hex)
+    res = W.windowed_metrics_stream(spark, sf, "events.parquet", enrich, out, watermark=f"{STREAM_DELAY_DAYS} days")
+    return _r6_all(_ntz(res, "window_start", "window_end"))
+
+
 def _drift_ctes(split_name: str = "split_t") -> str:
     """PSI / CDF-gap CTEs over a split table of the imputed (not encoded) columns."""
     num = S.NUMERIC
@@ -905,6 +1013,26 @@ def _drift_sql() -> str:
 
 
 def _drift(spark, sf):
+    sp, kinds = _drift_sides(spark, sf)
+    return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
+                           kinds["numeric"], kinds["categorical"])
+
+
+@register("sketch_drift", "SELECT unnest([" + ", ".join(f"'{c}'" for c in S.NUMERIC) + "]) AS feature, true AS within")
+def q_sketch_drift(spark, sf):
+    """T5 from stored sketches: per feature, whether the gap read from merged sketches (one
+    per label and side, kept as a table) is within the stated bound of the exact one."""
+    sp, kinds = _drift_sides(spark, sf)
+    sides = {s: sp.where(F.col("split") == s) for s in ("train", "test")}
+    kept = {s: materialize(T.feature_sketches(d.where("churn = 0"), kinds["numeric"]).unionByName(
+        T.feature_sketches(d.where("churn = 1"), kinds["numeric"]))) for s, d in sides.items()}
+    near = T.sketch_drift(T.merge_sketches(kept["train"]), T.merge_sketches(kept["test"]))
+    exact = T.exact_cdf_gap(sides["train"], sides["test"], kinds["numeric"]).withColumnRenamed("max_cdf_diff", "exact")
+    bound = 2 * T.SKETCH_ERROR + 1 / T.SKETCH_POINTS
+    return near.join(exact, "feature").select("feature", (F.abs(F.col("max_cdf_diff") - F.col("exact")) <= bound).alias("within"))
+
+
+def _drift_sides(spark, sf):
     """Baseline = train rows, recent = test rows of the imputed (not encoded) table."""
     from pyspark import StorageLevel
     d = flows.clean_table(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
@@ -914,8 +1042,7 @@ def _drift(spark, sf):
         sp = materialize(split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED), "split")
     finally:
         d.unpersist()
-    return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
-                           kinds["numeric"], kinds["categorical"])
+    return sp, kinds
 
 
 @register("feature_drift", _drift_sql())
@@ -966,7 +1093,7 @@ SELECT window_start, round(f1, 6) AS f1, round(max_psi, 6) AS max_psi, days AS d
 
 @register("retrain_reasons", _retrain_sql())
 def q_retrain(spark, sf):
-    wm = T.windowed_metrics(_scored_events(spark, sf))
+    wm = T.windowed_metrics(flows.tied(_scored_events(spark, sf)))
     r = T.retrain_reasons(wm, _drift(spark, sf), TRAINED_AT, max_days=90)
     return _r6_all(_ntz(r.withColumn("reasons", F.array_join("reasons", ",")), "window_start"))
 
@@ -987,9 +1114,9 @@ def q_compare_runs(spark, sf):
     return _r6_all(T.compare_runs(long))
 
 
-def _write_run_files(spark, rt, folder):
-    """The run log as a file stream: one file per model key, in start-time order."""
-    for k in R.METRIC_FILES:
+def _write_run_files(spark, rt, folder, keys=tuple(R.METRIC_FILES)):
+    """The run log as a file stream: one file per model key, by default in start-time order."""
+    for k in keys:
         rt.where(F.col("model_key") == k).coalesce(1).write.mode("append").parquet(folder)
 
 
@@ -1031,9 +1158,11 @@ def q_champion_history(spark, sf):
 
 @register("champion_history_stream", _HIST_SQL)
 def q_champion_history_stream(spark, sf):
+    """T2 on a stream whose files arrive out of order (each model's three runs take three
+    hours; the second model's file comes first, the last one's before the third's)."""
     base = shared_path(spark, "champion_history", uuid.uuid4().hex)
-    _write_run_files(spark, flows.run_table(spark, sf), os.path.join(base, "runs"))
-    return _r6_all(W.champion_history_stream(spark, os.path.join(base, "runs"), os.path.join(base, "out")))
+    _write_run_files(spark, flows.run_table(spark, sf), os.path.join(base, "runs"), ("RF", "LogReg", "FE", "XGB"))
+    return _r6_all(W.champion_history_stream(spark, os.path.join(base, "runs"), os.path.join(base, "out"), delay="6 hours"))
 
 
 @register("score_stream", S.chain(body="SELECT row_key, round(proba, 6) AS proba FROM scored_t WHERE model_name = 'logreg'"))
@@ -1080,14 +1209,42 @@ def q_logreg_fit(spark, sf):
 
 @register("logreg_unscaled_scores")
 def q_logreg_unscaled(spark, sf):
-    """M4: unweighted logistic regression on the unscaled prepared features."""
-    p = split.stratified_split(flows.prepared_table(spark, sf))
-    feats = [c for c in p.columns if c not in ("row_key", "churn", "split")]
-    d = p.select("row_key", "split", F.col("churn").cast("double").alias("churn"),
-                 *[F.col(f"`{c}`").cast("double").alias(c) for c in feats])
-    model, _ = fit.fit_logreg(d.where(F.col("split") == "train"), feats, C=1.0, scale=False, weighted=False)
-    sc = score.score(model, d.where(F.col("split") == "valid"))
-    return _r6_all(sc.select("row_key", F.col("churn").cast("int").alias("churn"), "proba"))
+    """M4: unweighted logistic regression with a penalised constant on the unscaled
+    prepared features, scored through its coefficients."""
+    d, coef, intercept = _liblinear(spark, sf)
+    sc = score.linear_score(d.where(F.col("split") == "valid"), coef, intercept)
+    return _r6_all(sc.select("row_key", "churn", "proba"))
+
+
+def _liblinear(spark, sf):
+    d = flows.split_table(spark, sf)
+    feats = [c for c in d.columns if c not in ("row_key", "churn", "split")]
+    coef, intercept = fit.newton_logreg(d.where(F.col("split") == "train"), feats)
+    return d, coef, intercept
+
+
+_FEATURE_NAMES = S.NUMERIC + [f"{c}_{v}" for c, vs in S.CATEGORIES.items() for v in vs[1:]]
+
+
+@register("liblinear_optimum", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*_FEATURE_NAMES, "intercept"]) + "]) AS feature, true AS optimal")
+def q_liblinear_optimum(spark, sf):
+    """M4: the fitted parameters are within 1e-6 of the minimum: the objective is 1-strongly
+    convex, so a gradient shorter than 1e-6 proves it."""
+    d, coef, intercept = _liblinear(spark, sf)
+    g = fit.logreg_gradient(d.where(F.col("split") == "train"), coef, intercept)
+    return g.select("feature", (F.abs("gradient") < 1e-6 / len(_FEATURE_NAMES)).alias("optimal"))
+
+
+@register("logreg_fit_optimum", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*_FEATURE_NAMES, "intercept"]) + "]) AS feature, true AS agrees")
+def q_logreg_fit_optimum(spark, sf):
+    """M3: the library's fit agrees with Newton steps on the same weighted objective."""
+    d, feats = _train_valid(spark, sf)
+    train = fit.prepare_weighted(d.where(F.col("split") == "train"))
+    model = fit.fit(fit.logreg(1.0, 100, train.agg(F.sum("weight")).first()[0]), train, feats).stages[-1]
+    coef, intercept = fit.newton_logreg(train, feats, weight="weight", penalize_intercept=False)
+    got = [*model.coefficients.toArray(), model.intercept]
+    return spark.createDataFrame([(c, bool(abs(a - b) < 1e-3 * max(1.0, abs(b)))) for c, a, b in
+                                  zip([*feats, "intercept"], got, [*coef.values(), intercept])], "feature string, agrees boolean")
 
 
 @register("forest_scores")
@@ -1103,15 +1260,98 @@ def q_boosted(spark, sf):
                           weighted=False)
 
 
+_STUMP_FEATURES = ["order_count"] + [f"{c}_{v}" for c, vs in S.CATEGORIES.items() for v in vs[1:]]
+
+
+@register("boosted_stump", S.chain("""
+feat_t AS (""" + "\n UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, CAST(\"{c}\" AS DOUBLE) AS v, churn FROM split_t WHERE split = 'train'"
+                                       for i, c in enumerate(_STUMP_FEATURES)) + """),
+cell_t AS (SELECT f, feature, v, sum(0.5 - churn) AS g, count(*) * 0.25 AS h FROM feat_t GROUP BY f, feature, v),
+run_t AS (SELECT f, feature, v, lead(v) OVER w AS nv, sum(g) OVER w AS gl, sum(h) OVER w AS hl,
+                 sum(g) OVER (PARTITION BY f) AS g, sum(h) OVER (PARTITION BY f) AS h
+          FROM cell_t WINDOW w AS (PARTITION BY f ORDER BY v)),
+cut_t AS (SELECT *, (v + nv) / 2 AS cut, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain
+          FROM run_t WHERE nv IS NOT NULL AND hl >= 1 AND h - hl >= 1)""", upto="split", body="""
+SELECT feature, round(cut, 6) AS cut, round(-0.3 * gl / (hl + 1), 6) AS left_value, round(-0.3 * (g - gl) / (h - hl + 1), 6) AS right_value
+FROM cut_t ORDER BY round(gain, 9) DESC, f, v LIMIT 1"""))
+def q_boosted_stump(spark, sf):
+    """M6: the first cut of boosted trees over all train rows, and its leaf values."""
+    train = flows.split_table(spark, sf).where(F.col("split") == "train")
+    model = trees.fit_boosted(train, _STUMP_FEATURES, n_estimators=1, max_depth=1)
+    t = model.trees[0]
+    f = t.feature[0]
+    return _r6_all(spark.createDataFrame([(model.features[f], float(model.cuts[f][t.cut[0]]), t.value[t.left[0]], t.value[t.right[0]])],
+                                         "feature string, cut double, left_value double, right_value double"))
+
+
+def _tree_features(d):
+    return [c for c in d.columns if c not in ("row_key", "churn", "split")]
+
+
+@register("boosted_penalty_scores")
+def q_boosted_penalty(spark, sf):
+    """M6: boosted trees at each L2 penalty of the original's grid, scored on valid."""
+    d = flows.split_table(spark, sf)
+    train, valid = d.where(F.col("split") == "train"), d.where(F.col("split") == "valid")
+    out = None
+    for penalty in (0.0, 1.0, 2.0):
+        model = trees.fit_boosted(train, _tree_features(d), n_estimators=10, max_depth=3, learning_rate=0.1, subsample=0.8,
+                                  colsample_bytree=0.8, reg_lambda=penalty)
+        sc = trees.predict(model, valid).select("row_key", "churn", F.lit(penalty).alias("reg_lambda"), "proba")
+        out = sc if out is None else out.unionByName(sc)
+    return _r6_all(out)
+
+
+@register("forest_rules_scores")
+def q_forest_rules(spark, sf):
+    """M5: a weighted forest of unlimited depth with ``min_samples_split`` and ``min_samples_leaf``."""
+    d = flows.split_table(spark, sf)
+    train = fit.prepare_weighted(d.where(F.col("split") == "train"))
+    model = trees.fit_forest(train, _tree_features(d), n_estimators=50, min_samples_split=10, min_samples_leaf=2, weight="weight")
+    return _r6_all(trees.predict(model, d.where(F.col("split") == "valid")).select("row_key", "churn", "proba"))
+
+
 @register("cv_grid_results")
 def q_cv_grid(spark, sf):
     """M8 + M9 + M12: 3-fold stratified CV over a small forest grid, mean F1 per candidate."""
     d, feats = _train_valid(spark, sf)
-    train = split.stratified_folds(d.where(F.col("split") == "train"), "churn", 3, flows.SEED)
-    train = fit.prepare_weighted(train)
-    _, res = fit.grid_search_cv(train, feats, fit.random_forest(n_estimators=10, seed=42),
-                                {"maxDepth": [3, 5], "minInstancesPerNode": [1, 5]}, fold_col="fold", parallelism=2)
-    return _r6_all(res)
+    train = materialize(split.stratified_folds(d.where(F.col("split") == "train"), "churn", 3, flows.SEED))
+    _, scores = fit.grid_search_cv(train, feats, lambda **p: fit.random_forest(n_estimators=10, seed=42, **p),
+                                   {"max_depth": [3, 5], "min_samples_leaf": [1, 5]}, fold_col="fold", parallelism=4)
+    return _r6_all(scores.select("candidate", "params").distinct().join(fit.fold_scores_mean(scores), "candidate"))
+
+
+_GRID = {"model": list(flows.SCORERS), "threshold": [0.2, 0.25, 0.3, 0.35, 0.4, 0.5]}
+_GRID_SQL = "grid_t(candidate, model_name, threshold) AS (VALUES " + ", ".join(
+    f"({i}, '{p['model']}', CAST({p['threshold']} AS DOUBLE))" for i, p in enumerate(fit.param_grid(_GRID))) + ")"
+
+
+@register("grid_folds_scorers", S.chain(_GRID_SQL, """
+fold_t AS (SELECT row_key, CAST((row_number() OVER (PARTITION BY churn ORDER BY md5(CAST(row_key AS VARCHAR) || '|42'), row_key) - 1) % 3 AS INTEGER) AS fold
+           FROM split_t),
+conf_t AS (SELECT g.candidate, f.fold, count(*) FILTER (WHERE s.churn = 1 AND s.proba >= g.threshold) AS tp,
+                  count(*) FILTER (WHERE s.churn <> 1 AND s.proba >= g.threshold) AS fp,
+                  count(*) FILTER (WHERE s.churn = 1 AND NOT s.proba >= g.threshold) AS fn
+           FROM scored_t s JOIN fold_t f USING (row_key) JOIN grid_t g USING (model_name) GROUP BY g.candidate, f.fold),
+mean_t AS (SELECT candidate, avg(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END) AS mean_f1
+           FROM conf_t GROUP BY candidate)""", body="""
+SELECT CAST(g.candidate AS INTEGER) AS candidate, g.model_name AS model, g.threshold, round(m.mean_f1, 6) AS mean_f1,
+       g.candidate = (SELECT arg_min(candidate, (-round(mean_f1, 9), candidate)) FROM mean_t) AS is_best
+FROM grid_t g JOIN mean_t m USING (candidate)"""))
+def q_grid_folds(spark, sf):
+    """M8 + M11 + M12 on the fixed scorers: the grid of scorer and threshold, F1 of every
+    candidate on every stratified fold, mean per candidate, and the best one."""
+    sc = flows.scored_table(spark, sf)
+    keys = materialize(flows.split_table(spark, sf).select("row_key", "churn"))
+    folds = split.stratified_folds(keys, "churn", 3, flows.SEED).select("row_key", "fold")
+    grid = [(i, p["model"], p["threshold"]) for i, p in enumerate(fit.param_grid(_GRID))]
+    table = spark.createDataFrame(grid, "candidate int, model string, threshold double")     # a parameter list
+    rows = sc.join(folds, "row_key").join(F.broadcast(table), F.col("model_name") == F.col("model"))
+    scores = evaluate.classification_metrics(score.apply_threshold(rows, F.col("threshold")), "churn", "pred", ["candidate", "fold"])
+    means = materialize(fit.fold_scores_mean(scores))
+    best = fit.best_candidate(means.withColumn("mean_f1", F.round("mean_f1", 9)))
+    out = table.join(means, "candidate").join(best.select(F.col("candidate").alias("best")), F.col("candidate") == F.col("best"), "left")
+    return _r6_all(out.select("candidate", "model", "threshold", "mean_f1", F.col("best").isNotNull().alias("is_best")))
 
 
 @register("holdout_grid_best")
@@ -1137,6 +1377,19 @@ def q_model_roundtrip(spark, sf):
     return _r6_all(sc.select("row_key", "proba"))
 
 
+@register("model_roundtrip_equal", S.chain(upto="split", body="SELECT row_key, true AS same FROM split_t WHERE split = 'valid'"))
+def q_model_roundtrip_equal(spark, sf):
+    """M13 + P1: the loaded copy scores every row exactly as the original does."""
+    d, feats = _train_valid(spark, sf)
+    train, valid = d.where(F.col("split") == "train"), d.where(F.col("split") == "valid")
+    model, _ = fit.fit_logreg(train, feats, scale=False, weighted=True)
+    path = shared_path(spark, "models", uuid.uuid4().hex)
+    fit.save_model(model, path)
+    own = score.score(model, valid).select("row_key", "proba")
+    copy = score.score(fit.load_model(path), valid).select("row_key", F.col("proba").alias("again"))
+    return own.join(copy, "row_key").select("row_key", F.col("proba").eqNullSafe(F.col("again")).alias("same"))
+
+
 # ------------------------------------------------------------------ sinks with partitions
 @register("split_sink_valid", S.chain(upto="split", body=f"SELECT * EXCLUDE (split) REPLACE ({_r6_sql(S.NUMERIC)}) FROM split_t WHERE split = 'valid'"))
 def q_split_sink(spark, sf):

@@ -70,13 +70,15 @@ def standardized_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer scored by every fixed scorer: ``row_key, churn, split, model_name, proba``.
-
-    The scores are data here, rounded to 9 places so that two engines agree on ties; the
-    operators themselves compare and return scores as they are."""
+    """Every customer scored by every fixed scorer: ``row_key, churn, split, model_name, proba``."""
     st = standardized_split(spark, sf_dir)
-    return (score.linear_score_many(st, SCORERS)
-            .select("row_key", "churn", "split", "model_name", F.round("proba", 9).alias("proba")))
+    return score.linear_score_many(st, SCORERS).select("row_key", "churn", "split", "model_name", "proba")
+
+
+def tied(scores: DataFrame) -> DataFrame:
+    """Scores rounded to 9 places, so that two engines agree on which ones tie on a curve;
+    the operators themselves compare and return scores as they are."""
+    return scores.withColumn("proba", F.round("proba", 9))
 
 
 # Model key of each scorer (the keys the run log and registry use).
@@ -92,7 +94,7 @@ def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sc = score.apply_threshold(scored_table(spark, sf_dir), 0.5)
     by = ["model_name", "split"]
     m = evaluate.classification_metrics(sc, "churn", "pred", by)
-    cs = evaluate.curve_summary(evaluate.score_curve(sc, "churn", "proba", by), by)
+    cs = evaluate.curve_summary(evaluate.score_curve(tied(sc), "churn", "proba", by), by)
     w = m.join(cs.select(*by, "roc_auc", "pr_ap"), by)   # one row per (scorer, split) on each side
     key = runs.lookup(MODEL_KEYS, F.col("model_name"))
     pos = F.array_position(F.array(*[F.lit(k) for k in runs.METRIC_FILES]), key).cast("int") - 1

@@ -12,7 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import nan_to_null
 from tidemark.operators import evaluate
+from tidemark.operators.ranking import running_totals
+from tidemark.operators.score import reaches
 from tidemark.session import ensure_utc, materialize
 
 PSI_EPS = 1e-6
@@ -34,11 +37,11 @@ def windowed_counts(df: DataFrame, width: str = "7 days", slide: str | None = No
     """Confusion counts and ratios per event-time window (streaming-safe: a plain
     aggregation; add ``watermark`` on a stream)."""
     d = df.withWatermark("event_time", watermark) if watermark else df
-    y, p = F.col(label), F.col(pred)
+    y, p = F.col(label), F.coalesce(F.col(pred).cast("int"), F.lit(0))
     c = d.groupBy(_window(width, slide).alias("w")).agg(
         F.count(F.when((y == 1) & (p == 1), 1)).alias("tp"), F.count(F.when((y != 1) & (p == 1), 1)).alias("fp"),
         F.count(F.when((y != 1) & (p != 1), 1)).alias("tn"), F.count(F.when((y == 1) & (p != 1), 1)).alias("fn"),
-        F.count(F.lit(1)).alias("n"))
+        F.count(y).alias("n"))
     return c.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tp", "fp", "tn", "fn", "n")
 
 
@@ -47,32 +50,41 @@ def with_ratios(c: DataFrame) -> DataFrame:
                     evaluate.recall_expr().alias("recall"), evaluate.f1_expr().alias("f1"))
 
 
-def windowed_metrics(df: DataFrame, width: str = "7 days", slide: str | None = None, label: str = "churn",
-                     pred: str = "pred", score: str = "proba") -> DataFrame:
-    """Accuracy, precision, recall, F1, ROC AUC and average precision per window
-    (static input: the curves are grouped by window start).
+def window_score_counts(df: DataFrame, width: str = "7 days", slide: str | None = None, label: str = "churn",
+                        pred: str = "pred", score: str = "proba") -> DataFrame:
+    """Rows per (window, score, label, prediction): all that the metrics of a window need.
+    Works on static and on streaming input (``event_time``)."""
+    c = df.groupBy(_window(width, slide).alias("w"), F.col(score).cast("double").alias(score), label, pred).agg(F.count(F.lit(1)).alias("_n"))
+    return c.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), score, label, pred, "_n")
 
-    The events are read once: they are aggregated (map-side first) to counts per
-    (window, score, label, prediction), and that table, far smaller than the
-    events, is materialised; the confusion counts and the curves both read it."""
-    w = df.select(F.explode(F.array(_window(width, slide))).alias("w"), label, pred, score)
-    agg = materialize(w.groupBy(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                                F.col(score).cast("double").alias(score),
-                                label, pred)
-                      .agg(F.count(F.lit(1)).alias("_n")))
-    y, p, n = F.col(label), F.col(pred), F.col("_n")
+
+def metrics_of_counts(agg: DataFrame, label: str = "churn", pred: str = "pred", score: str = "proba") -> DataFrame:
+    """Accuracy, precision, recall, F1, ROC AUC and average precision per window from
+    stored ``window_score_counts``; a window without any score has null AUC and precision."""
+    y, p, n = F.col(label), F.coalesce(F.col(pred).cast("int"), F.lit(0)), F.col("_n")
 
     def total(cond):
         return F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("long")
     counts = with_ratios(agg.groupBy("window_start", "window_end").agg(
         total((y == 1) & (p == 1)).alias("tp"), total((y != 1) & (p == 1)).alias("fp"),
         total((y != 1) & (p != 1)).alias("tn"), total((y == 1) & (p != 1)).alias("fn"),
-        F.sum(n).cast("long").alias("n")))
+        total(y.isNotNull()).alias("n")))
     summ = evaluate.curve_summary(evaluate.score_curve(agg, label, score, ["window_start"], weight="_n"),
                                   ["window_start"])
     return counts.join(summ.select("window_start", "roc_auc", "pr_ap"), "window_start", "left")
 
 
+def windowed_metrics(df: DataFrame, width: str = "7 days", slide: str | None = None, label: str = "churn",
+                     pred: str = "pred", score: str = "proba") -> DataFrame:
+    """Accuracy, precision, recall, F1, ROC AUC and average precision per window
+    (static input: the curves are grouped by window start).
+
+    The events are read once: they are aggregated (map-side first) to counts per
+    (window, score, label, prediction), and that table, far smaller than the
+    events, is materialised; the confusion counts and the curves both read it."""
+    return metrics_of_counts(materialize(window_score_counts(df, width, slide, label, pred, score)), label, pred, score)
+
+
 # --- T5 -------------------------------------------------------------------------------
 def _stack(df: DataFrame, cols: list[str], as_string: bool = False) -> DataFrame:
     items = [F.struct(F.lit(c).alias("feature"),
@@ -81,18 +93,20 @@ def _stack(df: DataFrame, cols: list[str], as_string: bool = False) -> DataFrame
 
 
 def _psi_from_counts(counts: DataFrame) -> DataFrame:
-    """``feature, bin, n_base, n_recent`` -> PSI and the largest CDF gap per feature."""
-    from pyspark.sql import Window
-    tot = Window.partitionBy("feature")
-    cum = tot.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = counts.select("feature", "bin",
-                      (F.col("n_base") / F.sum("n_base").over(tot)).alias("pb"),
-                      (F.col("n_recent") / F.sum("n_recent").over(tot)).alias("pr"))
-    p = p.select("*", F.sum("pb").over(cum).alias("cb"), F.sum("pr").over(cum).alias("cr"))
-    pb = F.greatest(F.col("pb"), F.lit(PSI_EPS))
-    pr = F.greatest(F.col("pr"), F.lit(PSI_EPS))
+    """``feature, bin, n_base, n_recent`` -> PSI and the largest CDF gap per feature.
+
+    The cumulative counts run over ranges of (feature, bin), so a feature with very many
+    bins (a wide category) is spread over many tasks."""
+    counts = materialize(counts)
+    both = ["n_base", "n_recent"]
+    totals = counts.groupBy("feature").agg(*[F.sum(c).alias(f"all_{c}") for c in both])
+    p = running_totals(counts, ["feature"], "bin", both, stored=True).join(totals, "feature")
+    share = {c: F.coalesce(F.try_divide(F.col(c), F.col(f"all_{c}")), F.lit(0.0)) for c in both}
+    above = {c: F.coalesce(F.try_divide(F.col(f"cum_{c}"), F.col(f"all_{c}")), F.lit(0.0)) for c in both}
+    pb, pr = (F.greatest(share[c], F.lit(PSI_EPS)) for c in both)
+    # shares from each bin upwards differ by as much as shares up to each bin do
     return p.groupBy("feature").agg(F.sum((pr - pb) * F.log(pr / pb)).alias("psi"),
-                                    F.max(F.abs(F.col("cr") - F.col("cb"))).alias("max_cdf_diff"))
+                                    F.max(F.abs(above["n_recent"] - above["n_base"])).alias("max_cdf_diff"))
 
 
 def feature_drift(base: DataFrame, recent: DataFrame, numeric: list[str], categorical: list[str],
@@ -115,7 +129,7 @@ def feature_drift(base: DataFrame, recent: DataFrame, numeric: list[str], catego
             l, h = F.element_at(lo, F.col("feature")), F.element_at(hi, F.col("feature"))
             width = F.when(h > l, h - l).otherwise(F.lit(1.0))
             b = F.least(F.greatest(F.floor((F.col("x") - l) / width * n_bins), F.lit(0)), F.lit(n_bins - 1))
-            return s.where(F.col("x").isNotNull()).select("feature", b.cast("string").alias("bin"))
+            return s.where(F.col("x").isNotNull()).select("feature", F.lpad(b.cast("string"), 6, "0").alias("bin"))     # sort as numbers
         parts.append((binned(base), binned(recent)))
     if categorical:
         def cats(df):
@@ -126,13 +140,57 @@ def feature_drift(base: DataFrame, recent: DataFrame, numeric: list[str], catego
         cb = b.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n_base"))
         cr = r.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n_recent"))
         j = cb.join(cr, ["feature", "bin"], "full").na.fill(0, ["n_base", "n_recent"])
-        # numeric bins sort as numbers
-        j = j.withColumn("bin", F.when(F.col("bin").rlike(r"^\d{1,6}$"), F.lpad("bin", 6, "0")).otherwise(F.col("bin")))
         res = _psi_from_counts(j)
         out = res if out is None else out.unionByName(res)
     return out
 
 
+def exact_cdf_gap(base: DataFrame, recent: DataFrame, numeric: list[str]) -> DataFrame:
+    """``(feature, max_cdf_diff)``: the largest difference of the two distribution functions
+    over all values (no bins).  Null and NaN take no part."""
+    def values(df, name):
+        s = _stack(df, numeric).select("feature", nan_to_null(F.col("x")).alias("bin")).where("bin is not null")
+        return s.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias(name))
+    j = values(base, "n_base").join(values(recent, "n_recent"), ["feature", "bin"], "full").na.fill(0, ["n_base", "n_recent"])
+    return _psi_from_counts(j).select("feature", "max_cdf_diff")
+
+
+#: Size of a quantile sketch; ranks read from it are off by at most ``SKETCH_ERROR`` of the
+#: rows (two-sided, 99 % of the time), whatever the number of rows.
+SKETCH_K, SKETCH_ERROR = 1600, 0.004
+SKETCH_POINTS = 400
+
+
+def feature_sketches(df: DataFrame, numeric: list[str], time_col: str | None = None, width: str = "7 days") -> DataFrame:
+    """``(feature[, window_start], n, sketch)``: a mergeable quantile sketch (KLL) of every
+    numeric feature, per time window if given.  Kept as a table, it stands for the rows in
+    all later comparisons, which merge sketches instead of scanning again."""
+    when = [] if time_col is None else [F.window(time_col, width)["start"].alias("window_start")]
+    items = [F.struct(F.lit(c).alias("feature"), nan_to_null(F.col(c).cast("double")).alias("x")) for c in numeric]
+    d = df.select(*when, F.explode(F.array(*items)).alias("s")).select(*["window_start"] * bool(when), "s.*").where("x is not null")
+    return d.groupBy("feature", *["window_start"] * bool(when)).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("x", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch per feature from those of its windows."""
+    return sketches.groupBy("feature").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def sketch_drift(base: DataFrame, recent: DataFrame) -> DataFrame:
+    """``(feature, n_base, n_recent, max_cdf_diff)`` from one sketch per feature and side.
+
+    The gap is read at the quantiles of both sides, so it is within ``2 * SKETCH_ERROR +
+    1 / SKETCH_POINTS`` of the exact one."""
+    probs = F.array(*[F.lit(i / SKETCH_POINTS) for i in range(SKETCH_POINTS + 1)])
+    j = base.select("feature", F.col("n").alias("n_base"), F.col("sketch").alias("b")).join(
+        recent.select("feature", F.col("n").alias("n_recent"), F.col("sketch").alias("r")), "feature")
+    j = j.withColumn("at", F.array_distinct(F.concat(F.kll_sketch_get_quantile_double("b", probs), F.kll_sketch_get_quantile_double("r", probs))))
+    at = j.select("feature", "n_base", "n_recent", "b", "r", F.explode("at").alias("v"))
+    gap = F.abs(F.kll_sketch_get_rank_double("b", "v") - F.kll_sketch_get_rank_double("r", "v"))
+    return at.groupBy("feature", "n_base", "n_recent").agg(F.max(gap).alias("max_cdf_diff"))
+
+
 # --- T6 / T7 --------------------------------------------------------------------------
 def class_drift(df: DataFrame, baseline_rate: float, width: str = "7 days", slide: str | None = None,
                 label: str = "churn") -> DataFrame:
@@ -146,11 +204,12 @@ def class_drift(df: DataFrame, baseline_rate: float, width: str = "7 days", slid
 def prediction_drift(df: DataFrame, width: str = "7 days", slide: str | None = None, score: str = "proba",
                      pred: str = "pred", n_bins: int = 10) -> DataFrame:
     """Per window: the histogram of scores (``n_bins`` bins on [0, 1]), each bin's share,
-    the mean prediction and the share flagged high risk."""
+    the mean prediction and the share flagged high risk.  Null and NaN scores share a null
+    bin and are not high risk."""
     from pyspark.sql import Window
-    b = F.least(F.floor(F.col(score) * n_bins), F.lit(n_bins - 1)).cast("int")
+    b = F.least(F.floor(nan_to_null(F.col(score).cast("double")) * n_bins), F.lit(n_bins - 1)).cast("int")
     d = df.withColumn("w", _window(width, slide)).withColumn("bin", b)
-    p, high = F.col(pred).cast("double"), (F.col(score) >= 0.5).cast("double")
+    p, high = F.col(pred).cast("double"), reaches(F.col(score), F.lit(0.5)).cast("double")
     # one pass over the events: per (window, bin) the count and the sums behind the means;
     # the window totals are a window over that small table (at most n_bins rows each)
     hist = d.groupBy(F.col("w.start").alias("window_start"), "bin").agg(
