@@ -160,3 +160,30 @@ def test_groups_without_a_score_keep_their_row(spark):
     assert got[None]["fn"] == got[None]["n_pos"] == 1
     alone = evaluate.metrics_at_best(df.where("g = 'b'")).first()
     assert (alone["n"], alone["fn"], alone["best_threshold"]) == (2, 1, None)
+
+
+def test_sketch_drift_within_its_bound(spark):
+    """Merged window sketches against the exact gap on shifted, equal, discrete and hot
+    columns; and the binned gap with very many categories against a plain count."""
+    from pyspark.sql import functions as F
+
+    from tidemark.streaming import monitor
+    base = spark.range(20000).select(F.randn(1).alias("same"), F.randn(2).alias("moved"), (F.col("id") % 5).cast("double").alias("few"),
+                                     F.when(F.col("id") % 3 > 0, 7.0).when(F.col("id") % 3 == 0, F.rand(3)).alias("hot"),
+                                     F.lit("2024-01-01 00:00:00").cast("timestamp").alias("t"))
+    recent = spark.range(12000).select(F.randn(4).alias("same"), (F.randn(5) + 0.4).alias("moved"), (F.col("id") % 4).cast("double").alias("few"),
+                                       F.when(F.col("id") % 2 > 0, 7.0).when(F.col("id") % 5 > 0, F.rand(6)).otherwise(float("nan")).alias("hot"),
+                                       F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 100).alias("t"))
+    cols = ["same", "moved", "few", "hot"]
+    windows = monitor.feature_sketches(recent, cols, "t")
+    assert windows.select("window_start").distinct().count() >= 2
+    near = {r["feature"]: r for r in monitor.sketch_drift(monitor.merge_sketches(monitor.feature_sketches(base, cols)), monitor.merge_sketches(windows)).collect()}
+    exact = {r["feature"]: r["max_cdf_diff"] for r in monitor.exact_cdf_gap(base, recent, cols).collect()}
+    assert set(near) == set(exact) == set(cols)
+    for c in cols:
+        assert abs(near[c]["max_cdf_diff"] - exact[c]) <= monitor.sketch_bound(), (c, near[c], exact[c])
+    assert exact["moved"] > 0.1 and abs(exact["few"] - 0.2) < 1e-9
+    a = spark.range(3000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("k"))
+    b = a.where("k >= 'c2'")
+    got = monitor.feature_drift(a, b, [], ["k"]).first()["max_cdf_diff"]
+    assert abs(got - a.where("k < 'c2'").count() / 3000) < 1e-9

@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.exprs import NUMERIC_TEXT, nan_to_null, parse_number, quoted
-from pyspark import StorageLevel
-
 from tidemark.operators.ranking import exact_medians, stratified_rank
 from tidemark.session import checked_collect, materialize, shared_path
 
@@ -348,25 +346,19 @@ def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio:
     """Fit C7, C9 and C10 on ``df`` (pass the train split to avoid leakage, or all rows
     for parity with the original order of steps).  Text columns with more than
     ``max_categories`` values are kept as a table in the folder ``dictionary`` (by default
-    below the shared folder of the session) and encoded as sparse vectors."""
+    below the shared folder of the session) and encoded as sparse vectors.
+
+    Fitting makes a few passes: give it a stored table (``session.materialize``)."""
     excl = tuple(c for c in (target, key) if c)
-    # fitting makes several passes: keep the input between them (spills to disk if
-    # needed) unless the caller already keeps it
-    owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if owned else df
-    try:
-        num_text, counts = _profile(src, ratio, excl)
-        d = coerce_numeric(src, columns=num_text)
-        kinds = column_kinds(d, excl)
-        medians = fit_medians(d, kinds["numeric"], exact_median, counts=counts)
-        cats = fit_categories(d, kinds["categorical"], max_categories)
-        wide = [c for c in kinds["categorical"] if c not in cats]
-        if wide:
-            dictionary = dictionary or shared_path(df.sparkSession, "dictionary", uuid.uuid4().hex)
-            fit_dictionary(d, wide).write.mode("overwrite").parquet(dictionary)
-    finally:
-        if owned:
-            src.unpersist()
+    num_text, counts = _profile(df, ratio, excl)
+    d = coerce_numeric(df, columns=num_text)
+    kinds = column_kinds(d, excl)
+    medians = fit_medians(d, kinds["numeric"], exact_median, counts=counts)
+    cats = fit_categories(d, kinds["categorical"], max_categories)
+    wide = [c for c in kinds["categorical"] if c not in cats]
+    if wide:
+        dictionary = dictionary or shared_path(df.sparkSession, "dictionary", uuid.uuid4().hex)
+        fit_dictionary(d, wide).write.mode("overwrite").parquet(dictionary)
     spec = EncodingSpec(target=target, key=key, numeric_text=num_text, medians=medians, categories=cats, wide=wide,
                         dictionary=dictionary if wide else None)
     spec.features = [c for c in apply_encoding(df, spec).columns if c not in (key, "churn")]

@@ -182,18 +182,23 @@ def newton_logreg(df: DataFrame, features: list[str], C: float = 1.0, label: str
 
 def logreg_gradient(df: DataFrame, coef: dict, intercept: float, C: float = 1.0, label: str = "churn", weight: str | None = None,
                     penalize_intercept: bool = True) -> DataFrame:
-    """``(feature, gradient)`` of the objective of ``newton_logreg`` at given parameters, by
-    one plain aggregation: a check of a fit that shares no code with it.  Where all
-    parameters are penalised the distance to the minimum is at most the gradient's length."""
+    """``(feature, gradient, curvature)`` of the objective of ``newton_logreg`` at given
+    parameters, by one plain aggregation: a check of a fit that shares no code with it.
+    Gradient over curvature is how far one parameter alone is from its best value, whatever
+    the size of its feature.  Where all parameters are penalised the distance to the minimum
+    is also at most the gradient's length."""
     z = F.lit(float(intercept))
     for c, b in coef.items():
         z = z + F.lit(float(b)) * quoted(c).cast("double")
     w = quoted(weight).cast("double") if weight else F.lit(1.0)
-    miss = F.lit(float(C)) * w * (1 / (1 + F.exp(-z)) - quoted(label).cast("double"))
-    sums = df.agg(*[F.sum(miss * quoted(c).cast("double")).alias(f"g{i}") for i, c in enumerate(coef)], F.sum(miss).alias("g"))
-    each = [F.struct(F.lit(c).alias("feature"), (F.col(f"g{i}") + F.lit(float(b))).alias("gradient")) for i, (c, b) in enumerate(coef.items())]
-    own = F.col("g") + F.lit(float(intercept) if penalize_intercept else 0.0)
-    each.append(F.struct(F.lit("intercept").alias("feature"), own.alias("gradient")))
+    p = 1 / (1 + F.exp(-z))
+    given = df.select((F.lit(float(C)) * w * (p - quoted(label).cast("double"))).alias("m"), (F.lit(float(C)) * w * p * (1 - p)).alias("h"),
+                      *[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(coef)], F.lit(1.0).alias(f"x{len(coef)}"))
+    sums = given.agg(*[F.sum(F.col("m") * F.col(f"x{i}")).alias(f"g{i}") for i in range(len(coef) + 1)],
+                     *[F.sum(F.col("h") * F.col(f"x{i}") * F.col(f"x{i}")).alias(f"h{i}") for i in range(len(coef) + 1)])
+    parameters = [*((c, float(b), 1.0) for c, b in coef.items()), ("intercept", float(intercept) * penalize_intercept, float(penalize_intercept))]
+    each = [F.struct(F.lit(c).alias("feature"), (F.col(f"g{i}") + F.lit(b)).alias("gradient"), (F.col(f"h{i}") + F.lit(r)).alias("curvature"))
+            for i, (c, b, r) in enumerate(parameters)]
     return sums.select(F.explode(F.array(*each)).alias("x")).select("x.*")
 
 

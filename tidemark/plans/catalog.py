@@ -156,6 +156,7 @@ FROM split_t"""))
 def q_manifest(spark, sf):
     raw = tables.raw_customers(spark, sf)
     d, t = clean.standardize_raw(raw)
+    d = materialize(d)
     spec = clean.fit_encoding(d, t)
     sp = split.stratified_split(clean.apply_encoding(d, spec), "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED)
     m = clean.manifest(raw, spec, sp, flows.SEED, flows.TEST_SIZE, flows.VAL_SIZE)
@@ -235,7 +236,7 @@ def q_csv_quoted_breaks(spark, sf):
 # ------------------------------------------------------------------ splits / sampling
 @register("stratified_split", S.chain(upto="split", body="SELECT row_key, churn, split FROM split_t"))
 def q_split(spark, sf):
-    return flows.split_table(spark, sf).select("row_key", "churn", "split")
+    return flows.new_split(spark, sf).select("row_key", "churn", "split")
 
 
 @register("split_counts", S.chain(upto="split", body="SELECT split, churn, CAST(count(*) AS BIGINT) AS n FROM split_t GROUP BY ALL"))
@@ -306,7 +307,8 @@ def q_split_metrics(spark, sf):
 
 @register("linear_scores", S.chain(body="SELECT row_key, model_name, split, round(proba, 6) AS proba FROM scored_t"))
 def q_linear_scores(spark, sf):
-    return _r6_all(flows.scored_table(spark, sf).select("row_key", "model_name", "split", "proba"))
+    sc = score.linear_score_many(flows.standardized_split(spark, sf), flows.SCORERS)
+    return _r6_all(sc.select("row_key", "model_name", "split", "proba"))
 
 
 @register("minmax_scores", S.chain("""
@@ -1028,21 +1030,15 @@ def q_sketch_drift(spark, sf):
         T.feature_sketches(d.where("churn = 1"), kinds["numeric"]))) for s, d in sides.items()}
     near = T.sketch_drift(T.merge_sketches(kept["train"]), T.merge_sketches(kept["test"]))
     exact = T.exact_cdf_gap(sides["train"], sides["test"], kinds["numeric"]).withColumnRenamed("max_cdf_diff", "exact")
-    bound = 2 * T.SKETCH_ERROR + 1 / T.SKETCH_POINTS
-    return near.join(exact, "feature").select("feature", (F.abs(F.col("max_cdf_diff") - F.col("exact")) <= bound).alias("within"))
+    return near.join(exact, "feature").select("feature", (F.abs(F.col("max_cdf_diff") - F.col("exact")) <= T.sketch_bound()).alias("within"))
 
 
 def _drift_sides(spark, sf):
     """Baseline = train rows, recent = test rows of the imputed (not encoded) table."""
-    from pyspark import StorageLevel
-    d = flows.clean_table(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
-        imp = clean.impute_median(d, kinds["numeric"])
-        sp = materialize(split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED), "split")
-    finally:
-        d.unpersist()
-    return sp, kinds
+    d = materialize(flows.clean_table(spark, sf))
+    kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
+    imp = clean.impute_median(d, kinds["numeric"])
+    return materialize(split.stratified_split(imp, "churn", flows.TEST_SIZE, flows.VAL_SIZE, flows.SEED)), kinds
 
 
 @register("feature_drift", _drift_sql())
@@ -1228,11 +1224,11 @@ _FEATURE_NAMES = S.NUMERIC + [f"{c}_{v}" for c, vs in S.CATEGORIES.items() for v
 
 @register("liblinear_optimum", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*_FEATURE_NAMES, "intercept"]) + "]) AS feature, true AS optimal")
 def q_liblinear_optimum(spark, sf):
-    """M4: the fitted parameters are within 1e-6 of the minimum: the objective is 1-strongly
-    convex, so a gradient shorter than 1e-6 proves it."""
+    """M4: at the fitted parameters no parameter could move by 1e-6 towards its best value,
+    by a gradient and curvature computed apart from the fit."""
     d, coef, intercept = _liblinear(spark, sf)
     g = fit.logreg_gradient(d.where(F.col("split") == "train"), coef, intercept)
-    return g.select("feature", (F.abs("gradient") < 1e-6 / len(_FEATURE_NAMES)).alias("optimal"))
+    return g.select("feature", (F.abs("gradient") < 1e-6 * F.col("curvature")).alias("optimal"))
 
 
 @register("logreg_fit_optimum", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*_FEATURE_NAMES, "intercept"]) + "]) AS feature, true AS agrees")

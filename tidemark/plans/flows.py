@@ -4,11 +4,13 @@ small aggregation jobs and keep only bounded results (numbers, category lists)."
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean, fit, score, split
-from tidemark.session import materialize
+from tidemark.session import materialize, stage
 from tidemark.sources.tables import raw_customers
 
 SEED = 42
@@ -37,29 +39,36 @@ def clean_table(spark: SparkSession, sf_dir: str, strict_compat: bool = False) -
 
 def encoding_spec(spark: SparkSession, sf_dir: str) -> clean.EncodingSpec:
     d, t = clean.standardize_raw(raw_customers(spark, sf_dir))
-    return clean.fit_encoding(d, t)   # fitted on all rows, as the original order of steps does
+    return clean.fit_encoding(materialize(d), t)   # fitted on all rows, as the original order of steps does
 
 
 def prepared_table(spark: SparkSession, sf_dir: str, spec: clean.EncodingSpec | None = None) -> DataFrame:
     """``row_key``, numeric features (imputed), boolean dummies, ``churn``."""
-    d, _ = clean.standardize_raw(raw_customers(spark, sf_dir))
+    d = materialize(clean.standardize_raw(raw_customers(spark, sf_dir))[0])     # read by fitting and by the result
     return clean.apply_encoding(d, spec or clean.fit_encoding(d, "churn"))
 
 
-def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prepared table with its ``split`` column, materialised once: fitting and
-    evaluation read it several times (the processed-data files of the original).
+#: Tables that the churn data come from.
+INPUTS = ("customer", "nation", "region", "orders")
+
+
+def _inputs(sf_dir: str) -> list[str]:
+    return [os.path.join(sf_dir, f"{t}.parquet") for t in INPUTS]
 
-    The standardised raw table is kept (memory, spilling to disk) for the fitting
-    passes and the final projection, then released once the split is written."""
-    from pyspark import StorageLevel
+
+def new_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared table with its ``split`` column, from the raw tables.  The standardised
+    raw table is written once for the fitting passes and the final projection."""
     raw, t = clean.standardize_raw(raw_customers(spark, sf_dir))
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        prepared = clean.apply_encoding(raw, clean.fit_encoding(raw, t))
-        return materialize(split.stratified_split(prepared, "churn", TEST_SIZE, VAL_SIZE, SEED), "split")
-    finally:
-        raw.unpersist()
+    raw = materialize(raw)
+    prepared = clean.apply_encoding(raw, clean.fit_encoding(raw, t))
+    return split.stratified_split(prepared, "churn", TEST_SIZE, VAL_SIZE, SEED)
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``new_split`` as a stage output (the processed-data files of the original): fitting,
+    scoring and evaluation read it, and it is made again when a raw table changes."""
+    return stage(spark, "split", _inputs(sf_dir), lambda: new_split(spark, sf_dir))
 
 
 def standardized_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,9 +79,11 @@ def standardized_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer scored by every fixed scorer: ``row_key, churn, split, model_name, proba``."""
-    st = standardized_split(spark, sf_dir)
-    return score.linear_score_many(st, SCORERS).select("row_key", "churn", "split", "model_name", "proba")
+    """Every customer scored by every fixed scorer: ``row_key, churn, split, model_name, proba``;
+    a stage output like the split."""
+    def build():
+        return score.linear_score_many(standardized_split(spark, sf_dir), SCORERS).select("row_key", "churn", "split", "model_name", "proba")
+    return stage(spark, "scores", _inputs(sf_dir), build)
 
 
 def tied(scores: DataFrame) -> DataFrame:

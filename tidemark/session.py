@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import dataclasses
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -89,18 +91,63 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Cut the lineage of a table that several later jobs read: it is written once as
-    Parquet below the shared checkpoint folder (it survives executor loss), and later
-    passes scan that copy with column pruning and, given ``partition_by``, partition
-    pruning.  The folder is removed when the application ends."""
+@dataclasses.dataclass
+class Stored:
+    """A table written below the shared folder."""
+
+    path: str
+    schema: T.StructType
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        back = spark.read.schema(self.schema).parquet(self.path)
+        return back.select(*[F.col("`" + c.replace("`", "``") + "`") for c in self.schema.names])
+
+
+def store(df: DataFrame, partition_by: str | None = None) -> Stored:
+    """Write ``df`` as Parquet below the shared checkpoint folder (it survives executor
+    loss).  The folder is removed when the application ends."""
     spark = df.sparkSession
     path = shared_path(spark, "tables", uuid.uuid4().hex)
     w = df.write.partitionBy(partition_by) if partition_by else df.write
     w.parquet(path)
     atexit.register(remove_path, spark, path)
-    back = spark.read.schema(df.schema).parquet(path)
-    return back.select(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    return Stored(path, df.schema)
+
+
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Cut the lineage of a table that several later jobs read: it is stored once, and
+    later passes scan that copy with column pruning and, given ``partition_by``, partition
+    pruning."""
+    return store(df, partition_by).read(df.sparkSession)
+
+
+_STAGES: dict[tuple, Stored] = {}
+
+
+def stage(spark: SparkSession, name: str, inputs: list[str], build) -> DataFrame:
+    """The stored output of a pipeline stage, built again only when an input has changed.
+
+    Inputs are table paths; the names, sizes and modification times of their files decide,
+    as asked of the file system that holds them.  The output lives as long as the
+    application."""
+    key = (spark.sparkContext.applicationId, name, *[_files(spark, p) for p in inputs])
+    if key not in _STAGES:
+        _STAGES[key] = store(build())
+    return _STAGES[key].read(spark)
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    todo, found = [root], []
+    while todo:
+        for s in fs.listStatus(todo.pop()):
+            if s.isDirectory():
+                todo.append(s.getPath())
+            else:
+                found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return path, tuple(sorted(found))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
