@@ -10,13 +10,15 @@ from tidemark.llm import exact_dedup, language_id, mixing, ngram_join, sentencep
 from tidemark.llm.storage import read_table, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Number of a row in a stage's input; ids may be null or repeat.
-ROW = "_row"
 
 
-def _numbered(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with ``ROW``; stored, so that every reader sees the same numbers."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with one more column that numbers its rows (ids may be null or repeat), and
+    that column's name; stored, so that every reader sees the same numbers."""
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row = "_" + row
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,17 +38,17 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents, the smallest doc_id stays, with all rows that
     repeat it.  Rows are judged by their own text; those with a null doc_id all stay."""
-    rows = _numbered(docs, "near")
-    parts = ngram_join.ngram_components(rows, row_col=ROW)
-    lost = parts.where("doc_id <> component_id").select(ROW)
-    return rows.join(lost, ROW, "left_anti").select(*docs.columns)
+    rows, row = _numbered(docs, "near")
+    parts = ngram_join.ngram_components(rows, row_col=row)
+    lost = parts.where("doc_id <> component_id").select(row)
+    return rows.join(lost, row, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per emission: documents of a source above its weight may go, those of a
     source below it may repeat.  Each row takes its own emissions, whatever its doc_id."""
-    rows = _numbered(docs, "mix")
-    return rows.join(mixing.mixture(rows, row_col=ROW).select(ROW), ROW).select(*docs.columns)
+    rows, row = _numbered(docs, "mix")
+    return rows.join(mixing.mixture(rows, row_col=row).select(row), row).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
