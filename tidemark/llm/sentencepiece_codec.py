@@ -27,7 +27,10 @@ from pyspark.sql import types as T
 from tidemark.llm import tokens as tk
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK = 6_000_000
+#: Bytes of text, and ids, that are worked on at once.
+BLOCK, BLOCK_IDS = 1_000_000, 400_000
+#: Units of a worker whose ids are remembered for later blocks, and most ids of one.
+KNOWN_UNITS, KNOWN_IDS = 300_000, 32
 META = "▁"                     # fixed value: the model's visible space
 #: Slots of the direct-mapped table of checked pairs, per Python worker.
 PAIR_SLOTS = 1 << 20
@@ -79,6 +82,7 @@ class Codec:
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.raw_len = np.array([len(x) for x in raw])
         self.raw_at = np.cumsum(self.raw_len) - self.raw_len
+        self.forget()
         self.pair: dict[int, bool] = {}
         self.slot_key = np.full(PAIR_SLOTS, -1, np.int64)
         self.slot_ok = np.zeros(PAIR_SLOTS, bool)
@@ -88,6 +92,25 @@ class Codec:
             for i in ids:
                 self.whole[i] = self.merge(self.pieces[i]) == [i]
 
+    def forget(self):
+        """No unit of earlier blocks is known."""
+        self.known = np.zeros(0, tk.U64)                                    # sorted hashes
+        self.known_at = self.known_count = self.known_ids = np.zeros(0, np.int64)
+
+    def remember(self, keys: np.ndarray, flat: np.ndarray, at: np.ndarray, count: np.ndarray):
+        """Keep the ids of new units; when there are too many, only the last block's."""
+        short = np.flatnonzero(count <= KNOWN_IDS)
+        if len(self.known) + len(short) > KNOWN_UNITS:
+            self.forget()
+            short = short[:KNOWN_UNITS]
+        keys, own = keys[short], flat[tk.ranges(at[short], count[short])]
+        count = count[short]
+        at = np.cumsum(count) - count + len(self.known_ids)
+        order = np.argsort(np.r_[self.known, keys], kind="stable")
+        self.known = np.r_[self.known, keys][order]
+        self.known_at, self.known_count = np.r_[self.known_at, at][order], np.r_[self.known_count, count][order]
+        self.known_ids = np.r_[self.known_ids, own]
+
     @staticmethod
     def _hash(cps: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         up, down = tk._table(tk._WORD_BASE, len(cps) + 1)
@@ -306,17 +329,32 @@ class Codec:
         starts = np.flatnonzero(start)
         ends = np.r_[starts[1:], len(data)]
         first = np.searchsorted(starts, offsets)
-        _, index, back = np.unique(tk.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        a, b = starts[index], ends[index]
+        keys, index, back = np.unique(tk.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, keys)
+        met = np.zeros(len(keys), bool)
+        if len(self.known):
+            met = self.known[np.minimum(place, len(self.known) - 1)] == keys
+        new = np.flatnonzero(~met)
+        put, count = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        put[met], count[met] = self.known_at[place[met]], self.known_count[place[met]]
+        pool = self.known_ids
+        if len(new):
+            flat, own = self._units_of(data, starts[index[new]], ends[index[new]])
+            at = np.cumsum(own) - own
+            put[new], count[new] = at + len(pool), own
+            pool = np.r_[pool, flat]
+            self.remember(keys[new], flat, at, own)
+        ids = pool[tk.ranges(put[back], count[back])]
+        return ids, np.r_[0, np.cumsum(count[back])][first]
+
+    def _units_of(self, data: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of the units at the given byte ranges: (flat ids, count per unit)."""
         part = data[tk.ranges(a, b - a)]
         cps = np.frombuffer(part.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
         cps[cps == 32] = ord(META)
         byte_at = np.cumsum(b - a) - (b - a)
         lens = np.add.reduceat(((part & 0xC0) != 0x80).astype(np.int64), byte_at)
-        flat, count = self.units(cps, lens)
-        put = np.cumsum(count) - count
-        ids = flat[tk.ranges(put[back], count[back])]
-        return ids, np.r_[0, np.cumsum(count[back])][first]
+        return self.units(cps, lens)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of id sequences end to end, and their offsets."""
@@ -363,8 +401,31 @@ def _decode(model):
                 lists = lists.fill_null([])
             at = np.frombuffer(lists.offsets.buffers()[1], np.int32)[lists.offset:lists.offset + len(lists) + 1].astype(np.int64)
             ids = lists.values.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)[at[0]:at[-1]] if len(at) else np.zeros(0, np.int64)
-            data, off = tool.decode(ids, at - at[0])
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], _strings(data, off)], names=[*batch.schema.names[1:], "decoded"])
+            at = at - at[0]
+            for lo, hi in tk.row_blocks(at, BLOCK_IDS):
+                data, off = tool.decode(ids[at[lo]:at[hi]], at[lo:hi + 1] - at[lo])
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*own.columns[1:], _strings(data, off)], names=[*own.schema.names[1:], "decoded"])
+    return run
+
+
+def _round_trip(model):
+    """Ids of every text, and what they decode to, in one pass over small blocks."""
+    def run(it):
+        tool = codec(model.value)
+        for batch in it:
+            data, offsets = tk.text_buffer(batch.column(1))
+            for lo, hi in tk.row_blocks(offsets, BLOCK):
+                own, at = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+                ids, id_at = tool.encode(own, at)
+                back, back_at = tool.decode(ids, id_at)
+                decoded = [back[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(back_at[:-1], back_at[1:])]
+                same = [d == own[a:b].tobytes() for d, a, b in zip(decoded, at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(id_at.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                     pa.array(np.diff(id_at).astype(np.int64)), pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+                     pa.array(same, pa.bool_())],
+                    names=["doc_id", "piece_ids", "n_pieces", "decoded_sha256", "round_trip"])
     return run
 
 
@@ -379,7 +440,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL_PATH
     rest = docs.drop("piece_ids")
     given = rest.select(F.col(f"`{text_col}`").cast("string").alias("_input_text"), *[F.col(f"`{c}`") for c in rest.columns])
     schema = T.StructType([*rest.schema.fields, T.StructField("piece_ids", T.ArrayType(T.IntegerType()))])
-    return given.mapInArrow(_encode(model), schema)
+    return given.mapInArrow(tk.tidy(_encode(model)), schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "piece_ids", model_path: str = MODEL_PATH) -> DataFrame:
@@ -394,13 +455,11 @@ def decode(rows: DataFrame, ids_col: str = "piece_ids", model_path: str = MODEL_
     rest = rows.drop("decoded")
     given = rest.select(F.col(f"`{ids_col}`").cast("array<int>").alias("_input_ids"), *[F.col(f"`{c}`") for c in rest.columns])
     schema = T.StructType([*rest.schema.fields, T.StructField("decoded", T.StringType())])
-    return given.mapInArrow(_decode(model), schema)
+    return given.mapInArrow(tk.tidy(_decode(model)), schema)
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH) -> DataFrame:
     """``(doc_id, piece_ids, n_pieces, decoded_sha256, round_trip)`` of every row."""
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = decode(encode(given, "text", model_path), "piece_ids", model_path)
-    return rows.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    model = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return given.mapInArrow(tk.tidy(_round_trip(model)), "doc_id long, piece_ids array<int>, n_pieces long, decoded_sha256 string, round_trip boolean")

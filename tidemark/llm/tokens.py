@@ -8,13 +8,16 @@ Blocks bound the working memory; only a single text larger than a block exceeds
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 HASH_BYTES = 1_000_000
 
 SPACE = np.zeros(256, dtype=bool)
@@ -26,6 +29,23 @@ _BYTE_BASE = 0x9E3779B97F4A7C55
 _WORD_BASE = 0xD6E8FEB86659FD93
 
 
+def tidy(run):
+    """A batch function that hands its working memory back when a task ends: a worker lives
+    on for other stages, beside workers that hold theirs."""
+    @functools.wraps(run)
+    def wrapped(it):
+        try:
+            yield from run(it)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):      # another C library
+                pass
+    return wrapped
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd ``base`` and of its inverse modulo 2^64."""
     inverse = pow(base, -1, 1 << 64)
