@@ -332,6 +332,66 @@ def test_viterbi_is_the_best_path():
     assert value(chain.decode(rows)) == pytest.approx(max(value(p) for p in itertools.product((0, 1), repeat=5)))
 
 
+def test_html_foreign_elements_end_at_a_slash():
+    page = "<p>a</p><svg/><p>b</p><math  /><p>c</p><svg viewBox='0'><text>no</text></svg><p>d</p><script/>gone</script><p>e"
+    assert [b[0] for b in html_extract.blocks(page)] == ["a", "b", "c", "d", "e"]
+
+
+def test_html_deep_pages_cost_in_proportion():
+    import time
+    page = "".join(f"<div class='c{i % 50} ad{i % 7}'>t{i}" for i in range(200_000))
+    start = time.process_time()
+    own = html_extract.blocks(page)
+    rows = html_extract.features(own)
+    assert len(own) == len(rows) == 200_000 and own[-1][0] == "t199999"
+    assert time.process_time() - start < 30
+    assert own[0][1].marks == {"c", "ad"} and own[-1][1].tags == {"div"}
+
+
+def test_html_places_follow_the_open_elements():
+    page = "<body><nav><ul><li>x<li>y</ul></nav><main><p class='lead'>one <b>two <a href=q>three</a></b><p>four<div id='comments'>no</div></main>end"
+    got = [(t, sorted(p.tags), sorted(p.marks), p.own, p.boiler, link) for t, p, _, link in html_extract.blocks(page)]
+    assert got == [("x", ["body", "li", "nav", "ul"], [], "li", True, 0), ("y", ["body", "li", "nav", "ul"], [], "li", True, 0),
+                   ("one two three", ["body", "main", "p"], ["lead"], "p", False, 5), ("four", ["body", "main", "p"], [], "p", False, 0),
+                   ("no", ["body", "div", "main"], ["comments"], "div", True, 0), ("end", ["body"], [], "body", False, 0)]
+
+
+def test_html_viterbi_on_whole_pages(documents, spark, small_dir):
+    """The decoded labels of real pages score no less than any other labelling, by brute
+    force over pages of up to 14 blocks."""
+    pages = spark.read.parquet(f"{small_dir}/pages.parquet")
+    chain = html_extract.train(pages)
+    seen = 0
+    for r in pages.select("html").limit(80).collect():
+        rows = html_extract.features(html_extract.blocks(r["html"]))[:14]
+        own = np.array([sum(chain.weights.get(f, 0.0) for f in row) for row in rows])
+        n = len(rows)
+        if not n:
+            continue
+        all_ = (np.arange(2 ** n)[:, None] >> np.arange(n)) & 1
+        total = all_ @ own + sum(chain.moves[all_[:, k], all_[:, k + 1]] for k in range(n - 1))
+        got = chain.decode(rows)
+        assert abs(total[sum(x << k for k, x in enumerate(got))] - total.max()) < 1e-9
+        seen += 1
+    assert seen > 20
+
+
+def test_html_training_sample_is_bounded(spark):
+    """A page that thousands copy trains once, a page of too many blocks not at all."""
+    page = "<body><nav>menu</nav><article>" + "".join(f"<p>text {i} of it.</p>" for i in range(5)) + "</article></body>"
+    long = "<article>" + "<p>words here.</p>" * (html_extract.TRAIN_BLOCKS + 1) + "</article>"
+    rows = [(i, page) for i in range(3000)] + [(4000 + i, page.replace("text", f"t{i}")) for i in range(30)] + [(9000, long)]
+    table = spark.createDataFrame(rows, "page_id long, html string")
+    held = []
+    original = html_extract.fit_chain
+    try:
+        html_extract.fit_chain = lambda pages: held.extend(pages) or original(pages)
+        html_extract.train(table, train_pages=20)
+    finally:
+        html_extract.fit_chain = original
+    assert 19 <= len(held) <= 20 and max(len(rows) for rows, _ in held) <= 6
+
+
 def test_sentencepiece_equals_the_library():
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL_PATH)
@@ -501,3 +561,37 @@ def test_pipeline_with_null_and_repeated_ids(spark, small_dir):
     first = corpus_pipeline.identify_language(spark, docs, small_dir)
     assert pairs(first) == collections.Counter(rows)      # one language: nothing leaves
     assert pairs(out) == pairs(mixed)
+
+
+def test_internal_names_may_be_taken(spark):
+    """Columns called like the operators' own helpers are kept as they are."""
+    import corpus_pipeline
+    rows = [(1, "sha a", BASE, "row a", "en", "s"), (2, "sha b", BASE, "row b", "en", "s"), (3, "sha c", BASE + " end", "row c", "en", "t"),
+            (4, "sha d", "other words altogether here now", None, "en", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, _text_sha256 string, text string, _row string, lang string, source string")
+    got = exact_dedup.exact_dedup(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted((r for r in rows if r[0] != 2), key=str)
+    near = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert near.columns == docs.columns and sorted(map(tuple, near.collect()), key=str) == sorted((r for r in rows if r[0] in (1, 4)), key=str)
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    assert mixed.columns == docs.columns and set(map(tuple, mixed.collect())) <= set(rows)
+
+
+def test_sentencepiece_blocks_and_memory_change_nothing(monkeypatch, documents):
+    """Small blocks, remembered units and forgotten ones give the library's ids."""
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL_PATH)
+    texts = [t or "" for _, t in pairs_of(documents)][:60]
+    column = pa.array(texts, pa.string())
+    data, offsets = tk.text_buffer(column)
+    want = [sp.encode(t) for t in texts]
+    for known in (300_000, 50):
+        monkeypatch.setattr(sentencepiece_codec, "KNOWN_UNITS", known)
+        tool = sentencepiece_codec.Codec(sentencepiece_codec.load_pieces())
+        for size in (2_000, 10_000_000):
+            got = []
+            for lo, hi in tk.row_blocks(offsets, size):
+                ids, at = tool.encode(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                got += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+            assert got == want
+        assert len(tool.known) <= known
