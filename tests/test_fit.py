@@ -116,3 +116,20 @@ def test_cross_validation_fits_inside_the_fold(spark):
             assert abs(got[i, f] - want) < 1e-9
     means = {r["candidate"]: r["mean_f1"] for r in fit.fold_scores_mean(scores).collect()}
     assert abs(means[1] - sum(got[1, f] for f in range(3)) / 3) < 1e-12
+
+
+def test_parameters_merge_and_grid():
+    assert fit.merge_params({"a": 1, "b": 2}, {"b": None, "c": 3}, {"a": 0}) == {"a": 0, "b": 2, "c": 3}
+    assert fit.merge_params({"a": 1}) == {"a": 1} and fit.merge_params({}, None, {"x": False}) == {"x": False}
+    assert fit.param_grid({"a": [1, 2], "b": ["x", "y"]}) == [{"a": 1, "b": "x"}, {"a": 1, "b": "y"}, {"a": 2, "b": "x"}, {"a": 2, "b": "y"}]
+    assert fit.param_grid({}) == [{}] and fit.param_grid({"a": []}) == []
+
+
+def test_coefficient_table_scores_as_its_numbers(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (0.0, -3.0), (None, 1.0)], "a double, b double")
+    table = spark.createDataFrame([("m", "a", 0.5), ("m", "b", -1.25), ("m", "__intercept__", 0.1), ("n", "a", 2.0)],
+                                  "model_name string, feature string, weight double")
+    own = score.linear_score(df, {"a": 0.5, "b": -1.25}, 0.1).collect()
+    models = score.coefficients_from_table(table)
+    assert models == {"m": (0.1, {"a": 0.5, "b": -1.25}), "n": (0.0, {"a": 2.0})}
+    assert score.linear_score(df, models["m"][1], models["m"][0]).collect() == own

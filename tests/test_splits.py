@@ -125,3 +125,21 @@ def test_ordered_folds_on_text_keys(spark):
     w = Window.partitionBy("churn").orderBy(F.col("row_key").asc_nulls_first())
     want = {(r.row_key, r.churn): r.f for r in df.withColumn("f", (F.row_number().over(w) - 1) % 3).collect()}
     assert got == want
+
+
+def test_shuffle_order_and_positions(spark):
+    df = spark.range(700).select(F.col("id").alias("row_key"), F.lit("x").alias("x"))
+    order = [r.row_key for r in split.shuffle_order(df, seed=9).collect()]
+    assert sorted(order) == list(range(700)) and order != sorted(order)
+    assert order != [r.row_key for r in split.shuffle_order(df, seed=10).collect()]
+    placed = {r.position: r.row_key for r in split.shuffle_position(df.repartition(5), seed=9, n_buckets=16).collect()}
+    assert [placed[i] for i in range(700)] == order
+    assert split.shuffle_position(df.limit(0)).count() == 0
+
+
+def test_union_parts_by_name(spark):
+    a = spark.createDataFrame([(1, "a")], "k int, v string")
+    b = spark.createDataFrame([("b", 2, 0.5)], "v string, k int, extra double")
+    rows = sorted((r.k, r.v, r.extra) for r in split.union_parts(a, b, a).collect())
+    assert rows == [(1, "a", None), (1, "a", None), (2, "b", 0.5)]
+    assert split.union_parts(a).collect() == a.collect()

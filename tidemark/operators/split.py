@@ -42,6 +42,13 @@ def shuffle_order(df: DataFrame, seed: int = 42, key: str = "row_key") -> DataFr
     return df.orderBy(seeded_hash([key], seed), F.col(key))
 
 
+def shuffle_position(df: DataFrame, seed: int = 42, key: str = "row_key", out: str = "position",
+                     n_buckets: int = HASH_BUCKETS) -> DataFrame:
+    """S2 as a column: each row's 0-based place in the seeded order, by the distributed rank
+    (no global sort); rows can be stored in any order and still be read as shuffled."""
+    return stratified_rank(df, [], [key], seed, n_buckets=n_buckets, rank_col=out, size_col="_all").drop("_all")
+
+
 def union_parts(*parts: DataFrame) -> DataFrame:
     """S3: concatenation by column name."""
     out = parts[0]

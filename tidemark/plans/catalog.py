@@ -239,6 +239,15 @@ def q_split(spark, sf):
     return flows.new_split(spark, sf).select("row_key", "churn", "split")
 
 
+@register("shuffle_positions", S.chain(upto="prep", body="""
+SELECT row_key, row_number() OVER (ORDER BY md5(CAST(row_key AS VARCHAR) || '|42'), row_key) - 1 AS position FROM prep_t"""))
+def q_shuffle_positions(spark, sf):
+    """The seeded order over the union of the three splits."""
+    d = flows.split_table(spark, sf).select("row_key", "split")
+    parts = [d.where(F.col("split") == s).select("row_key") for s in ("train", "valid", "test")]
+    return split.shuffle_position(split.union_parts(*parts), flows.SEED).select("row_key", "position")
+
+
 @register("split_counts", S.chain(upto="split", body="SELECT split, churn, CAST(count(*) AS BIGINT) AS n FROM split_t GROUP BY ALL"))
 def q_split_counts(spark, sf):
     return flows.split_table(spark, sf).groupBy("split", "churn").agg(F.count(F.lit(1)).alias("n"))
@@ -307,7 +316,9 @@ def q_split_metrics(spark, sf):
 
 @register("linear_scores", S.chain(body="SELECT row_key, model_name, split, round(proba, 6) AS proba FROM scored_t"))
 def q_linear_scores(spark, sf):
-    sc = score.linear_score_many(flows.standardized_split(spark, sf), flows.SCORERS)
+    rows = [(m, f, float(w)) for m, (b, coef) in flows.SCORERS.items() for f, w in [("__intercept__", b), *coef.items()]]
+    table = spark.createDataFrame(rows, "model_name string, feature string, weight double")
+    sc = score.linear_score_many(flows.standardized_split(spark, sf), score.coefficients_from_table(table))
     return _r6_all(sc.select("row_key", "model_name", "split", "proba"))
 
 
@@ -1289,13 +1300,13 @@ def q_boosted_penalty(spark, sf):
     """M6: boosted trees at each L2 penalty of the original's grid, scored on valid."""
     d = flows.split_table(spark, sf)
     train, valid = d.where(F.col("split") == "train"), d.where(F.col("split") == "valid")
-    out = None
-    for penalty in (0.0, 1.0, 2.0):
-        model = trees.fit_boosted(train, _tree_features(d), n_estimators=10, max_depth=3, learning_rate=0.1, subsample=0.8,
-                                  colsample_bytree=0.8, reg_lambda=penalty)
-        sc = trees.predict(model, valid).select("row_key", "churn", F.lit(penalty).alias("reg_lambda"), "proba")
-        out = sc if out is None else out.unionByName(sc)
-    return _r6_all(out)
+    defaults = {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1, "reg_lambda": 1.0}
+    parts = []
+    for best in fit.param_grid({"reg_lambda": [0.0, 1.0, 2.0]}):
+        params = fit.merge_params(defaults, {"subsample": 0.8, "colsample_bytree": 0.8}, best)
+        model = trees.fit_boosted(train, _tree_features(d), **params)
+        parts.append(trees.predict(model, valid).select("row_key", "churn", F.lit(params["reg_lambda"]).alias("reg_lambda"), "proba"))
+    return _r6_all(split.union_parts(*parts))
 
 
 @register("forest_rules_scores")
