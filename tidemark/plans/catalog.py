@@ -428,8 +428,8 @@ DOC_KEYS = {"logreg": "best_threshold", "xgb": "threshold", "rf": "best", "logre
 _DOCS_SQL = S.CURVE + """,
 docs_t AS (
   SELECT model_name, 'full' AS doc_kind,
-         printf('{"%s": %.6f}', CASE model_name WHEN 'logreg' THEN 'best_threshold' WHEN 'xgb' THEN 'threshold'
-                                 WHEN 'rf' THEN 'best' ELSE 'value' END, best_threshold) AS doc
+         printf('{"%s": %s}', CASE model_name WHEN 'logreg' THEN 'best_threshold' WHEN 'xgb' THEN 'threshold'
+                               WHEN 'rf' THEN 'best' ELSE 'value' END, CAST(best_threshold AS VARCHAR)) AS doc
   FROM summary_t),
 all_docs AS (SELECT * FROM docs_t UNION ALL SELECT model_name, 'truncated', substr(doc, 1, length(doc) - 1) FROM docs_t)"""
 
@@ -438,7 +438,7 @@ def _threshold_docs(spark, sf):
     summ = evaluate.curve_summary(evaluate.score_curve(_valid_scores(spark, sf), by=_BY), _BY)
     key = F.create_map(*[x for k, v in DOC_KEYS.items() for x in (F.lit(k), F.lit(v))])
     docs = summ.select("model_name", F.lit("full").alias("doc_kind"),
-                       F.format_string('{"%s": %.6f}', F.element_at(key, F.col("model_name")), F.col("best_threshold")).alias("doc"))
+                       F.format_string('{"%s": %s}', F.element_at(key, F.col("model_name")), F.col("best_threshold").cast("string")).alias("doc"))
     trunc = docs.select("model_name", F.lit("truncated").alias("doc_kind"),
                         F.expr("substring(doc, 1, length(doc) - 1)").alias("doc"))
     return docs.unionByName(trunc)
@@ -457,13 +457,14 @@ def q_resolve_threshold(spark, sf):
 
 @register("threshold_by_family", S.chain(S.CURVE, body="""
 SELECT m.model_name, round(coalesce(
-   CASE WHEN lower(m.model_name) LIKE '%xgb%' THEN (SELECT best_threshold FROM summary_t WHERE model_name = 'xgb') END,
+   CASE WHEN lower(m.model_name) LIKE '%xgb%' THEN (SELECT best_threshold FROM summary_t WHERE model_name = 'xgb')
+        WHEN lower(m.model_name) LIKE '%rf%' THEN (SELECT best_threshold FROM summary_t WHERE model_name = 'rf') END,
    (SELECT best_threshold FROM summary_t WHERE model_name = 'logreg'), 0.5), 6) AS threshold
 FROM (SELECT DISTINCT model_name FROM scored_t) m"""))
 def q_threshold_by_family(spark, sf):
     summ = evaluate.curve_summary(evaluate.score_curve(_valid_scores(spark, sf), by=_BY), _BY)
-    th = (summ.where(F.col("model_name").isin("xgb", "logreg"))
-          .select(F.when(F.col("model_name") == "xgb", "xgb").otherwise("general").alias("family"),
+    th = (summ.where(F.col("model_name").isin("xgb", "rf", "logreg"))
+          .select(F.when(F.col("model_name") == "logreg", "general").otherwise(F.col("model_name")).alias("family"),
                   F.col("best_threshold").alias("threshold")))
     models = flows.scored_table(spark, sf).select("model_name").distinct()
     return _r6_all(score.threshold_for_model(models, th))
@@ -995,14 +996,14 @@ def _drift_ctes(split_name: str = "split_t") -> str:
             b = (f"lpad(CAST(least(greatest(floor((s.{c} - r.lo_{c}) / CASE WHEN r.hi_{c} > r.lo_{c} "
                  f"THEN r.hi_{c} - r.lo_{c} ELSE 1.0 END * 10), 0), 9) AS BIGINT)::VARCHAR, 6, '0')")
             parts.append(f"SELECT '{c}' AS feature, {b} AS bin FROM {split_name} s, rng_t r "
-                         f"WHERE s.split = '{which}' AND s.{c} IS NOT NULL")
+                         f"WHERE s.split {which} AND s.{c} IS NOT NULL")
         for c in cats:
-            parts.append(f"SELECT '{c}' AS feature, coalesce({c}, '<null>') AS bin FROM {split_name} WHERE split = '{which}'")
+            parts.append(f"SELECT '{c}' AS feature, coalesce({c}, '<null>') AS bin FROM {split_name} WHERE split {which}")
         return "\n UNION ALL ".join(parts)
     return f"""
 {rng},
-base_t AS ({stacked('train')}),
-rec_t AS ({stacked('test')}),
+base_t AS ({stacked("= 'train'")}),
+rec_t AS ({stacked("<> 'train'")}),
 cnt_t AS (
   SELECT feature, bin, coalesce(b.n, 0) AS n_base, coalesce(r.n, 0) AS n_recent
   FROM (SELECT feature, bin, count(*) AS n FROM base_t GROUP BY ALL) b
@@ -1027,7 +1028,7 @@ def _drift_sql() -> str:
 
 def _drift(spark, sf):
     sp, kinds = _drift_sides(spark, sf)
-    return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"),
+    return T.feature_drift(sp.where(F.col("split") == "train"), sp.where(F.col("split") != "train"),
                            kinds["numeric"], kinds["categorical"])
 
 
@@ -1036,16 +1037,16 @@ def q_sketch_drift(spark, sf):
     """T5 from stored sketches: per feature, whether the gap read from merged sketches (one
     per label and side, kept as a table) is within the stated bound of the exact one."""
     sp, kinds = _drift_sides(spark, sf)
-    sides = {s: sp.where(F.col("split") == s) for s in ("train", "test")}
+    sides = {"train": sp.where(F.col("split") == "train"), "rest": sp.where(F.col("split") != "train")}
     kept = {s: materialize(T.feature_sketches(d.where("churn = 0"), kinds["numeric"]).unionByName(
         T.feature_sketches(d.where("churn = 1"), kinds["numeric"]))) for s, d in sides.items()}
-    near = T.sketch_drift(T.merge_sketches(kept["train"]), T.merge_sketches(kept["test"]))
-    exact = T.exact_cdf_gap(sides["train"], sides["test"], kinds["numeric"]).withColumnRenamed("max_cdf_diff", "exact")
+    near = T.sketch_drift(T.merge_sketches(kept["train"]), T.merge_sketches(kept["rest"]))
+    exact = T.exact_cdf_gap(sides["train"], sides["rest"], kinds["numeric"]).withColumnRenamed("max_cdf_diff", "exact")
     return near.join(exact, "feature").select("feature", (F.abs(F.col("max_cdf_diff") - F.col("exact")) <= T.sketch_bound()).alias("within"))
 
 
 def _drift_sides(spark, sf):
-    """Baseline = train rows, recent = test rows of the imputed (not encoded) table."""
+    """The imputed (not encoded) table: train rows are the baseline, all others recent."""
     d = materialize(flows.clean_table(spark, sf))
     kinds = clean.column_kinds(d, exclude=("churn", "row_key"))
     imp = clean.impute_median(d, kinds["numeric"])
