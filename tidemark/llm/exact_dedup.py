@@ -40,7 +40,7 @@ def _pack(it):
     for batch in it:
         ids = batch.column(0).to_pylist()
         data, offsets = tk.text_buffer(batch.column(1))
-        for lo, hi in tk.row_blocks(offsets, 4 * tk.BLOCK_BYTES):
+        for lo, hi in tk.row_blocks(offsets, 2 * tk.BLOCK_BYTES):
             raw = data[offsets[lo]:offsets[hi]].tobytes()
             found: dict[bytes, list] = {}
             for i in range(lo, hi):
@@ -91,10 +91,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ignored; an empty table gives no rows.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    packed = given.mapInArrow(_pack, "lead binary, sha string, norm binary, first_id long, ids array<long>")
+    packed = given.mapInArrow(tk.tidy(_pack), "lead binary, sha string, norm binary, first_id long, ids array<long>")
     ordered = (packed.repartitionByRange("lead", "sha")
                .sortWithinPartitions("lead", "sha", "norm", F.col("first_id").asc_nulls_last()))
-    rows = stored(ordered.mapInArrow(_runs, "text_sha256 string, keep_id long, ids array<long>"), "runs")
+    rows = stored(ordered.mapInArrow(tk.tidy(_runs), "text_sha256 string, keep_id long, ids array<long>"), "runs")
     sizes = (rows.groupBy("text_sha256", "keep_id").agg(F.sum(F.size("ids")).alias("group_size"))
              .withColumnsRenamed({"text_sha256": "s", "keep_id": "k"}))
     joined = rows.join(sizes, (rows.text_sha256 == sizes.s) & rows.keep_id.eqNullSafe(sizes.k))
@@ -118,7 +118,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat the kept id and text all stay.  Rows with a null id have no smaller one: all stay."""
     lost = exact_groups(docs, id_col, text_col).where("not kept and doc_id is not null and doc_id <> keep_id")
     lost = lost.select("doc_id", "text_sha256").distinct()
-    rows = docs.withColumn("_text_sha256", F.col(text_col).cast("string"))
-    rows = rows.mapInArrow(_text_sha256, rows.schema)
-    same = (rows[id_col].cast("long") == lost.doc_id) & (rows["_text_sha256"] == lost.text_sha256)
+    sha = "_text_sha256"
+    while sha in {c.lower() for c in docs.columns}:
+        sha = "_" + sha
+    rows = docs.withColumn(sha, F.col(text_col).cast("string"))
+    rows = rows.mapInArrow(tk.tidy(_text_sha256), rows.schema)
+    same = (rows[id_col].cast("long") == lost.doc_id) & (rows[sha] == lost.text_sha256)
     return rows.join(lost, same, "left_anti").select(*docs.columns)

@@ -123,7 +123,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_d
         return Model([], {})
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, train_docs / counts[lang]))])
     some = given.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).distinct()
-    rows = (some.mapInArrow(_train, "kind int, key long, lang string, n long").groupBy("kind", "key", "lang")
+    rows = (some.mapInArrow(tk.tidy(_train), "kind int, key long, lang string, n long").groupBy("kind", "key", "lang")
             .agg(F.sum("n").alias("n")))
     rows = rows.join(rows.groupBy("kind", "key").agg(F.sum("n").alias("all")).where("all > 1"), ["kind", "key"]).toArrow()
     kind, key = rows.column("kind").to_numpy(), tk.from_long(rows.column("key").to_numpy())
@@ -188,7 +188,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     rest = docs.drop("lang_pred", "score")
     given = rest.select(F.col(f"`{text_col}`").cast("string").alias("_input_text"), *[F.col(f"`{c}`") for c in rest.columns])
     schema = T.StructType([*rest.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return given.mapInArrow(_predict(shared), schema)
+    return given.mapInArrow(tk.tidy(_predict(shared)), schema)
 
 
 def held_out(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
