@@ -20,8 +20,9 @@ from tidemark.llm.storage import stored
 
 #: A step judges the ends of 16 equal parts, all that four halvings can reach; 40 halvings.
 GRID, STEPS = 16, 10
-#: Hash ranges a source is cut into for its running token sums.
-RANGES = 1024
+#: A source is cut into 2^bits hash ranges for its running token sums: enough that the
+#: tokens of the corpus give each about this many, within these bits.
+RANGE_TOKENS, RANGE_BITS = 4_000_000, (10, 24)
 BLOCK_TOKENS = 1_000_000
 TARGET_ENTROPY = 0.97      # of the highest possible, ln(number of sources)
 MAX_REPEATS = 4.0
@@ -107,16 +108,17 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     words = F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+"))
     rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                               F.coalesce(words, F.lit(0)).cast("long").alias("n_tokens"), *extra), "sources")
-    per_source = rows.groupBy("source").agg(F.sum("n_tokens").alias("n"))
+    per_source = stored(rows.groupBy("source").agg(F.sum("n_tokens").alias("n")), "per-source")     # read by every step of the search
     total = per_source.agg(F.sum("n")).first()[0] or 0
     budget = float(total if budget is None else budget)
+    bits = min(RANGE_BITS[1], max(RANGE_BITS[0], math.ceil(math.log2(max(1, total) / RANGE_TOKENS))))
     weights = stored(source_weights(per_source, budget or 1.0, target_entropy, max_repeats), "weights").withColumnRenamed("source", "s")
 
     target = F.col("weight") * F.lit(budget)
     due = rows.join(weights, rows.source.eqNullSafe(weights.s)).drop("s")
     due = due.withColumn("target", target).withColumn("passes", F.ceil(F.round(F.col("target") / F.col("n"), 9)).cast("int"))
     emitted = (due.where("passes > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
-               .withColumn("key", _key("source", "doc_id", "pass")).withColumn("cut", F.shiftright("key", 50).cast("int")))
+               .withColumn("key", _key("source", "doc_id", "pass")).withColumn("cut", F.shiftright("key", 60 - bits).cast("int")))
     part = ["source", "pass", "cut"]
     sums = emitted.groupBy(*part).agg(F.sum("n_tokens").alias("part_tokens"))
     sums = sums.withColumn("before", F.coalesce(F.sum("part_tokens").over(
