@@ -153,7 +153,7 @@ def _repeats(k: int):
 def frequent_tokens(docs: DataFrame, k: int, entries: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted tokens, log2 of their counts): the most frequent levels that fit ``entries``."""
     spark = docs.sparkSession
-    counts = (docs.mapInArrow(_repeats(k), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = (docs.mapInArrow(tk.tidy(_repeats(k)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
               .where("n >= 4").select("token", F.floor(F.log2("n")).cast("int").alias("level")))
     counts = stored(counts, "frequent")
     total, cut = 0, 64
@@ -338,7 +338,7 @@ def _pairs(lists: DataFrame, groups: DataFrame | None, threshold: int, hubs: boo
         many = own.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1")
         own = own.join(many.select("token"), "token", "left_semi")
     return (_chunked(own).repartition("token", "cell").sortWithinPartitions("token", "cell")
-            .mapInArrow(_candidates(threshold, hubs), "a long, b long").distinct())
+            .mapInArrow(tk.tidy(_candidates(threshold, hubs)), "a long, b long").distinct())
 
 
 def _closer(threshold: int):
@@ -361,7 +361,7 @@ def _closer_pairs(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataF
     joined = (pairs.join(fine.select(F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("fine").alias("x")), "a")
               .join(fine.select(F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("fine").alias("y")), "b")
               .select("a", "b", "n1", "n2", "x", "y"))
-    return stored(joined.mapInArrow(_closer(threshold), "a long, b long"), "pairs")
+    return stored(joined.mapInArrow(tk.tidy(_closer(threshold)), "a long, b long"), "pairs")
 
 
 def _sets(k: int):
@@ -393,10 +393,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, known: DataFrame, k: int, th
     need = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
     first = stored(classes.join(need, "sig", "left_semi").select(F.col("first_id").alias("doc_id")).distinct(), "need")
     sets = stored(known.join(bounded_broadcast(first, BROADCAST_IDS), "doc_id", "left_semi")
-                  .mapInArrow(_sets(k), "sig long, tokens binary").dropDuplicates(["sig"]), "sets")
+                  .mapInArrow(tk.tidy(_sets(k)), "sig long, tokens binary").dropDuplicates(["sig"]), "sets")
     joined = (pairs.join(sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x")), "a")
               .join(sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y"))
-    return joined.mapInArrow(_verify(threshold), "a long, b long")
+    return joined.mapInArrow(tk.tidy(_verify(threshold)), "a long, b long")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -413,13 +413,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     extra = () if row_col is None else (row_col,)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
     known = given.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    profile = stored(given.mapInArrow(_profile(k, extra), CLASS_SCHEMA + "".join(f", `{c}` long" for c in extra)), "profile")
+    profile = stored(given.mapInArrow(tk.tidy(_profile(k, extra)), CLASS_SCHEMA + "".join(f", `{c}` long" for c in extra)), "profile")
     classes = stored(profile.where("n_shingles > 0 and doc_id is not null").groupBy("sig")
                      .agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n"),
                           F.min("sketch").alias("sketch"), F.min("fine").alias("fine")), "classes")
 
     frequent = spark.sparkContext.broadcast(frequent_tokens(known, k, FREQUENT_ENTRIES))
-    rows = known.mapInArrow(_prefixes(k, threshold, frequent), "token long, sig long")
+    rows = known.mapInArrow(tk.tidy(_prefixes(k, threshold, frequent)), "token long, sig long")
     w = Window.partitionBy("token")
     shared = (rows.withColumn("s0", F.min("sig").over(w)).withColumn("s1", F.max("sig").over(w))
               .where("s0 <> s1").select("token", "sig").distinct())
