@@ -7,8 +7,9 @@ when ``100 * |A & B| >= threshold * |A | B|``; the result is each text's compone
 2. The matrix has a row per (token, class) for the tokens that matter: under one global
    order, rare tokens first, sets that link share a token among their first
    ``n - ceil(t * n) + 1``.  Tokens seen by one class only leave at once.
-3. Similar classes are partitioned into groups: below every token each class proposes the
-   partner that most others qualify with, proposals are verified, components are groups.
+3. Similar classes are partitioned into groups: below a few tokens of its own each class
+   proposes the partner that most others qualify with, proposals are verified, components
+   are groups.
 4. The rows stay one per (token, class), now with the class's group; no union per group is
    built.  Classes of *different* groups that share a token are compared one by one, so
    a token of n classes costs up to n * n comparisons.  The overlap of a pair is bounded by
@@ -45,6 +46,9 @@ BROADCAST_IDS = 1_000_000
 CHUNK = 1024
 #: Lists up to this length are compared many at a time.
 SHORT = 24
+#: Tokens of a class below which it proposes a partner, those with the smallest hash (so
+#: similar classes take the same ones).  Groups only save work; all tokens open pairs.
+HUB_TOKENS = 6
 
 CLASS_SCHEMA = "doc_id long, n_shingles long, sig long, sketch binary, fine binary"
 
@@ -423,9 +427,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     w = Window.partitionBy("token")
     shared = (rows.withColumn("s0", F.min("sig").over(w)).withColumn("s1", F.max("sig").over(w))
               .where("s0 <> s1").select("token", "sig").distinct())
-    lists = stored(shared.join(classes, "sig").select("token", F.col("sig").alias("rep"), "n", "sketch"), "lists")
+    own = Window.partitionBy("sig").orderBy(F.xxhash64("token"), "token")       # at most a prefix
+    shared = shared.withColumn("hub", F.row_number().over(own) <= HUB_TOKENS)
+    both = stored(shared.join(classes, "sig").select("token", F.col("sig").alias("rep"), "n", "sketch", "hub"), "lists")
+    lists = both.drop("hub")
 
-    proposed = _closer_pairs(_pairs(lists, None, threshold, True), classes, threshold)
+    proposed = _closer_pairs(_pairs(both.where("hub").drop("hub"), None, threshold, True), classes, threshold)
     groups = stored(connected_components(_verified(proposed, classes, known, k, threshold)), "groups")
     opened = _closer_pairs(_pairs(lists, groups, threshold, False), classes, threshold)
     second = _verified(opened, classes, known, k, threshold)
