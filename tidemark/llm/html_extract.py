@@ -4,21 +4,25 @@ A page is a sequence of leaf blocks: text between block-level tags, in page orde
 has ancestor-tag and text features; a two-label chain (boilerplate, content) trained on
 labelled pages is decoded by Viterbi.  Labels come from the pages themselves: where a page
 marks its article (``article`` or ``main``), blocks inside and outside any boilerplate
-element are content.  Training takes a bounded, hash-dealt sample of such pages.
+element are content.  Training takes the bounded number of such pages with the smallest
+hash; copies of a page count once.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import html as htmllib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: About this many labelled pages are fitted on, at most.
-TRAIN_PAGES = 400
+#: Different labelled pages that are fitted on, and blocks of one, at most; pages with more
+#: blocks are not fitted on.
+TRAIN_PAGES, TRAIN_BLOCKS = 400, 400
 EPOCHS, RATE, L2 = 150, 0.2, 1e-3
 
 TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>""")
@@ -26,6 +30,7 @@ MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 PIECE = re.compile(r"[a-z]+")
 # fixed values: HTML element names by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+FOREIGN = frozenset("svg math".split())
 SKIP = frozenset("script style noscript template textarea svg iframe object math canvas select".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
                    "strong sub sup time tt u var wbr acronym".split())
@@ -39,27 +44,58 @@ BOILER_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb
                          "reply replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 
 
-def blocks(page: str) -> list[tuple[str, tuple, int, int]]:
-    """Leaf blocks of a page: (text, open elements, characters, characters in links)."""
+@dataclasses.dataclass(frozen=True)
+class Place:
+    """Where a block stands: the open block-level elements, gathered on the way down."""
+
+    own: str = "-"
+    tags: frozenset = frozenset()
+    marks: frozenset = frozenset()
+    boiler: bool = False
+
+    def inside(self, tag: str, marks: tuple) -> "Place":
+        return Place(tag, self.tags if tag in self.tags else self.tags | {tag},
+                     self.marks if self.marks.issuperset(marks) else self.marks.union(marks),
+                     self.boiler or tag in BOILER_TAGS or not BOILER_WORDS.isdisjoint(marks))
+
+
+def blocks(page: str) -> list[tuple[str, Place, int, int]]:
+    """Leaf blocks of a page: (text, place, characters, characters in links).
+
+    Open elements are counted by name and share their ancestors' places, so a page costs
+    time and memory in proportion to its length however deep it nests."""
     out: list = []
-    stack: list[tuple[str, tuple]] = []
+    stack: list[tuple[str, Place]] = []         # element, place inside it
+    opened: Counter = Counter()
     runs: list[str] = []
-    links = [0]
+    links = 0
     pos, size = 0, len(page)
 
+    def here():
+        return stack[-1][1] if stack else Place()
+
     def flush():
+        nonlocal links
         text = " ".join("".join(runs).split())
         if text:
-            out.append((text, tuple(s for s in stack if s[0] not in INLINE), len(text), min(links[0], len(text))))
+            out.append((text, here(), len(text), min(links, len(text))))
         runs.clear()
-        links[0] = 0
+        links = 0
 
     def take(raw):
+        nonlocal links
         if raw:
             text = htmllib.unescape(raw)
             runs.append(text)
-            if any(s[0] == "a" for s in stack):
-                links[0] += len(text)
+            if opened["a"]:
+                links += len(text)
+
+    def close(name):
+        while True:
+            top = stack.pop()[0]
+            opened[top] -= 1
+            if top == name:
+                return
 
     while pos < size:
         m = TAG.search(page, pos)
@@ -76,14 +112,15 @@ def blocks(page: str) -> list[tuple[str, tuple, int, int]]:
             continue
         name = m.group(2).lower()
         if m.group(1):
-            if any(s[0] == name for s in stack):
+            if opened[name]:
                 if name not in INLINE:
                     flush()
-                while stack:
-                    if stack.pop()[0] == name:
-                        break
+                close(name)
             continue
+        closed = m.group(3).rstrip().endswith("/")
         if name in SKIP:
+            if closed and name in FOREIGN:      # only these end at a slash
+                continue
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, pos)
             pos = size if end is None else end.end()
             continue
@@ -91,43 +128,36 @@ def blocks(page: str) -> list[tuple[str, tuple, int, int]]:
             flush()
         if name in VOID:
             continue
-        if name in ENDS_P and any(s[0] == "p" for s in stack):
-            while stack.pop()[0] != "p":
-                pass
+        if name in ENDS_P and opened["p"]:
+            close("p")
         for other in CLOSES.get(name, ()):
             if stack and stack[-1][0] == other:
-                stack.pop()
-        marks = tuple(w for g in MARK.findall(m.group(3)) for w in PIECE.findall("".join(g).lower())) if m.group(3) else ()
-        if not m.group(3).rstrip().endswith("/"):
-            stack.append((name, marks))
+                close(other)
+        if not closed:
+            marks = tuple(w for g in MARK.findall(m.group(3)) for w in PIECE.findall("".join(g).lower())) if m.group(3) else ()
+            stack.append((name, here() if name in INLINE else here().inside(name, marks)))
+            opened[name] += 1
     flush()
     return out
 
 
-def boilerplate(path: tuple) -> bool:
-    return any(t in BOILER_TAGS or not BOILER_WORDS.isdisjoint(marks) for t, marks in path)
-
-
 def labels(page_blocks: list) -> list[int] | None:
     """1 for blocks of the marked article outside boilerplate; None if nothing is marked."""
-    inside = [any(t in ("article", "main") for t, _ in path) for _, path, _, _ in page_blocks]
+    inside = [not place.tags.isdisjoint(("article", "main")) for _, place, _, _ in page_blocks]
     if not any(inside):
         return None
-    return [int(i and not boilerplate(path)) for i, (_, path, _, _) in zip(inside, page_blocks)]
+    return [int(i and not place.boiler) for i, (_, place, _, _) in zip(inside, page_blocks)]
 
 
 def features(page_blocks: list) -> list[list[str]]:
     rows = []
-    for k, (text, path, size, link) in enumerate(page_blocks):
+    for k, (text, place, size, link) in enumerate(page_blocks):
         row = ["bias", f"len:{min(size, 4000).bit_length()}", f"link:{4 * link // size}", f"end:{text[-1] in '.!?…:;'}",
-               f"words:{min(len(text.split()), 12)}", f"first:{k == 0}", f"own:{path[-1][0] if path else '-'}",
-               f"boiler:{boilerplate(path)}"]
+               f"words:{min(len(text.split()), 12)}", f"first:{k == 0}", f"own:{place.own}", f"boiler:{place.boiler}"]
         if "©" in text:
             row.append("copyright")
-        for tag in {t for t, _ in path}:
-            row.append(f"in:{tag}")
-        for mark in {w for _, marks in path for w in marks}:
-            row.append(f"mark:{mark}")
+        row += [f"in:{tag}" for tag in place.tags]
+        row += [f"mark:{mark}" for mark in place.marks]
         rows.append(row)
     return rows
 
@@ -207,18 +237,18 @@ def _sample(it):
         for page in batch.column(0).to_pylist():
             own = blocks(page)
             gold = labels(own)
-            if gold is not None:
+            if gold is not None and len(own) <= TRAIN_BLOCKS:
                 yield pa.RecordBatch.from_arrays([pa.array([features(own)], pa.list_(pa.list_(pa.string()))),
                                                   pa.array([gold], pa.list_(pa.int32()))], names=["rows", "gold"])
 
 
 def train(pages: DataFrame, html_col: str = "html", train_pages: int = TRAIN_PAGES) -> Chain:
     marked = pages.select(F.col(html_col).cast("string").alias("html")).where(
-        F.lower("html").contains("<article") | F.lower("html").contains("<main"))
-    count = marked.count()
-    share = min(1.0, train_pages / count) if count else 1.0
-    some = marked.where(F.pmod(F.xxhash64("html"), F.lit(1_000_000)) < share * 1_000_000)
+        F.lower("html").contains("<article") | F.lower("html").contains("<main")).withColumn("hash", F.xxhash64("html"))
+    chosen = marked.select("hash").distinct().orderBy("hash").limit(train_pages)
+    some = marked.join(F.broadcast(chosen), "hash").groupBy("hash").agg(F.min("html").alias("html")).select("html")
     rows = some.mapInArrow(_sample, "rows array<array<string>>, gold array<int>").toArrow().to_pylist()
+    rows = [{"rows": [sorted(r) for r in row["rows"]], "gold": row["gold"]} for row in rows]
     rows.sort(key=lambda r: (len(r["gold"]), str(r["rows"])))     # the fit must not depend on row order
     return fit_chain([(r["rows"], r["gold"]) for r in rows])
 
