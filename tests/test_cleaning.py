@@ -210,3 +210,11 @@ def test_category_discovery_around_the_bound(spark):
     assert clean.fit_categories(df, ["w", "n", "z"], max_categories=12)["w"] == sorted(str(i) for i in range(12))
     assert clean.fit_categories(df, ["w", "n", "z"], max_categories=4) == {"n": ["a", "b"], "z": []}
     assert clean.fit_categories(df, ["w"], max_categories=11) == {}
+
+
+def test_the_schema_of_a_sparse_vector_names_no_slots(spark):
+    """The driver holds the schema: it must not grow with the categories."""
+    d = spark.range(3_000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("big"))
+    out = clean.one_hot_sparse(d, clean.fit_dictionary(d, ["big"]))
+    assert out.schema["big_onehot"].metadata == {"ml_attr": {"num_attrs": 2_999}}
+    assert out.where(F.col("big_onehot").cast("string") == "(2999,[0],[1.0])").count() == 1

@@ -15,7 +15,7 @@ import re
 import uuid
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -201,16 +201,17 @@ def impute_median(df: DataFrame, cols: list[str] | None = None, exact: bool = Tr
 
 
 # --- C10 ------------------------------------------------------------------------------
-def fit_categories(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES) -> dict:
+def fit_categories(df: DataFrame, cols: list[str], max_categories: int = MAX_CATEGORIES, pairs: DataFrame | None = None) -> dict:
     """Sorted distinct non-null values per column, in one aggregation job; columns with more
     than ``max_categories`` are left out (see ``fit_dictionary``).
 
     The distinct (column, value) pairs are deduplicated map-side; only when the bound is
     passed a second job counts them per column, and the wide ones never reach the driver.
+    ``pairs``: the ``category_values`` of the columns, where they are stored already.
     """
     if not cols:
         return {}
-    pairs, bound = category_values(df, cols), max_categories * len(cols)
+    pairs, bound = category_values(df, cols) if pairs is None else pairs, max_categories * len(cols)
     rows = pairs.limit(bound + 1).collect()
     if len(rows) > bound:
         few = pairs.groupBy("feature").count().where(F.col("count") <= max_categories).select("feature")
@@ -236,11 +237,13 @@ def category_values(df: DataFrame, cols: list[str]) -> DataFrame:
             .select("p.*").where(F.col("value").isNotNull()).distinct())
 
 
-def fit_dictionary(df: DataFrame, cols: list[str]) -> DataFrame:
+def fit_dictionary(df: DataFrame, cols: list[str], pairs: DataFrame | None = None) -> DataFrame:
     """``(feature, value, rank, n)``: every value of wide columns with its 0-based place
     among the ``n`` sorted values of its column.  A stored table of any size, numbered by
-    the distributed rank; nothing of it reaches the driver."""
-    ranked = stratified_rank(category_values(df, cols), ["feature"], ["value"], order="key", rank_col="rank", size_col="n")
+    the distributed rank; nothing of it reaches the driver.  ``pairs``: as in
+    ``fit_categories``."""
+    values = category_values(df, cols) if pairs is None else pairs.where(F.col("feature").isin(*cols))
+    ranked = stratified_rank(values, ["feature"], ["value"], order="key", rank_col="rank", size_col="n", stored=pairs is not None)
     return materialize(ranked.select("feature", "value", "rank", "n"))
 
 
@@ -254,24 +257,30 @@ def one_hot_sparse(df: DataFrame, dictionary: DataFrame, drop_first: bool = True
 
     One equi-join with the dictionary per column; the values are looked up where they are,
     so the encoding has no limit on categories (a column with one value has one slot that
-    stays zero)."""
+    stays zero).  The vectors are written as their fields and not by ``OneHotEncoder``,
+    which names every slot in the schema that the driver holds; the schema says how many
+    slots there are."""
     first = 1 if drop_first else 0
     sizes = {r["feature"]: r["n"] for r in dictionary.groupBy("feature").agg(F.max("n").alias("n")).collect()}     # a row per column
-    d, codes = df, {}
+    d = df
     for i, (c, n) in enumerate(sorted(sizes.items())):
         slots = max(1, n - first)
         if slots > 2 ** 31 - 1:
             raise ValueError(f"{c}: {n} categories exceed the slots of a vector")
         own = dictionary.where(F.col("feature") == c).select(F.col("value").alias(f"_v{i}"), F.col("rank").alias(f"_r{i}"))
         d = d.join(own, quoted(c).cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
-        place = F.when(F.col(f"_r{i}") >= first, F.col(f"_r{i}") - first).otherwise(slots).cast("double")
-        d = d.withColumn(f"_r{i}", place.alias(f"_r{i}", metadata={"ml_attr": {"type": "nominal", "num_vals": slots, "name": f"_r{i}"}}))
-        codes[f"_r{i}"] = vector_name(c)
-    if not codes:
-        return df
-    # places beyond the slots are kept as one more category, which is the one dropped
-    encoder = OneHotEncoder(inputCols=list(codes), outputCols=list(codes.values()), dropLast=True, handleInvalid="keep")
-    return encoder.fit(d).transform(d).drop(*codes, *sizes)
+    for i, (c, n) in enumerate(sorted(sizes.items())):
+        slots = max(1, n - first)
+        place = F.when(F.col(f"_r{i}") >= first, F.col(f"_r{i}") - first)
+        d = d.withColumn(vector_name(c), _unit_vector(place, slots).alias(vector_name(c), metadata={"ml_attr": {"num_attrs": slots}}))
+    return d.drop(*[f"_r{i}" for i in range(len(sizes))], *sizes)
+
+
+def _unit_vector(place: Column, slots: int) -> Column:
+    """A sparse vector of ``slots`` with a one at ``place``; all zeros where that is null."""
+    fields = F.concat(F.lit(f'{{"v":{{"type":0,"size":{slots},"indices":['), F.coalesce(place.cast("string"), F.lit("")),
+                      F.when(place.isNull(), F.lit('],"values":[]}}')).otherwise(F.lit('],"values":[1.0]}}')))
+    return F.from_json(fields, T.StructType([T.StructField("v", VectorUDT())])).getField("v")
 
 
 def dummy_name(col: str, value: str) -> str:
@@ -354,11 +363,12 @@ def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio:
     d = coerce_numeric(df, columns=num_text)
     kinds = column_kinds(d, excl)
     medians = fit_medians(d, kinds["numeric"], exact_median, counts=counts)
-    cats = fit_categories(d, kinds["categorical"], max_categories)
+    pairs = materialize(category_values(d, kinds["categorical"])) if kinds["categorical"] else None     # fitting reads them several times
+    cats = fit_categories(d, kinds["categorical"], max_categories, pairs)
     wide = [c for c in kinds["categorical"] if c not in cats]
     if wide:
         dictionary = dictionary or shared_path(df.sparkSession, "dictionary", uuid.uuid4().hex)
-        fit_dictionary(d, wide).write.mode("overwrite").parquet(dictionary)
+        fit_dictionary(d, wide, pairs).write.mode("overwrite").parquet(dictionary)
     spec = EncodingSpec(target=target, key=key, numeric_text=num_text, medians=medians, categories=cats, wide=wide,
                         dictionary=dictionary if wide else None)
     spec.features = [c for c in apply_encoding(df, spec).columns if c not in (key, "churn")]
