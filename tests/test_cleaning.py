@@ -218,3 +218,12 @@ def test_the_schema_of_a_sparse_vector_names_no_slots(spark):
     out = clean.one_hot_sparse(d, clean.fit_dictionary(d, ["big"]))
     assert out.schema["big_onehot"].metadata == {"ml_attr": {"num_attrs": 2_999}}
     assert out.where(F.col("big_onehot").cast("string") == "(2999,[0],[1.0])").count() == 1
+
+
+def test_known_numbers_stay_numeric_when_mostly_blank(spark):
+    df = spark.createDataFrame([(1, 0, " "), (2, 1, " "), (3, 0, "7.5")], "row_key long, churn int, total_charges string")
+    assert clean.numeric_text_columns(df, exclude=("row_key", "churn")) == []
+    out = clean.apply_encoding(df, clean.fit_encoding(df, "churn", known=["total_charges"]))
+    assert sorted((r.row_key, r.total_charges) for r in out.collect()) == [(1, 7.5), (2, 7.5), (3, 7.5)]
+    blank = df.where("row_key < 3")
+    assert {r.total_charges for r in clean.coerce_numeric(blank, exclude=("churn",), known=["total_charges"]).collect()} == {None}

@@ -243,3 +243,22 @@ def test_selection_record(spark):
     with pytest.raises(Exception, match="no registered version"):
         R.selection_document(R.selection_roles(cands, versions.where("version = '2'")), 1, "u").collect()
     assert R.selection_document(R.selection_roles(cands.limit(0), versions), 1, "u").count() == 0
+
+
+def test_minmax_of_probabilities_rounded_to_one(spark):
+    """Probabilities of exactly 0 and 1 give infinite decisions, as in the SQL twin, and no
+    division by zero."""
+    import duckdb
+    import math
+    rows = [("a", 0.25), ("a", 1.0), ("a", 0.5), ("b", 0.0), ("b", 0.5), ("c", 0.2), ("c", 0.8), ("c", None)]
+    df = spark.createDataFrame(rows, "m string, proba double").withColumn("decision", score.log_odds(F.col("proba")))
+    got = [(r.m, r.proba, r.decision, r.scaled) for r in score.minmax_score(df, "decision", "scaled", by=["m"]).collect()]
+    want = duckdb.sql("""
+        WITH d AS (SELECT m, p, ln(p / (1 - p)) AS decision FROM (VALUES ('a', 0.25::DOUBLE), ('a', 1), ('a', 0.5), ('b', 0), ('b', 0.5),
+                                                                        ('c', 0.2), ('c', 0.8), ('c', NULL)) t(m, p)),
+        mm AS (SELECT m, min(decision) AS mn, max(decision) AS mx FROM d GROUP BY m)
+        SELECT m, p, decision, (decision - mn) / (mx - mn + 1e-12) FROM d JOIN mm USING (m)""").fetchall()
+
+    def plain(rows):
+        return sorted(tuple(f"{x:.9g}" if isinstance(x, float) and not math.isnan(x) else str(x) for x in r) for r in rows)
+    assert plain(got) == plain(want)

@@ -110,15 +110,16 @@ def trim_strings(df: DataFrame) -> DataFrame:
 
 
 # --- C7 -------------------------------------------------------------------------------
-def numeric_text_columns(df: DataFrame, ratio: float = 0.5, exclude=()) -> list[str]:
-    """String columns where at least one value parses and parsed >= ratio * non-null.
+def numeric_text_columns(df: DataFrame, ratio: float = 0.5, exclude=(), known=()) -> list[str]:
+    """String columns where at least one value parses and parsed >= ratio * non-null, and
+    those ``known`` to hold numbers, however many are blank.
 
     One aggregation job over all string columns; two counts per column reach the driver.
     """
-    return _profile(df, ratio, exclude)[0]
+    return _profile(df, ratio, exclude, known)[0]
 
 
-def _profile(df: DataFrame, ratio: float = 0.5, exclude=()) -> tuple[list[str], dict]:
+def _profile(df: DataFrame, ratio: float = 0.5, exclude=(), known=()) -> tuple[list[str], dict]:
     """One pass: the numeric-text columns, and the count of numeric values (NaN as
     missing) of every column that is numeric once they are coerced (what the exact
     medians need first)."""
@@ -131,15 +132,15 @@ def _profile(df: DataFrame, ratio: float = 0.5, exclude=()) -> tuple[list[str],
         aggs += [F.count(parse_number(quoted(c))).alias(f"p{i}"), F.count(quoted(c)).alias(f"n{i}")]
     aggs += [F.count(nan_to_null(quoted(c).cast("double"))).alias(f"k{j}") for j, c in enumerate(nums)]
     row = df.agg(*aggs).collect()[0]
-    text = [c for i, c in enumerate(cands) if row[f"p{i}"] > 0 and row[f"p{i}"] >= row[f"n{i}"] * ratio]
+    text = [c for i, c in enumerate(cands) if c in known or row[f"p{i}"] > 0 and row[f"p{i}"] >= row[f"n{i}"] * ratio]
     counts = {c: row[f"k{j}"] for j, c in enumerate(nums)}
     counts.update({c: row[f"p{i}"] for i, c in enumerate(cands) if c in text})
     return text, counts
 
 
-def coerce_numeric(df: DataFrame, ratio: float = 0.5, exclude=(), columns: list[str] | None = None) -> DataFrame:
+def coerce_numeric(df: DataFrame, ratio: float = 0.5, exclude=(), columns: list[str] | None = None, known=()) -> DataFrame:
     """Convert numeric-looking text columns to double; values that do not parse become null."""
-    cols = numeric_text_columns(df, ratio, exclude) if columns is None else columns
+    cols = numeric_text_columns(df, ratio, exclude, known) if columns is None else columns
     return df.withColumns({c: parse_number(quoted(c)) for c in cols}) if cols else df
 
 
@@ -351,15 +352,16 @@ def standardize_raw(df: DataFrame, target: str = "churn", strict_compat: bool =
 
 
 def fit_encoding(df: DataFrame, target: str, key: str | None = "row_key", ratio: float = 0.5,
-                 exact_median: bool = True, max_categories: int = MAX_CATEGORIES, dictionary: str | None = None) -> EncodingSpec:
+                 exact_median: bool = True, max_categories: int = MAX_CATEGORIES, dictionary: str | None = None, known=()) -> EncodingSpec:
     """Fit C7, C9 and C10 on ``df`` (pass the train split to avoid leakage, or all rows
     for parity with the original order of steps).  Text columns with more than
     ``max_categories`` values are kept as a table in the folder ``dictionary`` (by default
-    below the shared folder of the session) and encoded as sparse vectors.
+    below the shared folder of the session) and encoded as sparse vectors.  Text columns
+    ``known`` to hold numbers are numeric whatever share of their values parses.
 
     Fitting makes a few passes: give it a stored table (``session.materialize``)."""
     excl = tuple(c for c in (target, key) if c)
-    num_text, counts = _profile(df, ratio, excl)
+    num_text, counts = _profile(df, ratio, excl, known)
     d = coerce_numeric(df, columns=num_text)
     kinds = column_kinds(d, excl)
     medians = fit_medians(d, kinds["numeric"], exact_median, counts=counts)

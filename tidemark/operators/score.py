@@ -46,6 +46,13 @@ def minmax_score(df: DataFrame, col: str, out: str = "proba", by: list[str] | No
     return df.withColumn(out, (F.col(col) - F.lit(row["mn"])) / F.lit(row["mx"] - row["mn"] + 1e-12))
 
 
+def log_odds(proba: Column) -> Column:
+    """The decision behind a probability.  One that has been rounded to 0 or 1 has an
+    infinite decision (a plain division by ``1 - proba`` is an error there)."""
+    return (F.when(proba == 1, F.lit(float("inf"))).when(proba == 0, F.lit(float("-inf")))
+            .otherwise(F.log(proba / (1 - proba))))
+
+
 # --- P3 -------------------------------------------------------------------------------
 def hard_to_float(df: DataFrame, col: str, out: str = "proba") -> DataFrame:
     return df.withColumn(out, F.col(col).cast("double"))

@@ -328,8 +328,7 @@ mm_t AS (SELECT model_name, min(decision) AS mn, max(decision) AS mx FROM dec_t
     body="SELECT d.row_key, d.model_name, round((d.decision - m.mn) / (m.mx - m.mn + 1e-12), 6) AS proba "
          "FROM dec_t d JOIN mm_t m USING (model_name)"))
 def q_minmax(spark, sf):
-    d = flows.scored_table(spark, sf).select("row_key", "model_name",
-                                             F.log(F.col("proba") / (1 - F.col("proba"))).alias("decision"))
+    d = flows.scored_table(spark, sf).select("row_key", "model_name", score.log_odds(F.col("proba")).alias("decision"))
     return _r6_all(score.minmax_score(d, "decision", "proba", by=["model_name"]).select("row_key", "model_name", "proba"))
 
 

@@ -34,18 +34,18 @@ SCORERS = {
 def clean_table(spark: SparkSession, sf_dir: str, strict_compat: bool = False) -> DataFrame:
     """Canonical names, label, key, trimmed text, numeric text coerced."""
     d, t = clean.standardize_raw(raw_customers(spark, sf_dir), "churn", strict_compat)
-    return clean.coerce_numeric(d, exclude=(t, "row_key"))
+    return clean.coerce_numeric(d, exclude=(t, "row_key"), known=NUMERIC)
 
 
 def encoding_spec(spark: SparkSession, sf_dir: str) -> clean.EncodingSpec:
     d, t = clean.standardize_raw(raw_customers(spark, sf_dir))
-    return clean.fit_encoding(materialize(d), t)   # fitted on all rows, as the original order of steps does
+    return clean.fit_encoding(materialize(d), t, known=NUMERIC)   # fitted on all rows, as the original order of steps does
 
 
 def prepared_table(spark: SparkSession, sf_dir: str, spec: clean.EncodingSpec | None = None) -> DataFrame:
     """``row_key``, numeric features (imputed), boolean dummies, ``churn``."""
     d = materialize(clean.standardize_raw(raw_customers(spark, sf_dir))[0])     # read by fitting and by the result
-    return clean.apply_encoding(d, spec or clean.fit_encoding(d, "churn"))
+    return clean.apply_encoding(d, spec or clean.fit_encoding(d, "churn", known=NUMERIC))
 
 
 #: Tables that the churn data come from.
@@ -61,7 +61,7 @@ def new_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw table is written once for the fitting passes and the final projection."""
     raw, t = clean.standardize_raw(raw_customers(spark, sf_dir))
     raw = materialize(raw)
-    prepared = clean.apply_encoding(raw, clean.fit_encoding(raw, t))
+    prepared = clean.apply_encoding(raw, clean.fit_encoding(raw, t, known=NUMERIC))
     return split.stratified_split(prepared, "churn", TEST_SIZE, VAL_SIZE, SEED)
 
 
