@@ -47,17 +47,24 @@ class Tree:
                 column.append(x)
         return left, left + 1
 
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return np.array(self.feature, np.int32), np.array(self.cut, np.int32), np.array(self.left, np.int32), np.array(self.right, np.int32)
+
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The node every row of bins ends in."""
-        feature, cut, left, right = (np.array(c) for c in (self.feature, self.cut, self.left, self.right))
-        node = np.zeros(len(x), np.int64)
-        rows = np.arange(len(x))
-        while len(rows):
-            rows = rows[feature[node[rows]] >= 0]
-            at = node[rows]
-            down = x[rows, feature[at]] <= cut[at]
-            node[rows] = np.where(down, left[at], right[at])
-        return node
+        return _leaves(self.arrays(), x)
+
+
+def _leaves(tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    feature, cut, left, right = tree
+    node = np.zeros(len(x), np.int64)
+    rows = np.arange(len(x))
+    while len(rows):
+        rows = rows[feature[node[rows]] >= 0]
+        at = node[rows]
+        down = x[rows, feature[at]] <= cut[at]
+        node[rows] = np.where(down, left[at], right[at])
+    return node
 
 
 @dataclasses.dataclass
@@ -193,35 +200,42 @@ class Rules:
 def _statistics(model: Model, growing: dict[int, Tree], open_nodes: dict[int, list[int]], rules: Rules, absorbed: int):
     """``(tree, node, feature, bin, a, b, n)`` of a batch for the open nodes.  Boosting: a, b
     are gradient and hessian; forest: positive and whole weight.  n counts rows."""
+    p = len(model.features)
+    # once a level and not once a block: the trees as arrays, the open nodes, their features
+    shape = {t: tree.arrays() for t, tree in growing.items()}
+    nodes = {t: np.array(open_nodes[t], np.int64) for t in growing}
+    may = {}
+    for t in growing:
+        may[t] = np.zeros((len(nodes[t]), p), bool)
+        for i, node in enumerate(open_nodes[t]):
+            may[t][i, rules.columns(model.kind, p, t, node)] = True
+
     def run(it):
-        p = len(model.features)
         for batch in it:
             for x, y, w, ids, m in _read(batch, p):
                 if model.kind == "boosted":
                     prob = 1 / (1 + np.exp(-np.clip(m + model.margin(x, absorbed), -700, 700)))
-                for t, tree in growing.items():
+                for t, tree in shape.items():
                     if model.kind == "boosted":
                         a, b = w * (prob - y), w * prob * (1 - prob)
                         take = _uniform(ids, rules.seed, t) < rules.subsample
                     else:
                         times = _poisson(_uniform(ids, rules.seed, t)) if rules.bootstrap else np.ones(len(y))
                         a, b, take = w * y * times, w * times, times > 0
-                    place = np.full(len(tree.feature), -1)
-                    place[open_nodes[t]] = np.arange(len(open_nodes[t]))
-                    at = place[tree.leaves(x)]
+                    place = np.full(len(tree[0]), -1)
+                    place[nodes[t]] = np.arange(len(nodes[t]))
+                    at = place[_leaves(tree, x)]
                     rows = np.flatnonzero(take & (at >= 0))
                     if not len(rows):
                         continue
-                    allowed = np.zeros((len(open_nodes[t]), p), bool)
-                    for i, node in enumerate(open_nodes[t]):
-                        allowed[i, rules.columns(model.kind, p, t, node)] = True
+                    allowed = may[t]
                     for f in range(p):
                         own = rows[allowed[at[rows], f]]
                         if len(own):
                             code, back = np.unique(at[own] * BINS + x[own, f], return_inverse=True)
                             size = len(code)
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(size, t, np.int32)), pa.array(np.array(open_nodes[t], np.int32)[code // BINS]),
+                                [pa.array(np.full(size, t, np.int32)), pa.array(nodes[t].astype(np.int32)[code // BINS]),
                                  pa.array(np.full(size, f, np.int32)), pa.array((code % BINS).astype(np.int32)),
                                  pa.array(np.bincount(back, a[own], size)), pa.array(np.bincount(back, b[own], size)),
                                  pa.array(np.bincount(back, minlength=size).astype(np.int64))],
