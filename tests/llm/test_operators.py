@@ -104,6 +104,37 @@ def test_cut_lists_and_long_lists_agree(spark, monkeypatch):
     assert got == want
 
 
+def test_a_pair_is_named_by_few_of_its_shared_tokens():
+    """Sets about the threshold share most of their prefixes: each linking pair is named, and
+    none by token after token."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(1, 1 << 62, 300).astype(np.uint64)
+    sets = []
+    for _ in range(16):
+        s = base.copy()
+        some = rng.choice(300, rng.integers(10, 40), replace=False)
+        s[some] = rng.integers(1, 1 << 62, len(some)).astype(np.uint64)
+        sets.append(np.sort(s)[:rng.integers(294, 301)])
+    sketch = ngram_join.parity_sketches(np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets]))
+    lists = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for token in s[:ngram_join.prefix_length(len(s), 80)]:
+            lists[int(token)].append(i)
+    lists = {t: rows for t, rows in lists.items() if len(rows) > 1}
+    batches = []
+    for t, rows in sorted(lists.items()):
+        own = [[int(x) for x in sets[i]] for i in rows]
+        before = [[0, 0, *(x for x in s[:s.index(t)] if x in lists)] for s in own]
+        batches.append(pa.RecordBatch.from_pydict({
+            "token": [t] * len(rows), "cell": [0] * len(rows), "side": [0] * len(rows), "rep": rows, "n": [len(s) for s in own],
+            "grp": rows, "pos": [s.index(t) for s in own], "before1": [x[-1] for x in before], "before2": [x[-2] for x in before],
+            "sketch": [sketch[i].tobytes() for i in rows]}))
+    got = [(r["a"], r["b"]) for b in ngram_join._candidates(80, False)(iter(batches)) for r in b.to_pylist()]
+    want = {(i, j) for i in range(16) for j in range(i + 1, 16)
+            if 100 * (m := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - m)}
+    assert want and want <= set(got) and len(got) <= 3 * len(set(got))
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -14,8 +14,10 @@ when ``100 * |A & B| >= threshold * |A | B|``; the result is each text's compone
    built.  Classes of *different* groups that share a token are compared one by one, so
    a token of n classes costs up to n * n comparisons.  The overlap of a pair is bounded by
    size and by a 512-bit parity sketch (the Hamming distance of two sketches never
-   exceeds the sets' symmetric difference), then by a sketch of two bits per element.
-   Only what still qualifies is opened and verified against the exact sets.
+   exceeds the sets' symmetric difference).  A pair is named only by a token that can be
+   its first shared one: what follows it must suffice for a link, and neither of the two
+   tokens before it may be shared.  What is named must qualify by a sketch of two bits per
+   element, is then opened and verified against the exact sets.
 
 No step drops a pair that could link: order and grouping decide the cost, not the result.
 """
@@ -49,6 +51,8 @@ SHORT = 24
 #: Tokens of a class below which it proposes a partner, those with the smallest hash (so
 #: similar classes take the same ones).  Groups only save work; all tokens open pairs.
 HUB_TOKENS = 6
+#: Columns of the tokens just before a row's token in its prefix, of those in other sets too.
+BEFORE = ("before1", "before2")
 
 CLASS_SCHEMA = "doc_id long, n_shingles long, sig long, sketch binary, fine binary"
 
@@ -185,7 +189,7 @@ def _prefixes(k: int, threshold: int, frequent):
                 pos = np.minimum(np.searchsorted(known, values), len(known) - 1)
                 hit = known[pos] == values
                 level[hit] = level_of[pos[hit]]
-            tokens, owners = [], []
+            tokens, owners, places = [], [], []
             for s, i in zip(sig, first):
                 lo, hi = at[i], at[i + 1]
                 if hi == lo:
@@ -196,10 +200,12 @@ def _prefixes(k: int, threshold: int, frequent):
                     own = own[np.argsort(level[lo:hi], kind="stable")]
                 tokens.append(own[:p])
                 owners.append(np.full(min(p, hi - lo), s, tk.U64))
+                places.append(np.arange(min(p, hi - lo), dtype=np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tk.to_long(np.concatenate(tokens))), pa.array(tk.to_long(np.concatenate(owners)))],
-                    names=["token", "sig"])
+                    [pa.array(tk.to_long(np.concatenate(tokens))), pa.array(tk.to_long(np.concatenate(owners))),
+                     pa.array(np.concatenate(places))],
+                    names=["token", "sig", "pos"])
     return run
 
 
@@ -214,6 +220,18 @@ def _qualify(n1, n2, distance, threshold: int):
             & (distance * (100 + threshold) <= (n1 + n2) * (100 - threshold)))
 
 
+def _first_shared(part: dict, a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
+    """Whether the list's token can be the first one that these linking rows share: their
+    sets from it on can hold the overlap, and no token just before it is in both.  True
+    for the token that is the first, so each link is named at least once."""
+    n1, n2 = part["n"][a], part["n"][b]
+    can = np.minimum(n1 - part["pos"][a], n2 - part["pos"][b]) * (100 + threshold) >= (n1 + n2) * threshold
+    for x in BEFORE:
+        for y in BEFORE:
+            can &= (part[x][a] != part[y][b]) | (part[x][a] == 0)      # 0: none
+    return can
+
+
 def _list_pairs(part: dict, threshold: int, hubs: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one (token, chunk pair) list.  With ``hubs`` each row keeps only the
     qualifying partner that most rows qualify with."""
@@ -234,6 +252,8 @@ def _list_pairs(part: dict, threshold: int, hubs: bool) -> Iterator[tuple[np.nda
             i, j = np.nonzero(ok)
             a, b = l[i], right[j]
             keep = (side[a] == 1) | (rep[a] < rep[b])
+            a, b = a[keep], b[keep]
+            keep = _first_shared(part, a, b, threshold)
             yield a[keep], b[keep]
         return
     degree = np.zeros(len(n), np.int64)
@@ -267,12 +287,14 @@ def _short_pairs(part: dict, first: np.ndarray, size: int, threshold: int, hubs:
             yield at[i, j], at[i, best[i, j]]
         else:
             i, j, k = np.nonzero(ok & np.triu(np.ones((size, size), bool), 1))
-            yield at[i, j], at[i, k]
+            a, b = at[i, j], at[i, k]
+            keep = _first_shared(part, a, b, threshold)
+            yield a[keep], b[keep]
 
 
 def _candidates(threshold: int, hubs: bool):
     """Streams rows sorted by (token, cell); a list is complete once the next one begins."""
-    names = ["token", "cell", "side", "rep", "n", "grp"]
+    names = ["token", "cell", "side", "rep", "n", "grp", "pos", *BEFORE]
 
     def table(batch):
         out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
@@ -329,7 +351,7 @@ def _chunked(lists: DataFrame) -> DataFrame:
     lo, hi = F.least("c", "o"), F.greatest("c", "o")
     return cut.select("token", (lo * F.col("m") + hi).alias("cell"),
                       F.when(F.col("c") == F.col("o"), 0).when(F.col("c") < F.col("o"), 1).otherwise(2).alias("side"),
-                      "rep", "n", "grp", "sketch")
+                      "rep", "n", "grp", "pos", *BEFORE, "sketch")
 
 
 def _pairs(lists: DataFrame, groups: DataFrame | None, threshold: int, hubs: bool) -> DataFrame:
@@ -423,13 +445,15 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                           F.min("sketch").alias("sketch"), F.min("fine").alias("fine")), "classes")
 
     frequent = spark.sparkContext.broadcast(frequent_tokens(known, k, FREQUENT_ENTRIES))
-    rows = known.mapInArrow(tk.tidy(_prefixes(k, threshold, frequent)), "token long, sig long")
+    rows = known.mapInArrow(tk.tidy(_prefixes(k, threshold, frequent)), "token long, sig long, pos int")
     w = Window.partitionBy("token")
     shared = (rows.withColumn("s0", F.min("sig").over(w)).withColumn("s1", F.max("sig").over(w))
-              .where("s0 <> s1").select("token", "sig").distinct())
+              .where("s0 <> s1").select("token", "sig", "pos").distinct())
     own = Window.partitionBy("sig").orderBy(F.xxhash64("token"), "token")       # at most a prefix
     shared = shared.withColumn("hub", F.row_number().over(own) <= HUB_TOKENS)
-    both = stored(shared.join(classes, "sig").select("token", F.col("sig").alias("rep"), "n", "sketch", "hub"), "lists")
+    order = Window.partitionBy("sig").orderBy("pos")
+    shared = shared.withColumns({c: F.lag("token", i, 0).over(order) for i, c in enumerate(BEFORE, 1)})
+    both = stored(shared.join(classes, "sig").select("token", F.col("sig").alias("rep"), "n", "pos", *BEFORE, "sketch", "hub"), "lists")
     lists = both.drop("hub")
 
     proposed = _closer_pairs(_pairs(both.where("hub").drop("hub"), None, threshold, True), classes, threshold)
