@@ -263,6 +263,33 @@ def test_line_dedup_of_documents(documents):
     assert all((r["match_id"], r["match_line"]) < (r["doc_id"], r["line_no"]) for r in rows)
 
 
+def test_line_dedup_stores_shared_grams_only(spark, monkeypatch):
+    """A line that shares nothing leaves one narrow row and no row of its words."""
+    docs = spark.createDataFrame([(i, "\n".join(" ".join(f"w{i}x{k}x{j}" for j in range(40)) for k in range(3))) for i in range(20)],
+                                 "doc_id long, text string")
+    tables, stored = [], line_dedup.stored
+
+    def seen(df, name):
+        tables.append(stored(df, name))
+        return tables[-1]
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    assert line_dedup.duplicate_lines(docs).count() == 0
+    assert tables[0].count() == 60 and not any("array" in t for df in tables[:3] for _, t in df.dtypes)
+    assert sum(df.count() for df in tables[2:]) == 0
+
+
+@pytest.mark.parametrize("threshold", [50, 60, 80, 95])
+def test_line_dedup_of_short_lines(spark, threshold):
+    import random
+    rng = random.Random(threshold)
+    rows = [(i, "\n".join(" ".join(rng.sample("abcdefghij", rng.randrange(1, 10))) for _ in range(3))) for i in range(40)]
+    sets = [((i, k), set(line.split())) for i, t in rows for k, line in enumerate(t.split("\n"))]
+    lost = {at for n, (at, w) in enumerate(sets) if any(100 * len(w & v) >= threshold * len(w | v) for _, v in sets[:n])}
+    got = {(r["doc_id"], r["line_no"]) for r in
+           line_dedup.duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold).collect()}
+    assert got == lost
+
+
 def test_line_dedup(cases):
     lost = brute_lines(pairs_of(cases))
     for r in line_dedup.remove_lines(cases).collect():

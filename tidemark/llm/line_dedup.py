@@ -1,16 +1,20 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame operations only.
 
 A line is its set of distinct words (lower-cased), as 58-bit hashes under a rarity level.
-Under one order, rare words first, two sets of Jaccard similarity ``t`` or more share a
-word among their first ``n - ceil(t * n) + 1``; lines meet on such a word if the length
-filter, the positional filter (how much can follow the meeting word) and a 128-bit parity
-sketch (its distance never exceeds the symmetric difference) allow the similarity, and are
-then verified in full.  A line that matches an earlier one, in the order of (doc_id, line
-number), goes.
+Under one order, rare words first, two sets that share ``I`` words and differ in ``D`` have
+``D <= I * (1 - t) / t`` at a Jaccard similarity of ``t``.  Each differing word parts at most
+one pair of neighbouring shared words, so among the first ``D + 2`` such pairs two are pairs
+of neighbours in both sets (grams), and they start at place ``D + (n - ceil(t * n)) + 1`` of
+their set at the latest.  Only grams up to there are shuffled; sets too small to leave two add
+the words of their prefix.  What one set alone has is dropped at once.
+
+Sets that share two grams are compared by length, by a 128-bit parity sketch (its distance never
+exceeds the symmetric difference) and then in full.  A line that matches an earlier one, in
+the order of (doc_id, line number), goes.
 
 Lines meet in two rounds.  In the first, a set meets only the earliest set of each of its
-prefix words, so a group of near copies meets its first member and not itself; what that
-settles needs no other match.  In the second, the sets still open meet every earlier one.
+grams, so a group of near copies meets its first member and not itself; what that settles
+needs no other match.  In the second, the sets still open meet every earlier one.
 
 Rarity is the log2 of a word's count over hash buckets; every bucket's count covers all
 lines.  It fixes one order for all, which is all that exactness needs.
@@ -18,7 +22,9 @@ lines.  It fixes one order for all, which is all that exactness needs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
@@ -27,37 +33,49 @@ from tidemark.session import bounded_broadcast
 THRESHOLD = 80             # percent
 RARITY_BUCKETS = 65_536
 HASH_BITS = 58
-#: Ids broadcast (8 bytes each) to pick the texts to verify; beyond, a shuffle join does.
+#: Documents broadcast (an id and line numbers each) to pick the texts to verify; beyond, a shuffle join does.
 BROADCAST_IDS = 1_000_000
 ODD_SPACE = "\t\r\x0b\x0c"
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _split_words(line):
-    """Distinct lower-cased words of a line."""
-    plain = F.when(line.rlike(r"[\t\r\x0B\f]"), F.translate(line, ODD_SPACE, "    ")).otherwise(line)
-    return F.array_remove(F.array_distinct(F.split(F.lower(plain), " ")), "")
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Shuffle files of a table that is being stored go once it is stored."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
 
 
-def _bucket(word):
-    return F.pmod(F.xxhash64(word), F.lit(RARITY_BUCKETS)).cast("int")
+def _plain(text):
+    """Lower-cased text whose words are parted by spaces and line feeds only."""
+    return F.lower(F.when(text.rlike(r"[\t\r\x0B\f]"), F.translate(text, ODD_SPACE, "    ")).otherwise(text))
 
 
 def rarity_levels(docs: DataFrame):
     """Array column: per hash bucket the log2 of its words' count in all lines."""
-    words = docs.select(F.explode(F.split(F.replace(F.lower("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
-    levels = (words.groupBy(_bucket("w").alias("b")).agg(F.floor(F.log2(F.count("*"))).cast("int").alias("level"))
+    words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
+    bucket = F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).cast("int")
+    levels = (words.groupBy(bucket.alias("b")).agg(F.floor(F.log2(F.count("*"))).cast("int").alias("level"))
               .agg(F.map_from_entries(F.collect_list(F.struct("b", "level"))).alias("m")).first()["m"])    # bounded by the buckets
     levels = levels or {}
     return F.split(F.lit(",".join(str(min(31, levels.get(b, 0))) for b in range(RARITY_BUCKETS))), ",").cast("array<bigint>")
 
 
 def _tokens(line, rarity):
-    """Sorted distinct tokens: rarity level above a word hash."""
+    """Sorted distinct tokens of a plain line: rarity level above a word hash."""
     def token(h):
-        low = h.bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        bucket = F.pmod(h, F.lit(RARITY_BUCKETS)).cast("int")
-        return F.shiftleft(F.element_at(rarity, bucket + 1), HASH_BITS).bitwiseOR(low)
-    return F.sort_array(F.transform(F.transform(_split_words(line), lambda w: F.xxhash64(w)), token))
+        level = F.coalesce(F.get(rarity, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
+        return F.shiftleft(level, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+    hashes = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+    words = F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
+    return F.array_distinct(F.sort_array(F.transform(words, token)))
 
 
 def _sketch(tokens, half: int):
@@ -72,24 +90,48 @@ def _need(n, threshold: int):
     return F.ceil(n * threshold / 100.0)
 
 
-def _lines(docs: DataFrame, rarity) -> DataFrame:
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return rows.select("doc_id", "line_no", _tokens(F.col("line"), rarity).alias("tokens")).where("size(tokens) > 0")
+def _spare(need, threshold: int):
+    """Differing words at most in two sets that share ``need``."""
+    return F.floor(need * (100 - threshold) / threshold)
+
+
+def _small(n, threshold: int):
+    """Whether a set is too small to share two grams with each set that is similar."""
+    return _spare(_need(n, threshold), threshold) + 3 > _need(n, threshold)
+
+
+def _grams(lines: DataFrame, threshold: int) -> DataFrame:
+    """``(key, value, more)`` of ``(doc_id, line_no, tokens)``: per line its set id, the
+    document, and the line number above the size; and each of its grams, its set id, and -1."""
+    sized = (lines.select("*", F.xxhash64("tokens").alias("set_id"), F.size("tokens").alias("n"), _need(F.size("tokens"), threshold).alias("need"))
+             .select("*", F.least(F.col("n") - 1, F.col("n") - F.col("need") + _spare(F.col("need"), threshold) + 2).cast("int").alias("pairs"),
+                     F.when(_small(F.col("n"), threshold), F.col("n") - F.col("need") + 1).otherwise(0).cast("int").alias("singles"))
+             .select("doc_id", "tokens", "set_id", "pairs", F.shiftleft(F.col("line_no").cast("long"), 32).bitwiseOR(F.col("n").cast("long")).alias("more"), "n", "singles"))
+    # no column of its own: a filter on it would be pushed below the tokens and take them twice
+    places = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("pairs") + F.col("singles")))
+    rows = sized.select("doc_id", "tokens", "set_id", "pairs", "more", F.explode(places).alias("i"))
+    pair = F.xxhash64(F.get("tokens", F.col("i") - 1), F.get("tokens", "i"))
+    single = F.xxhash64(F.get("tokens", F.col("i") - F.col("pairs") - 1))
+    line = F.col("i") == 0
+    return rows.select(F.when(line, F.col("set_id")).when(F.col("i") <= F.col("pairs"), pair).otherwise(single).alias("key"),
+                       F.when(line, F.col("doc_id")).otherwise(F.col("set_id")).alias("value"), F.when(line, F.col("more")).otherwise(-1).alias("more"))
+
+
+def _lines(docs: DataFrame, *more) -> DataFrame:
+    return docs.select("doc_id", *more, F.posexplode(F.split(_plain(F.col("text")), "\n", -1)).alias("line_no", "line"))
 
 
-def _candidates(a: DataFrame, b: DataFrame, threshold: int, more=None) -> DataFrame:
-    """Pairs of sets, ``x`` before ``y``, that share a token of ``a`` and ``b`` (one row per
-    prefix token) and pass the length, positional and sketch filters, and ``more``."""
-    a, b, more = a.alias("a"), b.alias("b"), F.lit(True) if more is None else more
-    total = F.col("a.n") + F.col("b.n")
-    apart = F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))) + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1")))
-    pairs = (a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.first") < F.col("b.first")) & more
-                    & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * threshold)
-                    & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) * (100 + threshold) >= total * threshold)
-                    & (apart * (100 + threshold) <= total * (100 - threshold)))
-             .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y"),
-                     F.col("a.first").alias("x_first"), F.col("b.first").alias("y_first")).distinct())
-    return stored(pairs, "pairs")
+def _pairs(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of sets, ``x`` before ``y``, that share two grams (small sets:
+    one) of ``a`` and ``b`` and pass the length filter."""
+    a, b = a.alias("a"), b.alias("b")
+    return (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.first") < F.col("b.first"))
+                   & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * threshold))
+            .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y"),
+                    F.col("a.first").alias("x_first"), F.col("b.first").alias("y_first"),
+                    (_small(F.col("a.n"), threshold) & _small(F.col("b.n"), threshold)).alias("small"))
+            .groupBy("x", "y", "x_first", "y_first", "small").agg(F.count("*").alias("grams")).where("small or grams > 1")
+            .drop("small", "grams"))
 
 
 def _verified(pairs: DataFrame, given: DataFrame, rarity, threshold: int) -> DataFrame:
@@ -97,13 +139,22 @@ def _verified(pairs: DataFrame, given: DataFrame, rarity, threshold: int) -> Dat
     earliest such line."""
     need = stored(pairs.select(F.col("x").alias("set_id"), F.col("x_first").alias("at"))
                   .union(pairs.select("y", "y_first")).distinct(), "need")
-    texts = given.join(bounded_broadcast(need.select("at.doc_id").distinct(), BROADCAST_IDS), "doc_id", "left_semi")
-    again = _lines(texts, rarity).withColumn("set_id", F.xxhash64("tokens"))
-    sets = stored(again.join(need.select("set_id", "at.doc_id", "at.line_no"), ["set_id", "doc_id", "line_no"], "left_semi")
-                  .select("set_id", "tokens").dropDuplicates(["set_id"]), "sets")
+    places = need.groupBy("at.doc_id").agg(F.collect_set("at.line_no").alias("wanted"))
+    lines = _lines(given.join(bounded_broadcast(places, BROADCAST_IDS), "doc_id"), "wanted").where("array_contains(wanted, line_no)")
+    again = lines.select("doc_id", "line_no", _tokens(F.col("line"), rarity).alias("tokens")).withColumn("set_id", F.xxhash64("tokens"))
+    wanted = need.select("set_id", "at.doc_id", "at.line_no")
+    sets = stored(again.join(wanted, ["set_id", "doc_id", "line_no"], "left_semi").dropDuplicates(["set_id"])
+                  .select("set_id", F.size("tokens").alias("n"), _sketch(F.col("tokens"), 0).alias("s0"),
+                          _sketch(F.col("tokens"), 1).alias("s1"), "tokens"), "sets")
+
+    def side(name, *cols):
+        return sets.select(F.col("set_id").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in cols])
+    total = F.col("x_n") + F.col("y_n")
+    apart = F.bit_count(F.col("x_s0").bitwiseXOR(F.col("y_s0"))) + F.bit_count(F.col("x_s1").bitwiseXOR(F.col("y_s1")))
+    alike = stored(pairs.join(side("x", "n", "s0", "s1"), "x").join(side("y", "n", "s0", "s1"), "y")
+                   .where(apart * (100 + threshold) <= total * (100 - threshold)).select("x", "y", "x_first"), "alike")
     both = F.size(F.array_intersect("x_tokens", "y_tokens"))
-    near = (pairs.join(sets.select(F.col("set_id").alias("x"), F.col("tokens").alias("x_tokens")), "x")
-            .join(sets.select(F.col("set_id").alias("y"), F.col("tokens").alias("y_tokens")), "y")
+    near = (alike.join(side("x", "tokens"), "x").join(side("y", "tokens"), "y")
             .where(both * 100 >= threshold * (F.size("x_tokens") + F.size("y_tokens") - both))
             .groupBy(F.col("y").alias("set_id")).agg(F.min("x_first").alias("near")))
     return stored(near, "near")
@@ -116,23 +167,24 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     given = given.where("doc_id is not null and text is not null")
     rarity = rarity_levels(given)
-    at, size = F.struct("doc_id", "line_no"), F.size("tokens")
-    rows = stored(_lines(given, rarity).select(
-        F.xxhash64("tokens").alias("set_id"), "doc_id", "line_no", size.alias("n"), _sketch(F.col("tokens"), 0).alias("s0"),
-        _sketch(F.col("tokens"), 1).alias("s1"),
-        F.slice("tokens", F.lit(1), (size - _need(size, threshold) + 1).cast("int")).alias("prefix")), "lines")
-    first = rows.groupBy("set_id").agg(F.min(at).alias("first"))
-    one = F.max(F.struct("n", "s0", "s1", "prefix")).alias("row")      # the same in all rows of a set
-    sets = stored(rows.groupBy("set_id").agg(F.min(at).alias("first"), one).select("set_id", "first", "row.*"), "sets")
-
-    def prefixes(df, *more):
-        return df.select("set_id", "first", "n", "s0", "s1", *more, F.posexplode("prefix").alias("pos", "token"))
-    leaders = (prefixes(sets).groupBy("token").agg(F.count("*").alias("sets"), F.min(F.struct("first", "set_id", "n", "s0", "s1", "pos")).alias("row"))
-               .where("sets > 1").select("token", "row.*"))
-    near = _verified(_candidates(leaders, prefixes(sets), threshold), given, rarity, threshold)
-    settled = near.select("set_id", F.lit(True).alias("settled"))
-    marked = prefixes(sets.join(settled, "set_id", "left"), F.coalesce("settled", F.lit(False)).alias("settled"))
-    near = near.union(_verified(_candidates(marked, marked, threshold, F.expr("not b.settled")), given, rarity, threshold))
+    with _shuffles_dropped(docs.sparkSession):
+        lines = _lines(given).select("doc_id", "line_no", _tokens(F.col("line"), rarity).alias("tokens"))
+        keys, same = _grams(lines, threshold), Window.partitionBy("key")
+        table = stored(keys.select("*", F.min("value").over(same).alias("low"), F.max("value").over(same).alias("high"))
+                       .where("more >= 0 or low < high").drop("low", "high"), "grams")
+        at = F.struct("doc_id", "line_no")
+        rows = table.where("more >= 0").select(F.col("key").alias("set_id"), F.col("value").alias("doc_id"),
+                                               F.shiftright("more", 32).cast("int").alias("line_no"), F.col("more").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("n"))
+        first = stored(rows.groupBy("set_id").agg(F.min(at).alias("first"), F.max("n").alias("n"))
+                       .select("set_id", "first", "n"), "first")
+        members = stored(table.where("more < 0").select(F.col("key").alias("gram"), F.col("value").alias("set_id")).distinct()
+                         .join(first, "set_id"), "members")
+        leaders = members.groupBy("gram").agg(F.min(F.struct("first", "set_id", "n")).alias("row")).select("gram", "row.*")
+        led = stored(_pairs(leaders, members, threshold), "pairs")
+        near = _verified(led, given, rarity, threshold)
+        open_sets = members.join(near.select("set_id"), "set_id", "left_anti")
+        others = stored(_pairs(members, open_sets, threshold).join(led.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
+        near = near.union(_verified(others, given, rarity, threshold))
     best = first.join(near, "set_id", "left").select("set_id", F.least("first", "near").alias("match"))
     return (rows.select("set_id", "doc_id", "line_no").join(best, "set_id").where(F.col("match") < at)
             .select("doc_id", "line_no", F.col("match.doc_id").alias("match_id"), F.col("match.line_no").alias("match_line")))
