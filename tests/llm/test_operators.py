@@ -278,6 +278,24 @@ def test_line_dedup_stores_shared_grams_only(spark, monkeypatch):
     assert sum(df.count() for df in tables[2:]) == 0
 
 
+def test_line_dedup_names_few_pairs_of_lines_alike_in_part(spark, monkeypatch):
+    """Lines that share most words, but match nothing, make no table of all their pairs."""
+    common = " ".join(f"same{j}" for j in range(30))
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(10)) + " " + common) for i in range(200)]
+    rows += [(200 + i, text.replace("same7 ", "")) for i, text in rows[:5]]
+    pairs, stored = [], line_dedup.stored
+
+    def seen(df, name):
+        out = stored(df, name)
+        pairs.extend([out.count()] if name == "pairs" else [])
+        return out
+    monkeypatch.setattr(line_dedup, "stored", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["match_id"]) for r in line_dedup.duplicate_lines(docs).collect()}
+    assert got == {(200 + i, i) for i in range(5)}
+    assert sum(pairs) < 4000            # of 21,000
+
+
 @pytest.mark.parametrize("threshold", [50, 60, 80, 95])
 def test_line_dedup_of_short_lines(spark, threshold):
     import random

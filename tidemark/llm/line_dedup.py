@@ -1,27 +1,38 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame operations only.
 
-A line is its set of distinct words (lower-cased), as 58-bit hashes under a rarity level.
-Under one order, rare words first, two sets that share ``I`` words and differ in ``D`` have
-``D <= I * (1 - t) / t`` at a Jaccard similarity of ``t``.  Each differing word parts at most
-one pair of neighbouring shared words, so among the first ``D + 2`` such pairs two are pairs
-of neighbours in both sets (grams), and they start at place ``D + (n - ceil(t * n)) + 1`` of
-their set at the latest.  Only grams up to there are shuffled; sets too small to leave two add
-the words of their prefix.  What one set alone has is dropped at once.
-
-Sets that share two grams are compared by length, by a 128-bit parity sketch (its distance never
-exceeds the symmetric difference) and then in full.  A line that matches an earlier one, in
-the order of (doc_id, line number), goes.
-
-Lines meet in two rounds.  In the first, a set meets only the earliest set of each of its
-grams, so a group of near copies meets its first member and not itself; what that settles
-needs no other match.  In the second, the sets still open meet every earlier one.
+A line is its set of distinct words (lower-cased), as 58-bit hashes under a rarity level, rare
+words first.  Its keys are runs of neighbouring words (grams) of two to four words: the rarer
+the first word, the shorter, so that few lines share one by chance however many there are.
+
+Say two sets share the words ``S``, one has ``a`` words more and the other ``b``, and a gram of
+``l`` words weighs ``1 / l``.  A gram of ``S`` is one of both sets unless another word falls
+between its words.  In a set's own list of grams (their lengths grow along it) its ``a`` words
+take away a weight of at most ``a`` and the ``b`` words at most ``b * (1 - 1 / l)``, with ``l`` the
+longest.  At a Jaccard similarity of ``t`` that is ``(1 - t) * n`` at most in all, as long as
+``1 - 1 / l <= t``.  So each set needs only its first grams, up to a weight above ``(1 - t) * n``:
+the first gram that is left belongs to both.  Only those are shuffled.  A set whose grams do not
+weigh enough has all of them and, to meet its like, all pairs of neighbours up to that weight;
+if these do not either, also the words of its prefix.  What one set alone has is dropped at once.
+
+Every set carries a 64-bit parity sketch, whose distance never exceeds the symmetric difference.
+Sets meet on a gram only when length and sketch allow a match, so what they share by chance
+makes few rows.  Those that meet are compared by a 128-bit sketch and then in full.
+A line that matches an earlier one, in the order of (doc_id, line number), goes.
+
+Lines meet in three rounds.  In the first, a set meets only the earliest set of each of its
+grams, in the pass that orders the sets of a gram; what that settles needs no other match.  In
+the second, the sets still open meet one in ``PART`` of the earlier ones, which settles nearly
+all of a group whose members match each other but not the first.  In the third, those still
+open meet every other earlier set.
 
 Rarity is the log2 of a word's count over hash buckets; every bucket's count covers all
-lines.  It fixes one order for all, which is all that exactness needs.
+lines.  It fixes one order for all, and lengths of grams by their first words, which is all
+that exactness needs.
 """
 
 from __future__ import annotations
 
+import math
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,10 +42,17 @@ from tidemark.llm.storage import stored
 from tidemark.session import bounded_broadcast
 
 THRESHOLD = 80             # percent
-RARITY_BUCKETS = 65_536
+#: Least and most log2 of the rarity buckets, about so many words each; bytes of a word.
+RARITY_BITS, BUCKET_WORDS, WORD_BYTES = (16, 20), 400, 7
 HASH_BITS = 58
+#: Bits of a gram's key; sets that meet by a chance of keys are told apart like others.
+KEY_BITS = 40
+#: Words of the longest gram, and the bits by which a gram's words are to be rarer than one in all lines.
+LONGEST, SPARE_BITS = 4, 2
 #: Documents broadcast (an id and line numbers each) to pick the texts to verify; beyond, a shuffle join does.
 BROADCAST_IDS = 1_000_000
+#: The second round meets one in so many earlier sets, the third the rest.
+PART = 16
 ODD_SPACE = "\t\r\x0b\x0c"
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -59,30 +77,39 @@ def _plain(text):
 
 
 def rarity_levels(docs: DataFrame):
-    """Array column: per hash bucket the log2 of its words' count in all lines."""
-    words = docs.select(F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
-    bucket = F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).cast("int")
-    levels = (words.groupBy(bucket.alias("b")).agg(F.floor(F.log2(F.count("*"))).cast("int").alias("level"))
-              .agg(F.map_from_entries(F.collect_list(F.struct("b", "level"))).alias("m")).first()["m"])    # bounded by the buckets
-    levels = levels or {}
-    return F.split(F.lit(",".join(str(min(31, levels.get(b, 0))) for b in range(RARITY_BUCKETS))), ",").cast("array<bigint>")
+    """Array column: per hash bucket the log2 of its words' count in all lines; and the log2
+    of the number of lines.  The buckets are a power of two of them, by the bytes of text."""
+    words = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / WORD_BYTES
+    buckets = 1 << max(RARITY_BITS[0], min(RARITY_BITS[1], round(math.log2(1 + words / BUCKET_WORDS))))
+    # a feed after each text, too: as many feeds as lines
+    text = F.replace(_plain(F.concat(F.col("text"), F.lit("\n"))), F.lit("\n"), F.lit(" \n "))
+    bucket = F.when(F.col("w") == "\n", -1).otherwise(F.pmod(F.xxhash64("w"), F.lit(buckets)).cast("int"))
+    counts = docs.select(F.explode(F.split(text, " ")).alias("w")).where("w <> ''").groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
+    row = counts.agg(F.collect_list(F.when(F.col("b") >= 0, F.col("b") * 32 + F.least(F.lit(31), F.floor(F.log2("n"))).cast("int"))).alias("m"),
+                     F.max(F.when(F.col("b") < 0, F.col("n"))).alias("lines")).first()     # bounded by the buckets
+    levels = ["0"] * buckets
+    for x in row["m"]:
+        levels[x >> 5] = str(x & 31)
+    return F.split(F.lit(",".join(levels)), ",").cast("array<bigint>"), buckets, math.log2(max(2, row["lines"] or 0))
 
 
 def _tokens(line, rarity):
     """Sorted distinct tokens of a plain line: rarity level above a word hash."""
+    levels, buckets = rarity[:2]
+
     def token(h):
-        level = F.coalesce(F.get(rarity, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
+        level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(buckets - 1)).cast("int")), F.lit(0).cast("long"))
         return F.shiftleft(level, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
     hashes = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
     words = F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
     return F.array_distinct(F.sort_array(F.transform(words, token)))
 
 
-def _sketch(tokens, half: int):
-    """64 parity bits of the tokens whose bit 6 is ``half``."""
+def _sketch(tokens, half: int | None = None):
+    """64 parity bits of the tokens, or of those whose bit 6 is ``half``."""
     def step(acc, t):
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(F.shiftright(t, 6).bitwiseAND(F.lit(1)) == half, acc.bitwiseXOR(bit)).otherwise(acc)
+        bit = acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))
+        return bit if half is None else F.when(F.shiftright(t, 6).bitwiseAND(F.lit(1)) == half, bit).otherwise(acc)
     return F.aggregate(tokens, F.lit(0).cast("long"), step)
 
 
@@ -90,48 +117,78 @@ def _need(n, threshold: int):
     return F.ceil(n * threshold / 100.0)
 
 
-def _spare(need, threshold: int):
-    """Differing words at most in two sets that share ``need``."""
-    return F.floor(need * (100 - threshold) / threshold)
+def _gram_levels(bits: float, threshold: int) -> list[int]:
+    """Per length from 2 on, but for the longest, the rarity levels below which a gram has it."""
+    longest = max(2, min(LONGEST, 100 // (100 - threshold) if threshold < 100 else LONGEST))
+    return [min(31, max(0, math.floor(bits - (bits + SPARE_BITS) / k - (k - 1) / 2) + 1)) for k in range(2, longest)]
+
+
+def _grams(lines: DataFrame, bits: float, threshold: int) -> DataFrame:
+    """``(key, value, more, sketch)`` of ``(doc_id, line_no, tokens)``: per line its set id, the
+    document, the line number above the size, and the sketch; and each of its grams, its set id, minus its place, and 0."""
+    levels, n = _gram_levels(bits, threshold), F.col("n")
+    weights = [12 // k for k in range(2, len(levels) + 3)]              # in twelfths
+    zero, whole = F.lit(0).cast("int"), F.floor(n * 12 * (100 - threshold) / 100.0).cast("int") + 1
+    # place from which on grams have the next length; the last length goes to the end
+    marks = [F.lit(at << HASH_BITS).cast("long") for at in levels]
+    ends = [(F.array_position("marked", m) - 1 - levels.index(at)).cast("int") for m, at in zip(marks, levels)]
+    sized = (lines.select("*", F.xxhash64("tokens").alias("set_id"), F.size("tokens").alias("n"), F.sort_array(F.concat("tokens", F.array(*marks))).alias("marked"))
+             .select("*", *[e.alias(f"end{i}") for i, e in enumerate(ends)]).drop("marked")
+             .select("*", _sketch(F.col("tokens")).alias("sketch"), whole.alias("left"), zero.alias("grams")))
+    begin = zero
+    for i, w in enumerate(weights):
+        end = F.col(f"end{i}") if i < len(levels) else n
+        there = F.greatest(zero, F.least(end, n - i - 1) - begin)
+        taken = F.least(there, F.greatest(zero, F.ceil(F.col("left") / w).cast("int")))
+        sized = sized.withColumn("taken", taken).withColumn("grams", F.col("grams") + F.col("taken")).withColumn("left", F.col("left") - F.col("taken") * w)
+        begin = end
+    weak = F.col("left") > 0
+    twos, wanted = F.least(n - 1, F.floor(n * 2 * (100 - threshold) / 100.0).cast("int") + 1), F.floor(n * 2 * (100 - threshold) / 100.0) + 1
+    short = F.col("end0") if levels else n
+    sized = (sized.withColumn("skip", F.least(short, F.greatest(zero, n - 1)))
+             .withColumn("pairs", F.when(weak, F.greatest(zero, twos - F.col("skip"))).otherwise(zero))
+             .withColumn("singles", F.when(weak & (twos < wanted), n - _need(n, threshold).cast("int") + 1).otherwise(zero))
+             .select("doc_id", "tokens", "set_id", "sketch", *[f"end{i}" for i in range(len(levels))], "grams", "skip", "pairs", "singles",
+                     F.shiftleft(F.col("line_no").cast("long"), 32).bitwiseOR(n.cast("long")).alias("more"), "n"))
+    # no column of its own: a filter on it would be pushed below the tokens and take them twice
+    places = F.when(n > 0, F.sequence(zero, F.col("grams") + F.col("pairs") + F.col("singles")))
+    rows = sized.select("*", F.explode(places).alias("i")).drop("n")
+    line, at = F.col("i") == 0, F.col("i") - 1
+    pair_at, single_at = at - F.col("grams") + F.col("skip"), at - F.col("grams") - F.col("pairs")
+
+    def gram(place, length: int):
+        return F.xxhash64(*[F.get("tokens", place + k) for k in range(length)]).bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+    key = F.when(line, F.col("set_id"))
+    for k in range(len(levels)):
+        key = key.when((at < F.col("grams")) & (at < F.col(f"end{k}")), gram(at, k + 2))
+    key = (key.when(at < F.col("grams"), gram(at, len(levels) + 2)).when(at < F.col("grams") + F.col("pairs"), gram(pair_at, 2))
+           .otherwise(gram(single_at, 1)))
+    return rows.select(key.alias("key"), F.when(line, F.col("doc_id")).otherwise(F.col("set_id")).alias("value"), F.when(line, F.col("more")).otherwise(-F.col("i")).alias("more"),
+                       F.when(line, F.col("sketch")).otherwise(0).alias("sketch"))
 
 
-def _small(n, threshold: int):
-    """Whether a set is too small to share two grams with each set that is similar."""
-    return _spare(_need(n, threshold), threshold) + 3 > _need(n, threshold)
+def _lines(docs: DataFrame, *more) -> DataFrame:
+    return docs.select("doc_id", *more, F.posexplode(F.split(_plain(F.col("text")), "\n", -1)).alias("line_no", "line"))
 
 
-def _grams(lines: DataFrame, threshold: int) -> DataFrame:
-    """``(key, value, more)`` of ``(doc_id, line_no, tokens)``: per line its set id, the
-    document, and the line number above the size; and each of its grams, its set id, and -1."""
-    sized = (lines.select("*", F.xxhash64("tokens").alias("set_id"), F.size("tokens").alias("n"), _need(F.size("tokens"), threshold).alias("need"))
-             .select("*", F.least(F.col("n") - 1, F.col("n") - F.col("need") + _spare(F.col("need"), threshold) + 2).cast("int").alias("pairs"),
-                     F.when(_small(F.col("n"), threshold), F.col("n") - F.col("need") + 1).otherwise(0).cast("int").alias("singles"))
-             .select("doc_id", "tokens", "set_id", "pairs", F.shiftleft(F.col("line_no").cast("long"), 32).bitwiseOR(F.col("n").cast("long")).alias("more"), "n", "singles"))
-    # no column of its own: a filter on it would be pushed below the tokens and take them twice
-    places = F.when(F.col("n") > 0, F.sequence(F.lit(0), F.col("pairs") + F.col("singles")))
-    rows = sized.select("doc_id", "tokens", "set_id", "pairs", "more", F.explode(places).alias("i"))
-    pair = F.xxhash64(F.get("tokens", F.col("i") - 1), F.get("tokens", "i"))
-    single = F.xxhash64(F.get("tokens", F.col("i") - F.col("pairs") - 1))
-    line = F.col("i") == 0
-    return rows.select(F.when(line, F.col("set_id")).when(F.col("i") <= F.col("pairs"), pair).otherwise(single).alias("key"),
-                       F.when(line, F.col("doc_id")).otherwise(F.col("set_id")).alias("value"), F.when(line, F.col("more")).otherwise(-1).alias("more"))
+def _may_match(a: str, b: str, threshold: int):
+    """Whether the lengths and the sketches of two sets allow a match."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch")))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * threshold) & (apart * (100 + threshold) <= (n + m) * (100 - threshold))
 
 
-def _lines(docs: DataFrame, *more) -> DataFrame:
-    return docs.select("doc_id", *more, F.posexplode(F.split(_plain(F.col("text")), "\n", -1)).alias("line_no", "line"))
+def _met():
+    """Columns of a pair of sets, ``x`` before ``y``, of rows ``a`` and ``b``."""
+    return [F.col(f"{side}.{c}").alias(name) for c, more in (("set_id", ""), ("first", "_first")) for side, name in (("a", "x" + more), ("b", "y" + more))]
 
 
 def _pairs(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of sets, ``x`` before ``y``, that share two grams (small sets:
-    one) of ``a`` and ``b`` and pass the length filter."""
-    a, b = a.alias("a"), b.alias("b")
-    return (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.first") < F.col("b.first"))
-                   & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * threshold))
-            .select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y"),
-                    F.col("a.first").alias("x_first"), F.col("b.first").alias("y_first"),
-                    (_small(F.col("a.n"), threshold) & _small(F.col("b.n"), threshold)).alias("small"))
-            .groupBy("x", "y", "x_first", "y_first", "small").agg(F.count("*").alias("grams")).where("small or grams > 1")
-            .drop("small", "grams"))
+    """Pairs of a set of ``a`` and a later one of ``b`` that share a gram and may match.  Where they
+    share the gram before it, too, they meet there."""
+    return (a.alias("a").join(b.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.first") < F.col("b.first"))
+                              & F.coalesce(F.col("a.before") != F.col("b.before"), F.lit(True))
+                              & _may_match("a", "b", threshold)).select(*_met()).distinct())
 
 
 def _verified(pairs: DataFrame, given: DataFrame, rarity, threshold: int) -> DataFrame:
@@ -169,22 +226,28 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rarity = rarity_levels(given)
     with _shuffles_dropped(docs.sparkSession):
         lines = _lines(given).select("doc_id", "line_no", _tokens(F.col("line"), rarity).alias("tokens"))
-        keys, same = _grams(lines, threshold), Window.partitionBy("key")
+        keys, same = _grams(lines, rarity[2], threshold), Window.partitionBy("key")
         table = stored(keys.select("*", F.min("value").over(same).alias("low"), F.max("value").over(same).alias("high"))
                        .where("more >= 0 or low < high").drop("low", "high"), "grams")
         at = F.struct("doc_id", "line_no")
-        rows = table.where("more >= 0").select(F.col("key").alias("set_id"), F.col("value").alias("doc_id"),
-                                               F.shiftright("more", 32).cast("int").alias("line_no"), F.col("more").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("n"))
-        first = stored(rows.groupBy("set_id").agg(F.min(at).alias("first"), F.max("n").alias("n"))
-                       .select("set_id", "first", "n"), "first")
-        members = stored(table.where("more < 0").select(F.col("key").alias("gram"), F.col("value").alias("set_id")).distinct()
-                         .join(first, "set_id"), "members")
-        leaders = members.groupBy("gram").agg(F.min(F.struct("first", "set_id", "n")).alias("row")).select("gram", "row.*")
-        led = stored(_pairs(leaders, members, threshold), "pairs")
-        near = _verified(led, given, rarity, threshold)
-        open_sets = members.join(near.select("set_id"), "set_id", "left_anti")
-        others = stored(_pairs(members, open_sets, threshold).join(led.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
-        near = near.union(_verified(others, given, rarity, threshold))
+        rows = table.where("more >= 0").select(F.col("key").alias("set_id"), F.col("value").alias("doc_id"), F.shiftright("more", 32).cast("int").alias("line_no"),
+                                               F.col("more").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("n"), "sketch")
+        first = stored(rows.groupBy("set_id").agg(F.min(at).alias("first"), F.max("n").alias("n"), F.max("sketch").alias("sketch")), "first")
+        members = (table.where("more < 0").select(F.col("key").alias("gram"), F.col("value").alias("set_id"), F.col("more").alias("at")).distinct().join(first, "set_id")
+                   .select("*", F.lag("gram").over(Window.partitionBy("set_id").orderBy(F.desc("at"))).alias("before")))
+        order = Window.partitionBy("gram").orderBy("b.first")
+        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        places = (members.select("gram", F.struct("set_id", "first", "n", "sketch", "before").alias("b"))
+                  .select("*", F.row_number().over(order).alias("place"), F.first("b").over(whole).alias("a"), F.count("*").over(whole).alias("many")))
+        met = (F.col("a.set_id") != F.col("b.set_id")) & _may_match("a", "b", threshold)
+        table = stored(places.select("gram", F.when(met, F.col("a")).alias("a"), "b", "place", "many").where("a is not null or many > 2"), "members")
+        near = _verified(stored(table.where("a is not null").select(*_met()).distinct(), "pairs"), given, rarity, threshold)
+        # a gram's first set has met all others, its second one has met the first
+        later = table.where("many > 2 and place > 1").select("gram", "place", "b.*")
+        some = F.pmod("set_id", F.lit(PART)) == 0
+        for earlier in (later.where(some), later.where(~some)):
+            open_sets = later.where("place > 2").join(near.select("set_id"), "set_id", "left_anti")
+            near = near.union(_verified(stored(_pairs(earlier, open_sets, threshold), "pairs"), given, rarity, threshold))
     best = first.join(near, "set_id", "left").select("set_id", F.least("first", "near").alias("match"))
     return (rows.select("set_id", "doc_id", "line_no").join(best, "set_id").where(F.col("match") < at)
             .select("doc_id", "line_no", F.col("match.doc_id").alias("match_id"), F.col("match.line_no").alias("match_line")))
