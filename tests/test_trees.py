@@ -110,3 +110,33 @@ def test_many_values_missing_values_and_empty_tables(spark):
     none = trees.fit_boosted(df.limit(0), ["x"], n_estimators=2)
     assert {r["proba"] for r in trees.predict(none, df).collect()} == {0.5}
     assert trees.predict(model, df.limit(0)).count() == 0
+
+
+def _same(a, b):
+    return all(getattr(a, c) == getattr(b, c) for c in ("feature", "cut", "left", "right")) and np.allclose(a.value, b.value, rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("leaf,split,features", [(1, 2, "sqrt"), (2, 10, 2), (3, 5, None)])
+def test_unlimited_forests_are_stored_and_equal_those_of_the_driver(spark, monkeypatch, leaf, split, features):
+    """Trees of any depth do not reach the driver; they and their scores are those of the
+    level-wise growth, in which the driver holds every node."""
+    df, X, _ = _data(spark, n=500, seed=4)
+    df = df.withColumn("w", F.when(F.col("churn") == 1, 1.7).otherwise(0.6)).repartition(3)
+    args = {"n_estimators": 6, "min_samples_leaf": leaf, "min_samples_split": split, "max_features": features, "weight": "w"}
+    deep = trees.fit_forest(df, ["a", "b", "c"], max_depth=18, **args)
+    assert deep.table is None
+    with monkeypatch.context() as m:
+        m.setattr(trees, "_grow", None)
+        m.setattr(trees, "checked_collect", None)
+        model = trees.fit_forest(df, ["a", "b", "c"], **args)
+        scored = {r["row_key"]: r["proba"] for r in trees.predict(model, df).collect()}
+    assert model.table is not None and not model.grown
+    assert len(scored) == 500 and max(abs(scored[i] - q) for i, q in enumerate(deep.probability(deep.bins(list(X.T))))) < 1e-12
+    assert all(_same(a, b) for a, b in zip(deep.trees, model.trees, strict=True))
+
+
+def test_unlimited_forests_without_rows(spark):
+    df, _, _ = _data(spark, n=30)
+    model = trees.fit_forest(df.limit(0), ["a", "b"], n_estimators=3)
+    assert {r["proba"] for r in trees.predict(model, df).collect()} == {0.0}
+    assert trees.predict(trees.fit_forest(df, ["a"], n_estimators=2), df.limit(0)).count() == 0

@@ -6,6 +6,8 @@ leaves, columns drawn per tree, least rows to split a node, unlimited depth.  He
 features are binned once and stored; each level of a tree - of all trees of a forest
 together - is one aggregation of (node, feature, bin) statistics, a running sum over the
 bins of a node's feature, and the best cut per node.  Only those cuts reach the driver.
+Forests whose depth does not bound their nodes are grown a tree a task, by the same rules,
+from the rows each tree draws; their nodes are stored and never reach the driver.
 Features with at most ``BINS`` different values lose nothing by binning.
 """
 
@@ -27,7 +29,7 @@ BINS = 256
 BLOCK_ROWS = 65_536
 #: Boosting rounds after which the stored margins take in the trees so far.
 ABSORB = 20
-#: Nodes grown at once; a model is kept on the driver.
+#: Nodes grown at once, and those of a model that is kept on the driver.
 MAX_NODES = 2_000_000
 #: Gains nearer than this count as equal; the first feature, then the first cut wins.
 GAIN_PLACES = 9
@@ -74,7 +76,20 @@ class Model:
     kind: str
     features: list[str]
     cuts: list[np.ndarray]
-    trees: list[Tree] = dataclasses.field(default_factory=list)
+    grown: list[Tree] = dataclasses.field(default_factory=list)
+    #: The stored trees of a forest that the driver does not hold (``TREES``).
+    table: DataFrame | None = None
+
+    @property
+    def trees(self) -> list[Tree]:
+        """The trees; those of a stored forest are brought here only when asked for."""
+        if self.table is not None and not self.grown:
+            self.grown = [_tree(r) for r in sorted(self.table.collect(), key=lambda r: r["tree"])]
+        return self.grown
+
+    @trees.setter
+    def trees(self, trees: list[Tree]) -> None:
+        self.grown = trees
 
     def bins(self, columns: list[np.ndarray]) -> np.ndarray:
         """Bin of every value: the number of cut points below it; a missing one is in the first."""
@@ -299,6 +314,193 @@ def _grow(blocks: DataFrame, model: Model, first: int, count: int, rules: Rules,
     return list(growing.values())
 
 
+# ---- a tree a task --------------------------------------------------------------------
+DRAWN = "tree int, x binary, y binary, w binary, times binary"
+TREES = "tree int, feature binary, cut binary, child binary, value binary"
+TREE_TYPES = (("feature", np.int32), ("cut", np.int32), ("child", np.int32), ("value", np.float64))
+
+
+def _tree(r) -> Tree:
+    tree = Tree()
+    feature, cut, child, value = (np.frombuffer(r[c], kind) for c, kind in TREE_TYPES)
+    tree.feature, tree.cut, tree.left = feature.tolist(), cut.tolist(), child.tolist()
+    tree.right, tree.value = np.where(child > 0, child + 1, 0).tolist(), value.tolist()
+    return tree
+
+
+def _batch(names: list[str], columns: list[list], first=pa.int32()) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, first if i == 0 else pa.binary()) for i, c in enumerate(columns)], names=names)
+
+
+def _draws(p: int, count: int, rules: Rules):
+    """What each tree draws of a batch of blocks."""
+    def run(it):
+        for batch in it:
+            for x, y, w, ids, _ in _read(batch, p):
+                for t in range(count):
+                    times = _poisson(_uniform(ids, rules.seed, t)) if rules.bootstrap else np.ones(len(y))
+                    own = times > 0
+                    yield _batch(["tree", "x", "y", "w", "times"], [[t], *[[v.tobytes()] for v in (x[own], y[own], w[own], times[own].astype(np.uint8))]])
+    return run
+
+
+def _gains(a, b, n, rules: Rules):
+    """``(place, gain)`` of the best cut of each row of running sums over bins; ``n`` does not
+    grow where a row has no bin.  The gain is -inf where no cut is allowed."""
+    def value(pos, all_):
+        return np.divide(pos * pos + (all_ - pos) * (all_ - pos), all_, out=np.zeros_like(all_), where=all_ != 0)
+    wa, wb, wn = a[:, -1:], b[:, -1:], n[:, -1:]
+    least = max(1, rules.min_samples_leaf)
+    ok = (n >= rules.min_samples_leaf) & (wn - n >= least)
+    gain = np.where(ok, np.round(value(a, b) + value(wa - a, wb - b) - value(wa, wb), GAIN_PLACES), -np.inf)
+    place = gain.argmax(axis=1)
+    return place, gain[np.arange(len(gain)), place]
+
+
+def _best_of_feature(node, bins, a, b, rules: Rules):
+    """``(node, gain, bin)`` of the best cut of each node by one feature."""
+    code, back = np.unique(node.astype(np.int64) * BINS + bins, return_inverse=True)
+    sums = [np.bincount(back, v, len(code)) for v in (a, b)] + [np.bincount(back, minlength=len(code))]
+    of = code // BINS
+    start = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    many = np.diff(np.r_[start, len(code)])
+    gains, cuts = np.full(len(start), -np.inf), np.zeros(len(start), np.int32)
+    width = 2                                                    # nodes with about as many bins at once; one bin has no cut
+    while width // 2 < many.max():
+        some = np.flatnonzero((many > width // 2) & (many <= width))
+        for part in np.array_split(some, max(1, len(some) * width // 2_000_000)) if len(some) else []:
+            at, there = start[part][:, None] + np.arange(width), np.arange(width) < many[part][:, None]
+            at = np.where(there, at, 0)
+            place, gains[part] = _gains(*[np.cumsum(np.where(there, v[at], 0), axis=1) for v in sums], rules)
+            cuts[part] = code[start[part] + place] % BINS
+        width *= 2
+    return of[start], gains, cuts
+
+
+def _grow_alone(x, a, b, t: int, rules: Rules) -> list[np.ndarray]:
+    """The columns of ``TREES`` of one tree, level by level, from the rows it draws."""
+    p = x.shape[1]
+    levels, size, depth = [], 1, 0
+    node, open_nodes = np.zeros(len(a), np.int64), np.zeros(1, np.int64)
+    while len(open_nodes):
+        m = len(open_nodes)
+        wa, wb, n = np.bincount(node, a, m), np.bincount(node, b, m), np.bincount(node, minlength=m)
+        value = np.divide(wa, wb, out=np.zeros(m), where=wb > 0)
+        feature, cut, child, gain = np.full(m, -1, np.int32), np.zeros(m, np.int32), np.zeros(m, np.int32), np.full(m, -np.inf)
+        may = np.zeros((m, p), bool)
+        if rules.max_depth is None or depth < rules.max_depth:
+            for i in np.flatnonzero((np.minimum(wa, wb - wa) > 1e-9) & (n >= rules.min_samples_split)):
+                may[i, rules.columns("forest", p, t, int(open_nodes[i]))] = True
+        for f in range(p):
+            own = np.flatnonzero(may[node, f])
+            if len(own):
+                at, g, c = _best_of_feature(node[own], x[own, f], a[own], b[own], rules)
+                better = g > gain[at]
+                at = at[better]
+                feature[at], cut[at], gain[at] = f, c[better], g[better]
+        split = gain >= 0
+        feature[~split], cut[~split] = -1, 0
+        left = 2 * (np.cumsum(split) - 1)
+        child[split] = size + left[split]
+        levels.append((feature, cut, child, value))
+        keep = np.flatnonzero(split[node])
+        at = node[keep]
+        node = left[at] + (x[keep, feature[at]] > cut[at])
+        x, a, b = x[keep], a[keep], b[keep]
+        open_nodes = np.arange(size, size + 2 * int(split.sum()))
+        size, depth = size + len(open_nodes), depth + 1
+    return [np.concatenate(c).astype(kind) for c, (_, kind) in zip(zip(*levels), TREE_TYPES)]
+
+
+def _grow_apart(p: int, rules: Rules):
+    """The trees of a partition of ``DRAWN``, sorted by tree; one is held at a time."""
+    names = ["tree", *[c for c, _ in TREE_TYPES]]
+
+    def grown(t, parts):
+        x, y, w, times = (np.concatenate(c) for c in zip(*parts))
+        parts.clear()
+        b = w * times
+        return _batch(names, [[t], *[[c.tobytes()] for c in _grow_alone(x, b * y, b, t, rules)]])
+
+    def run(it):
+        last, parts = None, []
+        for batch in it:
+            for i in range(batch.num_rows):
+                t, x, y, w, times = (batch.column(c)[i].as_py() for c in ("tree", "x", "y", "w", "times"))
+                if t != last and parts:
+                    yield grown(last, parts)
+                last = t
+                parts.append((np.frombuffer(x, np.uint8).reshape(-1, p), np.frombuffer(y), np.frombuffer(w), np.frombuffer(times, np.uint8)))
+        if parts:
+            yield grown(last, parts)
+    return run
+
+
+def _forest_apart(blocks: DataFrame, model: Model, count: int, rules: Rules) -> DataFrame:
+    drawn = blocks.mapInArrow(_draws(len(model.features), count, rules), DRAWN)
+    table = materialize(drawn.repartition(count, "tree").sortWithinPartitions("tree").mapInArrow(_grow_apart(len(model.features), rules), TREES))
+    # without rows there are no draws: leaves that say 0, as of a tree without splits
+    blank = [bytearray(np.zeros(1, k) if c != "feature" else np.full(1, -1, k)) for c, k in TREE_TYPES]
+    missing = sorted(set(range(count)) - {r["tree"] for r in table.select("tree").collect()})
+    return table.union(blocks.sparkSession.createDataFrame([(t, *blank) for t in missing], TREES)) if missing else table
+
+
+def _predict_apart(model: Model, given: DataFrame, names: list[str], out: str) -> DataFrame:
+    """``predict`` for stored trees: every block of rows meets every tree in the tree's task,
+    and the tree's values are summed by block in the order of the trees."""
+    p, cuts = len(model.features), Model(model.kind, model.features, model.cuts)
+    count = model.table.count()
+    rows = materialize(given.withColumn("_row", F.monotonically_increasing_id()))
+
+    def blocks(it):
+        for batch in it:
+            for lo in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(lo, BLOCK_ROWS)
+                ids = part.column("_row").to_numpy(zero_copy_only=False).astype(np.int64)
+                x = cuts.bins([c.to_numpy(zero_copy_only=False).astype(float) for c in part.columns[1:]])
+                yield _batch(["block", "x", "ids"], [[int(ids[0])], [x.tobytes()], [ids.tobytes()]], pa.int64())
+
+    def scores(it):
+        tree = value = None
+        for batch in it:
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if r["block"] is None:
+                    feature, cut, child, value = (np.frombuffer(r[c], kind) for c, kind in TREE_TYPES)
+                    tree = feature, cut, child, child + 1
+                else:
+                    got = value[_leaves(tree, np.frombuffer(r["x"], np.uint8).reshape(-1, p))]
+                    yield pa.RecordBatch.from_arrays([pa.array([r["block"]], pa.int64()), pa.array([r["tree"]], pa.int32()), pa.array([got.tobytes()], pa.binary())],
+                                                     names=["block", "tree", "v"])
+
+    def sums(it):
+        block, total, ids = None, None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total / max(1, count))], names=["_row", "_score"])
+        for batch in it:
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in ("block", "tree", "v")}
+                if r["tree"] < 0:                                # the block's row ids come first
+                    if block is not None:
+                        yield done()
+                    block, ids = r["block"], np.frombuffer(r["v"], np.int64)
+                    total = np.zeros(len(ids))
+                else:
+                    total += np.frombuffer(r["v"])
+        if block is not None:
+            yield done()
+
+    table = materialize(rows.select("_row", *[f"_x{i}" for i in range(p)]).mapInArrow(blocks, "block long, x binary, ids binary"))
+    null = F.lit(None)
+    each = table.select(F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("tree"), "block", "x", *[null.cast("binary").alias(c) for c, _ in TREE_TYPES])
+    trees = model.table.select("tree", null.cast("long").alias("block"), null.cast("binary").alias("x"), *[c for c, _ in TREE_TYPES])
+    met = trees.union(each).repartition(count, "tree").sortWithinPartitions("tree", F.asc_nulls_first("block"))
+    parts = met.mapInArrow(scores, "block long, tree int, v binary").union(table.select("block", F.lit(-1).alias("tree"), F.col("ids").alias("v")))
+    total = parts.repartition("block").sortWithinPartitions("block", "tree").mapInArrow(sums, "_row long, _score double")
+    return rows.join(total, "_row").select(*[f"_c{i}" for i in range(len(names))], "_score").toDF(*names, out)
+
+
 def _splits(kind: str, r, rules: Rules) -> bool:
     if r["gain"] is None:
         return False
@@ -349,22 +551,29 @@ def fit_forest(df: DataFrame, features: list[str], label: str = "churn", key: st
 
     A row is drawn for a tree as often as a Poisson number from its ``key`` says; a node is
     cut while it is impure, has ``min_samples_split`` drawn rows and a cut that leaves
-    ``min_samples_leaf`` on either side, to any depth unless ``max_depth`` is given."""
+    ``min_samples_leaf`` on either side, to any depth unless ``max_depth`` is given.  Where
+    the depth does not bound the nodes, a task holds the rows a tree draws (a byte a feature
+    and some 80 more each) and the trees are stored."""
     rules = Rules(seed, max_depth, bootstrap=bootstrap, max_features=max_features, min_samples_split=min_samples_split,
                   min_samples_leaf=min_samples_leaf)
     model = Model("forest", list(features), cut_points(df, features))
     blocks = binned(df, model, label, weight, key)
-    model.trees = _grow(blocks, model, 0, n_estimators, rules, 0)
+    if max_depth is None or n_estimators << min(max_depth, 40) > MAX_NODES:
+        model.table = _forest_apart(blocks, model, n_estimators, rules)
+    else:
+        model.trees = _grow(blocks, model, 0, n_estimators, rules, 0)
     return model
 
 
 def predict(model: Model, df: DataFrame, out: str = "proba") -> DataFrame:
     """``df`` with the probability of class 1 in ``out``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)      # the model, whatever the rows
     rest = df.drop(out)
     # plain names inside: columns may be called anything
     given = rest.select(*[quoted(c).cast("double").alias(f"_x{i}") for i, c in enumerate(model.features)],
                         *[quoted(c).alias(f"_c{i}") for i, c in enumerate(rest.columns)])
+    if model.table is not None:
+        return _predict_apart(model, given, rest.columns, out)
+    shared = df.sparkSession.sparkContext.broadcast(model)      # the model, whatever the rows
 
     def run(it):
         m = shared.value
